@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .simhash import simhash_near_dedup
 from .url_filter import url_filter
+from .vector_dedup import vector_near_dedup
 
 #: (host, path, verdict)
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
@@ -19,12 +21,22 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"), listed)
 
 
+def op3_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_near_dedup(table(spark, sf_dir, "embeddings"))
+
+
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op3_vector_near_dedup": op3_vector_near_dedup,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op7_exact_dedup": op7_exact_dedup,
 }
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .packing import pack
 from .simhash import simhash_near_dedup
 from .url_filter import url_filter
 from .vector_dedup import vector_near_dedup
@@ -21,6 +23,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"), listed)
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op3_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_near_dedup(table(spark, sf_dir, "embeddings"))
 
@@ -35,6 +41,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op2_packing": op2_packing,
     "op3_vector_near_dedup": op3_vector_near_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op7_exact_dedup": op7_exact_dedup,

@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from . import quality, toxicity
 from .common import table
 from .exact_dedup import exact_dedup
 from .packing import pack
@@ -39,12 +40,24 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.grade(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_packing": op2_packing,
     "op3_vector_near_dedup": op3_vector_near_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_toxicity": op8_toxicity,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 _FITS = " ".join(

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import quality, toxicity
+from .bpe import bpe_round_trip
 from .common import table
 from .exact_dedup import exact_dedup
 from .packing import pack
@@ -45,6 +46,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.grade(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_toxicity": op8_toxicity,
+    "op9_bpe": op9_bpe,
     "op10_quality_classifier": op10_quality_classifier,
 }
 

@@ -11,6 +11,7 @@ from . import quality, toxicity
 from .bpe import bpe_round_trip
 from .common import table
 from .exact_dedup import exact_dedup
+from .hmm import lm_score
 from .packing import pack
 from .simhash import simhash_near_dedup
 from .url_filter import url_filter
@@ -37,6 +38,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_vector_near_dedup": op3_vector_near_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_lm_score": op5_lm_score,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,

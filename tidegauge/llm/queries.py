@@ -14,6 +14,7 @@ from .exact_dedup import exact_dedup
 from .hmm import lm_score
 from .packing import pack
 from .simhash import simhash_near_dedup
+from .suffix_dedup import suffix_dedup
 from .url_filter import url_filter
 from .vector_dedup import vector_near_dedup
 
@@ -42,6 +43,10 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_vector_near_dedup": op3_vector_near_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_lm_score": op5_lm_score,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,

@@ -11,6 +11,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import PandasUDFType
 
 from .common import materialise
 from .labelled import fold_of, labelled_sample
@@ -209,6 +211,17 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds: int
     return lex
 
 
+def score_column(lexicon: Lexicon):
+    """A vectorised UDF: text -> score."""
+
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        a = lexicon.automaton()
+        for texts in parts:
+            yield pd.Series([lexicon.score(lexicon.density(a, t)) for t in texts], dtype="float64")
+
+    return F.pandas_udf(run, T.DoubleType(), PandasUDFType.SCALAR_ITER)
+
+
 def score(docs: DataFrame, lexicon: Lexicon, folds: int = 5, held: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, held_out, score, predicted), one row per row of docs.
 

@@ -2,5 +2,512 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidegauge.functions import scalar
+from tidegauge.operators import consistency, findings, fuzzy, sequence, stats, tables, vote
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a function as the query of its name, with its SQL."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def micros():
+    """Microseconds of ts since 1970, whatever the session's time zone."""
+    return F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+
+
+def second_of_day():
+    return F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
+
+
+SQL_SECOND = "CAST(hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS BIGINT)"
+SQL_DEV = """CASE WHEN mad <> 0 THEN abs(0.6745 * (x - med) / mad)
+                  WHEN med = 0 OR x = 0 THEN CASE WHEN x = med THEN 0.0 ELSE 'inf'::DOUBLE END
+                  WHEN x > med THEN x / med ELSE med / x END"""
+
+
+def _scored(samples: str, keys: str, ratio: float, min_diff: float) -> str:
+    """SQL of group_outliers over `samples` (..., x)."""
+    return f"""s AS ({samples}),
+         m AS (SELECT {keys}, count(*) AS n, median(x) AS med, mad(x) AS mad FROM s GROUP BY {keys}),
+         d AS (SELECT s.*, n, med, mad, {SQL_DEV} AS dev FROM s JOIN m USING ({keys}) WHERE n >= 5),
+         o AS (SELECT * FROM d WHERE dev > CASE WHEN mad <> 0 THEN 3.5 ELSE {ratio} END AND abs(x - med) >= {min_diff})"""
+
+
+SQL_LEGS = """SELECT event_id, user_id, event_type AS from_, next_type AS to_, CAST((next_us - us) // 1000000 AS BIGINT) AS x FROM (
+        SELECT *, epoch_us(ts) AS us, lead(event_type) OVER w AS next_type, lead(epoch_us(ts)) OVER w AS next_us
+        FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+      WHERE next_type IS NOT NULL AND event_type <> '' AND next_type <> ''"""
+
+
+def _legs(spark, sf):
+    ev = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts").withColumn("us", micros())
+    out = sequence.legs(ev, ["user_id"], ["ts", "event_id"], "event_type", F.col("us"), F.col("us"))
+    return out.select("event_id", "user_id", "from_", "to_", F.floor(F.col("dt") / 1000000).alias("dt"))
+
+
+@query(f"""WITH {_scored(SQL_LEGS, "from_, to_", 1.5, 60)}
+    SELECT event_id, from_, to_, x AS dt, n, round(med, 3) AS med, round(mad, 3) AS mad, round(dev, 6) AS dev FROM o""")
+def leg_outliers(spark, sf):
+    """Running times between events that deviate from those of the same leg (directed)."""
+    o = stats.group_outliers(_legs(spark, sf), ["from_", "to_"], "dt", ratio=1.5, min_diff=60)
+    return o.select("event_id", "from_", "to_", "dt", "n", F.round("med", 3).alias("med"), F.round(F.col("mad").cast("double"), 3).alias("mad"), F.round("dev", 6).alias("dev"))
+
+
+@query(f"""WITH {_scored("SELECT event_id, event_type, value AS x FROM events WHERE value IS NOT NULL", "event_type", 2.0, 120)}
+    SELECT event_id, event_type, n, round(dev, 6) AS dev FROM o""")
+def dwell_outliers(spark, sf):
+    """Values that deviate from those of their event type."""
+    ev = table(spark, sf, "events").select("event_id", "event_type", "value").where("value is not null")
+    return stats.group_outliers(ev, ["event_type"], "value", ratio=2.0, min_diff=120).select("event_id", "event_type", "n", F.round("dev", 6).alias("dev"))
+
+
+@query(f"""WITH {_scored("SELECT event_id, event_type, floor(value / 100) + 1 AS x FROM events WHERE value IS NOT NULL", "event_type", 1.5, 0)}
+    SELECT event_id, event_type, CAST(x AS BIGINT) AS x, round(dev, 6) AS dev FROM o""")
+def ratio_fallback(spark, sf):
+    """The ratio that stands in for the z score where MAD is 0."""
+    ev = table(spark, sf, "events").where("value is not null").select("event_id", "event_type", (F.floor(F.col("value") / 100) + 1).cast("double").alias("x"))
+    return stats.group_outliers(ev, ["event_type"], "x", ratio=1.5).select("event_id", "event_type", F.col("x").cast("bigint").alias("x"), F.round("dev", 6).alias("dev"))
+
+
+@query("""WITH s AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice / l_quantity AS x FROM lineitem WHERE l_quantity <> 0),
+         m AS (SELECT median(x) AS med FROM s), a AS (SELECT median(abs(x - med)) AS mad FROM s, m)
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(x, 6) AS rate, round(abs(0.6745 * (x - med) / mad), 6) AS dev
+    FROM s, m, a WHERE mad <> 0 AND abs(0.6745 * (x - med) / mad) > 3.5""")
+def global_rate_outliers(spark, sf):
+    """Unit prices that deviate from all others."""
+    li = table(spark, sf, "lineitem").where("l_quantity <> 0").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", (F.col("l_extendedprice") / F.col("l_quantity")).alias("x"))
+    o = stats.global_outliers(li, "x")
+    return o.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round("x", 6).alias("rate"), F.round("dev", 6).alias("dev"))
+
+
+@query(f"""WITH a AS (SELECT event_id, user_id, ts, {SQL_SECOND} AS s FROM events),
+         b AS (SELECT *, lag(s) OVER w AS p, row_number() OVER w AS i FROM a WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+         c AS (SELECT *, min(CASE WHEN s = 86400 OR (s < p AND p % 86400 >= 72000 AND s <= 28800) THEN i END) OVER (PARTITION BY user_id) AS wr FROM b),
+         d AS (SELECT *, CASE WHEN wr IS NULL OR i < wr OR (i = wr AND s = 86400) THEN s ELSE s + 86400 END AS v FROM c)
+    SELECT event_id, CAST(v AS BIGINT) AS v, coalesce(v < lag(v) OVER w, false) AS back, v <> s AS wrapped
+    FROM d WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
+def clock_wrap(spark, sf):
+    """The cumulative clock of a user's events by second of day."""
+    ev = table(spark, sf, "events").select("event_id", "user_id", "ts", second_of_day().cast("bigint").alias("s"))
+    return sequence.clock(ev, ["user_id"], ["ts", "event_id"], "s").select("event_id", "v", "back", "wrapped")
+
+
+@query("""SELECT l_orderkey, count(*) AS n_back FROM (
+        SELECT l_orderkey, l_quantity, lag(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) AS p FROM lineitem)
+    WHERE l_quantity < p GROUP BY l_orderkey""")
+def backward_steps(spark, sf):
+    """Steps back of a quantity along an order's lines."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
+    w = sequence.along(["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"])
+    return li.withColumn("p", F.lag("l_quantity").over(w)).where("l_quantity < p").groupBy("l_orderkey").agg(F.count("*").alias("n_back"))
+
+
+@query("""WITH f AS (
+        SELECT l_orderkey,
+               l_extendedprice < lag(l_extendedprice) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS d,
+               l_extendedprice < lag(l_extendedprice) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) AS u
+        FROM lineitem WHERE l_extendedprice IS NOT NULL),
+      g AS (SELECT l_orderkey, count(*) FILTER (d) AS down, count(*) FILTER (u) AS up FROM f GROUP BY l_orderkey)
+    SELECT l_orderkey, down, up, CASE WHEN down < up THEN 1 WHEN up < down THEN -1 WHEN down = 0 THEN 1 END AS direction FROM g""")
+def direction_fit(spark, sf):
+    """Whether an order's prices rise down or up its lines."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    return sequence.direction(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], "l_extendedprice")
+
+
+@query("""SELECT event_id, user_id FROM (
+        SELECT *, event_type <> 'error' AS s, lag(event_type <> 'error') OVER w AS b, lead(event_type <> 'error') OVER w AS a
+        FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE NOT s AND a AND b""")
+def isolated_gaps(spark, sf):
+    """Single errors between two other events."""
+    ev = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
+    return sequence.isolated_gaps(ev, ["user_id"], ["ts", "event_id"], F.col("event_type") != "error").select("event_id", "user_id")
+
+
+@query("""WITH RECURSIVE r AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM events WHERE value IS NOT NULL),
+      z AS (SELECT user_id, pos, value, 0 AS zone, 0 AS dir FROM r WHERE pos = 1
+            UNION ALL
+            SELECT user_id, pos, value, zone + CASE WHEN brk THEN 1 ELSE 0 END, CASE WHEN brk THEN 0 WHEN sg <> 0 THEN sg ELSE dir END FROM (
+                SELECT r.user_id, r.pos, r.value, z.zone, z.dir, CAST(sign(r.value - z.value) AS INTEGER) AS sg,
+                       abs(r.value - z.value) > 60 OR (z.dir <> 0 AND sign(r.value - z.value) <> 0 AND sign(r.value - z.value) <> z.dir) AS brk
+                FROM z JOIN r ON r.user_id = z.user_id AND r.pos = z.pos + 1))
+    SELECT user_id, CAST(pos AS BIGINT) AS pos, CAST(zone AS BIGINT) AS zone, value FROM z""")
+def zones(spark, sf):
+    """Zones of a user's values: a break where a step exceeds 60 or turns."""
+    ev = table(spark, sf, "events").where("value is not null").select("user_id", "ts", "event_id", "value")
+    return sequence.zones(ev, ["user_id"], ["ts", "event_id"], "value", 60).select("user_id", F.col("pos").cast("bigint").alias("pos"), F.col("zone").cast("bigint").alias("zone"), "value")
+
+
+@query("""SELECT event_id, last_value(CASE WHEN event_type = 'signup' THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS carried FROM events""")
+def carry_forward(spark, sf):
+    """The last signup's value at each event."""
+    ev = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    return sequence.carry_forward(ev, ["user_id"], ["ts", "event_id"], F.when(F.col("event_type") == "signup", F.col("value")), "carried").select("event_id", "carried")
+
+
+@query("""WITH n AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+      g AS (SELECT user_id, i, i - row_number() OVER (PARTITION BY user_id ORDER BY i) AS g FROM n WHERE event_type = 'error')
+    SELECT user_id, CAST(min(i) AS BIGINT) AS first, CAST(max(i) AS BIGINT) AS last, count(*) AS size FROM g GROUP BY user_id, g HAVING count(*) >= 3""")
+def islands(spark, sf):
+    """Runs of three errors or more."""
+    ev = table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type")
+    return sequence.islands(ev, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error", 3).select("user_id", F.col("first").cast("bigint").alias("first"), F.col("last").cast("bigint").alias("last"), "size")
+
+
+@query("""WITH a AS (SELECT event_id, user_id, ts, epoch_us(ts) AS lo, epoch_us(ts) + CAST(floor(value * 1e8) AS BIGINT) AS hi FROM events WHERE value IS NOT NULL),
+      b AS (SELECT *, max(hi) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM a)
+    SELECT event_id, CAST(sum(CASE WHEN m IS NULL OR lo >= m THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS grp FROM b""")
+def running_max_groups(spark, sf):
+    """Events that begin before an earlier one's interval ends share its group."""
+    ev = table(spark, sf, "events").where("value is not null").select("event_id", "user_id", "ts", "value").withColumn("us", micros())
+    high = F.col("us") + F.floor(F.col("value") * 1e8).cast("bigint")
+    return sequence.running_groups(ev, ["user_id"], ["ts", "event_id"], F.col("us"), high).select("event_id", F.col("grp").cast("bigint").alias("grp"))
+
+
+SQL_CELL = """CASE event_id % 7 WHEN 0 THEN '' WHEN 1 THEN '—' WHEN 2 THEN printf('%dO.%02d', hour(ts), minute(ts)) WHEN 3 THEN 'note'
+    WHEN 4 THEN printf('%02d.%02d,5', hour(ts), minute(ts)) WHEN 5 THEN printf('%02d.%02d', hour(ts) + 10, minute(ts) + 20) ELSE printf('%d.%02d', hour(ts), minute(ts)) END"""
+
+
+def _cells(spark, sf):
+    h, m = F.hour("ts"), F.minute("ts")
+    two = lambda c: F.when(c < 10, F.concat(F.lit("0"), c.cast("string"))).otherwise(c.cast("string"))
+    k = F.col("event_id") % 7
+    cell = (
+        F.when(k == 0, "").when(k == 1, "—").when(k == 2, F.concat(h.cast("string"), F.lit("O."), two(m))).when(k == 3, "note")
+        .when(k == 4, F.concat(two(h), F.lit("."), two(m), F.lit(",5"))).when(k == 5, F.concat(two(h + 10), F.lit("."), two(m + 20)))
+        .otherwise(F.concat(h.cast("string"), F.lit("."), two(m)))
+    )
+    return table(spark, sf, "events").select("event_id", cell.alias("cell"))
+
+
+@query(f"""WITH c AS (SELECT event_id, {SQL_CELL} AS cell FROM events),
+      p AS (SELECT *, regexp_extract(cell, '^([0-9]{{1,2}})[.]([0-9]{{2}})(,5)?$', 1) AS h, regexp_extract(cell, '^([0-9]{{1,2}})[.]([0-9]{{2}})(,5)?$', 2) AS m FROM c),
+      q AS (SELECT *, CASE WHEN h <> '' AND CAST(m AS INT) <= 59 AND (CAST(h AS INT) < 24 OR (CAST(h AS INT) = 24 AND CAST(m AS INT) = 0))
+                      THEN CAST(h AS INT) * 3600 + CAST(m AS INT) * 60 + CASE WHEN cell LIKE '%,5' THEN 30 ELSE 0 END END AS sec FROM p)
+    SELECT event_id, CAST(sec AS BIGINT) AS sec,
+           CASE WHEN cell = '' THEN 'blank' WHEN cell IN ('—', '-', '–') THEN 'pass' WHEN sec IS NOT NULL THEN 'time' WHEN regexp_matches(cell, '[0-9]') THEN 'bad' ELSE 'note' END AS kind FROM q""")
+def time_classify(spark, sf):
+    """Cells as blank, pass, time, bad or note, and the seconds of times."""
+    c = F.col("cell")
+    return _cells(spark, sf).select("event_id", scalar.time_seconds(c).cast("bigint").alias("sec"), scalar.cell_kind(c).alias("kind"))
+
+
+@query(f"""WITH c AS (SELECT event_id, CASE event_id % 3 WHEN 0 THEN '**' || cell || '**' WHEN 1 THEN ' ' || cell || ' ' ELSE cell || '\\*' END AS cell FROM (SELECT event_id, {SQL_CELL} AS cell FROM events)),
+      s AS (SELECT event_id, trim(cell) AS t FROM c),
+      e AS (SELECT event_id, CASE WHEN length(t) > 4 AND starts_with(t, '**') AND ends_with(t, '**') THEN t[3:-3] WHEN t = '****' THEN '**' ELSE t END AS t FROM s),
+      u AS (SELECT event_id, replace(t, '\\*', '*') AS t FROM e)
+    SELECT event_id, CASE WHEN regexp_matches(t, '^[0-9][.,][0-9]{{2}}(,5)?$') THEN '0' || t ELSE t END AS cell FROM u""")
+def clean_cell(spark, sf):
+    """Cells without emphasis, escapes and outer space, with lone hours padded."""
+    k, c = F.col("event_id") % 3, F.col("cell")
+    dirty = F.when(k == 0, F.concat(F.lit("**"), c, F.lit("**"))).when(k == 1, F.concat(F.lit(" "), c, F.lit(" "))).otherwise(F.concat(c, F.lit("\\*")))
+    return _cells(spark, sf).select("event_id", scalar.clean_cell(dirty).alias("cell"))
+
+
+@query("""WITH k AS (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN printf('%d,%d', abs(CAST(floor(c_acctbal) AS BIGINT)), c_custkey % 10) WHEN 1 THEN printf('%d.%d', c_custkey, c_custkey % 10) ELSE 'km' END AS km FROM customer)
+    SELECT c_custkey, CASE WHEN regexp_matches(km, '^[0-9]{1,4}[.,][0-9]$') THEN CAST(regexp_replace(km, '[.,]', '') AS BIGINT) END AS tenths FROM k""")
+def km_parse(spark, sf):
+    """Kilometres in tenths."""
+    k, key = F.col("c_custkey") % 3, F.col("c_custkey")
+    digit = (key % 10).cast("string")
+    km = F.when(k == 0, F.concat(F.abs(F.floor("c_acctbal")).cast("string"), F.lit(","), digit)).when(k == 1, F.concat(key.cast("string"), F.lit("."), digit)).otherwise("km")
+    return table(spark, sf, "customer").select("c_custkey", scalar.km_tenths(km).cast("bigint").alias("tenths"))
+
+
+@query(f"""SELECT event_id, printf('%02d.%02d', s // 3600 % 24, s // 60 % 60) || CASE WHEN s % 60 <> 0 THEN ',5' ELSE '' END AS hhmm,
+           CASE WHEN event_id % 2 = 1 THEN '-' ELSE '' END || (s // 60) || ':' || printf('%02d', s % 60) AS mmss
+    FROM (SELECT event_id, {SQL_SECOND} AS s FROM events) WHERE s > 0""")
+def clock_text(spark, sf):
+    """Seconds as HH.MM[,5] and as signed M:SS."""
+    s = F.col("s")
+    ev = table(spark, sf, "events").select("event_id", second_of_day().cast("bigint").alias("s")).where("s > 0")
+    return ev.select("event_id", scalar.hhmm(s).alias("hhmm"), scalar.mmss(F.when(F.col("event_id") % 2 == 1, -s).otherwise(s)).alias("mmss"))
+
+
+@query("""WITH c AS (SELECT p_brand, p_type, count(*) AS n, min(p_partkey) AS s FROM part GROUP BY ALL),
+      r AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY n DESC, s) AS k FROM c),
+      b AS (SELECT p_brand, p_type AS best, n AS n_best FROM r WHERE k = 1)
+    SELECT p_brand, p_type, n, best, n_best, 8 + n_best - n AS score FROM r JOIN b USING (p_brand) WHERE k > 1""")
+def fd_violations(spark, sf):
+    """Types that are not their brand's most frequent."""
+    return consistency.dependency_violations(table(spark, sf, "part").select("p_brand", "p_type", "p_partkey"), ["p_brand"], "p_type", "p_partkey")
+
+
+BANDS = [("low", -1000.0, 9000.0), ("all", -1000.0, 10000.0), ("high", 0.0, 10000.0)]
+
+
+@query("""WITH b(name, lo, hi) AS (VALUES ('low', -1000.0, 9000.0), ('all', -1000.0, 10000.0), ('high', 0.0, 10000.0)),
+      f AS (SELECT s_nationkey, name FROM supplier, b GROUP BY s_nationkey, name, lo, hi HAVING bool_and(s_acctbal BETWEEN lo AND hi))
+    SELECT s_nationkey, CASE WHEN count(name) = 1 THEN min(name) END AS band FROM (SELECT DISTINCT s_nationkey FROM supplier) LEFT JOIN f USING (s_nationkey) GROUP BY s_nationkey""")
+def band_classify(spark, sf):
+    """The only band that holds all of a nation's balances."""
+    bands = spark.createDataFrame(BANDS, "name string, lo double, hi double")
+    return consistency.classify_bands(table(spark, sf, "supplier").select("s_nationkey", "s_acctbal"), ["s_nationkey"], "s_acctbal", bands)
+
+
+@query("""WITH r AS (SELECT l_partkey, l_suppkey % 3 AS run, arg_min(l_returnflag, (l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_returnflag)) AS v FROM lineitem GROUP BY ALL),
+      g AS (SELECT l_partkey, v, count(*) AS n, min(run) AS f FROM r GROUP BY ALL),
+      k AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY n DESC, f) AS k FROM g)
+    SELECT l_partkey, max(v) FILTER (k = 1) AS value, max(n) FILTER (k = 1) AS votes, count(*) AS n_readings, count(*) = 1 AS agreed, string_agg(v, ' ¦ ' ORDER BY k) AS readings FROM k GROUP BY l_partkey""")
+def vote_cells(spark, sf):
+    """Three readings of a part's flag, merged by vote."""
+    li = table(spark, sf, "lineitem").select("l_partkey", (F.col("l_suppkey") % 3).alias("run"), F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_returnflag").alias("o"))
+    r = li.groupBy("l_partkey", "run").agg(F.min("o")["l_returnflag"].alias("v"))
+    return vote.vote(r, ["l_partkey"], "run", "v")
+
+
+@query("""WITH s AS (SELECT conv_id, string_agg(role, '>' ORDER BY turn, text) AS sig FROM conversations GROUP BY conv_id),
+      n AS (SELECT conv_id // 4 AS unit, sig, count(DISTINCT conv_id % 4) AS n_runs, min(conv_id % 4) AS f FROM s GROUP BY ALL),
+      k AS (SELECT *, row_number() OVER w AS k, lead(n_runs) OVER w AS nx FROM n WINDOW w AS (PARTITION BY unit ORDER BY n_runs DESC, f, sig))
+    SELECT unit, sig, n_runs, n_runs >= 2 AND NOT coalesce(nx = n_runs, false) AS kept FROM k WHERE k = 1""")
+def layout_majority(spark, sf):
+    """The order of roles that most of four conversations share."""
+    c = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    s = c.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text", "role"))), lambda x: x["role"]), ">").alias("sig"))
+    s = s.select(F.floor(F.col("conv_id") / 4).alias("unit"), (F.col("conv_id") % 4).alias("run"), "sig")
+    return vote.layout_majority(s, ["unit"], "run", "sig")
+
+
+@query("""WITH n AS (SELECT conv_id, count(*) AS turns FROM conversations GROUP BY conv_id),
+      g AS (SELECT conv_id // 4 AS unit, turns, count(*) AS n, min(conv_id % 4) AS f FROM n GROUP BY ALL)
+    SELECT unit, turns FROM g QUALIFY row_number() OVER (PARTITION BY unit ORDER BY n DESC, f) = 1""")
+def page_count_majority(spark, sf):
+    """The number of turns that most of four conversations have."""
+    n = table(spark, sf, "conversations").groupBy("conv_id").agg(F.count("*").alias("turns"))
+    return vote.count_majority(n.select(F.floor(F.col("conv_id") / 4).alias("unit"), (F.col("conv_id") % 4).alias("run"), "turns"), ["unit"], "run", "turns")
+
+
+@query("""WITH s AS (SELECT conv_id, string_agg(role, chr(10) ORDER BY turn, text) AS txt FROM conversations GROUP BY conv_id)
+    SELECT conv_id // 4 AS unit, txt, string_agg(CAST(conv_id % 4 AS VARCHAR), ',' ORDER BY conv_id % 4) AS runs, CAST(max(len(string_split(txt, chr(10)))) AS BIGINT) AS n_lines FROM s GROUP BY ALL""")
+def text_groups(spark, sf):
+    """Conversations of one unit whose texts agree."""
+    c = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    s = c.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text", "role"))), lambda x: x["role"]), "\n").alias("txt"))
+    out = vote.text_groups(s.select(F.floor(F.col("conv_id") / 4).alias("unit"), (F.col("conv_id") % 4).alias("run"), "txt"), ["unit"], "run", "txt")
+    return out.withColumn("n_lines", F.col("n_lines").cast("bigint"))
+
+
+@query("""WITH c AS (SELECT user_id, event_type, event_id, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS k FROM events WHERE event_id % 3 <> 0),
+      h AS (SELECT user_id, event_type, count(*) AS n FROM events WHERE event_id % 3 = 0 GROUP BY ALL)
+    SELECT event_id, user_id, event_type FROM c JOIN h USING (user_id, event_type) WHERE k <= n""")
+def prune_multiset(spark, sf):
+    """Claims while unclaimed occurrences of their mark remain."""
+    ev = table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    return vote.prune(ev.where("event_id % 3 <> 0"), ev.where("event_id % 3 = 0"), ["user_id", "event_type"], ["event_id"]).select("event_id", "user_id", "event_type")
+
+
+def _finding_tables(spark, sf):
+    o = leg_outliers(spark, sf).select("event_id", "from_", "to_", F.array(F.lit(4)).alias("rules"), F.array(F.col("dt").cast("string")).alias("vals"))
+    e = _legs(spark, sf).where("event_id % 5 = 0").select("event_id", "from_", "to_", F.when(F.col("event_id") % 2 == 0, F.array(F.lit(2), F.lit(4))).otherwise(F.array(F.lit(2))).alias("rules"), F.array(F.col("dt").cast("string")).alias("vals"))
+    return consistency.unmatched(o, e, ["event_id", "from_", "to_"], "rules", "vals")
+
+
+@query(f"""WITH {_scored(SQL_LEGS, "from_, to_", 1.5, 60)}
+    SELECT event_id, from_, to_ FROM o WHERE event_id % 10 <> 0""")
+def ignore_antijoin(spark, sf):
+    """Findings that no ignore entry covers with at least their rules."""
+    return _finding_tables(spark, sf)[0].select("event_id", "from_", "to_")
+
+
+@query(f"""WITH {_scored(SQL_LEGS, "from_, to_", 1.5, 60)}
+    SELECT event_id, from_, to_ FROM s WHERE event_id % 5 = 0 AND NOT (event_id % 2 = 0 AND event_id IN (SELECT event_id FROM o))""")
+def stale_ignores(spark, sf):
+    """Ignore entries that cover no finding."""
+    return _finding_tables(spark, sf)[1].select("event_id", "from_", "to_")
+
+
+@query("""WITH n AS (SELECT DISTINCT lower(p_name) AS key FROM part WHERE p_name IS NOT NULL)
+    SELECT x, y, d FROM (SELECT a.key AS x, b.key AS y, levenshtein(a.key, b.key) AS d FROM n a JOIN n b ON a.key < b.key AND abs(length(a.key) - length(b.key)) <= 3)
+    WHERE d BETWEEN 1 AND 3 AND d / least(length(x), length(y)) <= 0.5""")
+def fuzzy_pairs(spark, sf):
+    """Part names within three edits."""
+    n = table(spark, sf, "part").select(F.lower("p_name").alias("key"))
+    return fuzzy.fuzzy_pairs(n, 3, 0.5).withColumn("d", F.col("d").cast("bigint"))
+
+
+@query("""WITH w AS (SELECT DISTINCT replace(lower(p_name), ' ', '') AS joined FROM part WHERE p_partkey % 2 = 0),
+      v AS (SELECT DISTINCT replace(lower(p_name), ' ', '') AS word FROM part WHERE p_partkey % 2 = 1)
+    SELECT joined, min(word) AS match FROM w JOIN v ON abs(length(joined) - length(word)) <= 1 AND levenshtein(joined, word) <= 1 GROUP BY joined""")
+def hyphen_joins(spark, sf):
+    """Words joined at a hyphen, looked up in a vocabulary within one edit: the least match."""
+    joined = F.replace(F.lower("p_name"), F.lit(" "), F.lit("")).alias("key")
+    part = table(spark, sf, "part").where("p_name is not null")
+    a, b = part.where("p_partkey % 2 = 0").select(joined).distinct(), part.where("p_partkey % 2 = 1").select(joined).distinct()
+    near = fuzzy.within_distance(a, b, 1).select(F.col("x").alias("joined"), F.col("y").alias("match"))
+    return near.unionByName(a.join(b, "key").select(F.col("key").alias("joined"), F.col("key").alias("match"))).groupBy("joined").agg(F.min("match").alias("match"))
+
+
+@query("""SELECT regexp_replace(s_name, '[0-9]+(,[0-9]+)?', '#', 'g') AS shape, count(*) AS n, min(s_name) AS first_name FROM supplier GROUP BY shape
+    UNION ALL SELECT regexp_replace(c_name, '[0-9]+(,[0-9]+)?', '#', 'g'), count(*), min(c_name) FROM customer GROUP BY 1""")
+def number_shape(spark, sf):
+    """Names grouped by their shape without numbers."""
+    out = None
+    for t, c in (("supplier", "s_name"), ("customer", "c_name")):
+        g = table(spark, sf, t).groupBy(scalar.number_shape(F.col(c)).alias("shape")).agg(F.count("*").alias("n"), F.min(c).alias("first_name"))
+        out = g if out is None else out.unionByName(g)
+    return out
+
+
+@query("""WITH p AS (SELECT DISTINCT string_split(o_orderpriority, '-')[2] AS place, o_orderpriority AS printed FROM orders),
+      u AS (SELECT lower(trim(place)) AS key, printed FROM p UNION ALL SELECT lower(trim(place)), upper(printed) FROM p)
+    SELECT key, count(DISTINCT printed) AS n_printed, string_agg(DISTINCT printed, ';' ORDER BY printed) AS printed FROM u GROUP BY key HAVING count(DISTINCT printed) > 1""")
+def notation_parts(spark, sf):
+    """Parts of names that are printed in more than one way."""
+    p = table(spark, sf, "orders").select("o_orderpriority").distinct()
+    key = F.lower(F.trim(F.element_at(F.split("o_orderpriority", "-"), 2)))
+    u = p.select(key.alias("key"), F.col("o_orderpriority").alias("printed")).unionByName(p.select(key.alias("key"), F.upper("o_orderpriority").alias("printed")))
+    out = u.groupBy("key").agg(F.countDistinct("printed").alias("n_printed"), F.array_join(F.array_sort(F.collect_set("printed")), ";").alias("printed"))
+    return out.where("n_printed > 1")
+
+
+@query("""WITH RECURSIVE n AS (SELECT DISTINCT lower(p_name) AS k FROM part WHERE p_name IS NOT NULL),
+      e AS (SELECT a.k AS u, b.k AS v FROM n a JOIN n b ON a.k <> b.k AND abs(length(a.k) - length(b.k)) <= 2 AND levenshtein(a.k, b.k) <= 2),
+      r AS (SELECT u AS node, u AS c FROM e UNION SELECT e.u, r.c FROM r JOIN e ON e.v = r.node)
+    SELECT node, min(c) AS component FROM r GROUP BY node""")
+def name_components(spark, sf):
+    """Names linked over two edits or fewer, with their component's least name."""
+    n = table(spark, sf, "part").select(F.lower("p_name").alias("key"))
+    return fuzzy.components(fuzzy.within_distance(n, n, 2).select(F.col("x").alias("u"), F.col("y").alias("v")))
+
+
+@query(r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents),
+      b AS (SELECT doc_id, line, regexp_replace(regexp_replace(t, '^\s*\|', ''), '\|\s*$', '') AS b FROM l
+            WHERE contains(t, '|') AND NOT regexp_matches(t, '^\s*\|?(\s*:?-+:?\s*\|)*\s*:?-+:?\s*\|?\s*$') AND NOT regexp_matches(t, '^\s*\|?(\s*=+\s*\|)*\s*=+\s*\|?\s*$')),
+      c AS (SELECT doc_id, line, unnest(string_split(b, '|')) AS c, generate_subscripts(string_split(b, '|'), 1) - 1 AS col FROM b),
+      n AS (SELECT doc_id, line, count(*) AS n_cells, sum(length(regexp_replace(c, '^[ \t\r]+|[ \t\r]+$', '', 'g'))) AS chars FROM c GROUP BY ALL)
+    SELECT doc_id, CAST(line AS BIGINT) AS line, n_cells, max(n_cells) OVER (PARTITION BY doc_id) AS width, CAST(chars AS BIGINT) AS chars FROM n""")
+def pipe_parse(spark, sf):
+    """Cells of the documents' pipe-table lines, and each row's place in its table's width."""
+    lines = tables.text_lines(table(spark, sf, "documents").where(F.contains("text", F.lit("|"))), "doc_id", "text")
+    cells = tables.pipe_cells(lines, "doc_id")
+    chars = cells.groupBy("doc_id", "line").agg(F.count("*").alias("n_cells"), F.sum(F.length("cell")).alias("chars"))
+    from pyspark.sql import Window
+
+    return chars.select("doc_id", F.col("line").cast("bigint").alias("line"), "n_cells", F.max("n_cells").over(Window.partitionBy("doc_id")).alias("width"), "chars")
+
+
+@query("""WITH c AS (SELECT n_regionkey AS tab, n_nationkey AS r, 0 AS c, n_name AS t FROM nation UNION ALL SELECT n_regionkey, n_nationkey, 1, CAST(n_nationkey AS VARCHAR) FROM nation),
+      w AS (SELECT *, max(length(t)) OVER (PARTITION BY tab, c) AS w FROM c)
+    SELECT tab, r, '| ' || string_agg(rpad(t, CAST(w AS INTEGER), ' '), ' | ' ORDER BY c) || ' |' AS line FROM w GROUP BY tab, r""")
+def table_render(spark, sf):
+    """Nations as an aligned table for each region."""
+    n = table(spark, sf, "nation")
+    cells = n.select(F.col("n_regionkey").alias("tab"), F.col("n_nationkey").alias("r"), F.lit(0).alias("c"), F.col("n_name").alias("t")).unionByName(
+        n.select(F.col("n_regionkey").alias("tab"), F.col("n_nationkey").alias("r"), F.lit(1).alias("c"), F.col("n_nationkey").cast("string").alias("t"))
+    )
+    return tables.render_table(cells, ["tab"], "r", "c", "t")
+
+
+@query("""WITH a AS (SELECT c_nationkey AS k, c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS pos FROM customer),
+      b AS (SELECT s_nationkey AS k, s_suppkey, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS pos FROM supplier)
+    SELECT k, pos, c_custkey, s_suppkey FROM a FULL JOIN b USING (k, pos)""")
+def zip_streams(spark, sf):
+    """Customers and suppliers of a nation, joined by position."""
+    a = table(spark, sf, "customer").select(F.col("c_nationkey").alias("k"), "c_custkey")
+    b = table(spark, sf, "supplier").select(F.col("s_nationkey").alias("k"), "s_suppkey")
+    return consistency.zip_streams(a, b, ["k"], ["c_custkey"], ["s_suppkey"]).withColumn("pos", F.col("pos").cast("bigint"))
+
+
+@query("""SELECT doc_id, row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id) = 1 AS first FROM documents""")
+def keep_first(spark, sf):
+    """Whether a document's text is seen for the first time."""
+    d = table(spark, sf, "documents").select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("h"))
+    firsts = d.groupBy("h").agg(F.min("doc_id").alias("f"))
+    return d.join(firsts, "h").select("doc_id", (F.col("doc_id") == F.col("f")).alias("first"))
+
+
+@query("""WITH n AS (SELECT event_id, user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+      l AS (SELECT *, max(CASE WHEN event_type <> 'error' THEN i END) OVER (PARTITION BY user_id) AS l FROM n)
+    SELECT event_id, user_id FROM l WHERE i > coalesce(l, 0)""")
+def trailing_blanks(spark, sf):
+    """Errors after a user's last other event."""
+    ev = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
+    return sequence.trailing(ev, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error").select("event_id", "user_id")
+
+
+@query("""WITH f AS (SELECT event_id, CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS sev, floor(value) AS sc, 1 + event_id % 3 AS nr FROM events WHERE value IS NOT NULL)
+    SELECT event_id, round(sc * (1 + 0.5 * (nr - 1)), 3) AS weighted, row_number() OVER (ORDER BY sev, sc * (1 + 0.5 * (nr - 1)) DESC, event_id) AS rank FROM f""")
+def rank_findings(spark, sf):
+    """Findings by severity, weighted score and order."""
+    f = table(spark, sf, "events").where("value is not null").select("event_id", F.when(F.col("event_type") == "error", 0).otherwise(1).alias("sev"), F.floor("value").alias("sc"), (1 + F.col("event_id") % 3).alias("nr"))
+    r = consistency.rank_findings(f, "sev", "sc", "nr", ["event_id"])
+    return r.select("event_id", F.round("weighted", 3).cast("double").alias("weighted"), F.col("rank").cast("bigint").alias("rank"))
+
+
+@query("""SELECT CASE WHEN contains(h, '|') THEN 'distance' WHEN h = upper(h) THEN 'two-way' WHEN length(h) > 200 THEN 'prose' WHEN ends_with(h, '.') THEN 'suburban' ELSE 'UNKNOWN' END AS shape, count(*) AS n
+    FROM (SELECT string_split(coalesce(text, ''), chr(10))[1] AS h FROM documents) GROUP BY shape""")
+def shape_tally(spark, sf):
+    """Documents by the shape that their first line shows, predicates in order."""
+    h = F.element_at(F.split(F.coalesce("text", F.lit("")), "\n"), 1)
+    shape = F.when(F.contains(h, F.lit("|")), "distance").when(h == F.upper(h), "two-way").when(F.length(h) > 200, "prose").when(F.endswith(h, F.lit(".")), "suburban").otherwise("UNKNOWN")
+    return table(spark, sf, "documents").groupBy(shape.alias("shape")).agg(F.count("*").alias("n"))
+
+
+@query(r"""SELECT doc_id, count(*) AS n_lines, count(*) FILTER (regexp_matches(t, '^[ \t\r\f]*$') OR regexp_matches(t, '^[0-9]{1,3}$') OR regexp_matches(t, '^[0-9]+\s*(—\s*[0-9]+|\\?\*)$')) AS n_noise
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS t FROM documents) GROUP BY doc_id""")
+def noise_filter(spark, sf):
+    """Noise lines of each document."""
+    lines = tables.text_lines(table(spark, sf, "documents").where("text is not null"), "doc_id", "text")
+    return lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if(scalar.is_noise(F.col("text"))).alias("n_noise"))
+
+
+@query("""SELECT vec_id, CASE WHEN embedding[1] + embedding[2] < 0 THEN 0 ELSE 1 END AS half FROM embeddings WHERE embedding IS NOT NULL""")
+def half_split(spark, sf):
+    """Which half a box's centre falls in."""
+    v = F.col("embedding")
+    return table(spark, sf, "embeddings").where("embedding is not null").select("vec_id", F.when(v[0] + v[1] < 0, 0).otherwise(1).alias("half"))
+
+
+@query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t FROM documents),
+      r AS (SELECT doc_id, sum(CASE WHEN contains(t, '|') THEN 10 ELSE 9 * greatest(60, length(t)) / 60 + 4 END) / 10 AS n FROM l GROUP BY doc_id)
+    SELECT doc_id, round(least(1.0, 47 / n), 6) AS scale FROM r""")
+def fit_scale(spark, sf):
+    """The scale at which a document's estimated rows fit a page of 47."""
+    lines = tables.text_lines(table(spark, sf, "documents").where("text is not null"), "doc_id", "text")
+    rows = F.when(F.contains("text", F.lit("|")), 10.0).otherwise(9 * F.greatest(F.lit(60), F.length("text")) / 60 + 4)
+    return lines.groupBy("doc_id").agg((F.sum(rows) / 10).alias("n")).select("doc_id", F.round(F.least(F.lit(1.0), 47 / F.col("n")), 6).alias("scale"))
+
+
+@query()
+def similar_names(spark, sf):
+    """Ratcliff/Obershelp similarity of part names that share a fuzzy pair; SQL cannot express it."""
+    n = table(spark, sf, "part").select(F.lower("p_name").alias("key"))
+    return fuzzy.fuzzy_pairs(n, 3, 0.5).select("x", "y", F.round(fuzzy.similarity("x", "y"), 6).alias("similarity")).where("similarity >= 0.7")
+
+
+@query()
+def collapse(spark, sf):
+    """Findings of a user's events that own the same cells, as clusters in order of emission; SQL cannot express it."""
+    f = _legs(spark, sf).select("user_id", F.col("event_id").alias("seq"), F.array(F.col("event_id") % 50, (F.col("event_id") + F.col("dt")) % 50).alias("cells"))
+
+    def merge(rows):
+        cells = sorted({int(c) for r in rows for c in r["cells"]})
+        return {"user_id": rows[0]["user_id"], "first_seq": rows[0]["seq"], "n_findings": len(rows), "cells": ",".join(map(str, cells))}
+
+    return findings.collapse(f, ["user_id"], "seq", "cells", "user_id bigint, first_seq bigint, n_findings bigint, cells string", merge)
+
+
+@query("""SELECT conv_id, turn, replace(regexp_replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '[\\^{}\\[\\]]', '', 'g'), chr(10), '<br>') AS html FROM conversations""".replace("\\\\", "\\"))
+def escape_html(spark, sf):
+    """Texts escaped for HTML."""
+    return table(spark, sf, "conversations").select("conv_id", "turn", scalar.escape_html(F.col("text")).alias("html"))

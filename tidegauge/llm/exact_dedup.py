@@ -121,7 +121,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         own = odd.groupBy("fp", "n", "text").agg(F.count("*").alias("size"), pick("id").alias("rep"))
         moved = odd.join(own, ["fp", "n", "text"]).select("id", "fp", "n", "sha", "size", "rep")
         lost = odd.groupBy("fp", "n").agg(F.count("*").alias("lost"))
-        stay = settled.join(odd.select("id", "fp", "n", "sha").distinct(), ["id", "fp", "n", "sha"], "left_anti")
+        away = odd.select(*[F.col(c).alias(f"_{c}") for c in ("id", "fp", "n", "sha")]).distinct()
+        same = (F.col("fp") == F.col("_fp")) & (F.col("n") == F.col("_n")) & (F.col("sha") == F.col("_sha")) & F.col("id").eqNullSafe(F.col("_id"))
+        stay = settled.join(away, same, "left_anti")
         settled = (
             stay.join(lost, ["fp", "n"], "left")
             .select("id", "fp", "n", "sha", (F.col("size") - F.coalesce("lost", F.lit(0))).alias("size"), "rep")

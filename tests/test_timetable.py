@@ -1,0 +1,113 @@
+"""Pages checked against themselves: hand-made ones in one run, and a whole book where $TIDEGAUGE_PAGES names a folder of it."""
+
+from __future__ import annotations
+
+import collections
+import os
+
+import pytest
+
+from tidegauge.plans import timetable
+from tidegauge.sources import scanfiles
+
+
+def page(folder, scan, tables, shape="suburban", caption=""):
+    rows = []
+    for table in tables:
+        width = max(len(r) for r in table)
+        for i, r in enumerate(table):
+            rows.append("| " + " | ".join(r + [""] * (width - len(r))) + " |")
+            if i == 1:
+                rows.append("|" + "|".join(["===="] * width) + "|")
+        rows.append("")
+    text = f"---\nscan: {scan}\nkind: cover\nfolios: [{scan}]\nshapes: [{shape}]\n---\n\n## page {scan}\n\n" + (caption + "\n\n" if caption else "") + "\n".join(rows)
+    (folder / f"scan-{scan:02d}.md").write_text(text, encoding="utf-8")
+
+
+def suburban(case, *trains):
+    """Each train: a list of (arr, dep) a station; stations are the case's own."""
+    head = [["№ поездов", *[x for i in range(len(trains)) for x in (str(6001 + i), "")]], ["", *["приб.", "отпр."] * len(trains)]]
+    return head + [[f"{case}{'abcdefghij'[r]}", *[x for t in trains for x in t[r]]] for r in range(len(trains[0]))]
+
+
+def distance(*rows):
+    return [["Раздельные пункты", "Расстояние км", "приб.", "отпр."], ["", "", "", ""], *map(list, rows)]
+
+
+CLEAN = [("", "10.00"), ("10.04", "10.05"), ("10.09", "10.10"), ("10.15", "")]
+UP = [("11.20", ""), ("11.14", "11.15"), ("11.09", "11.10"), ("", "11.05")]
+LATE = [("", "23.30"), ("23.40", "23.41"), ("23.50", "23.51")]
+NOON = [("", "15.30"), ("15.40", "15.41"), ("15.50", "15.56")]
+EVE = [("", "19.30"), ("19.40", "19.41"), ("19.50", "19.51")]
+GLUED = suburban("g", CLEAN) + [["№ поездов", "6001", ""], ["", "приб.", "отпр."]] + suburban("g", CLEAN)[2:]
+
+#: name: (tables, shape, caption, rules and severity of the findings in rank order)
+CASES = {
+    "clean": ([suburban("A", CLEAN, UP)], "suburban", "", []),
+    "wrap": ([suburban("B", LATE + [("00.03,5", "00.04"), ("00.08", "")])], "suburban", "", []),
+    "midnight": ([suburban("C", LATE + [("23.59", "24.00"), ("00.08", "00.09"), ("00.15", "")])], "suburban", "", []),
+    "wrap in a stop": ([suburban("D", LATE + [("23.59", "00.01"), ("00.08", "")])], "suburban", "", []),
+    "long dwell": ([suburban("E", EVE + [("20.06", "02.06,5"), ("02.20", "")])], "suburban", "", [((2,), 0)]),
+    "second wrap": ([suburban("F", LATE + [("00.10", "00.11"), ("21.06", "21.07"), ("01.00", "01.01"), ("01.10", "")])], "suburban", "", [((1,), 0)]),
+    "noon to morning": ([suburban("G", NOON + [("06.00", "06.01"), ("06.10", "")])], "suburban", "", [((1,), 0)]),
+    "step back": ([suburban("H", [("", "10.00"), ("10.10", "10.11"), ("10.05", "10.20"), ("10.30", "")])], "suburban", "", [((1,), 0)]),
+    "dep before arr": ([suburban("I", [("", "10.00"), ("10.10", "10.05"), ("10.20", "")])], "suburban", "", [((2,), 0)]),
+    "bad cell": ([suburban("J", [("", "10.00"), ("1O.05", "10.06"), ("10.20", "")])], "suburban", "", [((0,), 0)]),
+    "inner blank": ([suburban("K", [("", "10.00"), ("", ""), ("10.20", "")])], "suburban", "", [((1,), 0)]),
+    "two blanks": ([suburban("L", [("", "10.00"), ("", ""), ("", ""), ("10.20", "")])], "suburban", "", []),
+    "no direction": ([suburban("M", [("", "10.10"), ("10.00", ""), ("10.20", "")])], "suburban", "", [((1,), 0), ((1,), 0)]),
+    "slow leg": ([suburban("N", *[[("", f"1{i}.00"), (f"1{i}.05", "")] for i in range(5)], [("", "16.00"), ("16.15", "")])], "suburban", "", [((4,), 1)]),
+    "few samples": ([suburban("O", *[[("", f"1{i}.00"), (f"1{i}.05", "")] for i in range(3)], [("", "16.00"), ("16.15", "")])], "suburban", "", []),
+    "speed": ([distance(["Pa", "0,0", "", "10.00"], ["Pb", "30,0", "10.05", ""])], "distance", "", [((3,), 0)]),
+    "reset": ([distance(["Qa", "904,7", "", "10.00"], ["Qb", "0,0", "10.01", ""])], "distance", "", []),
+    "reckoning": ([distance(["Ra", "922,8", "", "10.00"], ["Rb", "920,0", "10.03", ""])], "distance", "Рига—Лиепая №1", [((5,), 0)]),
+    "misspelt": ([distance(["Янявврты", "5,0", "", "10.00"], ["Sz", "9,0", "10.04", ""])], "distance", "", [((5,), 0)]),
+    **{f"spelt {i}": ([distance(["Яняварты", "5,0", "", "10.00"], [f"T{i}", f"{60 + i},0", "10.55", ""])], "distance", "", []) for i in range(3)},
+    "glued": ([GLUED], "suburban", "", [((0,), 0)]),
+    "unknown": ([suburban("U", CLEAN)], "UNKNOWN", "", [((0,), 0)]),
+    "run": ([suburban("V", [("", "10.00"), ("x1", ""), ("x2", ""), ("x3", ""), ("10.30", "")])], "suburban", "", [((0,), 0)]),
+}
+
+
+@pytest.fixture(scope="module")
+def book(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("pages")
+    for i, (tables, shape, caption, _) in enumerate(CASES.values()):
+        page(folder, i + 1, tables, shape, caption)
+    columns, found = timetable.validate(spark, str(folder))
+    rows = collections.defaultdict(list)
+    for r in found.orderBy("severity", found.weighted.desc()).collect():
+        rows[r.scan].append(r)
+    return folder, collections.Counter(r.scan for r in columns.collect()), rows
+
+
+@pytest.mark.parametrize("i,name", list(enumerate(CASES, 1)))
+def test_findings(book, i, name):
+    assert [(tuple(r.rules), r.severity) for r in book[2][i]] == CASES[name][3]
+
+
+def test_details(book):
+    at = {n: i for i, n in enumerate(CASES, 1)}
+    columns, rows = book[1], book[2]
+    assert columns[at["clean"]] == 2 and columns[at["glued"]] == 2 and columns[at["unknown"]] == 0
+    assert [tuple(c) for c in rows[at["glued"]][0].cells] == [(4, 0), (5, 0)]
+    assert [tuple(c) for c in rows[at["run"]][0].cells] == [(1, 1), (2, 1), (3, 1)] and rows[at["run"]][0].score == 15.0
+    assert rows[at["slow leg"]][0].score == 3.0 and round(rows[at["speed"]][0].score, 3) == 10.0
+    assert rows[at["second wrap"]][0].score == 8.0
+
+
+def test_page_parts(spark, book):
+    files = scanfiles.read_scan_files(spark, str(book[0]))
+    items = scanfiles.page_items(files.where("scan = 18"))
+    assert {(r.item, r.kind) for r in items.collect()} == {(0, "caption"), (1, "table")}
+    rows = scanfiles.table_rows(items).orderBy("line").collect()
+    assert [r.kind for r in rows] == ["head", "head", "row", "row"] and rows[2].cells == ["Ra", "922,8", "", "10.00"]
+    assert scanfiles.contiguous(files.where("scan <> 4")).count() == 3
+
+
+@pytest.mark.skipif(not os.environ.get("TIDEGAUGE_PAGES"), reason="$TIDEGAUGE_PAGES names no folder of scan files")
+def test_whole_book(spark):
+    columns, found = timetable.validate(spark, os.environ["TIDEGAUGE_PAGES"])
+    rows = found.collect()
+    assert (columns.count(), len(rows), sum(r.severity == 0 for r in rows)) == (521, 288, 97)
+    assert collections.Counter(tuple(r.rules) for r in rows) == {(0,): 25, (1,): 32, (2,): 130, (2, 3, 4): 2, (2, 4): 12, (3,): 7, (3, 4): 3, (4,): 71, (5,): 6}

@@ -103,12 +103,12 @@ def zones(df: DataFrame, keys: list[str], order: list[str], value: str, jump: fl
 
     def step(acc, e):
         x = e["_x"]
-        d = x - acc["prev"]
+        d = x - acc["prev"]  # null where either is unknown: such a row stays in the zone
         sign = F.signum(d).cast("int")
-        brk = acc["prev"].isNotNull() & ((F.abs(d) > jump) | ((acc["dir"] != 0) & (sign != 0) & (sign != acc["dir"])))
+        brk = d.isNotNull() & ((F.abs(d) > jump) | ((acc["dir"] != 0) & (sign != 0) & (sign != acc["dir"])))
         zone = acc["zone"] + F.when(brk, 1).otherwise(0)
-        way = F.when(acc["prev"].isNull() | brk, 0).when(sign != 0, sign).otherwise(acc["dir"])
-        return F.struct(x.alias("prev"), way.alias("dir"), zone.alias("zone"), F.concat(acc["out"], F.array(zone)).alias("out"))
+        way = F.when(brk, 0).when(sign != 0, sign).otherwise(acc["dir"])
+        return F.struct(F.coalesce(x, acc["prev"]).alias("prev"), way.alias("dir"), zone.alias("zone"), F.concat(acc["out"], F.array(zone)).alias("out"))
 
     folded = arr.withColumn("_z", F.aggregate("_a", start, step)["out"])
     flat = folded.select(*keys, F.posexplode(F.arrays_zip(F.col("_a"), F.col("_z"))).alias("pos", "_e"))

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.functions import scalar
-from tidegauge.operators import consistency, findings, fuzzy, sequence, stats, tables, vote
+from tidegauge.operators import consistency, findings, fuzzy, names, sequence, stats, tables, vote
+from tidegauge.sources import sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -511,3 +512,48 @@ def collapse(spark, sf):
 def escape_html(spark, sf):
     """Texts escaped for HTML."""
     return table(spark, sf, "conversations").select("conv_id", "turn", scalar.escape_html(F.col("text")).alias("html"))
+
+
+@query("""WITH c AS (SELECT DISTINCT user_id % 50 AS k, event_id % 40 AS r, length(event_type) AS c FROM events),
+      g AS (SELECT *, r - row_number() OVER (PARTITION BY k, c ORDER BY r) AS g FROM c),
+      n AS (SELECT k, c, min(r) AS a, max(r) AS b FROM g GROUP BY k, c, g)
+    SELECT k, string_agg('r' || a || CASE WHEN b > a THEN '–' || b ELSE '' END || 'c' || c, ' ' ORDER BY a, c, b) AS ranges FROM n GROUP BY k""")
+def cell_ranges(spark, sf):
+    """Cells as ranges of rows in a column."""
+    ev = table(spark, sf, "events").select((F.col("user_id") % 50).alias("k"), (F.col("event_id") % 40).alias("r"), F.length("event_type").alias("c"))
+    return sinks.cell_ranges(ev, ["k"], "r", "c")
+
+
+@query("""WITH n AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i, CASE WHEN event_type = 'signup' THEN CAST(event_id AS VARCHAR) ELSE '' END AS t FROM events),
+      g AS (SELECT *, sum(CASE WHEN t <> '' OR i = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY i) AS g FROM n)
+    SELECT user_id, CAST(min(i) AS BIGINT) AS first, count(*) AS colspan, max(t) AS text FROM g GROUP BY user_id, g""")
+def head_spans(spark, sf):
+    """Head cells with the empty ones that continue them."""
+    w = sequence.along(["user_id"], ["ts", "event_id"])
+    ev = table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type").withColumn("i", F.row_number().over(w).cast("bigint"))
+    ev = ev.withColumn("t", F.when(F.col("event_type") == "signup", F.col("event_id").cast("string")).otherwise(""))
+    return sinks.head_spans(ev, ["user_id"], "i", "t")
+
+
+@query("""SELECT lower(p_name) AS name, count(*) AS n, array_to_string(list_sort(list(DISTINCT p_brand)), ',') AS places FROM part GROUP BY 1""")
+def name_occurrences(spark, sf):
+    """How often and under which brands a name is printed."""
+    o = names.occurrences(table(spark, sf, "part").select(F.lower("p_name").alias("name"), "p_brand"), "name", "p_brand")
+    return o.select("name", "n", F.array_join("places", ",").alias("places"))
+
+
+@query("""WITH f AS (SELECT user_id, event_id % 60 AS a, event_id % 60 + event_id % 2 AS b, event_id FROM events WHERE event_type = 'error'),
+      n AS (SELECT *, CASE WHEN a <= lag(b) OVER w + 1 THEN 0 ELSE 1 END AS n FROM f WINDOW w AS (PARTITION BY user_id ORDER BY a, b)),
+      g AS (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS g FROM n)
+    SELECT user_id, min(a) AS first, max(b) AS last, count(*) AS size FROM g GROUP BY user_id, g HAVING count(*) >= 3""")
+def misaligned_runs(spark, sf):
+    """Three findings or more on adjoining rows of one column."""
+    ev = table(spark, sf, "events").where("event_type = 'error'").select("user_id", (F.col("event_id") % 60).alias("a"), (F.col("event_id") % 60 + F.col("event_id") % 2).alias("b"))
+    return findings.merge_runs(ev, ["user_id"], "a", "b")
+
+
+@query()
+def notation_pairs(spark, sf):
+    """Names that differ in notation only; the classes are beyond SQL."""
+    n = table(spark, sf, "supplier").select(F.concat(F.lit("Парк "), (F.col("s_suppkey") % 40).cast("string"), F.when(F.col("s_suppkey") % 3 == 0, " км").otherwise(" пасс.")).alias("name"))
+    return names.notation_pairs(n, "name")

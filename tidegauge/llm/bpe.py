@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import mmap
 import re
 import struct
+import sys
 import tempfile
 import uuid
 from collections import Counter
@@ -29,9 +31,11 @@ PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{
 _PIECES = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 #: Texts with other white space are split as a whole.
 _OTHER_SPACE = re.compile("[\x85\xa0  -     　]")
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 COUNTED = 400_000
 LEXICON_WORDS = 65_536
+LONG = 64
+NONE = 1 << 60
 _MAGIC = b"MATL"
 
 
@@ -56,29 +60,46 @@ class Vocabulary:
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
     def merge(self, word: bytes) -> list[int]:
-        """Ids of one pre-split word: the pair of lowest rank is merged until none is left."""
+        """Ids of one pre-split word: the leftmost pair of lowest rank is merged until none is left."""
         parts = list(word.decode("latin-1").translate(BYTE_LETTERS))
-        ranks = self.ranks
-        while len(parts) > 1:
-            best, pair = None, None
-            for p in zip(parts, parts[1:]):
-                r = ranks.get(p)
-                if r is not None and (best is None or r < best):
-                    best, pair = r, p
-            if pair is None:
+        if len(parts) > LONG:
+            return [self.ids[p] for p in self._merge_long(parts)]
+        rank = self.ranks.get
+        ranks = [rank(p, NONE) for p in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == NONE:
                 break
-            a, b = pair
-            out, i, n = [], 0, len(parts)
-            while i < n:
-                if parts[i] == a and i + 1 < n and parts[i + 1] == b:
-                    out.append(a + b)
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
+            i = ranks.index(best)
+            parts[i] += parts.pop(i + 1)
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank((parts[i - 1], parts[i]), NONE)
+            if i < len(ranks):
+                ranks[i] = rank((parts[i], parts[i + 1]), NONE)
         return [self.ids[p] for p in parts]
 
+    def _merge_long(self, parts: list[str]) -> list[str]:
+        """The same with a heap over linked parts, for words of any length."""
+        rank, n = self.ranks.get, len(parts)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := rank((parts[i], parts[i + 1]))) is not None]
+        heapq.heapify(heap)
+        while heap:
+            _, i, left, right = heapq.heappop(heap)
+            j = after[i]
+            if parts[i] != left or j >= n or parts[j] != right:
+                continue
+            parts[i] = left + right
+            parts[j] = ""
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for k in (before[i], i):
+                if k >= 0 and after[k] < n and (r := rank((parts[k], parts[after[k]]))) is not None:
+                    heapq.heappush(heap, (r, k, parts[k], parts[after[k]]))
+        return [p for p in parts if p]
+
 
 def build_automaton(entries: list[tuple[bytes, list[int]]]) -> bytes:
     """A minimal acyclic automaton of the words with their ids as output.
@@ -147,7 +168,8 @@ def build_automaton(entries: list[tuple[bytes, list[int]]]) -> bytes:
     flat = [i for _, ids in entries for i in ids]
     ends = np.cumsum([0, *[len(ids) for _, ids in entries]])
     arrays = [np.array(first, "<u4"), np.array([final[s] for s in order], "<u1"), np.frombuffer(bytes(labels), "<u1"), np.array(targets, "<u4"), np.array(before, "<u4"), ends.astype("<u4"), np.array(flat, "<u4")]
-    return _MAGIC + struct.pack("<7I", *[a.nbytes for a in arrays]) + b"".join(a.tobytes() for a in arrays)
+    blobs = [a.tobytes() for a in arrays]
+    return _MAGIC + struct.pack("<7I", *map(len, blobs)) + b"".join(blobs)
 
 
 class Automaton:
@@ -161,22 +183,29 @@ class Automaton:
         sizes = struct.unpack("<7I", self.map[4:32])
         at = np.cumsum([32, *sizes])
         view = memoryview(self.map)
-        get = lambda i, kind: np.frombuffer(view[at[i] : at[i + 1]], kind)
-        self.first, self.final, self.targets, self.before, self.ends, self.ids = get(0, "<u4"), get(1, "<u1"), get(3, "<u4"), get(4, "<u4"), get(5, "<u4"), get(6, "<u4")
+        # byte order as written: these machines are little-endian, others take a copy
+        get = lambda i: view[at[i] : at[i + 1]].cast("I") if sys.byteorder == "little" else np.frombuffer(view[at[i] : at[i + 1]], "<u4").tolist()
+        self.first, self.targets, self.before, self.ends = get(0), get(3), get(4), get(5)
+        self.final, self.ids = view[at[1] : at[2]], view[at[6] : at[7]]
         self.labels_at = int(at[2])
 
     def get(self, word: bytes) -> bytes | None:
         """The word's ids as stored, or None where it is not in the lexicon."""
         state = index = 0
-        find, base, first = self.map.find, self.labels_at, self.first
+        find, base, first, before, targets = self.map.find, self.labels_at, self.first, self.before, self.targets
         for i in range(len(word)):
-            arc = find(word[i : i + 1], base + int(first[state]), base + int(first[state + 1]))
+            arc = find(word[i : i + 1], base + first[state], base + first[state + 1])
             if arc < 0:
                 return None
             arc -= base
-            index += int(self.before[arc])
-            state = int(self.targets[arc])
-        return self.ids[self.ends[index] : self.ends[index + 1]].tobytes() if self.final[state] else None
+            index += before[arc]
+            state = targets[arc]
+        return bytes(self.ids[4 * self.ends[index] : 4 * self.ends[index + 1]]) if self.final[state] else None
+
+
+def is_word(piece: str) -> bool:
+    """Letters, after a space or not: one word of PATTERN."""
+    return piece.isalpha() or piece[0] == " " and piece[1:].isalpha()
 
 
 class Encoder(dict):
@@ -184,18 +213,43 @@ class Encoder(dict):
 
     def __init__(self, vocabulary: Vocabulary, automaton: Automaton | None):
         self.vocabulary, self.automaton = vocabulary, automaton
+        self.old: dict[str, bytes] = {}
+
+    def word(self, word: str) -> bytes:
+        """Ids of one pre-split word: remembered, looked up, or merged."""
+        made = self.get(word)
+        if made is None and (made := self.old.get(word)) is not None:
+            self.keep(word, made)
+        if made is None:
+            raw = word.encode()
+            made = self.automaton.get(raw) if self.automaton else None
+            if made is None:
+                ids = self.vocabulary.merge(raw)
+                made = struct.pack(f"<{len(ids)}I", *ids)
+            self.keep(word, made)
+        return made
 
-    def word(self, word: bytes) -> bytes:
-        found = self.automaton.get(word) if self.automaton else None
-        return found if found is not None else np.array(self.vocabulary.merge(word), "<u4").tobytes()
+    def keep(self, piece: str, made: bytes) -> None:
+        """Remember in the young table; a full one becomes the old table, from which pieces return when met again."""
+        if len(self) >= REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        self[piece] = made
 
     def whole(self, text: str) -> bytes:
-        return b"".join(self.word(w.encode()) for w in self.vocabulary.split.findall(text))
+        return b"".join(map(self.word, self.vocabulary.split.findall(text)))
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[piece] = made = self.whole(piece)
+        if is_word(piece):
+            return self.word(piece)
+        if (made := self.old.get(piece)) is not None:
+            self.keep(piece, made)
+            return made
+        if piece[-1] in ",." and piece[:-1].lstrip(" ").isalpha() and piece[1:2] != " ":
+            made = self.word(piece[:-1]) + self.word(piece[-1])
+        else:
+            made = self.whole(piece)
+        self.keep(piece, made)
         return made
 
     def plain(self, text: str) -> bytes:
@@ -237,8 +291,11 @@ def frequent_words(docs: DataFrame, tokenizer_path: str, size: int = LEXICON_WOR
         def flush() -> pd.DataFrame:
             words: Counter = Counter()
             for p, n in pieces.items():
-                for w in v.split.findall(p):
-                    words[w] += n
+                if is_word(p):
+                    words[p] += n
+                else:
+                    for w in v.split.findall(p):
+                        words[w] += n
             pieces.clear()
             return pd.DataFrame({"word": [w.encode() for w in words], "n": list(words.values())})
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.functions import scalar
-from tidegauge.operators import consistency, findings, fuzzy, names, sequence, stats, tables, vote
+from tidegauge.operators import consistency, findings, fuzzy, names, realign, sequence, stats, tables, vote
 from tidegauge.sources import sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -557,3 +557,14 @@ def notation_pairs(spark, sf):
     """Names that differ in notation only; the classes are beyond SQL."""
     n = table(spark, sf, "supplier").select(F.concat(F.lit("Парк "), (F.col("s_suppkey") % 40).cast("string"), F.when(F.col("s_suppkey") % 3 == 0, " км").otherwise(" пасс.")).alias("name"))
     return names.notation_pairs(n, "name")
+
+
+@query()
+def realigned_pages(spark, sf):
+    """Names and values of a brand's parts, zipped again after some names are lost or read twice; a fold that SQL cannot express."""
+    k = F.col("p_partkey")
+    name = F.when(k % 7 == 0, "").when(k % 11 == 0, F.concat((k % 90).cast("string"), F.lit(" км"))).otherwise(F.col("p_name"))
+    cells = F.array(name, F.when(k % 5 == 0, "").otherwise(F.col("p_size").cast("string")), F.when(k % 13 == 0, "—").otherwise(F.col("p_retailprice").cast("string")))
+    pages = table(spark, sf, "part").select("p_brand", k.alias("pos"), (k % 50 == 0).alias("band"), cells.alias("cells"))
+    out = realign.realign(pages, ["p_brand"], 0, 1)
+    return out.select("p_brand", "pos", "kind", F.array_join("cells", "|").alias("cells"), "what", "detail")

@@ -103,3 +103,11 @@ def test_empty_tables(spark):
     assert vote.vote(none, ["k"], "run", "v").count() == 0
     assert fuzzy.fuzzy_pairs(none.select(F.col("v").alias("key")), 2, 0.5).count() == 0
     assert stats.global_outliers(none, "s").count() == 0
+
+
+def test_group_medians_are_exact(spark):
+    import statistics
+
+    groups = {"a": [5.0], "b": [1.0, 2.0], "c": [float(i * 37 % 1009) for i in range(1009)], "d": [3.0] * 500 + [4.0] * 500, "e": [float(i) for i in range(100)], "f": [1.0] * 9 + [7.0]}
+    df = spark.createDataFrame([(k, x) for k, v in groups.items() for x in v] + [("a", None), ("g", None)], "k string, x double")
+    assert {r.k: (r.n, r.med) for r in stats.group_medians(df, ["k"], "x").collect()} == {k: (len(v), statistics.median(v)) for k, v in groups.items()}

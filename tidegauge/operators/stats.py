@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegauge.sources.shared import stage
+
 
 def deviation(x: Column, med: Column, mad: Column) -> Column:
     """Modified z score; where MAD is 0 the ratio to the median, which is infinite where either is 0 and they differ."""
@@ -12,16 +14,31 @@ def deviation(x: Column, med: Column, mad: Column) -> Column:
     return F.when(mad != 0, F.abs(F.try_divide(F.lit(0.6745) * (x - med), mad))).otherwise(ratio)
 
 
-def with_group_stats(samples: DataFrame, keys: list[str], value: str, min_n: int = 1) -> DataFrame:
-    """samples with n, med and mad of their group; groups under min_n drop out.
+def group_medians(samples: DataFrame, keys: list[str], value: str, out: str = "med") -> DataFrame:
+    """(keys, n, out): exact medians of the non-null values, one row a key.
 
-    Medians are exact; their state is a group's distinct values with counts,
-    combined before the shuffle. Both passes share one partitioning by the keys.
+    Approximate quantiles bracket each group's middle. Values below or above the
+    bracket are counted as two lumps, so of a group only the bracket's distinct
+    values (about a fiftieth) are ordered in one place; everything is combined before it
+    shuffles. The brackets are written, so a hot key's rows join them without meeting in one task.
     """
-    med = samples.groupBy(*keys).agg(F.count("*").alias("n"), F.median(value).alias("med")).where(F.col("n") >= min_n)
+    own = samples.select(*keys, F.col(value).cast("double").alias("_x")).where("_x is not null")
+    near = own.groupBy(*keys).agg(F.count("*").alias("n"), F.percentile_approx("_x", [0.49, 0.51], 10000).alias("_q"))
+    near = stage(near.select(*keys, "n", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi")), "brackets")
+    lump = F.when(F.col("_x") < F.col("_lo"), float("-inf")).when(F.col("_x") > F.col("_hi"), float("inf")).otherwise(F.col("_x"))
+    counts = own.join(near, keys).groupBy(*keys, "n", lump.alias("_x")).agg(F.count("*").alias("_c"))
+    counts = counts.withColumn("_upto", F.sum("_c").over(Window.partitionBy(*keys).orderBy("_x")))
+    at = lambda rank: F.min(F.when(F.col("_upto") > rank, F.col("_x")))
+    middle = (at(F.floor((F.col("n") - 1) / 2)) + at(F.floor(F.col("n") / 2))) / 2
+    return stage(counts.groupBy(*keys, "n").agg(middle.alias(out)), "medians")
+
+
+def with_group_stats(samples: DataFrame, keys: list[str], value: str, min_n: int = 1) -> DataFrame:
+    """samples with n, med and mad of their group; groups under min_n drop out."""
+    med = group_medians(samples, keys, value).where(F.col("n") >= min_n)
     joined = samples.join(med, keys)
-    mad = joined.groupBy(*keys).agg(F.median(F.abs(F.col(value) - F.col("med"))).alias("mad"))
-    return joined.join(mad, keys)
+    off = joined.select(*keys, F.abs(F.col(value) - F.col("med")).alias("_off"))
+    return joined.join(group_medians(off, keys, "_off", "mad").drop("n"), keys)
 
 
 def group_outliers(samples: DataFrame, keys: list[str], value: str, min_n: int = 5, z: float = 3.5, ratio: float = 1.5, min_diff: float = 0) -> DataFrame:

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Documents that go to Python at once, where the session does not say.
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -27,18 +29,29 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
-def materialise(df: DataFrame, label: str = "t") -> DataFrame:
+def materialise(df: DataFrame, label: str = "t", codec: str = "snappy") -> DataFrame:
     """Write df once to the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs a re-read, not the work
     before it, and no copy lives on one machine only.
     """
     spark = df.sparkSession
+    if spark.conf.get(BATCH, "10000") == "10000":  # the default; whole texts may be long
+        spark.conf.set(BATCH, str(BATCH_ROWS))
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def write_shared(spark: SparkSession, name: str, data: bytes) -> str:
+    """A small file in the shared folder, written by Hadoop's file system as Spark's own are: its path."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(data))
+    out.close()
+    return path.toString()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -9,7 +9,6 @@ import mmap
 import re
 import struct
 import sys
-import tempfile
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -21,6 +20,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialise, write_shared
 from .wordids import BYTE_LETTERS
 
 # Unicode white space, and the public pattern that splits text before merges (white space spelt out).
@@ -310,8 +310,20 @@ def frequent_words(docs: DataFrame, tokenizer_path: str, size: int = LEXICON_WOR
                     yield flush()
         yield flush()
 
-    rows = docs.mapInPandas(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
-    return [bytes(r.word) for r in rows.select("word").collect()]  # size rows at most
+    counts = docs.mapInPandas(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = materialise(counts, "words", "zstd")
+    # the count that the last word has, from the numbers of words with each count; then only chosen words come to the driver
+    left, least = size, None
+    for r in counts.groupBy("n").agg(F.count("*").alias("c")).orderBy(F.desc("n")).limit(size).collect():
+        least = r.n
+        if r.c >= left:
+            break
+        left -= r.c
+    if least is None:
+        return []
+    sure = counts.where(F.col("n") > least).select("word").collect()
+    ties = counts.where(F.col("n") == least).orderBy("word").limit(left).select("word").collect()
+    return [bytes(r.word) for r in [*sure, *ties]]  # size rows at most
 
 
 def bpe_round_trip(docs: DataFrame, tokenizer_path: str, lexicon_words: int = LEXICON_WORDS, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -331,9 +343,7 @@ def bpe_round_trip(docs: DataFrame, tokenizer_path: str, lexicon_words: int = LE
     v = Vocabulary(tokenizer_path)
     lexicon = build_automaton([(w, v.merge(w)) for w in frequent_words(own, tokenizer_path, lexicon_words)])
     name = f"lexicon-{uuid.uuid4().hex}.bin"
-    with open(f"{tempfile.mkdtemp()}/{name}", "wb") as f:
-        f.write(lexicon)
-    spark.sparkContext.addFile(f.name)  # by Spark's file server; no folder is shared
+    spark.sparkContext.addFile(write_shared(spark, name, lexicon))  # each executor fetches one copy
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         e = _encoder(tokenizer_path, name)

@@ -140,6 +140,7 @@ def cut(docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = 204
             out = pd.DataFrame(rows, columns=["id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
             out["id"] = out["id"].astype("Int64")
             yield out if with_ids else out.drop(columns="ids")
+        encoder.forget()  # the worker lives on; its memory is for the next stage
 
     schema = "id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint" + ", ids binary" * with_ids
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInPandas(run, schema)

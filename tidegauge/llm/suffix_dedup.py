@@ -36,8 +36,8 @@ WIDTH = 200
 GRAM = 64
 GROUP = 2048
 SMALL = 32
-PIECE = 1 << 20
-RUN_BYTES = 16 << 20
+PIECE = 1 << 17
+RUN_BYTES = 4 << 20
 # Odd multipliers of the rolling hashes and of their finisher.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 FINISH = 0xFF51AFD7ED558CCD
@@ -322,7 +322,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col
                 if len(hashed) > 50_000:
                     yield pd.DataFrame(hashed, columns=["key", "row", "a", "done"]).assign(dest=-1, blob=None)[RUN_COLUMNS]
                     hashed = []
-                if held > 4 * RUN_BYTES:
+                if held > 2 * RUN_BYTES:
                     yield flush()[RUN_COLUMNS]
                     held = 0
             if hashed:

@@ -29,6 +29,7 @@ PREFIXES = range(4, 9)
 MAX_ENTRIES = 5000
 MAX_FIT_ROWS = 20_000
 MIN_DOCS = 3
+HELD_ENTRIES = 150_000
 MIN_RATIO = 22.0
 MIN_WEIGHT = 3.5
 
@@ -113,14 +114,24 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     """Words and word beginnings that tell toxic documents: log odds ratios of those with a significant likelihood ratio."""
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        toxic, clean = Counter(), Counter()
+        seen = Counter(), Counter()  # clean and toxic
         n = [0, 0]
+
+        def flush() -> pd.DataFrame:
+            keys = list(seen[0].keys() | seen[1].keys())
+            out = pd.DataFrame({"entry": ["", *keys], "toxic": [n[1], *[seen[1][k] for k in keys]], "clean": [n[0], *[seen[0][k] for k in keys]]})
+            for c in seen:
+                c.clear()
+            n[:] = 0, 0
+            return out
+
         for pdf in parts:
             for t, y in zip(pdf["text"], pdf["label"]):
                 n[y > 0] += 1
-                (toxic if y > 0 else clean).update(_candidates(fold(t)))
-        keys = list(toxic.keys() | clean.keys())
-        yield pd.DataFrame({"entry": ["", *keys], "toxic": [n[1], *[toxic[k] for k in keys]], "clean": [n[0], *[clean[k] for k in keys]]})
+                seen[y > 0].update(_candidates(fold(t)))
+                if len(seen[0]) + len(seen[1]) > HELD_ENTRIES:
+                    yield flush()
+        yield flush()
 
     counts = materialise(sample.mapInPandas(count, "entry string, toxic bigint, clean bigint").groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(f"toxic >= {MIN_DOCS} or entry = ''"), "lexicon")
     totals = counts.where("entry = ''").first()

@@ -13,8 +13,8 @@ import unicodedata
 
 import numpy as np
 
-#: Words that a worker remembers before it starts afresh.
-REMEMBERED = 1_000_000
+#: Words that a worker remembers in its young table; a full one becomes the old table, from which words return when met again.
+REMEMBERED = 150_000
 #: Python splits at these, the tokenizer does not.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _LOADED: dict[str, WordEncoder] = {}
@@ -38,6 +38,18 @@ class WordEncoder(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.old: dict[str, bytes] = {}
+
+    def keep(self, word: str, ids: bytes) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
 
     @classmethod
     def load(cls, path: str) -> WordEncoder:
@@ -46,23 +58,22 @@ class WordEncoder(dict):
         return _LOADED[path]
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
+        if (known := self.old.get(word)) is not None:
+            return self.keep(word, known)
         if word.isalpha():
             low = word.lower()
             if low == word and unicodedata.is_normalized("NFC", word):
                 # one run of letters, already normal: the model alone splits it
                 ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(BYTE_LETTERS))]
             elif word.isascii():
-                return self.setdefault(word, self[low])
+                return self.keep(word, self[low])
             else:
                 ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         elif word[-1] in ",." and word[:-1].isalpha():
-            return self.setdefault(word, self[word[:-1]] + self[word[-1]])
+            return self.keep(word, self[word[:-1]] + self[word[-1]])
         else:
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        self[word] = made = np.array(ids, "<u4").tobytes()
-        return made
+        return self.keep(word, np.array(ids, "<u4").tobytes())
 
     def ids(self, text: str) -> bytes:
         if _SEPARATORS.search(text):

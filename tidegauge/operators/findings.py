@@ -34,11 +34,11 @@ def collapse(findings: DataFrame, keys: list[str], seq: str, cells: str, schema:
     return findings.groupBy(*keys).applyInPandas(run, schema)
 
 
-def merge_runs(findings: DataFrame, keys: list[str], first: str, last: str, min_size: int = 3) -> DataFrame:
+def merge_runs(findings: DataFrame, keys: list[str], first: str, last: str, min_size: int = 3, ties: list[str] | None = None) -> DataFrame:
     """(keys..., first, last, size): runs of at least min_size findings on adjoining rows; each is compared with the one before only."""
     from pyspark.sql import Window
 
-    w = Window.partitionBy(*keys).orderBy(first, last)
+    w = Window.partitionBy(*keys).orderBy(first, last, *(ties or []))
     new = F.when(F.col(first) <= F.lag(last).over(w) + 1, 0).otherwise(1)
     runs = findings.withColumn("_n", new).withColumn("_g", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     return runs.groupBy(*keys, "_g").agg(F.min(first).alias("first"), F.max(last).alias("last"), F.count("*").alias("size")).where(F.col("size") >= min_size).drop("_g")

@@ -543,13 +543,13 @@ def name_occurrences(spark, sf):
 
 
 @query("""WITH f AS (SELECT user_id, event_id % 60 AS a, event_id % 60 + event_id % 2 AS b, event_id FROM events WHERE event_type = 'error'),
-      n AS (SELECT *, CASE WHEN a <= lag(b) OVER w + 1 THEN 0 ELSE 1 END AS n FROM f WINDOW w AS (PARTITION BY user_id ORDER BY a, b)),
-      g AS (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS g FROM n)
+      n AS (SELECT *, CASE WHEN a <= lag(b) OVER w + 1 THEN 0 ELSE 1 END AS n FROM f WINDOW w AS (PARTITION BY user_id ORDER BY a, b, event_id)),
+      g AS (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY a, b, event_id ROWS UNBOUNDED PRECEDING) AS g FROM n)
     SELECT user_id, min(a) AS first, max(b) AS last, count(*) AS size FROM g GROUP BY user_id, g HAVING count(*) >= 3""")
 def misaligned_runs(spark, sf):
     """Three findings or more on adjoining rows of one column."""
-    ev = table(spark, sf, "events").where("event_type = 'error'").select("user_id", (F.col("event_id") % 60).alias("a"), (F.col("event_id") % 60 + F.col("event_id") % 2).alias("b"))
-    return findings.merge_runs(ev, ["user_id"], "a", "b")
+    ev = table(spark, sf, "events").where("event_type = 'error'").select("user_id", "event_id", (F.col("event_id") % 60).alias("a"), (F.col("event_id") % 60 + F.col("event_id") % 2).alias("b"))
+    return findings.merge_runs(ev, ["user_id"], "a", "b", ties=["event_id"])
 
 
 @query()

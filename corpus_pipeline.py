@@ -16,6 +16,7 @@ from tidegauge.llm import toxicity
 from tidegauge.llm.common import materialise, table
 from tidegauge.llm.decide import drop_rows, replace_text
 from tidegauge.llm.exact_dedup import exact_dedup
+from tidegauge.llm.near_copies import near_copies
 from tidegauge.llm.packing import pack
 from tidegauge.llm.simhash import simhash_near_dedup
 from tidegauge.llm.suffix_dedup import suffix_dedup
@@ -44,6 +45,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return drop_rows(docs, F.col("doc_id"), materialise(marks.select(F.col("doc_id").alias("key")).distinct(), "dropped"))
 
 
+def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by a similarity of five-word shingles of 0.8 or more the row with the smallest doc_id; SimHash misses most of them."""
+    marks = near_copies(docs).select(F.concat_ws(":", "doc_id", "text_sha256").alias("key"), F.concat_ws(":", "keep_id", "keep_sha256").alias("keep"))
+    return drop_rows(docs, _own_key(), materialise(marks.where("key <> keep").select("key").distinct(), "dropped"))
+
+
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, their texts without byte strings that repeat elsewhere; n_chars follows."""
     cut = suffix_dedup(docs, with_text=True).where("n_removed > 0")
@@ -59,6 +66,7 @@ STAGES = [
     ("toxicity", drop_toxic),
     ("exact_dedup", drop_exact_copies),
     ("simhash_near_dedup", drop_near_copies),
+    ("near_copies", drop_similar),
     ("suffix_dedup", cut_repeats),
     ("packing", pack_sequences),
 ]

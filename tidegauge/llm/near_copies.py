@@ -1,0 +1,127 @@
+"""Near copies by word-shingle similarity: MinHash proposes, exact Jaccard decides."""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from . import bloom
+from .buckets import bucket_links
+from .common import materialise
+from .components import components
+
+SEED = 42
+#: Chance to miss a pair exactly at the threshold; more similar pairs are missed less.
+MISS = 1e-5
+ROWS = 6
+SHINGLES_AT_ONCE = 1 << 11
+
+
+def bands_for(threshold: float) -> int:
+    """Bands of ROWS minima each such that a pair at the threshold agrees in none with probability MISS at most."""
+    return math.ceil(math.log(MISS) / math.log1p(-(threshold**ROWS)))
+
+
+def shingle_set(text: str, size: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of `size` words; fewer words make one shingle of them all, no words none."""
+    words = text.encode().lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    digest = xxhash.xxh64_intdigest
+    if len(words) < size:
+        return np.array([digest(b" ".join(words), SEED)], np.uint64)
+    return np.unique(np.array([digest(b" ".join(s), SEED) for s in zip(*[words[i:] for i in range(size)])], np.uint64))
+
+
+def band_keys(own: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """A key for each ROWS of the minima of `own` under multiplication by odd factors."""
+    least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(own), SHINGLES_AT_ONCE):
+        np.minimum(least, (factors[:, None] * own[None, i : i + SHINGLES_AT_ONCE]).min(axis=1), out=least)
+    rows = least.reshape(-1, ROWS)
+    return np.array([xxhash.xxh64_intdigest(r.tobytes(), i) for i, r in enumerate(rows)], np.uint64).view(np.int64)
+
+
+class _Members:
+    """What tells which members of a group are linked; pairs that are connected already are not compared again."""
+
+    def __init__(self, pdf: pd.DataFrame):
+        _, self.at = np.unique(pdf["id"].to_numpy(), return_inverse=True)
+        self.sets = [np.frombuffer(x, "<u8") for x in pdf["shingles"]]
+        self.n = np.array([len(x) for x in self.sets])
+        self.bands = np.frombuffer(b"".join(pdf["bands"]), "<i8").reshape(len(pdf), -1)
+        self.up = np.arange(self.at.max() + 1 if len(pdf) else 0)
+
+    def root(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = x = self.up[self.up[x]]
+        return x
+
+    def linked(self, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
+        while (self.up != (above := self.up[self.up])).any():
+            self.up = above
+        ok = np.zeros(len(i), bool)
+        small, large = np.minimum(self.n[i], self.n[j]), np.maximum(self.n[i], self.n[j])
+        left = np.flatnonzero((self.up[self.at[i]] != self.up[self.at[j]]) & (small >= threshold * large - 1e-9))
+        for k in range(0, len(left), 4096):
+            part = left[k : k + 4096]
+            for p in part[(self.bands[i[part]] == self.bands[j[part]]).any(axis=1)]:
+                a, b = self.root(self.at[i[p]]), self.root(self.at[j[p]])
+                if a == b:
+                    continue
+                x, y = self.sets[i[p]], self.sets[j[p]]
+                both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                if both >= threshold * (len(x) + len(y) - both) - 1e-9:
+                    self.up[max(a, b)] = min(a, b)
+                    ok[p] = True
+        return ok
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8) -> DataFrame:
+    """(id_col, text_sha256, keep_id, keep_sha256) of the rows in groups of near copies, one a row.
+
+    Rows link where the sets of their shingles of `size` words (A-Z lower-cased) have
+    a Jaccard similarity of at least `threshold`; a group is what links connect. The row
+    with the smallest id stays, null ids last, then the smallest digest.
+    MinHash bands propose: a pair at the threshold is missed with probability MISS.
+    Rows of equal bands are joined to the least of them, so no pair is made; inside
+    what hangs together the pairs that share a band are compared exactly (by 64-bit
+    hashes of shingles), each row's set moving once for each block of its group.
+
+    Null and empty texts and those without words are in no group. Null ids take part; repeated rows give
+    repeated results; an empty table gives none; other columns are ignored.
+    """
+    factors = np.random.RandomState(23).randint(0, 1 << 62, bands_for(threshold) * ROWS, dtype=np.int64).astype(np.uint64) * np.uint64(4) + np.uint64(1)
+
+    def read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            sets = [shingle_set(t, size) for t in pdf["text"]]
+            pdf["shingles"] = [x.astype("<u8").tobytes() for x in sets]
+            keys = [band_keys(x, factors) if len(x) else np.zeros(0, np.int64) for x in sets]
+            pdf["keys"], pdf["bands"] = keys, [k.astype("<i8").tobytes() for k in keys]
+            yield pdf.drop(columns="text")
+
+    # numbers are fixed by writing them
+    src = docs.select(F.monotonically_increasing_id().alias("node"), F.col(id_col).cast("bigint").alias("id"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("sha"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    marks = materialise(src.mapInPandas(read, "node bigint, id bigint, sha string, shingles binary, keys array<bigint>, bands binary"), "near-marks")
+    keyed = marks.select("node", F.explode("keys").alias("key"))
+    least = materialise(keyed.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"), "near-buckets")
+    edges = keyed.join(least, "key").where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
+    coarse = materialise(components(edges).distinct(), "near-coarse")
+    n_blocks = bloom.blocks_for(coarse.count())
+    words = bloom.build(coarse.select(F.col("node").cast("string").alias("k")), "k", n_blocks).scalar()
+    # a filter of the members picks their rows, so that the sets of the others do not move
+    some = materialise(marks.where(bloom.may_contain(words, F.col("node").cast("string"), n_blocks)), "near-sets")
+    payload = some.select(F.col("node").alias("id"), F.lit(1).cast("bigint").alias("weight"), "shingles", "bands")
+    links = bucket_links(coarse.select(F.col("root").alias("of"), F.col("node").alias("id")), ["of"], payload, _Members, lambda data, i, j: data.linked(i, j, threshold), "near")
+    found = materialise(components(links.select(F.col("id").alias("u"), F.col("root").alias("v"))).distinct(), "near-found")
+    members = materialise(some.select("node", "id", "sha").join(found, "node").select("root", "id", "sha"), "near-members")
+    first = members.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "sha")).alias("keep"))
+    kept = materialise(first.select("root", F.col("keep.id").alias("keep_id"), F.col("keep.sha").alias("keep_sha256")), "near-kept")
+    return members.join(kept, "root").select(F.col("id").alias(id_col), F.col("sha").alias("text_sha256"), "keep_id", "keep_sha256")

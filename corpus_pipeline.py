@@ -40,9 +40,12 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by SimHash the row with the smallest doc_id."""
-    marks = simhash_near_dedup(docs).where("doc_id <> component_id")
-    return drop_rows(docs, F.col("doc_id"), materialise(marks.select(F.col("doc_id").alias("key")).distinct(), "dropped"))
+    """Of each group linked by SimHash the row with the smallest doc_id, null ids last, then the smallest digest."""
+    marks = materialise(simhash_near_dedup(docs, with_digest=True), "near")
+    least = marks.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_sha256")).alias("keep"))
+    kept = materialise(least.select("component", F.concat_ws(":", "keep.doc_id", "keep.text_sha256").alias("keep")), "kept")
+    keyed = marks.select("component", F.concat_ws(":", "doc_id", "text_sha256").alias("key")).join(kept, "component")
+    return drop_rows(docs, _own_key(), materialise(keyed.where("key <> keep").select("key").distinct(), "dropped"))
 
 
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -80,3 +80,16 @@ def test_pipeline_leaves_no_near_copies(spark):
         docs = materialise(stage(spark, docs, sf), name)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert survivors(rows)[1] == 0
+
+
+def test_simhash_stage_decides_by_id_and_text(spark):
+    rng = random.Random(6)
+    text = [f"w{rng.randrange(900)}" for _ in range(3000)]
+    other = [f"v{rng.randrange(900)}" for _ in range(3000)]
+    near = lambda words, end: " ".join([*words[:-1], end])
+    rows = [(7, near(text, "a")), (9, near(text, "b")), (9, "clean and different"), (None, near(text, "c")), (None, near(other, "d")), (None, near(other, "e"))]
+    prints = [brute.simhash(t) for _, t in rows]
+    assert all(bin(prints[a] ^ prints[b]).count("1") <= 3 for a, b in ((0, 1), (0, 3), (4, 5)))
+    got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert {(r.doc_id, r.text) for r in got if r.doc_id} == {(7, rows[0][1]), (9, rows[2][1])}
+    assert len(got) == 3 and [r.text in (rows[4][1], rows[5][1]) for r in got if r.doc_id is None] == [True]

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Documents that go to Python at once, where the session does not say.
-BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+#: Rows and bytes that go to Python at once, where the session does not say: texts may be long.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -29,6 +33,50 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batch limits to BATCH, unless it has some of its own.
+
+    Every operator that sends texts to Python calls this (materialise does).
+    """
+    for name, limit in BATCH.items():
+        if spark.conf.get(name) == spark._jvm.org.apache.spark.sql.internal.SQLConf().getConfString(name):
+            spark.conf.set(name, limit)
+
+
+def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """For mapInPandas and iterator UDFs: a worker outlives its task, so it gives its free memory back when the partition ends."""
+
+    @wraps(run)
+    def wrapped(parts: Iterator) -> Iterator:
+        try:
+            yield from run(parts)
+        finally:
+            give_back()
+
+    return wrapped
+
+
+def give_back() -> None:
+    """Hand memory that Python, Arrow and the C library hold but do not use to the system."""
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that materialise wrote and nothing reads any more."""
+    spark = df.sparkSession
+    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if name.split(":", 1)[-1].lstrip("/").startswith(shared_dir(spark).split(":", 1)[-1].lstrip("/")):
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, label: str = "t", codec: str = "snappy") -> DataFrame:
     """Write df once to the shared folder and read it back.
 
@@ -36,8 +84,7 @@ def materialise(df: DataFrame, label: str = "t", codec: str = "snappy") -> DataF
     before it, and no copy lives on one machine only.
     """
     spark = df.sparkSession
-    if spark.conf.get(BATCH, "10000") == "10000":  # the default; whole texts may be long
-        spark.conf.set(BATCH, str(BATCH_ROWS))
+    bound_batches(spark)
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

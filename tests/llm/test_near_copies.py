@@ -1,4 +1,4 @@
-"""Near copies against brute-force Jaccard, alone and after the pipeline's stages before them."""
+"""The SimHash stage against brute-force Jaccard, alone and after the pipeline's stages before it."""
 
 from __future__ import annotations
 
@@ -7,11 +7,13 @@ import os
 import random
 
 import brute
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from tidegauge.llm import buckets, near_copies
+from tidegauge.llm import buckets, simhash_similar
 from tidegauge.llm.common import materialise, table
+from tidegauge.llm.simhash import covering_masks
 
 
 def shingles(text):
@@ -48,11 +50,11 @@ def made(seed=3):
 @pytest.mark.parametrize("block", [512, 4])
 def test_groups_against_brute_force(spark, monkeypatch, block):
     real = buckets.bucket_links
-    monkeypatch.setattr(near_copies, "bucket_links", lambda *a, **k: real(*a, block=block, **k))
+    monkeypatch.setattr(simhash_similar, "bucket_links", lambda *a, **k: real(*a, block=block, **k))
     rows = made()
     want, links = survivors(rows)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = corpus_pipeline.drop_similar(spark, docs, "").collect()
+    got = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
     assert sorted(r.doc_id for r in got) == sorted(rows[i][0] for i in want) and links > 30
 
 
@@ -62,12 +64,12 @@ def test_repeated_and_null_ids(spark):
     near, other = " ".join([*text[:-1], "end"]), " ".join(f"v{rng.randrange(900)}" for _ in range(200))
     rows = [(7, " ".join(text)), (9, near), (9, other), (None, " ".join([*text[:-1], "null"]))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert sorted(map(tuple, corpus_pipeline.drop_similar(spark, docs, "").collect())) == [(7, rows[0][1]), (9, other)]
-    assert near_copies.near_copies(docs.where("false")).count() == 0
+    assert sorted(map(tuple, corpus_pipeline.drop_near_copies(spark, docs, "").collect())) == [(7, rows[0][1]), (9, other)]
+    assert simhash_similar.similar_groups(docs.where("false")).count() == 0
 
 
 def test_bands_miss_rarely():
-    assert (1 - 0.8**near_copies.ROWS) ** near_copies.bands_for(0.8) <= near_copies.MISS
+    assert (1 - 0.8**simhash_similar.ROWS) ** simhash_similar.bands_for(0.8) <= simhash_similar.MISS
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no driver tables")
@@ -82,14 +84,24 @@ def test_pipeline_leaves_no_near_copies(spark):
     assert survivors(rows)[1] == 0
 
 
-def test_simhash_stage_decides_by_id_and_text(spark):
-    rng = random.Random(6)
-    text = [f"w{rng.randrange(900)}" for _ in range(3000)]
-    other = [f"v{rng.randrange(900)}" for _ in range(3000)]
-    near = lambda words, end: " ".join([*words[:-1], end])
-    rows = [(7, near(text, "a")), (9, near(text, "b")), (9, "clean and different"), (None, near(text, "c")), (None, near(other, "d")), (None, near(other, "e"))]
-    prints = [brute.simhash(t) for _, t in rows]
-    assert all(bin(prints[a] ^ prints[b]).count("1") <= 3 for a, b in ((0, 1), (0, 3), (4, 5)))
-    got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
-    assert {(r.doc_id, r.text) for r in got if r.doc_id} == {(7, rows[0][1]), (9, rows[2][1])}
-    assert len(got) == 3 and [r.text in (rows[4][1], rows[5][1]) for r in got if r.doc_id is None] == [True]
+def test_masks_propose_every_pair_within_the_radius():
+    """Without the bands, pairs whose prints differ in at most three bits still share a key."""
+    rng = np.random.RandomState(6)
+    masks = np.array(covering_masks(3), np.uint64)
+    for _ in range(50):
+        own = rng.randint(0, 1 << 62, 300).astype(np.uint64) * np.uint64(3)
+        other = np.concatenate([own[1:], rng.randint(0, 1 << 62, 1).astype(np.uint64)])
+        prints = [np.packbits(np.unpackbits(np.sort(x).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0) * 2 > len(x), bitorder="little").view(np.uint64)[0] for x in (own, other)]
+        shared = (simhash_similar.covering_keys(own, masks) == simhash_similar.covering_keys(other, masks)).any()
+        assert shared or np.bitwise_count(prints[0] ^ prints[1]) > 3
+
+
+def test_columns_with_the_names_of_helpers_and_empty_tables(spark):
+    text = [f"w{i}" for i in range(200)]
+    rows = [(1, " ".join(text), 0, "a", "b"), (2, " ".join([*text[:-1], "end"]), 0, "c", "d"), (3, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, key string, hit string")
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == [1, 3]
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_exact_copies(spark, docs.union(docs), "").collect()) == [1, 1, 2, 2, 3, 3]
+    assert sorted((r.doc_id, r.hit) for r in corpus_pipeline.cut_repeats(spark, docs, "").collect()) == [(1, "b"), (2, "d"), (3, None)]
+    for stage in (corpus_pipeline.drop_near_copies, corpus_pipeline.drop_exact_copies, corpus_pipeline.cut_repeats, corpus_pipeline.pack_sequences):
+        assert stage(spark, docs.where("false"), "").count() == 0

@@ -20,7 +20,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, write_shared
+from .common import frugal, materialise, write_shared
 from .wordids import BYTE_LETTERS
 
 # Unicode white space, and the public pattern that splits text before merges (white space spelt out).
@@ -310,7 +310,7 @@ def frequent_words(docs: DataFrame, tokenizer_path: str, size: int = LEXICON_WOR
                     yield flush()
         yield flush()
 
-    counts = docs.mapInPandas(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = docs.mapInPandas(frugal(count), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     counts = materialise(counts, "words", "zstd")
     # the count that the last word has, from the numbers of words with each count; then only chosen words come to the driver
     left, least = size, None
@@ -358,5 +358,5 @@ def bpe_round_trip(docs: DataFrame, tokenizer_path: str, lexicon_words: int = LE
                     kept.append(ids)
             yield pd.DataFrame({"id": pdf["id"], "n_tokens": n, "ids_sha256": ids_sha, "decoded_sha256": text_sha} | ({"ids": kept} if with_ids else {}))
 
-    out = own.mapInPandas(run, "id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids)
+    out = own.mapInPandas(frugal(run), "id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids)
     return out.withColumnRenamed("id", id_col)

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import frugal, materialise
 
 BLOCK = 512
 STEP = 1 << 18
@@ -116,4 +116,4 @@ def bucket_links(keyed: DataFrame, keys: list[str], payload: DataFrame, prepare:
     )
     group = [*keys, "lo", "hi"]
     full = dealt.join(payload, "id")
-    return full.repartition(*group).sortWithinPartitions(*group).mapInPandas(_linker(group, prepare, verify), "id bigint, root bigint, links bigint")
+    return full.repartition(*group).sortWithinPartitions(*group).mapInPandas(frugal(_linker(group, prepare, verify)), "id bigint, root bigint, links bigint")

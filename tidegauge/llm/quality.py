@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import frugal, materialise
 from .labelled import fold_of, labelled_sample
 
 BUCKETS = 1 << 16
@@ -83,7 +83,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", folds: i
             yield pd.DataFrame(rows, columns=["label", "at", "value"])
 
     sample = labelled_sample(docs, labels, label_col, max_rows, folds, held, id_col, text_col)
-    rows = materialise(sample.mapInPandas(run, "label int, at binary, value binary"), "graded").collect()  # max_rows rows at most
+    rows = materialise(sample.mapInPandas(frugal(run), "label int, at binary, value binary"), "graded").collect()  # max_rows rows at most
     grades = sorted({r.label for r in rows})
     if len(grades) > MAX_GRADES:
         raise ValueError(f"{len(grades)} grades; {MAX_GRADES} at most")
@@ -155,5 +155,5 @@ def grade(docs: DataFrame, grader: Grader, select_grade: int | None = None, sele
             yield out
 
     own = docs.select(F.col(id_col).cast("bigint").alias("id"), fold_of(F.col(id_col).cast("bigint"), folds).alias("fold"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    out = own.mapInPandas(run, "id bigint, fold int, expected_grade double, tail_probability double")
+    out = own.mapInPandas(frugal(run), "id bigint, fold int, expected_grade double, tail_probability double")
     return out.select(F.col("id").alias(id_col), (F.col("fold") == held).alias("held_out"), "expected_grade", "tail_probability", F.coalesce(F.col("tail_probability") >= select_tail, F.lit(True)).alias("kept"))

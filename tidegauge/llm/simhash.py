@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .buckets import bucket_links
-from .common import materialise
+from .common import frugal, materialise
 from .components import components
 
 SEED = 42
@@ -61,7 +61,7 @@ def _prepare(pdf: pd.DataFrame) -> np.ndarray:
     return pdf["id"].to_numpy().view(np.uint64)
 
 
-def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 3, with_digest: bool = False) -> DataFrame:
+def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 3) -> DataFrame:
     """(id_col, fingerprint, component_id), one row per row of docs.
 
     Rows link where their fingerprints differ in at most `radius` bits;
@@ -73,19 +73,14 @@ def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Null text counts as empty (fingerprint zero, linked like any other). Null
     ids take part, but a component of only null ids has component_id null.
     Repeated rows give repeated results; an empty table gives none; other
-    columns are ignored. with_digest adds text_sha256 and component, a fingerprint
-    that names the component whatever its ids are.
+    columns are ignored.
     """
-    kept = ["sha"] if with_digest else []
-
     def prints(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            yield pd.DataFrame({"id": pdf["id"], "fp": np.array([_signed(fingerprint(t, size)) for t in pdf["text"]], np.int64), **{c: pdf[c] for c in kept}})
+            yield pd.DataFrame({"id": pdf["id"], "fp": np.array([_signed(fingerprint(t, size)) for t in pdf["text"]], np.int64)})
 
     src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    if with_digest:
-        src = src.withColumn("sha", F.sha2("text", 256))
-    marks = materialise(src.mapInPandas(prints, "id bigint, fp bigint" + ", sha string" * with_digest), "simhash")
+    marks = materialise(src.mapInPandas(frugal(prints), "id bigint, fp bigint"), "simhash")
     classes = materialise(marks.groupBy("fp").agg(F.min("id").alias("least")), "simhash-classes")
 
     masks = F.array(*[F.lit(_signed(m)) for m in covering_masks(radius)])
@@ -100,5 +95,5 @@ def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rooted = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = materialise(rooted, "simhash-roots")
     smallest = materialise(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-components")
-    of = materialise(rooted.join(smallest, "root").select("fp", "component_id", F.col("root").alias("component")), "simhash-of")
-    return marks.join(of, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *([F.col("sha").alias("text_sha256"), "component"] if with_digest else []))
+    of = materialise(rooted.join(smallest, "root").select("fp", "component_id"), "simhash-of")
+    return marks.join(of, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

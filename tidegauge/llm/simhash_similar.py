@@ -1,4 +1,4 @@
-"""Near copies by word-shingle similarity: MinHash proposes, exact Jaccard decides."""
+"""SimHash near-duplicates decided by the similarity of shingle sets."""
 
 from __future__ import annotations
 
@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from . import bloom
 from .buckets import bucket_links
-from .common import materialise
+from .common import frugal, materialise
 from .components import components
+from .simhash import covering_masks
 
 SEED = 42
 #: Chance to miss a pair exactly at the threshold; more similar pairs are missed less.
@@ -48,6 +49,15 @@ def band_keys(own: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(r.tobytes(), i) for i, r in enumerate(rows)], np.uint64).view(np.int64)
 
 
+def covering_keys(own: np.ndarray, masks: np.ndarray) -> np.ndarray:
+    """A key for the SimHash of a set of hashes under each mask."""
+    ones = np.zeros(64, np.int64)
+    for i in range(0, len(own), 1 << 16):
+        ones += np.unpackbits(own[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    print_ = np.packbits(ones * 2 > len(own), bitorder="little").view(np.uint64)[0]
+    return np.array([xxhash.xxh64_intdigest((print_ & m).tobytes(), 1000 + i) for i, m in enumerate(masks)], np.uint64).view(np.int64)
+
+
 class _Members:
     """What tells which members of a group are linked; pairs that are connected already are not compared again."""
 
@@ -55,7 +65,7 @@ class _Members:
         _, self.at = np.unique(pdf["id"].to_numpy(), return_inverse=True)
         self.sets = [np.frombuffer(x, "<u8") for x in pdf["shingles"]]
         self.n = np.array([len(x) for x in self.sets])
-        self.bands = np.frombuffer(b"".join(pdf["bands"]), "<i8").reshape(len(pdf), -1)
+        self.keys = np.stack(pdf["keys"].to_numpy()) if len(pdf) else np.zeros((0, 1), np.int64)
         self.up = np.arange(self.at.max() + 1 if len(pdf) else 0)
 
     def root(self, x: int) -> int:
@@ -71,7 +81,7 @@ class _Members:
         left = np.flatnonzero((self.up[self.at[i]] != self.up[self.at[j]]) & (small >= threshold * large - 1e-9))
         for k in range(0, len(left), 4096):
             part = left[k : k + 4096]
-            for p in part[(self.bands[i[part]] == self.bands[j[part]]).any(axis=1)]:
+            for p in part[(self.keys[i[part]] == self.keys[j[part]]).any(axis=1)]:
                 a, b = self.root(self.at[i[p]]), self.root(self.at[j[p]])
                 if a == b:
                     continue
@@ -83,45 +93,59 @@ class _Members:
         return ok
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8) -> DataFrame:
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8, radius: int = 3) -> DataFrame:
     """(id_col, text_sha256, keep_id, keep_sha256) of the rows in groups of near copies, one a row.
 
     Rows link where the sets of their shingles of `size` words (A-Z lower-cased) have
     a Jaccard similarity of at least `threshold`; a group is what links connect. The row
     with the smallest id stays, null ids last, then the smallest digest.
-    MinHash bands propose: a pair at the threshold is missed with probability MISS.
-    Rows of equal bands are joined to the least of them, so no pair is made; inside
-    what hangs together the pairs that share a band are compared exactly (by 64-bit
-    hashes of shingles), each row's set moving once for each block of its group.
+
+    Covering LSH proposes all pairs whose 64-bit SimHash over those shingles differs in at most
+    `radius` bits. A pair at a similarity of 0.8 differs in about ten, out of reach of any
+    covering of a size that could be afforded, so bands of shingle minima propose beside the
+    masks (one at the threshold is missed with probability MISS). Rows of equal keys are
+    joined to the least of them, so no pair is made; inside what hangs together the pairs
+    that share a key are compared exactly, by 64-bit hashes of shingles. Only texts
+    of such groups are read a second time and moved.
 
     Null and empty texts and those without words are in no group. Null ids take part; repeated rows give
     repeated results; an empty table gives none; other columns are ignored.
     """
     factors = np.random.RandomState(23).randint(0, 1 << 62, bands_for(threshold) * ROWS, dtype=np.int64).astype(np.uint64) * np.uint64(4) + np.uint64(1)
+    masks = np.array(covering_masks(radius), np.uint64)
 
     def read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            sets = [shingle_set(t, size) for t in pdf["text"]]
-            pdf["shingles"] = [x.astype("<u8").tobytes() for x in sets]
-            keys = [band_keys(x, factors) if len(x) else np.zeros(0, np.int64) for x in sets]
-            pdf["keys"], pdf["bands"] = keys, [k.astype("<i8").tobytes() for k in keys]
-            yield pdf.drop(columns="text")
+            keys = []
+            for t in pdf.pop("text"):
+                own = shingle_set(t, size)
+                keys.append(np.concatenate([band_keys(own, factors), covering_keys(own, masks)]) if len(own) else np.zeros(0, np.int64))
+            pdf["keys"] = keys
+            yield pdf
+
+    def sets(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            yield pd.DataFrame({"sha": pdf["sha"], "shingles": [shingle_set(t, size).astype("<u8").tobytes() for t in pdf["text"]]})
 
     # numbers are fixed by writing them
-    src = docs.select(F.monotonically_increasing_id().alias("node"), F.col(id_col).cast("bigint").alias("id"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("sha"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    marks = materialise(src.mapInPandas(read, "node bigint, id bigint, sha string, shingles binary, keys array<bigint>, bands binary"), "near-marks")
+    src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("sha", F.sha2("text", 256))
+    marks = src.select(F.monotonically_increasing_id().alias("node"), "id", "sha", "text")
+    marks = materialise(marks.mapInPandas(frugal(read), "node bigint, id bigint, sha string, keys array<bigint>"), "near-marks")
     keyed = marks.select("node", F.explode("keys").alias("key"))
     least = materialise(keyed.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"), "near-buckets")
     edges = keyed.join(least, "key").where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
     coarse = materialise(components(edges).distinct(), "near-coarse")
-    n_blocks = bloom.blocks_for(coarse.count())
-    words = bloom.build(coarse.select(F.col("node").cast("string").alias("k")), "k", n_blocks).scalar()
-    # a filter of the members picks their rows, so that the sets of the others do not move
-    some = materialise(marks.where(bloom.may_contain(words, F.col("node").cast("string"), n_blocks)), "near-sets")
-    payload = some.select(F.col("node").alias("id"), F.lit(1).cast("bigint").alias("weight"), "shingles", "bands")
-    links = bucket_links(coarse.select(F.col("root").alias("of"), F.col("node").alias("id")), ["of"], payload, _Members, lambda data, i, j: data.linked(i, j, threshold), "near")
-    found = materialise(components(links.select(F.col("id").alias("u"), F.col("root").alias("v"))).distinct(), "near-found")
-    members = materialise(some.select("node", "id", "sha").join(found, "node").select("root", "id", "sha"), "near-members")
+    some = materialise(marks.join(coarse, "node").select("root", "node", "id", "sha", "keys"), "near-some")
+    wanted = materialise(some.select("sha").distinct(), "near-wanted")
+    n_blocks = bloom.blocks_for(wanted.count())
+    words = bloom.build(wanted, "sha", n_blocks).scalar()
+    # a filter of the members' digests picks their rows, so that the other texts do not move
+    texts = src.select("sha", "text").where(bloom.may_contain(words, F.col("sha"), n_blocks))
+    found = texts.mapInPandas(frugal(sets), "sha string, shingles binary").join(wanted, "sha", "left_semi").groupBy("sha").agg(F.first("shingles").alias("shingles"))
+    payload = some.select("sha", F.col("node").alias("id"), F.lit(1).cast("bigint").alias("weight"), "keys").join(materialise(found, "near-sets"), "sha").drop("sha")
+    links = bucket_links(some.select(F.col("root").alias("of"), F.col("node").alias("id")), ["of"], payload, _Members, lambda data, i, j: data.linked(i, j, threshold), "near")
+    roots = materialise(components(links.select(F.col("id").alias("u"), F.col("root").alias("v"))).distinct(), "near-found")
+    members = materialise(some.select("node", "id", "sha").join(roots, "node").select("root", "id", "sha"), "near-members")
     first = members.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "sha")).alias("keep"))
     kept = materialise(first.select("root", F.col("keep.id").alias("keep_id"), F.col("keep.sha").alias("keep_sha256")), "near-kept")
     return members.join(kept, "root").select(F.col("id").alias(id_col), F.col("sha").alias("text_sha256"), "keep_id", "keep_sha256")

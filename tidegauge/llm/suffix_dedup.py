@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import materialise
+from .common import frugal, materialise
 
 WIDTH = 200
 GRAM = 64
@@ -262,7 +262,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col
                 size.append(len(data))
             yield pd.DataFrame({"id": pdf["id"], "sha": pdf["sha"], "n": size, "pos": pos, "h": h, "ctx": ctx})
 
-    read = src.mapInPandas(sample, "id bigint, sha string, n bigint, pos array<int>, h array<bigint>, ctx array<bigint>")
+    read = src.mapInPandas(frugal(sample), "id bigint, sha string, n bigint, pos array<int>, h array<bigint>, ctx array<bigint>")
     read = materialise(read.withColumn("row", F.monotonically_increasing_id()), "anchors")
     texts = materialise(read.groupBy("sha").agg(F.min("row").alias("rep"), F.count("*").alias("copies")), "texts")
     marks = read.select("row", "id", "sha", "n").join(texts, "sha")
@@ -330,7 +330,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col
         if by:
             yield flush()[RUN_COLUMNS]
 
-    made = materialise(there.mapInPandas(runs, "dest bigint, blob binary, key binary, row bigint, a bigint, done int"), "runs")
+    made = materialise(there.mapInPandas(frugal(runs), "dest bigint, blob binary, key binary, row bigint, a bigint, done int"), "runs")
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         rows, group = [], []
@@ -411,7 +411,7 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, with_tex
                 rows.append((sha, removed, len(merged), hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore") if with_text else None))
             yield pd.DataFrame(rows, columns=["sha", "n_removed", "n_spans", "kept_sha256", "kept_text"])
 
-    done = _needed(src, listed).select("sha", "text", "spans").mapInPandas(cut, "sha string, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string")
+    done = _needed(src, listed).select("sha", "text", "spans").mapInPandas(frugal(cut), "sha string, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string")
     done = materialise(done.dropDuplicates(["sha"]), "cut")
     gone = (F.col("copies") > 1) & (F.col("n") >= width)
     out = marks.join(done, "sha", "left").select(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import PandasUDFType
 
-from .common import materialise
+from .common import frugal, materialise
 from .labelled import fold_of, labelled_sample
 
 # Letters of other scripts that look like Latin ones, and common digit and sign substitutions.
@@ -133,7 +133,7 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
                     yield flush()
         yield flush()
 
-    counts = materialise(sample.mapInPandas(count, "entry string, toxic bigint, clean bigint").groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(f"toxic >= {MIN_DOCS} or entry = ''"), "lexicon")
+    counts = materialise(sample.mapInPandas(frugal(count), "entry string, toxic bigint, clean bigint").groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(f"toxic >= {MIN_DOCS} or entry = ''"), "lexicon")
     totals = counts.where("entry = ''").first()
     if totals is None or not totals.toxic or not totals.clean:
         return {}
@@ -213,9 +213,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds: int
                 if found:
                     yield pd.DataFrame({"phrase": list(found), "toxic": int(y > 0)})
 
-    grouped = sample.mapInPandas(phrases, "phrase string, toxic int").groupBy("phrase").agg(F.sum("toxic").alias("t"), F.count("*").alias("n"))
+    grouped = sample.mapInPandas(frugal(phrases), "phrase string, toxic int").groupBy("phrase").agg(F.sum("toxic").alias("t"), F.count("*").alias("n"))
     lex.exceptions += [r.phrase for r in grouped.where("t = 0 and n >= 3").orderBy(F.desc("n"), "phrase").limit(MAX_ENTRIES).collect()]
-    rows = sample.mapInPandas(measure, "density double, label int").collect()  # max_rows rows at most
+    rows = sample.mapInPandas(frugal(measure), "density double, label int").collect()  # max_rows rows at most
     x, y = np.array([r.density for r in rows]), np.array([float(r.label > 0) for r in rows])
     lex.slope, lex.offset = _calibrate(x, y)
     lex.empty = False
@@ -230,7 +230,7 @@ def score_column(lexicon: Lexicon):
         for texts in parts:
             yield pd.Series([lexicon.score(lexicon.density(a, t)) for t in texts], dtype="float64")
 
-    return F.pandas_udf(run, T.DoubleType(), PandasUDFType.SCALAR_ITER)
+    return F.pandas_udf(frugal(run), T.DoubleType(), PandasUDFType.SCALAR_ITER)
 
 
 def score(docs: DataFrame, lexicon: Lexicon, folds: int = 5, held: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -247,5 +247,5 @@ def score(docs: DataFrame, lexicon: Lexicon, folds: int = 5, held: int = 0, id_c
             yield pd.DataFrame({"id": pdf["id"], "fold": pdf["fold"], "score": [lexicon.score(lexicon.density(a, t)) for t in pdf["text"]]})
 
     own = docs.select(F.col(id_col).cast("bigint").alias("id"), fold_of(F.col(id_col).cast("bigint"), folds).alias("fold"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    out = own.mapInPandas(run, "id bigint, fold int, score double")
+    out = own.mapInPandas(frugal(run), "id bigint, fold int, score double")
     return out.select(F.col("id").alias(id_col), (F.col("fold") == held).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

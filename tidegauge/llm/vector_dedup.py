@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .buckets import bucket_links
-from .common import materialise
+from .common import frugal, materialise
 from .components import components
 
 WIDTH = 2.0
@@ -104,7 +104,7 @@ def vector_near_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str =
                 sig[own] = signatures(x / np.sqrt((x * x).sum(axis=1, keepdims=True)), k, tables)
             yield pd.DataFrame({"id": pdf["id"], "label": pdf["label"], "vec": pdf["vec"], "weight": pdf["weight"], "dims": dims.astype(np.int32), "sig": list(sig)})
 
-    signed = classes.select("id", "label", "vec", "weight").mapInPandas(sign, "id bigint, label string, vec array<double>, weight bigint, dims int, sig array<bigint>")
+    signed = classes.select("id", "label", "vec", "weight").mapInPandas(frugal(sign), "id bigint, label string, vec array<double>, weight bigint, dims int, sig array<bigint>")
     signed = materialise(signed, "vector-signatures")
     keyed = signed.select("label", "dims", "id", F.posexplode("sig").alias("t", "key"))
 

@@ -38,12 +38,28 @@ def test_fingerprints_compose():
         assert part(whole) == exact_dedup.combine(part(left), part(right), len(b))
 
 
+def test_long_texts_are_hashed_in_parts(spark, monkeypatch):
+    """Parts of a text, hashed by rows of their own, combine to the fingerprint of the whole; pieces are compared one by one."""
+    monkeypatch.setattr(exact_dedup, "PART", 50)
+    monkeypatch.setattr(exact_dedup, "PIECE", 7)
+    rng = random.Random(11)
+    long = ["".join(rng.choice("aбc𝄞\n ") for _ in range(n)) for n in (49, 50, 51, 333, 100)]
+    rows = [(i, t) for i, t in enumerate([*long, *long[2:], "", "x", None])]
+    src = docs(spark, rows).selectExpr("doc_id as id", "coalesce(text, '') as text").withColumn("sha", exact_dedup.F.sha2("text", 256))
+    got = {r.id: (r.n, r.fp) for r in exact_dedup.fingerprints(src).collect()}
+    assert got == {i: (len((t or "").encode()), exact_dedup.fingerprint((t or "").encode())) for i, t in rows}
+    kept = {r.doc_id: r.keep_id for r in exact_dedup.exact_dedup(docs(spark, rows)).collect()}
+    assert kept == {i: max(j for j, u in rows if (u or "") == (t or "")) for i, t in rows}
+
+
 @pytest.mark.parametrize("collide", [False, True])
 def test_exact_dedup(spark, monkeypatch, collide):
     if collide:  # every fingerprint equal: the comparison of texts decides
-        monkeypatch.setattr(exact_dedup, "_fingerprint", exact_dedup.F.pandas_udf(lambda t: t.str.len() * 0, "long"))
-        digest = lambda t: exact_dedup.pd.DataFrame({"fp": t.str.len() * 0, "n": t.map(lambda x: len(x.encode())), "sha": t.map(lambda x: hashlib.sha256(x.encode()).hexdigest())})
-        monkeypatch.setattr(exact_dedup, "_digest", exact_dedup.F.pandas_udf(digest, "struct<fp:bigint,n:bigint,sha:string>"))
+        def same(parts):
+            for pdf in parts:
+                yield pdf.drop(columns="text").assign(n=pdf["text"].map(lambda x: len(x.encode())), h0=0, h1=0, s0=1, s1=1)
+
+        monkeypatch.setattr(exact_dedup, "_hash_parts", same)
     rows = [(1, "aa"), (2, "ab"), (3, "aa"), (4, None), (5, ""), (6, "ba"), (7, "ab"), (8, "x" * 50_000), (9, "x" * 50_000), (10, "y"), (None, "z"), (None, "z"), (11, "é")]
     got = sorted(((str(r.doc_id), r.keep_id, r.group_size, r.kept, r.text_sha256) for r in exact_dedup.exact_dedup(docs(spark, rows)).collect()), key=str)
     groups = collections.defaultdict(list)
@@ -215,3 +231,28 @@ def test_url_rules(spark):
     assert got[5] == ("host.org", "", "host.org", "block") and got[6][2] == "host.org"
     none = spark.createDataFrame([], "host string, path string, verdict string")
     assert {r.verdict for r in url_filter(pages, none).collect()} == {"allow"} and url_filter(pages.where("false"), listed).count() == 0
+
+
+def test_large_groups_of_contexts_equal_small_ones(monkeypatch):
+    """The classes of large groups find what comparing all pairs finds, at text ends too."""
+    rng = random.Random(9)
+    reach, gram, found = 136, 64, 0
+    for _ in range(30):
+        rights = [bytes(rng.choice(b"ab") for _ in range(6)) * 30 for _ in range(4)]
+        lefts = [bytes(rng.choice(b"cd") for _ in range(5)) * 30 for _ in range(4)]
+        own = set()
+        for _ in range(60):
+            r, left = bytearray(rng.choice(rights)[: rng.choice([136, 136, 90, 0])]), bytearray(rng.choice(lefts)[: rng.choice([136, 136, 40, 0])])
+            for x in (r, left):
+                if x and rng.random() < 0.7:
+                    x[rng.randrange(len(x))] = 90
+            own.add((b"g" * gram + bytes(r), bytes(left)))
+        own = sorted(own)
+        shared = [-gram, *(suffix_dedup.common(a[0], b[0]) - gram for a, b in zip(own, own[1:]))]
+        args = [(i, left) for i, (_, left) in enumerate(own)], [len(r) for r, _ in own], shared, reach
+        monkeypatch.setattr(suffix_dedup, "SMALL", 1000)
+        want = suffix_dedup.group_spans(*args)
+        monkeypatch.setattr(suffix_dedup, "SMALL", 0)
+        assert suffix_dedup.group_spans(*args) == want
+        found += sum(x[0] >= 0 for x in want)
+    assert found > 100

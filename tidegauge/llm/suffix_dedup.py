@@ -30,11 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import frugal, materialise
+from .common import frugal, give_back, materialise
 
 WIDTH = 200
 GRAM = 64
-GROUP = 2048
+#: Contexts of one gram that one task takes; the windows of larger groups are counted over all tasks.
+GROUP = 1 << 14
 SMALL = 32
 PIECE = 1 << 17
 RUN_BYTES = 4 << 20
@@ -200,7 +201,7 @@ def merge_runs(runs: list[bytes]) -> Iterator[tuple[bytes, bytes, int]]:
             node //= 2
 
 
-def group_spans(entries: list[tuple[int, bytes]], rights: list[int], shared: list[int], reach: int) -> list[tuple[int, int]]:
+def group_spans(entries: list[tuple[int, bytes]], rights: list[int], shared: list[int], reach: int, gram: int = GRAM) -> list[tuple[int, int]]:
     """For each of a gram's contexts the largest (L, R) over all partners with L + R >= reach; (-1, -1) where there is none.
 
     entries: (order, left context backwards), in the sort's order; shared[i]: R of
@@ -218,23 +219,24 @@ def group_spans(entries: list[tuple[int, bytes]], rights: list[int], shared: lis
                     for e in (best[i], best[j]):
                         e[0], e[1] = max(e[0], left), max(e[1], r)
         return [tuple(b) for b in best]
-    lens = np.array([len(e[1]) for e in entries])
-    m = np.zeros((n, reach + 1), np.uint8)
-    for i, (_, left) in enumerate(entries):
-        m[i, : len(left)] = np.frombuffer(left, np.uint8)
-    b = np.full((n, 2), -1)
-    steps = np.array(shared)
-    for i in range(n - 1):
-        r = np.minimum.accumulate(np.minimum(steps[i + 1 :], reach))
-        differ = m[i + 1 :] != m[i]
-        differ[:, reach] = True
-        left = np.minimum(differ.argmax(axis=1), np.minimum(lens[i + 1 :], lens[i]))
-        ok = left + r >= reach
-        if ok.any():
-            b[i] = np.maximum(b[i], (left[ok].max(), r[ok].max()))
-            own = b[i + 1 :]
-            own[ok] = np.maximum(own[ok], np.stack([left[ok], r[ok]], axis=1))
-    return [tuple(map(int, x)) for x in b]
+    # for each split of a window into `left` and `right` bytes round the gram, equal pairs of classes are equal windows
+    order = sorted(range(n), key=lambda i: entries[i][1])
+    steps = np.array([0, *(common(entries[a][1], entries[b][1]) for a, b in zip(order, order[1:]))])
+    place, rights_ = np.array(order), np.minimum(shared, reach)
+    low, high = np.full(n, reach + 1), np.full(n, -1)
+    lengths = np.array([len(e[1]) for e in entries])
+    for left in range(reach + 1):
+        lefts = np.empty(n, np.int64)
+        lefts[place] = np.cumsum(steps < left)
+        # contexts cut short by the text's own ends have no such window
+        whole = (lengths >= left) & (np.array(rights) >= reach - left + gram)
+        key = lefts * n + np.cumsum(rights_ < reach - left)
+        own = np.flatnonzero(whole)
+        _, at, times = np.unique(key[own], return_inverse=True, return_counts=True)
+        hit = own[times[at] > 1]
+        low[hit] = np.minimum(low[hit], left)
+        high[hit] = np.maximum(high[hit], left)
+    return [(int(h), int(reach - l)) if h >= 0 else (-1, -1) for l, h in zip(low, high)]
 
 
 def _needed(src: DataFrame, want: DataFrame) -> DataFrame:
@@ -337,7 +339,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col
 
         def close():
             if len(group) > 1:
-                found = group_spans([(i, g[1]) for i, g in enumerate(group)], [g[0] for g in group], [g[2] for g in group], reach)
+                found = group_spans([(i, g[1]) for i, g in enumerate(group)], [g[0] for g in group], [g[2] for g in group], reach, gram)
                 for (size, _, _, value), (left, right) in zip(group, found):
                     if left >= 0 and not value[1]:
                         row, p = int.from_bytes(value[2:10], "little"), int.from_bytes(value[10:18], "little")
@@ -353,6 +355,8 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col
             group.append((size, key[width:], k - gram, value))
             last = size
         close()
+        del pdf
+        give_back()
         return pd.DataFrame(rows, columns=["row", "a", "b"]).astype({"row": "int64", "a": "int32", "b": "int32"})
 
     sorted_ = made.where("dest >= 0").select("dest", "blob").groupBy("dest").applyInPandas(merge, "row bigint, a int, b int")

@@ -44,3 +44,20 @@ def test_readings_and_variants(spark):
 @pytest.mark.parametrize("line,noise", [("", True), ("12", True), ("1234", False), ("7 — 8", True), ("12 *", True), ("text", False)])
 def test_noise(spark, line, noise):
     assert run(spark, scalar.is_noise, [line]) == [noise]
+
+
+def test_clean_cell_and_tokens(spark):
+    cases = {
+        "7.10": "07.10", "7.10 8.20": "07.10 08.20", "1,25": "1,25", "7.16,5": "07.16,5", "О/п. 56 км": "О/п. 56 км", "**7.45**": "07.45", "6609*/6620*": "6609*/6620*", "\\*x": "*x", " __Огре__ ": "Огре",
+        "12.05": "12.05", "\\*\\*": "**", "**": "**", "6301**": "6301**", "x7.10": "x7.10",
+    }
+    df = spark.createDataFrame([(c,) for c in cases], "c string")
+    got = {r.c: (r.padded, r.kept) for r in df.select("c", scalar.clean_cell(F.col("c")).alias("padded"), scalar.clean_cell(F.col("c"), pad_time=False).alias("kept")).collect()}
+    assert {c: p for c, (p, _) in got.items()} == cases and got["7.10"][1] == "7.10" and got["**7.45**"][1] == "7.45"
+    words = spark.createDataFrame([("Блок- пост 856 км",), ("О/п. X.Y",), ("",)], "c string").select(scalar.tokens(F.col("c")).alias("t")).collect()
+    assert [[tuple(x) for x in r.t] for r in words] == [[("", "Блок"), ("- ", "пост"), (" ", "856"), (" ", "км")], [("", "О"), ("/", "п."), (" ", "X.Y")], []]
+    marks = spark.createDataFrame([("6305*",), ("6320** Д",), ("6533 Д*",), ("6870 ДР*",), ("a*",), ("_b",), ("6305***",), ("plain",)], "c string")
+    odd = {r.c for r in marks.where(scalar.stray_markup(F.col("c"))).collect()}
+    assert odd == {"a*", "_b", "6305***"}
+    n = spark.createDataFrame([(0.25, 1234.5), (0.35, 2.5)], "x double, y double")
+    assert [tuple(r) for r in n.select(scalar.fixed_decimals(F.col("x"), 1), scalar.fixed_decimals(F.col("y"), 0)).collect()] == [("0.2", "1234"), ("0.3", "2")]

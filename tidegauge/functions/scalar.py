@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The clock format, the kilometre format and the marks of readings.
+# The clock and kilometre formats, a lone hour, a footnote mark after a train number, and the marks of readings.
 TIME = r"\A(\d{1,2})[.](\d{2})(,5)?\z"
+LONE_HOUR = r"(?U)\b(\d)\.(\d{2})\b"
+FOOTNOTE = r"(?<=\d)\*{1,2}|(?<=\d Д)\*{1,2}|(?<=\d ДР)\*{1,2}"
 KM = r"\A\d{1,4}[.,]\d\z"
 OPEN, BAR, CLOSE, EMPTY = "⟨", "¦", "⟩", "∅"
 DAY = 86400
@@ -17,12 +19,12 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)\A\s+|\s+\z", "")
 
 
-def clean_cell(c: Column) -> Column:
-    """Strip; drop emphasis round the whole cell; unescape; pad a lone hour; strip."""
+def clean_cell(c: Column, pad_time: bool | Column = True) -> Column:
+    """Strip; drop emphasis round the whole cell; unescape; pad lone hours anywhere in it (columns of names and distances: pad_time false); strip."""
     c = F.regexp_replace(strip(c), r"(?s)\A(\*\*|__|\*|_)(\S(?:.*\S)?)\1\z", "$2")
     c = F.regexp_replace(c, r"\\([*_])", "$1")
-    c = F.regexp_replace(c, r"\A(\d)([.,]\d{2}(?:,5)?)\z", "0$1$2")
-    return strip(c)
+    padded = F.regexp_replace(c, LONE_HOUR, "0$1.$2")
+    return strip(F.when(pad_time, padded).otherwise(c) if isinstance(pad_time, Column) else padded if pad_time else c)
 
 
 def time_seconds(c: Column) -> Column:
@@ -85,17 +87,32 @@ def number_shape(c: Column) -> Column:
 
 def odd_letters(c: Column) -> Column:
     """Letters outside Cyrillic, Roman numerals aside."""
-    return F.regexp_extract_all(F.regexp_replace(c, r"\b[IVX]+\b", ""), F.lit(r"[\p{L}&&[^А-яёЁ]]"), F.lit(0))
+    return F.regexp_extract_all(F.regexp_replace(c, r"(?<![A-Za-z])[IVX]+(?![A-Za-z])", ""), F.lit(r"[\p{L}&&[^А-яёЁ]]"), F.lit(0))
 
 
 def tokens(c: Column) -> Column:
-    """Words, each with the separator before it."""
+    """Words between white space, / and -, each with the separator printed before it."""
     return F.transform(
-        F.regexp_extract_all(c, F.lit(r"([\s.\-]*)([^\s.\-]+)"), F.lit(0)),
-        lambda t: F.struct(F.regexp_extract(t, r"\A([\s.\-]*)", 1).alias("before"), F.regexp_extract(t, r"([^\s.\-]+)\z", 1).alias("word")),
+        F.regexp_extract_all(c, F.lit(r"(?U)[\s/-]*[^\s/-]+"), F.lit(0)),
+        lambda t: F.struct(F.regexp_extract(t, r"(?U)\A[\s/-]*", 0).alias("before"), F.regexp_extract(t, r"(?U)[^\s/-]+\z", 0).alias("word")),
     )
 
 
+def stray_markup(c: Column) -> Column:
+    """Whether a * or _ is left that is no footnote mark."""
+    return F.regexp_replace(c, FOOTNOTE, "").rlike(r"[*_]")
+
+
+def one_cell(text: Column, at: Column, width: Column) -> Column:
+    """A row of `width` blanks with `text` in place `at`."""
+    return F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.when(i == at, text).otherwise(""))
+
+
+def fixed_decimals(x: Column, places: int) -> Column:
+    """A number with so many decimals, halves to even, without grouping commas."""
+    return F.replace(F.format_number(x.cast("double"), places), F.lit(","), F.lit(""))
+
+
 def is_noise(c: Column) -> Column:
     """Blank lines, page numbers and sheet marks."""
     return c.rlike(r"\A\s*\z") | c.rlike(r"\A\d{1,3}\z") | c.rlike(r"\A\d+\s*(—\s*\d+|\\?\*)\z")

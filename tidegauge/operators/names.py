@@ -11,6 +11,12 @@ from pyspark.sql import types as T
 
 from tidegauge.functions import scalar
 from tidegauge.operators import fuzzy
+from tidegauge.sources.shared import stage
+
+# Roman numbers in names, the word of a head of names, and what stands in a column of names without being one.
+ROMAN = ["I", "II", "III", "IV", "V"]
+NAME_HEAD = "пункт"
+NO_NAME = r"(?U)\A[\d.,\s—\-]*\z|\A№|\AРазд|\AПрибытие\z|\A∅\z"
 
 
 @F.pandas_udf(T.StringType())
@@ -19,33 +25,78 @@ def name_key(name: pd.Series) -> pd.Series:
     return name.map(lambda n: None if n is None else unicodedata.normalize("NFC", n).lower())
 
 
-def odd_letter_names(names: DataFrame, name: str) -> DataFrame:
-    """(name, letter): names with a letter of another script."""
-    return names.select(name, F.explode(F.array_distinct(scalar.odd_letters(F.col(name)))).alias("letter"))
-
-
 def broken_hyphens(names: DataFrame, name: str) -> DataFrame:
     """Names with a hyphen that a space follows."""
     return names.where(F.col(name).rlike(r"\S- "))
 
 
 def hyphen_lookups(names: DataFrame, name: str) -> DataFrame:
-    """(joined, match): hyphenated words without their hyphen that are within one edit of a word in the names; the least match."""
-    words = names.select(F.explode(F.split(name_key(F.col(name)), r"\s+")).alias("key")).where("key <> ''").distinct()
-    joined = words.where(F.col("key").rlike(r"\A[^-]+-[^-]+\z")).select(F.replace("key", F.lit("-"), F.lit("")).alias("key")).distinct()
-    plain = words.where(~F.contains("key", F.lit("-")))
-    near = fuzzy.within_distance(joined, plain, 1).select(F.col("x").alias("joined"), F.col("y").alias("match"))
-    same = joined.join(plain, "key").select(F.col("key").alias("joined"), F.col("key").alias("match"))
-    return near.unionByName(same).groupBy("joined").agg(F.min("match").alias("match"))
+    """(name, printed, match): names with a hyphen inside a word whose parts join, give or take one edit, into a word of four letters or more in the names: the least such word. Of several hyphens the last that does."""
+    words = names.select(F.explode(F.regexp_extract_all(F.col(name), F.lit("[А-яЁё]{4,}"), F.lit(0))).alias("word")).distinct()
+    words = words.withColumn("key", name_key("word"))
+    both = F.regexp_extract_all(F.col(name), F.lit("([А-яЁё]{2,})-([а-яё]{2,})"), F.lit(0))
+    split = names.select(F.col(name).alias("name")).distinct().select("name", F.posexplode(both.alias("printed") if name == "name" else F.regexp_extract_all("name", F.lit("([А-яЁё]{2,})-([а-яё]{2,})"), F.lit(0))).alias("at", "printed"))
+    split = split.withColumn("key", name_key(F.replace("printed", F.lit("-"), F.lit(""))))
+    joined, plain = split.select("key").distinct(), words.select("key").distinct()
+    near = fuzzy.within_distance(joined, plain, 1).select(F.col("x").alias("key"), F.col("y").alias("other"))
+    near = near.unionByName(joined.join(plain, "key").select("key", F.col("key").alias("other")))
+    least = near.join(words.withColumnRenamed("key", "other"), "other").groupBy("key").agg(F.min("word").alias("match"))
+    return split.join(least, "key").groupBy("name").agg(F.max(F.struct("at", "printed", "match")).alias("m")).select("name", "m.printed", "m.match")
+
+
+def checks(names: DataFrame, name: str) -> DataFrame:
+    """(name, k, why): distinct names with a letter of another script, a hyphen that a space follows, or a hyphen that splits a known word."""
+    own = names.select(F.col(name).alias("name")).distinct()
+    odd = own.withColumn("odd", scalar.odd_letters(F.col("name"))).where(F.size("odd") > 0).select("name", F.lit(0).alias("k"), F.concat(F.lit("letter "), letter_names("odd")).alias("why"))
+    broken = broken_hyphens(own, "name").select("name", F.lit(1).alias("k"), F.lit("«- » from a line break").alias("why"))
+    joined = hyphen_lookups(own, "name").select("name", F.lit(2).alias("k"), F.concat(F.lit("«-» from a line break: "), F.col("printed"), F.lit(" joins into "), F.col("match")).alias("why"))
+    return odd.unionByName(broken).unionByName(joined)
+
+
+@F.pandas_udf(T.StringType())
+def letter_names(letters: pd.Series) -> pd.Series:
+    """Letters with their Unicode names, as a list in text; Spark has no function for them."""
+    return letters.map(lambda own: ", ".join(f"{c} ({unicodedata.name(c, 'no name')})" for c in own))
+
+
+def route_parts(text):
+    """The names in a printed route, `A—B, C · D—E`, as an array: of 3 to 29 characters, without numbers, without a final full stop; capitals as a name."""
+    bare = lambda c, marks: F.regexp_replace(scalar.strip(c), rf"\A[{marks}]+|[{marks}]+\z", "")
+    parts = F.flatten(F.transform(F.split(text, "[·¦,]"), lambda p: F.split(bare(p, "⟨⟩#"), "—")))
+    clean = F.transform(parts, lambda p: scalar.strip(bare(p, "⟨⟩#")))
+    clean = F.transform(clean, lambda p: F.when(p.rlike(r"(?U)(\A|[\s-])[А-ЯЁ][^\s-]*\.\z"), F.regexp_replace(p, r"\.\z", "")).otherwise(p))
+    kept = F.filter(clean, lambda p: F.length(p).between(3, 29) & ~p.rlike(r"(?U)[\d№]"))
+    return F.transform(kept, lambda p: F.when((p == F.upper(p)) & (p != F.lower(p)), F.concat(F.substring(p, 1, 1), F.lower(F.substring(p, F.lit(2), F.length(p))))).otherwise(p))
 
 
 def route_names(lines: DataFrame, text: str) -> DataFrame:
-    """(name) of printed routes: split at marks and long dashes; of 3 to 29 characters without digits; capitals as a name."""
-    parts = F.flatten(F.transform(F.split(F.col(text), "[·¦,]"), lambda p: F.split(p, "—")))
-    clean = F.transform(parts, lambda p: scalar.strip(F.regexp_replace(p, r"[⟨⟩*_]", "")))
-    clean = F.transform(clean, lambda p: F.when(p.rlike(r"\A[А-ЯЁ][а-яё]+\.\z"), F.regexp_replace(p, r"\.\z", "")).otherwise(p))
-    named = F.transform(clean, lambda p: F.when((p == F.upper(p)) & (p != F.lower(p)), F.concat(F.substring(p, 1, 1), F.lower(F.substring(p, F.lit(2), F.length(p))))).otherwise(p))
-    return lines.select(F.explode(F.filter(named, lambda p: F.length(p).between(3, 29) & ~p.rlike(r"[\d№]"))).alias("name"))
+    """(name) of printed routes."""
+    return lines.select(F.explode(route_parts(F.col(text))).alias("name"))
+
+
+def spellings(cell):
+    """The readings of a cell that are names, as an array: no numbers, train numbers, head words or blanks."""
+    return F.filter(F.transform(scalar.readings(cell), scalar.strip), lambda n: (n != "") & ~n.rlike(NO_NAME))
+
+
+def collect_names(lines: DataFrame) -> DataFrame:
+    """(name, file, line) of every name printed in files given as (file, line, text), lines from 1.
+
+    In tables the names stand in the column that the last head row calls so, the first one before any
+    and after other text; notes and routes in other cells, and routes in text, count too.
+    """
+    piped = F.startswith("text", F.lit("|"))
+    cells = F.transform(F.split(F.regexp_replace(scalar.strip(F.col("text")), r"\A\|+|\|+\z", ""), r"\|"), scalar.strip)
+    rows = lines.withColumn("cells", F.when(piped & ~F.startswith("text", F.lit("|=")), cells))
+    at = F.array_position(F.transform("cells", lambda c: F.contains(F.lower(c), F.lit(NAME_HEAD))), True)
+    rows = rows.withColumn("head", F.when(at > 0, at - 1))
+    other = ~piped & (scalar.strip(F.col("text")) != "")
+    w = Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("col", F.coalesce(F.last(F.coalesce("head", F.when(other, 0)), ignorenulls=True).over(w), F.lit(0)))
+    one = F.transform("cells", lambda c, i: F.when(i == F.col("col"), spellings(c)).when(c.rlike("\\AНа [А-ЯЁ]"), F.array(c)).when(F.contains(c, F.lit("—")) & c.rlike("[А-яЁё]"), route_parts(c)).otherwise(F.array().cast("array<string>")))
+    found = rows.where("cells is not null and head is null").select("file", "line", F.explode(F.flatten(one)).alias("name"))
+    routes = rows.where(~piped & F.contains("text", F.lit("—")) & ~F.col("text").rlike(r"\A(#|Не |Поезд)")).select("file", "line", F.explode(route_parts(F.col("text"))).alias("name"))
+    return found.unionByName(routes).select("name", "file", "line")
 
 
 def occurrences(names: DataFrame, name: str, place: str) -> DataFrame:
@@ -53,54 +104,160 @@ def occurrences(names: DataFrame, name: str, place: str) -> DataFrame:
     return names.groupBy(name).agg(F.count("*").alias("n"), F.array_sort(F.collect_set(place)).alias("places"))
 
 
-@F.pandas_udf(T.StringType())
-def notation_difference(a: pd.Series, b: pd.Series) -> pd.Series:
-    """How two names differ in notation alone: abbreviation, number, or word before a milepost; null for any other difference."""
-    return pd.Series([_difference(x, y) for x, y in zip(a, b)])
-
-
-_ROMAN = set("IVXLCDM")
-
-
-def _kind(word: str) -> str:
-    if word and set(word) <= _ROMAN or word.replace(",", "").isdigit():
-        return "number"
-    return "abbreviation" if word.endswith(".") else "word"
-
-
-def _difference(a: str, b: str) -> str | None:
-    x, y = a.split(), b.split()
-    i = 0
-    while i < min(len(x), len(y)) and x[i].lower() == y[i].lower():
-        i += 1
-    j = 0
-    while j < min(len(x), len(y)) - i and x[-1 - j].lower() == y[-1 - j].lower():
-        j += 1
-    p, q = x[i : len(x) - j], y[i : len(y) - j]
-    if not i + j or not (p or q):
-        return None
-    if len(p) == len(q) == 1:
-        if {_kind(p[0]), _kind(q[0])} == {"number"}:
-            return "number"
-        short, full = sorted((p[0].rstrip(".").lower(), q[0].rstrip(".").lower()), key=len)
-        if "." in p[0] + q[0] and full.startswith(short):
-            return "abbreviation"
-        return None
-    if not (p and q) and j and x[-1].lower() == "км":
-        return "word before a milepost"
-    return None
-
-
-def notation_pairs(names: DataFrame, name: str) -> DataFrame:
-    """(x, y, why) of names that differ in notation only. Such names share their first or last word, so they meet on it and no pair is formed otherwise."""
-    n = names.select(F.col(name).alias("x")).where("x is not null").distinct().withColumn("w", F.split(F.lower("x"), r"\s+"))
-    ends = n.select("x", F.explode(F.array_distinct(F.array(F.concat(F.lit("<"), F.element_at("w", 1)), F.concat(F.lit(">"), F.element_at("w", -1))))).alias("k"))
-    pairs = ends.join(ends.withColumnRenamed("x", "y"), "k").where("x < y").select("x", "y").distinct()
-    return pairs.withColumn("why", notation_difference("x", "y")).where("why is not null")
-
-
-def station_column(cells: DataFrame, keys: list[str], order: str, cells_col: str, header_word: str) -> DataFrame:
-    """cells with `station_col`: the position of the header word, carried forward from the last row that has it (0 before)."""
-    at = F.array_position(F.transform(F.col(cells_col), lambda c: F.contains(F.lower(c), F.lit(header_word))), True)
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return cells.withColumn("station_col", F.coalesce(F.last(F.when(at > 0, at - 1), ignorenulls=True).over(w), F.lit(0)))
+def _worded(df: DataFrame, name: str) -> DataFrame:
+    """df with words, seps (printed before each) and short (whether a word is an abbreviation: it ends in a full stop, or is one letter before a /)."""
+    df = df.withColumn("_t", scalar.tokens(F.col(name)))
+    df = df.withColumn("words", F.transform("_t", lambda t: t["word"])).withColumn("seps", F.transform("_t", lambda t: t["before"])).drop("_t")
+    short = F.transform("words", lambda w, i: F.endswith(w, F.lit(".")) | (w.rlike(r"\A\p{L}\z") & (F.coalesce(F.get("seps", i + 1), F.lit("")) == "/")))
+    return df.withColumn("short", short)
+
+
+def _bare(word):
+    return F.lower(F.regexp_replace(word, r"(?U)[^\w]", ""))
+
+
+def notation_parts(names: DataFrame, name: str) -> DataFrame:
+    """(name, place, key, printed): the abbreviations in front of a name, and an abbreviation or Roman number at its end; the key ignores case and signs."""
+    df = _worded(names.select(F.col(name).alias("name")).where("name is not null").distinct(), "name")
+    n = F.size("words")
+    run = F.when(F.array_contains("short", False), F.array_position("short", False) - 1).otherwise(n)
+    df = df.withColumn("i", F.least(run, F.greatest(n - 1, F.lit(0))).cast("int"))
+    lead = F.slice(F.zip_with("seps", "words", lambda s, w: F.concat(s, w)), F.lit(1), F.col("i"))
+    front = F.struct(F.lit("front").alias("place"), F.array_join(F.transform(F.slice("words", F.lit(1), F.col("i")), _bare), "").alias("key"), F.concat(F.array_join(lead, ""), F.get("seps", F.col("i")), F.lit("…")).alias("printed"))
+    last, sep = F.get("words", n - 1), F.get("seps", n - 1)
+    tail = (n > 1) & (F.col("i") < n - 1)
+    roman = F.struct(F.lit("end").alias("place"), F.lit("Roman number").alias("key"), F.concat(F.lit("…"), sep, F.lit("I…")).alias("printed"))
+    short = F.struct(F.lit("end").alias("place"), _bare(last).alias("key"), F.concat(F.lit("…"), sep, last).alias("printed"))
+    ends = F.when(tail & last.isin(ROMAN), roman).when(tail & F.endswith(last, F.lit(".")) & last.rlike(r"\A\p{Ll}") & (F.length(last) > 2), short)
+    parts = F.filter(F.array(F.when(F.col("i") > 0, front), ends), lambda p: p.isNotNull())
+    return df.select("name", F.explode(parts).alias("p")).select("name", "p.place", "p.key", "p.printed")
+
+
+def _initials(word):
+    return F.when(word == "#", "#").otherwise(F.substring(_bare(word), 1, 1))
+
+
+def notation_links(names: DataFrame, name: str) -> DataFrame:
+    """(why, x, y), x < y: shapes of names (numbers as #) that differ in notation alone.
+
+    * number: one word is a number in one and the same Roman number in the other;
+    * abbreviation: words stand against their abbreviations, in either direction, and the first
+      or the last word agrees; numbers agree whatever they are;
+    * word before a milepost: `78 км` and `Пост 78 км`.
+
+    Each kind meets on a key of its own (the words with the number taken out and its value; the words' initials, over
+    distinct shapes; the milepost), so no other pairs are formed.
+    """
+    own = names.select(F.col(name).alias("name")).where("name is not null").distinct().withColumn("shape", scalar.number_shape(F.col("name")))
+    worded = _worded(own, "name")
+    number = lambda w: w.rlike(r"(?U)\A[\d,]+\z")
+    plain = F.transform("words", lambda w: F.when(number(w), "#").otherwise(w))
+    at = worded.where(F.size("words") > 1).select("shape", plain.alias("words"), F.posexplode("words").alias("i", "w"))
+    key = F.array_join(F.transform("words", lambda w, j: F.when(j == F.col("i"), "#").otherwise(w)), "\x00")
+    value = F.when(F.col("w").isin(ROMAN), F.array_position(F.array(*map(F.lit, ROMAN)), F.col("w")).cast("string")).when(F.col("w").rlike(r"\A\d+\z"), F.regexp_replace("w", r"\A0+(?=\d)", ""))
+    at = at.select("shape", "i", key.alias("key"), value.alias("value"), F.col("w").isin(ROMAN).alias("roman")).where("value is not null").distinct()
+    r, a = at.where("roman").drop("roman"), at.where("not roman").drop("roman")
+    numbers = r.withColumnRenamed("shape", "x").join(a.withColumnRenamed("shape", "y"), ["i", "key", "value"]).select(F.lit("number").alias("why"), "x", "y")
+
+    forms = _worded(own.select("shape").distinct(), "shape").withColumn("key", F.array_join(F.transform("words", _initials), "\x00"))
+    forms = forms.where(F.array_contains("short", True)).select("shape", "words", "short", "key")
+    full = _worded(own.select("shape").distinct(), "shape").withColumn("key", F.array_join(F.transform("words", _initials), "\x00")).select(F.col("shape").alias("y"), F.col("words").alias("v"), F.col("short").alias("full_short"), "key")
+    pairs = forms.withColumnRenamed("shape", "x").join(full, "key").where("x <> y")
+    abbreviates = lambda x, y: ~F.endswith(y, F.lit(".")) & y.rlike(r"\A\p{L}+\z") & (F.length(_bare(x)) < F.length(y)) & (_bare(x) != "") & F.startswith(F.lower(y), _bare(x))
+    both = F.transform("words", lambda w, i: F.when(w == F.get("v", i), 0).when(F.get("short", i) & abbreviates(w, F.get("v", i)), 1).when(F.get("full_short", i) & abbreviates(F.get("v", i), w), 1).otherwise(2))
+    pairs = pairs.withColumn("d", both).where(F.exists("d", lambda d: d == 1) & ~F.exists("d", lambda d: d == 2) & ((F.element_at("d", 1) == 0) | (F.element_at("d", -1) == 0)))
+    short = pairs.select(F.lit("abbreviation").alias("why"), "x", "y")
+
+    post = own.where(F.col("name").rlike(r"(?U)\A[\d,]+ км\z")).select(F.col("name").alias("post"), F.col("shape").alias("x"))
+    word = own.where(F.col("name").rlike(r"(?U)\A[А-ЯЁ][а-яё]{2,} [\d,]+ км\z")).select(F.regexp_replace("name", r"\A[^ ]+ ", "").alias("post"), F.col("shape").alias("y"))
+    posts = post.join(word, "post").select(F.lit("word before a milepost").alias("why"), "x", "y")
+    out = numbers.unionByName(short).unionByName(posts).where("x <> y")
+    return out.select("why", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+
+
+def notations(names: DataFrame, name: str) -> DataFrame:
+    """(why, group, printed, name): every name of each part that is printed in more than one way, and of each group of shapes linked by one kind of difference."""
+    parts = notation_parts(names, name)
+    ways = parts.groupBy("place", "key").agg(F.countDistinct("printed").alias("n")).where("n > 1")
+    found = parts.join(ways, ["place", "key"]).select(F.concat("place", F.lit(" part printed "), F.col("n").cast("string"), F.lit(" ways")).alias("why"), F.concat_ws("\x00", F.lit("part"), "place", "key").alias("group"), "printed", "name")
+    links = notation_links(names, name)
+    node = lambda c: F.concat_ws("\x00", "why", c)
+    groups = fuzzy.components(links.select(node("x").alias("u"), node("y").alias("v")))
+    groups = groups.select(F.split("node", "\x00")[0].alias("why"), F.split("node", "\x00")[1].alias("printed"), F.concat_ws("\x00", F.lit("shape"), "component").alias("group"))
+    shaped = names.select(F.col(name).alias("name")).where("name is not null").distinct().withColumn("printed", scalar.number_shape(F.col("name")))
+    return found.unionByName(groups.join(shaped, "printed").select("why", "group", "printed", "name"))
+
+
+def set_against(found: DataFrame) -> DataFrame:
+    """(x, y), x < y: names that a notation finding prints in two ways."""
+    a = found.select("group", F.col("printed").alias("p"), F.col("name").alias("x"))
+    b = found.select("group", F.col("printed").alias("q"), F.col("name").alias("y"))
+    return a.join(b, "group").where("p <> q and x < y").select("x", "y").distinct()
+
+
+def pair_levels(names: DataFrame, name: str, max_dist: int, ratio: float) -> DataFrame:
+    """(d, x, y), x < y: names whose keys are within max_dist edits and `ratio` of the shorter key, each pair at its distance."""
+    own = names.select(F.col(name).alias("name")).distinct().withColumn("key", name_key("name"))
+    keys = fuzzy.fuzzy_pairs(own, max_dist, ratio)
+    a, b = own.select(F.col("key").alias("x"), F.col("name").alias("nx")), own.select(F.col("key").alias("y"), F.col("name").alias("ny"))
+    return keys.join(a, "x").join(b, "y").select("d", F.least("nx", "ny").alias("x"), F.greatest("nx", "ny").alias("y"))
+
+
+def pattern(p: str) -> str:
+    """A golden notation as a regular expression: … is any text, # a number."""
+    import re
+
+    return "(?U)\\A" + "".join({"…": ".*", "#": r"[\d,]+"}.get(c, re.escape(c)) for c in p) + "\\z"
+
+
+def golden_score(names: DataFrame, golden: list[tuple[str, str, str, str]], max_dist: int, ratio: float) -> DataFrame:
+    """(line, tag, form, target, count, got, result) of golden lines (tag, form, target, count) against printed names (one row an occurrence).
+
+    A line with … or # is found if every name printed as the form is set against one printed as the target; another
+    if the two are paired, flagged by a check or set against each other. Otherwise the result says what is missing.
+    """
+    spark = names.sparkSession
+    counts = stage(names.groupBy("name").agg(F.count("*").alias("n")), "counts")
+    noted = stage(notations(counts, "name").select("group", "printed", "name").distinct(), "noted")
+    lines = spark.createDataFrame([(i, *g, any(c in g[1] for c in "…#"), pattern(g[1]), pattern(g[2])) for i, g in enumerate(golden)], "line int, tag string, form string, target string, count string, wild boolean, fp string, tp string")
+    lines = F.broadcast(lines)  # a golden sample is a short list made by hand
+    # patterns
+    wild = lines.where("wild")
+    fs = counts.join(wild.select("line", "fp"), F.regexp_like("name", F.col("fp"))).select("line", "name", "n")
+    ts = counts.join(wild.select("line", "tp"), F.regexp_like("name", F.col("tp"))).select("line", F.col("name").alias("t"))
+    a = fs.join(noted, "name")
+    b = ts.join(noted.select("group", F.col("printed").alias("q"), F.col("name").alias("t")), "t")
+    met = a.join(b, ["line", "group"]).where("printed <> q and name <> t").select("line", "name").distinct()
+    forms = fs.join(met.withColumn("met", F.lit(True)), ["line", "name"], "left").groupBy("line").agg(
+        F.sum("n").alias("got"), F.count("*").alias("nf"), F.array_sort(F.collect_list(F.when(F.col("met").isNull(), F.col("name")))).alias("left")
+    )
+    wide = wild.join(forms, "line", "left").join(ts.groupBy("line").agg(F.count("*").alias("nt")), "line", "left")
+    text = lambda *c: F.concat(*[F.col(x).cast("string") if isinstance(x, str) and x in ("nf", "nt", "miss", "d") else F.lit(x) for x in c])
+    wide = wide.withColumn("miss", F.size(F.coalesce("left", F.array().cast("array<string>"))))
+    wide = wide.withColumn("result", F.when(F.col("nf").isNull(), "MISS form not in dir").when(F.col("nt").isNull(), "MISS target not printed")
+        .when(F.col("miss") > 0, F.concat(text("MISS notation, ", "miss", " of ", "nf", " names not set against the target: "), F.array_join("left", ", ")))
+        .otherwise(text("found by notations (", "nf", " names ~ ", "nt", " names)")))
+    # names
+    plain = lines.where("not wild").withColumn("kf", name_key("form")).withColumn("kt", name_key("target")).withColumn("d", F.levenshtein("kf", "kt"))
+    shorter = F.least(F.length("form"), F.length("target"))
+    plain = plain.withColumn("ratio", F.col("d") / shorter)
+    have = counts.select(F.col("name").alias("form"), F.col("n").alias("got"))
+    plain = plain.join(have, "form", "left").join(counts.select(F.col("name").alias("target"), F.lit(True).alias("printed_target")), "target", "left")
+    flagged = checks(counts, "name").select(F.col("name").alias("form")).distinct().withColumn("flagged", F.lit(True))
+    plain = plain.join(flagged, "form", "left")
+    x, y = noted.select("group", F.col("printed").alias("p"), F.col("name").alias("form")), noted.select("group", F.col("printed").alias("q"), F.col("name").alias("target"))
+    against = plain.select("line", "form", "target").join(x, "form").join(y, ["group", "target"]).where("p <> q and form <> target").select("line").distinct().withColumn("noted", F.lit(True))
+    plain = plain.join(against, "line", "left")
+    paired = F.col("printed_target") & F.col("d").between(1, max_dist) & (F.col("d") / F.least(F.length("kf"), F.length("kt")) <= ratio)
+    plain = plain.withColumn("result", F.when(F.col("got").isNull(), "MISS form not in dir").when(paired, F.concat(F.lit("found at d"), F.col("d").cast("string"), F.when(F.col("flagged"), "; flagged by checks").otherwise("")))
+        .when(F.col("flagged"), "found by checks").when(F.col("noted"), "found by notations").when(F.col("printed_target").isNull(), "MISS target not printed")
+        .otherwise(F.concat(F.lit("MISS d"), F.col("d").cast("string"), F.lit(", ratio "), scalar.fixed_decimals(F.col("ratio"), 2))))
+    keep = ["line", "tag", "form", "target", "count", F.coalesce("got", F.lit(0)).cast("bigint").alias("got"), "result"]
+    return wide.select(*keep).unionByName(plain.select(*keep))
+
+
+def unexplained(pairs: DataFrame, golden: list[tuple[str, str, str, str]]) -> DataFrame:
+    """Pairs neither name of which a golden line has."""
+    told = pairs.sparkSession.createDataFrame([(g[i],) for g in golden for i in (1, 2)], "told string").distinct()
+    told = F.broadcast(told)  # a short list made by hand
+    return pairs.join(told, F.col("x") == F.col("told"), "left_anti").join(told, F.col("y") == F.col("told"), "left_anti")

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegauge.functions.scalar import strip
+
+# How rules are written, and the words of a second head row.
 SEPARATOR = r"\A\s*\|?(\s*:?-+:?\s*\|)*\s*:?-+:?\s*\|?\s*\z"
+PAIR_WORDS = r"(?iu)\A(приб|отпр)\.?\z"
 HEAD_RULE = r"\A\s*\|?(\s*=+\s*\|)*\s*=+\s*\|?\s*\z"
 
 
@@ -23,15 +27,88 @@ def pipe_cells(lines: DataFrame, id_col: str) -> DataFrame:
     return rows.withColumn("cell", F.regexp_replace("cell", r"\A[ \t\r]+|[ \t\r]+\z", ""))
 
 
-def pad_width(cells: DataFrame, table: list[str], row: str) -> DataFrame:
-    """(table..., row, width, n_cells): each row's cells against the widest row of its table."""
-    rows = cells.groupBy(*table, row).agg(F.count("*").alias("n_cells"))
-    return rows.withColumn("width", F.max("n_cells").over(Window.partitionBy(*table)))
-
-
 def render_table(cells: DataFrame, table: list[str], row: str, col: str, text: str) -> DataFrame:
     """(table..., row, line): rows as `| a | b |`, each column padded to its widest cell in the table."""
     w = cells.withColumn("_w", F.max(F.length(text)).over(Window.partitionBy(*table, col)))
     w = w.withColumn("_t", F.rpad(text, F.col("_w"), " "))
     line = F.concat(F.lit("| "), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(col).alias("c"), F.col("_t").alias("t")))), lambda x: x["t"]), " | "), F.lit(" |"))
     return w.groupBy(*table, row).agg(line.alias("line"))
+
+
+def _lines(text):
+    """Cells of the lines that begin with a pipe, outer pipes dropped."""
+    found = F.filter(F.transform(F.split(text, "\n"), strip), lambda t: F.startswith(t, F.lit("|")))
+    return F.transform(found, lambda t: F.transform(F.split(F.regexp_replace(t, r"\A\|+|\|+\z", ""), r"\|"), strip))
+
+
+def _ruled(cells, marks: str):
+    return F.forall(cells, lambda c: c.rlike(rf"\A[{marks}]+\z"))
+
+
+def _padded(cells, width):
+    return F.concat(cells, F.array_repeat(F.lit(""), F.greatest(width - F.size(cells), F.lit(0)).cast("int")))
+
+
+def read_gfm(df: DataFrame, text: str, prefix: str = "g_") -> DataFrame:
+    """df with g_rows (array of cell arrays, padded), g_head (number of head rows) and g_width of the GitHub-style table in `text`; null where it has no rows.
+
+    The rows above the last rule are the head, and so are those under it whose cells, but
+    for the first one, are only the words of arrivals and departures. Everything is
+    computed inside a row of df: no shuffle.
+    """
+    r, h, w, n = (f"{prefix}{x}" for x in ("raw", "head", "width", "rows"))
+    df = df.withColumn(r, F.transform(_lines(F.coalesce(F.col(text), F.lit(""))), lambda c: F.struct(c.alias("c"), (_ruled(c, "-: ") & (F.size(c) > 0)).alias("rule"))))
+    body = F.filter(F.col(r), lambda x: ~x["rule"])
+    rules = F.transform(r, lambda x: x["rule"])
+    last = F.size(r) - F.array_position(F.reverse(rules), True) + 1  # place of the last rule
+    above = F.when(F.array_contains(rules, True), F.size(F.filter(F.slice(r, F.lit(1), last.cast("int")), lambda x: ~x["rule"]))).otherwise(0)
+    df = df.withColumn(w, F.array_max(F.transform(body, lambda x: F.size(x["c"])))).withColumn(h, above)
+    df = df.withColumn(n, F.transform(body, lambda x: _padded(x["c"], F.col(w))))
+    more = F.slice(n, F.col(h) + 1, F.greatest(F.size(n) - F.col(h), F.lit(0)))
+    words = F.transform(more, lambda c: F.filter(F.slice(c, 2, 4096), lambda x: x != ""))
+    is_head = F.transform(words, lambda c: (F.size(c) > 0) & F.forall(c, lambda x: x.rlike(PAIR_WORDS)))
+    stop = F.array_position(is_head, False)
+    df = df.withColumn(h, F.when(F.col(w).isNotNull(), F.col(h) + F.when(stop > 0, stop - 1).otherwise(F.size(more)).cast("int")))
+    return df.withColumn(n, F.when(F.col(w).isNotNull(), F.col(n))).drop(r)
+
+
+def read_book_table(df: DataFrame, text: str, prefix: str = "t_") -> DataFrame:
+    """df with t_items (array of (kind, cells): head, row, band or rule), t_width and t_head (rows and bands up to the last head row) of the table in `text`.
+
+    A rule of = ends the head; a row of one cell in a wider table is a band. No shuffle.
+    """
+    r, i, w, h = (f"{prefix}{x}" for x in ("raw", "items", "width", "head"))
+    kind = lambda c: F.when(_ruled(c, "-=: ") & F.exists(c, lambda x: F.contains(x, F.lit("="))), "head rule").when(_ruled(c, "-=: "), "rule").otherwise("row")
+    df = df.withColumn(r, F.transform(_lines(F.coalesce(F.col(text), F.lit(""))), lambda c: F.struct(kind(c).alias("kind"), c.alias("cells"))))
+    df = df.withColumn(w, F.coalesce(F.array_max(F.transform(F.filter(r, lambda x: x["kind"] == "row"), lambda x: F.size(x["cells"]))), F.lit(0)))
+    band = F.transform(r, lambda x: F.struct(F.when((x["kind"] == "row") & (F.size(x["cells"]) == 1) & (F.col(w) > 1), "band").otherwise(x["kind"]).alias("kind"), x["cells"].alias("cells")))
+    df = df.withColumn(r, band)
+    kinds = F.transform(r, lambda x: x["kind"])
+    last = F.when(F.array_contains(kinds, "head rule"), F.size(r) - F.array_position(F.reverse(kinds), "head rule") + 1).otherwise(0).cast("int")
+    df = df.withColumn(f"{prefix}last", last)
+    marked = F.transform(r, lambda x, n: F.struct(F.when((x["kind"] == "row") & (n < F.col(f"{prefix}last")), "head").otherwise(x["kind"]).alias("kind"), F.when(x["kind"] == "row", _padded(x["cells"], F.col(w))).otherwise(x["cells"]).alias("cells")))
+    df = df.withColumn(i, F.filter(marked, lambda x: x["kind"] != "head rule"))
+    solid = F.transform(F.filter(i, lambda x: x["kind"] != "rule"), lambda x: x["kind"])
+    df = df.withColumn(h, F.when(F.array_contains(solid, "head"), F.size(solid) - F.array_position(F.reverse(solid), "head") + 1).otherwise(0).cast("int"))
+    return df.drop(r, f"{prefix}last")
+
+
+def table_text(df: DataFrame, rows: str, width: str, head: str, out: str) -> DataFrame:
+    """df with `out`: the table of `rows` (array of (kind, cells)) as aligned text, a rule of = under row `head` (the first at least), bands over the whole width between rules of -. No shuffle."""
+    w, n = f"{out}_w", f"{out}_n"
+    body = F.filter(rows, lambda r: r["kind"] != "band")
+    wide = F.transform(F.sequence(F.lit(0), F.col(width) - 1), lambda j: F.coalesce(F.array_max(F.transform(body, lambda r: F.length(F.get(r["cells"], j)))), F.lit(0)))
+    df = df.withColumn(w, F.when(F.col(width) > 0, wide).otherwise(F.array().cast("array<int>")))
+    df = df.withColumn(n, F.aggregate(w, F.lit(0), lambda a, x: a + x) + 3 * (F.col(width) - 1))
+    rule = lambda ch: F.concat(F.lit("|"), F.array_join(F.transform(w, lambda x: F.repeat(F.lit(ch), x + 2)), "|"), F.lit("|"))
+    just = lambda t, size: F.rpad(t, F.greatest(size, F.length(t)), " ")
+    line = lambda r: F.concat(F.lit("| "), F.array_join(F.zip_with(r["cells"], F.col(w), lambda c, x: just(c, x)), " | "), F.lit(" |"))
+    label = lambda r: F.coalesce(F.get(F.filter(r["cells"], lambda c: c != ""), F.lit(0)), F.lit(""))
+    shown = F.transform(rows, lambda r, i: F.when(r["kind"] == "band", F.array(rule("-"), F.concat(F.lit("| "), just(label(r), F.col(n)), F.lit(" |")), rule("-")))
+                        .when(i + 1 == F.greatest(F.col(head), F.lit(1)), F.array(line(r), rule("="))).otherwise(F.array(line(r))))
+    return df.withColumn(out, F.array_join(F.flatten(shown), "\n")).drop(w, n)
+
+
+def widen(cells, rule, width):
+    """A narrow row's cells filled up to `width`: with blanks, a rule's with ---."""
+    return F.concat(cells, F.array_repeat(F.when(rule, "---").otherwise(""), F.greatest(width - F.size(cells), F.lit(0)).cast("int")))

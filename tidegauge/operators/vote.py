@@ -6,18 +6,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def vote(readings: DataFrame, cell: list[str], run: str, value: str, extra: str | None = None) -> DataFrame:
-    """(cell..., value, votes, n_readings, agreed, readings), one row per cell.
+def vote(readings: DataFrame, cell: list[str], run: str, value: str, extra: str | None = None, name: str | None = None) -> DataFrame:
+    """(cell..., value, votes, n_readings, agreed, readings[, detail]), one row per cell.
 
     Equal votes of the voters; ties go to a value that an extra run backs, then to the
     one the first voter gave. `readings` lists the values in that order, extras' own values
-    last, as `a ¦ b` with ∅ for an empty one. Runs are not joined: their union is
+    last, as `a ¦ b` with ∅ for an empty one. With `name`, the column of the runs' names, `detail` is
+    `a (run, run); b (run)`. Runs are not joined: their union is
     grouped by cell, so counts combine before the shuffle.
     """
     ex = F.coalesce(F.col(extra), F.lit(False)) if extra else F.lit(False)
-    votes = readings.select(*cell, F.col(run).alias("_run"), F.coalesce(value, F.lit("")).alias("_v"), ex.alias("_x"))
+    who = F.col(name) if name else F.col(run).cast("string")
+    votes = readings.select(*cell, F.col(run).alias("_run"), who.alias("_name"), F.coalesce(value, F.lit("")).alias("_v"), ex.alias("_x"))
     votes = votes.groupBy(*cell, "_v").agg(
-        F.count_if(~F.col("_x")).alias("_n"), F.max("_x").alias("_backed"), F.min(F.when(~F.col("_x"), F.col("_run"))).alias("_first"), F.min("_run").alias("_any")
+        F.count_if(~F.col("_x")).alias("_n"), F.max("_x").alias("_backed"), F.min(F.when(~F.col("_x"), F.col("_run"))).alias("_first"), F.min("_run").alias("_any"),
+        *([F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_run", "_name"))), lambda r: r["_name"]), ", ").alias("_who")] if name else []),
     )
     order = [F.col("_n").desc(), F.when(F.col("_backed"), 0).otherwise(1), F.col("_first").asc_nulls_last(), F.col("_any")]
     votes = votes.withColumn("_k", F.row_number().over(Window.partitionBy(*cell).orderBy(*order)))
@@ -28,6 +31,7 @@ def vote(readings: DataFrame, cell: list[str], run: str, value: str, extra: str
         F.count("*").alias("n_readings"),
         (F.count_if(F.col("_n") > 0) == 1).alias("agreed"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_k", shown.alias("s")))), lambda x: x["s"]), " ¦ ").alias("readings"),
+        *([F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_k", F.concat(shown, F.lit(" ("), F.col("_who"), F.lit(")")).alias("s")))), lambda x: x["s"]), "; ").alias("detail")] if name else []),
     )
 
 

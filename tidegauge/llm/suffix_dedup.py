@@ -35,7 +35,7 @@ from .common import frugal, give_back, materialise
 WIDTH = 200
 GRAM = 64
 #: Contexts of one gram that one task takes; the windows of larger groups are counted over all tasks.
-GROUP = 1 << 14
+GROUP = 1 << 16
 SMALL = 32
 PIECE = 1 << 17
 RUN_BYTES = 4 << 20

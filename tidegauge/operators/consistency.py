@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegauge.sources.shared import stage
+
 
 def dependency_violations(df: DataFrame, left: list[str], right: str, seen: str) -> DataFrame:
     """(left..., right, n, best, n_best, score): values of `right` other than the most frequent of their `left`.
@@ -18,14 +20,30 @@ def dependency_violations(df: DataFrame, left: list[str], right: str, seen: str)
     return ranked.where("_k > 1").select(*left, right, "n", "best", "n_best", (8 + F.col("n_best") - F.col("n")).alias("score"))
 
 
+#: Bands that are compared with all keys at once; more go in blocks of about so many.
+BAND_BLOCK = 10_000
+
+
 def classify_bands(values: DataFrame, key: list[str], value: str, bands: DataFrame) -> DataFrame:
     """(key..., band): the only band (name, lo, hi; both closed) that holds all known values of a key, else null.
 
-    Bands are compared with a key's least and largest value, so the join has one row a key.
+    Bands are compared with a key's least and largest value, so the join has one row a key. Bands
+    are sent to all tasks, in blocks of about BAND_BLOCK if there are more.
     """
     ends = values.groupBy(*key).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    fits = ends.join(F.broadcast(bands.limit(10_000)), (F.col("_lo") >= F.col("lo")) & (F.col("_hi") <= F.col("hi")), "left")
-    out = fits.groupBy(*key).agg(F.count("name").alias("_n"), F.min("name").alias("_b"))
+    blocks = -(-bands.count() // BAND_BLOCK) or 1
+    if blocks > 1:
+        ends = stage(ends, "ends")
+    found = None
+    for i in range(blocks):
+        own = bands.where(F.pmod(F.xxhash64("name", "lo", "hi"), F.lit(blocks)) == i) if blocks > 1 else bands
+        fits = ends.join(F.broadcast(own), (F.col("_lo") >= F.col("lo")) & (F.col("_hi") <= F.col("hi"))).groupBy(*key).agg(F.count("name").alias("_n"), F.min("name").alias("_b"))
+        found = fits if found is None else found.unionByName(fits)
+    found = found.groupBy(*key).agg(F.sum("_n").alias("_n"), F.min("_b").alias("_b"))
+    same = F.lit(True)
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    out = ends.join(found.withColumnsRenamed({k: f"_k_{k}" for k in key}), same, "left")
     return out.select(*key, F.when(F.col("_n") == 1, F.col("_b")).alias("band"))
 
 
@@ -50,11 +68,14 @@ def rank_findings(findings: DataFrame, severity: str, score: str, n_rules: str,
     return number_rows(findings.withColumn("weighted", weighted), [F.col(severity), F.col("weighted").desc(), *[F.col(c) for c in seq]], "rank")
 
 
+#: Rows of a range partition.
+RANGE_ROWS = 1_000_000
+
+
 def number_rows(df: DataFrame, order: list, out: str) -> DataFrame:
     """df with its 1-based place in a total order: range partitions are numbered on their own and offset by the counts before them."""
-    from tidegauge.sources.shared import stage
-
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = stage(df, "unranked")
+    parts = max(1, -(-df.count() // RANGE_ROWS))
     ranged = stage(df.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id()), "ranged")
     before = ranged.groupBy("_p").agg(F.count("*").alias("_n"))  # one row a partition
     before = before.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_before"))

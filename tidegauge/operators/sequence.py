@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,21 +98,31 @@ def trailing(df: DataFrame, keys: list[str], order: list[str], blank: Column) ->
 def zones(df: DataFrame, keys: list[str], order: list[str], value: str, jump: float) -> DataFrame:
     """(keys, pos, value, zone): a new zone where a step exceeds `jump` or turns against the zone's direction, which a break forgets.
 
-    The direction memory resets at a break, so lags cannot say it; a fold over
-    the key's ordered array does. Keys are sequences, so an array is one sequence.
+    The direction memory resets at a break, so lags cannot say it. Sorted partitions are
+    read once, batch by batch, with the state of the open key carried along; a key's rows are never
+    held together, though they are read by one task, since each depends on those before it.
     """
-    arr = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*order, F.col(value).cast("double").alias("_x")))).alias("_a"))
-    start = F.struct(F.lit(None).cast("double").alias("prev"), F.lit(0).alias("dir"), F.lit(0).alias("zone"), F.array().cast("array<int>").alias("out"))
-
-    def step(acc, e):
-        x = e["_x"]
-        d = x - acc["prev"]  # null where either is unknown: such a row stays in the zone
-        sign = F.signum(d).cast("int")
-        brk = d.isNotNull() & ((F.abs(d) > jump) | ((acc["dir"] != 0) & (sign != 0) & (sign != acc["dir"])))
-        zone = acc["zone"] + F.when(brk, 1).otherwise(0)
-        way = F.when(brk, 0).when(sign != 0, sign).otherwise(acc["dir"])
-        return F.struct(F.coalesce(x, acc["prev"]).alias("prev"), way.alias("dir"), zone.alias("zone"), F.concat(acc["out"], F.array(zone)).alias("out"))
-
-    folded = arr.withColumn("_z", F.aggregate("_a", start, step)["out"])
-    flat = folded.select(*keys, F.posexplode(F.arrays_zip(F.col("_a"), F.col("_z"))).alias("pos", "_e"))
-    return flat.select(*keys, (F.col("pos") + 1).alias("pos"), F.col("_e._a._x").alias(value), F.col("_e._z").alias("zone"))
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, prev, way, zone, pos = object(), None, 0, 0, 0
+        for pdf in parts:
+            at, of = [], []
+            for *k, x in zip(*(pdf[c] for c in keys), pdf["_x"]):
+                if k != key:
+                    key, prev, way, zone, pos = k, None, 0, 0, 0
+                pos += 1
+                if x == x and x is not None:  # an unknown value stays in the zone
+                    if prev is not None:
+                        turn = (x > prev) - (x < prev)
+                        if abs(x - prev) > jump or turn and way and turn != way:
+                            zone, way = zone + 1, 0
+                        elif turn:
+                            way = turn
+                    prev = x
+                at.append(pos)
+                of.append(zone)
+            yield pdf[[*keys, "_x"]].rename(columns={"_x": value}).assign(pos=at, zone=of)[[*keys, "pos", value, "zone"]]
+
+    own = df.select(*keys, *[c for c in order if c not in keys], F.col(value).cast("double").alias("_x")).repartition(*keys).sortWithinPartitions(*keys, *order)
+    return own.select(*keys, "_x").mapInPandas(run, f"{', '.join(f'{k} {kinds[k]}' for k in keys)}, pos int, {value} double, zone int")

@@ -14,17 +14,28 @@ def deviation(x: Column, med: Column, mad: Column) -> Column:
     return F.when(mad != 0, F.abs(F.try_divide(F.lit(0.6745) * (x - med), mad))).otherwise(ratio)
 
 
-def group_medians(samples: DataFrame, keys: list[str], value: str, out: str = "med") -> DataFrame:
+def group_medians(samples: DataFrame, keys: list[str], value: str, out: str = "med", at_once: int = 1_000_000) -> DataFrame:
     """(keys, n, out): exact medians of the non-null values, one row a key.
 
-    Approximate quantiles bracket each group's middle. Values below or above the
+    Approximate quantiles bracket each group's middle, and again inside the bracket until
+    about `at_once` distinct values are left in it. Values below or above the
     bracket are counted as two lumps, so of a group only the bracket's distinct
-    values (about a fiftieth) are ordered in one place; everything is combined before it
+    values are ordered in one place; everything is combined before it
     shuffles. The brackets are written, so a hot key's rows join them without meeting in one task.
     """
-    own = samples.select(*keys, F.col(value).cast("double").alias("_x")).where("_x is not null")
-    near = own.groupBy(*keys).agg(F.count("*").alias("n"), F.percentile_approx("_x", [0.49, 0.51], 10000).alias("_q"))
-    near = stage(near.select(*keys, "n", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi")), "brackets")
+    own = samples.select(*keys, F.col(value).cast("double").alias("_x")).where("_x is not null and not isnan(_x)")
+    near = own.groupBy(*keys).agg(F.count("*").alias("n"), F.percentile_approx("_x", QUANTILES, 10000).alias("_q"), F.approx_count_distinct("_x").alias("_d"))
+    near = stage(_bracket(near.withColumns({"_below": F.lit(0), "_in": F.col("n"), "_lo": F.lit(float("-inf")), "_hi": F.lit(float("inf"))}), at_once), "brackets")
+    for _ in range(ROUNDS):
+        inside = (F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))
+        wide = near.where(F.col("_d") > at_once)  # those whose bracket was too wide, and has been narrowed
+        if not wide.head(1):
+            break
+        x = F.when(inside, F.col("_x"))
+        again = own.join(wide.drop("_d", "_q"), keys).groupBy(*keys, "n", "_lo", "_hi").agg(
+            F.count_if(F.col("_x") < F.col("_lo")).alias("_below"), F.count_if(inside).alias("_in"), F.percentile_approx(x, QUANTILES, 10000).alias("_q"), F.approx_count_distinct(x).alias("_d")
+        )
+        near = stage(near.where(F.col("_d") <= at_once).unionByName(_bracket(again, at_once)), "brackets")
     lump = F.when(F.col("_x") < F.col("_lo"), float("-inf")).when(F.col("_x") > F.col("_hi"), float("inf")).otherwise(F.col("_x"))
     counts = own.join(near, keys).groupBy(*keys, "n", lump.alias("_x")).agg(F.count("*").alias("_c"))
     counts = counts.withColumn("_upto", F.sum("_c").over(Window.partitionBy(*keys).orderBy("_x")))
@@ -33,6 +44,24 @@ def group_medians(samples: DataFrame, keys: list[str], value: str, out: str = "m
     return stage(counts.groupBy(*keys, "n").agg(middle.alias(out)), "medians")
 
 
+QUANTILES = [i / 64 for i in range(65)]
+ROUNDS = 6
+
+
+def _bracket(groups: DataFrame, at_once: int) -> DataFrame:
+    """Groups whose bracket (_lo, _hi) is narrowed to the quantiles _q two steps round the middle, where more than at_once distinct values (_d) are in it.
+
+    _below and _in count the values below and in it. Quantiles are approximate to a hundredth of a step, so two steps hold the middle.
+    """
+    place = lambda rank: (rank - F.col("_below")) / F.col("_in") * 64
+    low = F.greatest(F.floor(place((F.col("n") - 1) / 2)) - 2, F.lit(0)).cast("int")
+    high = F.least(F.ceil(place(F.col("n") / 2)) + 2, F.lit(64)).cast("int")
+    wide = F.col("_d") > at_once
+    return groups.withColumns({"_lo": F.when(wide & (low > 0), F.get("_q", low)).otherwise(F.col("_lo")), "_hi": F.when(wide & (high < 64), F.get("_q", high)).otherwise(F.col("_hi"))}).select(
+        *[c for c in groups.columns if c not in ("_lo", "_hi", "_below", "_in")], "_lo", "_hi"
+    )
+
+
 def with_group_stats(samples: DataFrame, keys: list[str], value: str, min_n: int = 1) -> DataFrame:
     """samples with n, med and mad of their group; groups under min_n drop out."""
     med = group_medians(samples, keys, value).where(F.col("n") >= min_n)
@@ -49,47 +78,21 @@ def group_outliers(samples: DataFrame, keys: list[str], value: str, min_n: int =
     return s.where((F.col("dev") > limit) & (F.abs(F.col(value) - F.col("med")) >= min_diff))
 
 
-def exact_median(df: DataFrame, value: str, at_once: int = 100_000) -> float | None:
-    """Median of a whole column: approximate quantiles bracket it, counts say how many values are below, and only the bracket is sorted.
-
-    The bracket shrinks until it has at most `at_once` distinct values, which
-    come to the driver with their counts; None for no values.
-    """
-    own = df.select(F.col(value).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    n = own.count()
-    if not n:
-        return None
-    ranks = (n - 1) // 2, n // 2
-    lo, hi, below, inside = None, None, 0, n
-    while True:
-        part = own if lo is None else own.where((F.col("x") >= lo) & (F.col("x") <= hi))
-        counts = part.groupBy("x").agg(F.count("*").alias("c"))
-        if inside <= at_once or counts.count() <= at_once:
-            break
-        p = [max(0.0, (ranks[0] - below) / inside - 0.01), min(1.0, (ranks[1] - below) / inside + 0.01)]
-        a, b = part.agg(F.percentile_approx("x", p, 10000)).first()[0]
-        below = own.where(F.col("x") < a).count()
-        inside = own.where((F.col("x") >= a) & (F.col("x") <= b)).count()
-        if not (below <= ranks[0] and below + inside > ranks[1]) or (a, b) == (lo, hi):
-            break
-        lo, hi = a, b
-    at, out = below, []
-    for r in counts.orderBy("x").toLocalIterator():
-        at += r.c
-        while len(out) < 2 and ranks[len(out)] < at:
-            out.append(r.x)
-        if len(out) == 2:
-            break
-    return (out[0] + out[1]) / 2
+def exact_median(df: DataFrame, value: str) -> float | None:
+    """Median of a whole column, as that of one group; None for no values."""
+    found = group_medians(df.select(F.lit(0).alias("_g"), F.col(value).alias("_v")), ["_g"], "_v").first()
+    return found.med if found else None
 
 
 def global_outliers(samples: DataFrame, value: str, min_n: int = 5, z: float = 3.5) -> DataFrame:
     """Samples over `z` against all others as one group; none where there are under min_n or MAD is 0."""
-    med = exact_median(samples, value)
     none = samples.withColumns({"med": F.lit(0.0), "mad": F.lit(0.0), "dev": F.lit(0.0)}).where("false")
-    if med is None or samples.limit(min_n).count() < min_n:
+    own = stage(samples.select(F.lit(0).alias("_g"), F.col(value).cast("double").alias("_v")), "values")
+    found = group_medians(own, ["_g"], "_v").first()
+    if found is None or found.n < min_n:
         return none
-    mad = exact_median(samples.select(F.abs(F.col(value) - med).alias("x")), "x")
+    med = found.med
+    mad = group_medians(own.select("_g", F.abs(F.col("_v") - med).alias("_v")), ["_g"], "_v").first().med
     if not mad:
         return none
     dev = F.abs(F.lit(0.6745) * (F.col(value) - med) / F.lit(mad))

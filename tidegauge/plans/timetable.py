@@ -41,7 +41,6 @@ class Config:
     similar: float = 0.7
     max_leg_km: float = 60.0
     run: int = 3
-    max_width: int = 64
     skip: tuple = field(default=("prose",))
 
 
@@ -50,18 +49,20 @@ COLUMN = [*TABLE, "seg", "pair"]
 FINDING = "scan int, folio int, shape string, train string, rule int, severity int, score double, station string, cells array<struct<r:int,c:int>>, phase int, seq array<bigint>"
 
 
-def _pairs(spark: SparkSession, widths: int) -> DataFrame:
-    """(shape, width, pair, a, b): runs of columns between those without times, cut in twos; a lone last one has no b."""
-    rows = []
-    for shape, (_, protected) in SHAPES.items():
-        for width in range(1, widths + 1):
-            free = [c for c in range(width) if c not in protected]
-            at, pair = 0, 0
-            while at < len(free):
-                two = at + 1 < len(free) and free[at + 1] == free[at] + 1
-                rows.append((shape, width, pair, free[at], free[at + 1] if two else None))
-                at, pair = at + (2 if two else 1), pair + 1
-    return spark.createDataFrame(rows, "shape string, width int, pair int, a int, b int")
+def column_pairs(shape, width):
+    """A table's column pairs as an array of (pair, a, b): runs of columns between those without times, cut in twos; a lone last one has no b."""
+    out = None
+    for name, (_, protected) in SHAPES.items():
+        edges = sorted({-1, *protected})
+        runs_ = [(a + 1, F.lit(b)) for a, b in zip(edges, edges[1:]) if b > a + 1] + [(edges[-1] + 1, width)]
+        cut = F.flatten(F.array(*[F.when(F.least(e, width) > s, F.transform(F.sequence(F.lit(s), F.greatest(F.least(e, width) - 1, F.lit(s)), F.lit(2)), _two(F.least(e, width)))).otherwise(F.array().cast("array<struct<a:int,b:int>>")) for s, e in runs_]))
+        own = F.transform(cut, lambda p, i: F.struct(i.alias("pair"), p["a"].alias("a"), p["b"].alias("b")))
+        out = F.when(shape == name, own) if out is None else out.when(shape == name, own)
+    return out
+
+
+def _two(end):
+    return lambda a: F.struct(a.alias("a"), F.when(a + 1 < end, a + 1).alias("b"))
 
 
 def _cell(cells, at):
@@ -125,9 +126,8 @@ def read_columns(spark: SparkSession, path: str, config: Config) -> dict[str, Da
     far = F.filter(F.transform(ends, lambda e: F.filter(e, lambda x: ~F.startswith(x, F.lit(HOME)))), lambda e: F.size(e) == 1)
     captions = captions.select("scan", "half", "found", F.try_element_at(far, F.lit(1))[0].alias("destination"))
 
-    # unpivot: each row meets its table's column pairs, which follow from the shape and the width
-    pairs = F.broadcast(_pairs(spark, config.max_width))
-    stops = seg.join(pairs, ["shape", "width"]).join(captions, ["scan", "half"], "left")
+    # unpivot: a table's column pairs follow from its shape and width
+    stops = seg.withColumn("p", F.explode(column_pairs(F.col("shape"), F.col("width")))).select(*seg.columns, "p.*").join(captions, ["scan", "half"], "left")
     n_pairs = F.count("*").over(Window.partitionBy(*TABLE, "seg", "row"))
     stops = stops.withColumn("n_pairs", n_pairs)
     named = F.coalesce(F.try_element_at(_name_at(F.col("names"), F.col("a")), F.lit(1))["t"], F.try_element_at(_name_at(F.col("names"), F.col("b")), F.lit(1))["t"])
@@ -144,7 +144,7 @@ def read_columns(spark: SparkSession, path: str, config: Config) -> dict[str, Da
     stops = stops.withColumn("timed", F.col("arr_sec").isNotNull() | F.col("dep_sec").isNotNull())
     stops = stops.withColumn("_any", F.max("timed").over(Window.partitionBy(*COLUMN))).where("_any")
     keep = [*COLUMN, "train", "row", "station", "km", "a", "b", "arr", "dep", "arr_sec", "dep_sec", "arr_kind", "dep_kind", "timed"]
-    return {"pages": pages, "runs": runs, "heads": heads, "segments": seg, "captions": captions, "stops": stage(stops.select(*keep), "stops"), "pairs": pairs}
+    return {"pages": pages, "runs": runs, "heads": heads, "segments": seg, "captions": captions, "stops": stage(stops.select(*keep), "stops")}
 
 
 def _join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -172,7 +172,8 @@ def _structure(spark: SparkSession, f: dict[str, DataFrame], config: Config) ->
     """Heads inside tables, and pages that no rules apply to."""
     runs = _join(f["runs"], f["heads"].withColumnRenamed("head", "table_head"), TABLE)
     name = F.coalesce(F.try_element_at(_name_at(F.col("names"), F.col("a2")), F.lit(1))["t"], F.try_element_at(_name_at(F.col("names"), F.col("b2")), F.lit(1))["t"])
-    named = runs.join(f["pairs"].withColumnsRenamed({"a": "a2", "b": "b2"}), ["shape", "width"]).groupBy(*TABLE, "a", "b", "sc").agg(
+    paired = runs.withColumn("p", F.explode(column_pairs(F.col("shape"), F.col("width")))).select(*runs.columns, "p.pair", F.col("p.a").alias("a2"), F.col("p.b").alias("b2"))
+    named = paired.groupBy(*TABLE, "a", "b", "sc").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pair", name.alias("n")))), lambda s: s["n"]), ", ").alias("t")
     )
     named = named.withColumn("train", F.when(F.col("t") == "", "—").otherwise(F.col("t")))

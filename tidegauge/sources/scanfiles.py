@@ -24,8 +24,10 @@ def read_scan_files(spark: SparkSession, path: str) -> DataFrame:
 
 def contiguous(files: DataFrame) -> DataFrame:
     """Scans 1, 2, 3 and so on, up to the first gap."""
-    n = F.row_number().over(Window.partitionBy(F.floor(F.col("scan") / 1_000_000)).orderBy("scan"))
-    return files.where("scan > 0").withColumn("_n", n).where("scan = _n").drop("_n")
+    own = files.where("scan > 0")
+    after = own.select((F.col("scan") + 1).alias("scan")).unionByName(own.sparkSession.sql("select 1 as scan")).distinct()
+    gap = after.join(own.select("scan").distinct(), "scan", "left_anti").agg(F.min("scan").alias("gap"))  # one row
+    return own.join(F.broadcast(gap), F.col("scan") < F.col("gap")).drop("gap")
 
 
 def page_items(files: DataFrame) -> DataFrame:

@@ -7,9 +7,11 @@ import glob
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidegauge.plans import timetable
-from tidegauge.sources import scanfiles
+from tidegauge.sources import runs, scanfiles
+from tidegauge.sources.shared import stage
 
 
 def page(folder, scan, tables, shape="suburban", caption=""):
@@ -116,3 +118,86 @@ def test_whole_book(spark):
     rows = found.collect()
     assert (columns.count(), len(rows), sum(r.severity == 0 for r in rows)) == (521, 288, 97)
     assert collections.Counter(tuple(r.rules) for r in rows) == {(0,): 25, (1,): 32, (2,): 130, (2, 3, 4): 2, (2, 4): 12, (3,): 7, (3, 4): 3, (4,): 71, (5,): 6}
+
+
+def report_of(spark, found, columns, limit=0):
+    return [r.line for r in timetable.findings_lines(found, limit).orderBy("n").collect()] + [timetable.summary(columns, found, limit)]
+
+
+def test_messages_and_report(spark, book):
+    columns, found = timetable.validate(spark, str(book[0]))
+    found = stage(found, "found")
+    at = {n: i for i, n in enumerate(CASES, 1)}
+    said = {n: [r.message for r in book[2][i]] for n, i in at.items()}
+    assert said["glued"][0] == timetable.REPEATED and "findings on consecutive rows" in said["run"][0]
+    assert any(m.startswith("running time ") and " elsewhere (ratio 3.0)" in m for m in said["slow leg"])
+    assert any("km/h over 120 — 30.0 km in 5:00 (" in m for m in said["speed"])
+    assert any(m.endswith("— a second wrap in this column") for m in said["second wrap"])
+    assert said["unknown"] and said["unknown"][0].startswith("shape ⟨")
+    lines = report_of(spark, found, columns)
+    n = found.count()
+    assert len(lines) == n + 3 and lines[0].startswith("| # ") and set(lines[1]) == {"|", "="} and len({len(x) for x in lines[:-1]}) == 1
+    assert lines[-1].startswith(f"{columns.count()} train columns checked; {n} findings") and len(report_of(spark, found, columns, 2)) == 5
+    levels = [x.split("|")[2].strip() for x in lines[2:-1]]
+    assert levels == sorted(levels)
+    hard = timetable.select_findings(found, impossible=True)
+    assert hard.count() == levels.count("IMPOSSIBLE") and timetable.select_findings(found, rules=[5]).count() == sum(5 in r.rules for r in found.collect())
+    assert timetable.findings_lines(found.where("false")).count() == 0
+
+
+def test_ignored_findings(spark, book):
+    columns, found = timetable.validate(spark, str(book[0]))
+    found = stage(timetable.values(found), "found")
+    at = {n: i for i, n in enumerate(CASES, 1)}
+    leg = found.where(f"scan = {at['slow leg']} and array_contains(rules, 4)").first()
+    rows = [
+        (4, leg.scan, leg.folio, leg.train, leg.station, [2, 4], leg.values, "as printed"), (5, leg.scan, leg.folio, leg.train, leg.station, [2], leg.values, "other rule"),
+        (6, leg.scan, leg.folio, leg.train, leg.station, [4], ["00.00"], "other cells"), (7, 999, None, "—", "", [0], [], "gone"),
+    ]
+    ignores = spark.createDataFrame(rows, "line int, scan int, folio int, train string, where string, rules array<int>, values array<string>, note string")
+    kept = timetable.apply_ignores(found.drop("values"), ignores).collect()
+    assert len(kept) == found.count() - 1 + 3 and not any(r.scan == leg.scan and r.rules == leg.rules and r.station == leg.station and r.shape != "ignore" for r in kept)
+    stale = sorted(r.message for r in kept if r.shape == "ignore")
+    assert [m.split(" matches")[0] for m in stale] == ["ignore.txt line 5", "ignore.txt line 6", "ignore.txt line 7"] and all(r.score == 100.0 for r in kept if r.shape == "ignore")
+
+
+@pytest.mark.skipif(not PAGES, reason="no book beside the repository")
+def test_ignore_list_of_the_book(spark):
+    folder = os.path.join(os.path.dirname(PAGES), "final-01")
+    found = stage(timetable.validate(spark, folder)[1], "found")
+    kept = timetable.apply_ignores(found, runs.read_ignores(spark, f"{folder}/ignore.txt"))
+    assert found.count() - kept.count() == 9 and kept.where("shape = 'ignore'").count() == 0
+
+
+@pytest.mark.skipif(not PAGES, reason="no book beside the repository")
+def test_reports_of_the_book(spark):
+    """Reports kept beside earlier runs, byte by byte."""
+    kept = sorted(glob.glob(os.path.join(os.path.dirname(PAGES), "extracted-0*", "findings-*.txt")))
+    for path in kept:
+        columns, found = timetable.validate(spark, os.path.dirname(path))
+        lines = report_of(spark, stage(found, "found"), columns)
+        assert "\n".join(lines[:-1]) + "\n\n" + lines[-1] == open(path, encoding="utf-8").read()
+
+
+def test_tables_of_any_width(spark, tmp_path):
+    """A table of seventy columns is unpivoted whole."""
+    n = 35
+    head = ["№ поездов", *[x for i in range(n) for x in (f"{i + 1}", "")]]
+    rows = [["Ra", *[x for i in range(n) for x in (f"10.{i:02d}", f"10.{i:02d}")]], ["Og", *[x for i in range(n) for x in (f"11.{i:02d}", f"11.{i:02d}")]]]
+    text = "\n".join("| " + " | ".join(r) + " |" for r in [head]) + "\n|" + "|".join("=" * 3 for _ in head) + "|\n" + "\n".join("| " + " | ".join(r) + " |" for r in rows)
+    (tmp_path / "scan-01.md").write_text(f"---\nscan: 1\nkind: spread\nfolios: [4]\nshapes: [suburban]\n---\n\n## page 4\n\n{text}\n")
+    columns, found = timetable.validate(spark, str(tmp_path))
+    assert columns.count() == n and found.count() == 0
+    pairs = spark.createDataFrame([("suburban", 4), ("distance", 6), ("two-way", 6), ("two-way", 2), ("suburban", 1)], "s string, w int").select(timetable.column_pairs(F.col("s"), F.col("w")).alias("p")).collect()
+    assert [[(x.a, x.b) for x in r.p] for r in pairs] == [[(1, 2), (3, None)], [(2, 3), (4, 5)], [(0, 1), (3, 4), (5, None)], [(0, 1)], []]
+
+
+def test_heads_inside_tables_are_told_apart(spark, tmp_path):
+    """The same trains: a repeat; other trains over a station that was listed: two tables; else a place to look."""
+    def inner(train, station):
+        return [["№ поездов", "1", ""], ["Разд. пункты", "приб.", "отпр."], ["Ga", "", "10.00"], ["Gb", "10.10", ""], ["№ поездов", train, ""], ["Разд. пункты", "приб.", "отпр."], [station, "", "11.00"], ["Gz", "11.10", ""]]
+
+    for i, (train, station) in enumerate((("1", "Ga"), ("2", "Ga"), ("2", "Gc")), 1):
+        page(tmp_path, i, [inner(train, station)])
+    found = timetable.validate(spark, str(tmp_path))[1].orderBy("scan").collect()
+    assert [(r.message, r.train, r.station) for r in found] == [(timetable.REPEATED, "1", "rows 2–3"), (timetable.GLUED, "2", "rows 2–3"), (timetable.INNER, "2", "rows 2–3")]

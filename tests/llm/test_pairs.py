@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 
 import brute
@@ -104,3 +105,29 @@ def test_vector_plan_misses_rarely():
     k, tables = vector_dedup.plan(50_000, 0.98)
     p = vector_dedup.collision(0.2) ** k
     assert (1 - p) ** tables <= vector_dedup.MISS and tables < 60
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no driver tables")
+def test_planted_links_among_the_tables_vectors(spark):
+    """Vectors at a cosine of 0.98 and a little more of the table's own: all links are found, as all pairs by brute force have it."""
+    rng = np.random.RandomState(4)
+    table = [(r.vec_id, list(r.embedding), r.label) for r in spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").where("label is not null and embedding is not null").limit(600).collect()]
+    rows = list(table)
+    for k, (i, v, lab) in enumerate(table[:150]):
+        a = np.array(v, np.float64)
+        a /= np.sqrt(a @ a)
+        off = rng.standard_normal(len(a))
+        off -= (off @ a) * a
+        c = 0.98 + 0.0005 * (k % 20)
+        rows.append((10_000_000 + k, [float(x) for x in c * a + np.sqrt(1 - c * c) * off / np.sqrt(off @ off)], lab))
+    rows += [(10_000_000, table[0][1], table[0][2]), (None, table[1][1], table[1][2])]  # an id twice, and none
+    schema = "vec_id long, embedding array<float>, label int, id long, sig int, t int"
+    df = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], schema)
+    named = [(k, [float(np.float32(x)) for x in v], lab) for k, (_, v, lab) in enumerate(rows)]
+    want = brute.vector_links(named)
+    got = vector_near_dedup(df).collect()
+    assert len(got) == len(rows) and sum(w[0] for w in want.values()) >= 280
+    plain = {r.vec_id: r for r in got if r.vec_id not in (10_000_000, None)}
+    lost = [i for k, (i, _, _) in enumerate(rows) if i in plain and plain[i].n_links != want[k][0]]
+    assert not lost
+    assert all(r.n_links >= 1 for r in got if r.vec_id in (10_000_000, None))

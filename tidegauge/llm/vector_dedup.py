@@ -75,7 +75,9 @@ def vector_near_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str =
     empty table gives no rows; other columns are ignored.
     """
     label = F.col(label_col) if label_col else F.lit(0)
-    src = vectors.select(F.col(id_col).cast("bigint").alias("id"), label.cast("string").alias("label"), F.col(vec_col).cast("array<double>").alias("vec"))
+    # floats travel as floats, which doubles hold exactly
+    kind = "array<float>" if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else "array<double>"
+    src = vectors.select(F.col(id_col).cast("bigint").alias("id"), label.cast("string").alias("label"), F.col(vec_col).cast(kind).alias("vec"))
     good = (
         F.col("label").isNotNull()
         & F.col("vec").isNotNull()
@@ -89,7 +91,8 @@ def vector_near_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str =
     classes = materialise(classes.withColumn("id", F.xxhash64("label", "vec")), "vectors")
     # the hash names a class; where two classes share one, they are named by row instead
     clash = classes.groupBy("id").count().where("count > 1")
-    if clash.head(1):
+    clashes = bool(clash.head(1))
+    if clashes:
         classes = materialise(classes.drop("id").withColumn("id", F.monotonically_increasing_id()), "vectors")
     k, tables = plan(classes.count(), threshold, miss)
 
@@ -104,7 +107,7 @@ def vector_near_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str =
                 sig[own] = signatures(x / np.sqrt((x * x).sum(axis=1, keepdims=True)), k, tables)
             yield pd.DataFrame({"id": pdf["id"], "label": pdf["label"], "vec": pdf["vec"], "weight": pdf["weight"], "dims": dims.astype(np.int32), "sig": list(sig)})
 
-    signed = classes.select("id", "label", "vec", "weight").mapInPandas(frugal(sign), "id bigint, label string, vec array<double>, weight bigint, dims int, sig array<bigint>")
+    signed = classes.select("id", "label", "vec", "weight").mapInPandas(frugal(sign), f"id bigint, label string, vec {kind}, weight bigint, dims int, sig array<bigint>")
     signed = materialise(signed, "vector-signatures")
     keyed = signed.select("label", "dims", "id", F.posexplode("sig").alias("t", "key"))
 
@@ -120,9 +123,12 @@ def vector_near_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str =
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("id").alias("u"), F.col("root").alias("v")))
     rooted = classes.join(roots.withColumnRenamed("node", "id"), "id", "left").join(links, "id", "left")
-    rooted = materialise(rooted.select("label", "vec", "least", "weight", F.coalesce("root", "id").alias("root"), F.coalesce("links", F.lit(0)).alias("links")), "vector-roots")
+    # rows find their class by its hash, and by the vector itself only where hashes clash
+    on = ["label", "vec"] if clashes else ["class"]
+    rooted = materialise(rooted.select(F.col("id").alias("class"), *(on if clashes else []), "least", "weight", F.coalesce("root", "id").alias("root"), F.coalesce("links", F.lit(0)).alias("links")), "vector-roots")
     smallest = materialise(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "vector-components")
-    of = rooted.join(smallest, "root").select("label", "vec", (F.col("links") + F.col("weight") - 1).alias("n_links"), "component_id")
+    of = rooted.join(smallest, "root").select(*on, (F.col("links") + F.col("weight") - 1).alias("n_links"), "component_id")
     of = materialise(of, "vector-of")
-    out = rows.join(of, ["label", "vec"]).select("id", "n_links", "component_id").unionByName(bad)
+    named = rows if clashes else rows.select("id", F.xxhash64("label", "vec").alias("class"))
+    out = named.join(of, on).select("id", "n_links", "component_id").unionByName(bad)
     return out.select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))

@@ -312,18 +312,16 @@ def frequent_words(docs: DataFrame, tokenizer_path: str, size: int = LEXICON_WOR
 
     counts = docs.mapInPandas(frugal(count), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     counts = materialise(counts, "words", "zstd")
-    # the count that the last word has, from the numbers of words with each count; then only chosen words come to the driver
-    left, least = size, None
+    # the least count whose words, and those of larger ones, are `size` at most; only chosen words come to the driver
+    found, least = 0, None
     for r in counts.groupBy("n").agg(F.count("*").alias("c")).orderBy(F.desc("n")).limit(size).collect():
-        least = r.n
-        if r.c >= left:
+        found += r.c
+        if found > size:
             break
-        left -= r.c
+        least = r.n
     if least is None:
         return []
-    sure = counts.where(F.col("n") > least).select("word").collect()
-    ties = counts.where(F.col("n") == least).orderBy("word").limit(left).select("word").collect()
-    return [bytes(r.word) for r in [*sure, *ties]]  # size rows at most
+    return [bytes(r.word) for r in counts.where(F.col("n") >= least).select("word").collect()]  # size rows at most
 
 
 def bpe_round_trip(docs: DataFrame, tokenizer_path: str, lexicon_words: int = LEXICON_WORDS, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

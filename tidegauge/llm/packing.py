@@ -16,7 +16,6 @@ from .wordids import WordEncoder
 
 #: Length classes of a sequence: the linear program has so many rows at most, whatever the corpus.
 CLASSES = 128
-MAX_COLUMNS = 4000
 
 
 def price(values: np.ndarray) -> tuple[float, np.ndarray]:
@@ -53,9 +52,13 @@ def cutting_stock(demand: np.ndarray) -> list[tuple[np.ndarray, int]]:
     columns = np.diag([m // (i + 1) for i in range(m)]).astype(np.float64)
     d = demand.astype(np.float64)
     inverse = np.diag(1 / np.diag(columns))
-    for _ in range(MAX_COLUMNS):
+    last, idle = np.inf, 0
+    while True:  # each step lowers the program's value or keeps it; those that keep it are counted
         x = (inverse * d).sum(axis=1)
         duals = inverse.sum(axis=0)
+        last, idle = (x.sum(), 0) if x.sum() < last - 1e-9 * max(1.0, last if np.isfinite(last) else 0) else (last, idle + 1)
+        if idle > 4 * m:  # degenerate: no better bound is coming from these bases
+            break
         worth, counts = price(np.where(demand > 0, duals, 0))
         if worth <= 1 + 1e-7:
             break
@@ -176,7 +179,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = 20
     pieces = pieces.withColumn("bucket", F.pmod(F.xxhash64("id", "start"), F.lit(buckets)).cast("int"))
     before = pieces.groupBy("cls", "bucket").agg(F.count("*").alias("n"))
     before = before.select("cls", "bucket", (F.sum("n").over(Window.partitionBy("cls").orderBy("bucket")) - F.col("n")).alias("before"))
-    ranked = pieces.withColumn("local", F.row_number().over(Window.partitionBy("cls", "bucket").orderBy("id", "start")))
+    ranked = pieces.withColumn("local", F.row_number().over(Window.partitionBy("cls", "bucket").orderBy("id", "start", "ids_crc32", "length", "doc_tokens")))
     ranked = ranked.join(before, ["cls", "bucket"]).withColumn("rank", F.col("before") + F.col("local") - 1)
     dealt = ranked.withColumn("sequence_id", sequence("cls", "rank"))
     along = Window.partitionBy("sequence_id").orderBy(F.col("length").desc(), "cls", "rank").rowsBetween(Window.unboundedPreceding, -1)

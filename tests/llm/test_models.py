@@ -5,10 +5,12 @@ from __future__ import annotations
 import collections
 import itertools
 import math
+import os
 import random
 import zlib
 
 import numpy as np
+import pytest
 
 from tidegauge.llm import hmm, quality, toxicity
 
@@ -140,3 +142,83 @@ def test_quality_without_labels_or_rows(spark):
     model = quality.fit(docs, labels.where("quality = 1"))
     assert all(r.kept and r.expected_grade is None for r in quality.grade(docs, model).collect())
     assert quality.grade(docs.where("false"), quality.fit(docs, labels)).count() == 0
+
+
+def plain_density(lex, text):
+    """The lexicon's density without an automaton: every entry is looked for at every place."""
+    f = toxicity.fold(text)
+    excused = [(i, i + len(p) - 1) for p in map(toxicity.fold, lex.exceptions) for i in range(len(f)) if f.startswith(p, i)]
+    best = {}
+    for e, w in lex.weights.items():
+        for i in range(len(f)):
+            if f.startswith(e, i):
+                best[i] = max(best.get(i, 0), w)
+    return sum(w for i, w in best.items() if not any(a <= i <= b for a, b in excused)) / math.log2(2 + f.count(" "))
+
+
+def test_density_against_plain_matching():
+    rng = random.Random(12)
+    lex = toxicity.Lexicon(weights={" vile ": 2.0, " vil": 1.5, " idio": 3.0, " of the ": 0.5, " nasty ": 1.0}, exceptions=["not vile", "vile of", "of the idiot"])
+    words = ["vile", "vilest", "v1le", "not", "of", "the", "idiot", "1d10t", "nasty", "n4sty!", "x", "Ѕoft", "идиот"]
+    a = lex.automaton()
+    for _ in range(300):
+        text = " ".join(rng.choices(words, k=rng.randrange(0, 25)))
+        assert abs(lex.density(a, text) - plain_density(lex, text)) < 1e-9
+    assert lex.density(a, "not vile " * 100_000) == 0  # a long text of excused hits takes no time squared
+
+
+def test_labelled_sample_is_bounded_and_one_row_an_id(spark):
+    from tidegauge.llm.labelled import labelled_sample
+
+    docs = spark.createDataFrame([(i, f"t{i}", "x") for i in range(500)] + [(7, "a", "x")] * 3 + [(None, "n", "x")], "doc_id long, text string, label string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(500)] + [(7, 0), (None, 1), (8, None)], "doc_id long, toxic int")
+    rows = labelled_sample(docs, labels, "toxic", 10_000, 5, 0).collect()
+    ids = [i for i in range(500) if zlib.crc32(str(i).encode()) % 5]
+    assert len(rows) == len(ids) and sum(r.text == "a" for r in rows) == (7 in ids)
+    few = labelled_sample(docs, labels, "toxic", 50, 5, 0).collect()
+    assert 20 < len(few) <= 50 and {r.text for r in few} <= {r.text for r in rows}
+
+
+def test_ordinal_gradient_and_likelihood():
+    rng = np.random.RandomState(5)
+    n, k, size = 12, 3, 20
+    at, doc, value = rng.randint(0, size, 60), rng.randint(0, n, 60), rng.uniform(0, 1, 60)
+    y, w, theta = rng.randint(0, k + 1, n), rng.normal(0, 1, size), np.array([-0.7, 0.1, -0.4])
+    gw, gt, loss = quality.gradient(w, theta, at, value, doc, y)
+    th = quality.upper(theta)
+    x = [sum(w[a] * v for a, d, v in zip(at, doc, value) if d == i) for i in range(n)]
+    above = lambda xi, j: 1.0 if j < 0 else 0.0 if j >= k else 1 / (1 + math.exp(th[j] - xi))
+    want = -sum(math.log(above(x[i], y[i] - 1) - above(x[i], y[i])) for i in range(n)) / n + quality.RIDGE / 2 * float(w @ w)
+    assert abs(loss - want) < 1e-9
+    for params, grad in ((w, gw), (theta, gt)):
+        for i in range(len(params)):
+            step = np.zeros(len(params))
+            step[i] = 1e-5
+            a, b = ((quality.gradient(*((params + s, theta) if params is w else (w, params + s)), at, value, doc, y)[2]) for s in (step, -step))
+            assert abs((a - b) / 2e-5 - grad[i]) < 1e-6
+
+
+def test_quality_reads_whole_words_and_ignores_other_columns(spark):
+    long = "a" * 100
+    assert quality.shape(long + "!") == "x!" and quality.features(long + "bcd") == quality.features(long + "bcd") != quality.features(long + "bce")
+    docs, labels = graded(spark)
+    model = quality.fit(docs, labels)
+    clash = docs.select("doc_id", "text", *[docs.doc_id.alias(c) for c in ("id", "fold", "label", "expected_grade")])
+    assert sorted(map(str, quality.grade(clash, model).collect())) == sorted(map(str, quality.grade(docs, model).collect()))
+    with pytest.raises(ValueError):
+        quality.fit(docs, labels, max_grades=2)
+
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
+def test_held_out_labels_of_the_tables(spark):
+    """Recall and false alarms of toxicity, and the ranking of quality, on rows that were not learnt from."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.score(docs, toxicity.fit(docs, labels)).join(labels, "doc_id").where("held_out and toxic is not null").collect()
+    toxic, clean = [r for r in rows if r.toxic], [r for r in rows if not r.toxic]
+    assert sum(r.predicted for r in toxic) >= 0.6 * len(toxic) and sum(r.predicted for r in clean) <= 0.02 * len(clean)
+    rows = quality.grade(docs, quality.fit(docs, labels)).join(labels, "doc_id").where("held_out and quality is not null").collect()
+    good, bad = [r.tail_probability for r in rows if r.quality], [r.tail_probability for r in rows if not r.quality]
+    assert sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad)) > 0.85

@@ -20,12 +20,13 @@ MAX_FIT_ROWS = 5000
 MAX_GRADES = 64
 EPOCHS = 30
 REMEMBERED = 500_000
+RIDGE = 1e-6
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def shape(word: str) -> str:
     """Letters collapsed to X (upper), x (lower) or Xx (mixed), digits to 9, other signs kept: `THE,!!` is `X,!!`."""
-    w = _LETTERS.sub(lambda m: "X" if m[0].isupper() and len(m[0]) > 1 else "x" if m[0].islower() else "Xx", word[:40])
+    w = _LETTERS.sub(lambda m: "X" if m[0].isupper() and len(m[0]) > 1 else "x" if m[0].islower() else "Xx", word)
     return re.sub(r"\d+", "9", w)
 
 
@@ -66,11 +67,37 @@ class Grader:
         return x
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", folds: int = 5, held: int = 0, max_rows: int = MAX_FIT_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Grader:
+def upper(theta: np.ndarray) -> np.ndarray:
+    """Ordered thresholds from the first one and the logarithms of the steps."""
+    return np.concatenate([theta[:1], theta[0] + np.cumsum(np.exp(theta[1:]))])
+
+
+def gradient(w: np.ndarray, theta: np.ndarray, at: np.ndarray, value: np.ndarray, doc: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Gradients of the mean negative log likelihood by weights and thresholds' parameters, and the mean itself.
+
+    Feature `at` of document `doc` has `value`; y: the documents' grades by number. P(grade = j) = P(grade >= j) - P(grade > j).
+    """
+    n, k = len(y), len(theta)
+    x = np.bincount(doc, w[at] * value, minlength=n)
+    th = np.concatenate([[-np.inf], upper(theta), [np.inf]])
+    sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -60, 60)))
+    lo, hi = sig(x - th[y]), sig(x - th[y + 1])
+    p = np.maximum(lo - hi, 1e-12)
+    dlo, dhi = lo * (1 - lo) / p, hi * (1 - hi) / p
+    gth = np.zeros(k + 2)
+    np.add.at(gth, y, dlo / n)
+    np.add.at(gth, y + 1, -dhi / n)
+    gth = gth[1:-1]
+    gtheta = np.concatenate([[gth.sum()], [np.exp(theta[j]) * gth[j:].sum() for j in range(1, k)]])
+    gw = np.bincount(at, (-(dlo - dhi) / n)[doc] * value, minlength=len(w)) + RIDGE * w
+    return gw, gtheta, float(-np.log(p).mean() + RIDGE / 2 * (w @ w))
+
+
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", folds: int = 5, held: int = 0, max_rows: int = MAX_FIT_ROWS, id_col: str = "doc_id", text_col: str = "text", max_grades: int = MAX_GRADES) -> Grader:
     """Maximum likelihood by Adam on at most max_rows labelled documents outside the held-out fold.
 
     A document's features are the mean of its words' hashed features over the
-    whole text. Grades are the distinct labels in order, MAX_GRADES at most.
+    whole text. Grades are the distinct labels in order; more than max_grades of them are an error.
     """
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -85,8 +112,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", folds: i
     sample = labelled_sample(docs, labels, label_col, max_rows, folds, held, id_col, text_col)
     rows = materialise(sample.mapInPandas(frugal(run), "label int, at binary, value binary"), "graded").collect()  # max_rows rows at most
     grades = sorted({r.label for r in rows})
-    if len(grades) > MAX_GRADES:
-        raise ValueError(f"{len(grades)} grades; {MAX_GRADES} at most")
+    if len(grades) > max_grades:
+        raise ValueError(f"{len(grades)} grades; {max_grades} at most")
     if len(grades) < 2:
         return Grader(grades=grades)
     rows.sort(key=lambda r: zlib.crc32(r["at"]))
@@ -101,7 +128,6 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", folds: i
     w, theta = np.zeros(BUCKETS), np.concatenate([start[:1], gaps])
     moments = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(theta), np.zeros_like(theta)]
     rng, turn, size = np.random.RandomState(7), 0, 64
-    upper = lambda th: np.concatenate([[th[0]], th[0] + np.cumsum(np.exp(th[1:]))])
     for epoch in range(EPOCHS):
         rate = 0.3 * (1 - epoch / EPOCHS)
         order = rng.permutation(len(rows))
@@ -109,19 +135,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", folds: i
             own = order[a : a + size]
             idx, val = np.concatenate([at[i] for i in own]), np.concatenate([value[i] for i in own])
             doc = np.repeat(np.arange(len(own)), [len(at[i]) for i in own])
-            x = np.bincount(doc, w[idx] * val, minlength=len(own))
-            th = np.concatenate([[-np.inf], upper(theta), [np.inf]])
-            sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -60, 60)))
-            lo, hi = sig(x - th[y[own]]), sig(x - th[y[own] + 1])  # P(grade >= y), P(grade > y)
-            p = np.maximum(lo - hi, 1e-12)
-            dlo, dhi = lo * (1 - lo) / p, hi * (1 - hi) / p
-            gx = -(dlo - dhi) / len(own)
-            gth = np.zeros(k + 2)
-            np.add.at(gth, y[own], dlo / len(own))
-            np.add.at(gth, y[own] + 1, -dhi / len(own))
-            gth = gth[1:-1]
-            gtheta = np.concatenate([[gth.sum()], [np.exp(theta[j]) * gth[j:].sum() for j in range(1, k)]])
-            gw = np.bincount(idx, gx[doc] * val, minlength=BUCKETS) + 1e-6 * w
+            gw, gtheta, _ = gradient(w, theta, idx, val, doc, y[own])
             turn += 1
             for param, g, m, v in ((w, gw, moments[0], moments[1]), (theta, gtheta, moments[2], moments[3])):
                 m += 0.1 * (g - m)

@@ -119,7 +119,7 @@ def is_noise(c: Column) -> Column:
 
 
 def escape_html(c: Column) -> Column:
-    """HTML-escaped, without ^{} and [], `\\*` unescaped, line ends as <br>."""
-    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+    """HTML-escaped, quotes too; without the stray mark ^{}[], `\\*` and `\\_` unescaped, line ends as <br>."""
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;"), ("^{}[]", "")):
         c = F.replace(c, F.lit(a), F.lit(b))
-    return F.replace(F.regexp_replace(F.regexp_replace(c, r"[\^{}\[\]]", ""), r"\\\*", "*"), F.lit("\n"), F.lit("<br>"))
+    return F.replace(F.regexp_replace(c, r"\\([*_])", "$1"), F.lit("\n"), F.lit("<br>"))

@@ -48,8 +48,16 @@ def classify_bands(values: DataFrame, key: list[str], value: str, bands: DataFra
 
 
 def first_seen(df: DataFrame, keys: list[str], order: list[str], flag: str = "first") -> DataFrame:
-    """df with `flag`: true on the first row of each key value."""
-    return df.withColumn(flag, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) == 1)
+    """df with `flag`: true on the rows with the least `order` of their key value (nulls equal).
+
+    The least is pre-aggregated and joined back, so a key that very many rows share meets in no window.
+    """
+    df = stage(df, "unseen")
+    least = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min(F.struct(*order)).alias("_least"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return df.join(least, same).withColumn(flag, F.struct(*order) == F.col("_least")).drop("_least", *[f"_k{i}" for i in range(len(keys))])
 
 
 def zip_streams(a: DataFrame, b: DataFrame, keys: list[str], order_a: list[str], order_b: list[str]) -> DataFrame:

@@ -261,3 +261,43 @@ def unexplained(pairs: DataFrame, golden: list[tuple[str, str, str, str]]) -> Da
     told = pairs.sparkSession.createDataFrame([(g[i],) for g in golden for i in (1, 2)], "told string").distinct()
     told = F.broadcast(told)  # a short list made by hand
     return pairs.join(told, F.col("x") == F.col("told"), "left_anti").join(told, F.col("y") == F.col("told"), "left_anti")
+
+
+def report(names: DataFrame, title: str, max_dist: int = 2, ratio: float = 0.5) -> DataFrame:
+    """(o, line): the lines of a report on (name, file) occurrences, in the order of the array o: checks, notations, and pairs by distance."""
+    seen = stage(occurrences(names.withColumn("place", F.regexp_replace("file", r"\Ascan-|\.md\z", "")), "name", "place"), "seen")
+    shown = F.concat(F.col("name"), F.lit(" ("), F.col("n").cast("string"), F.lit(")"))
+    placed = F.concat(F.lit("["), F.array_join("places", " "), F.lit("]"))
+    line = lambda df, o, text: df.select(F.array(*[x.cast("string") for x in o]).alias("o"), text.alias("line"))
+    z, pad = F.lit(""), lambda c: F.lpad(c.cast("string"), 6, "0")
+    head = seen.agg(F.concat(F.lit(f"# {title}: "), F.count("*").cast("string"), F.lit(f" names, max distance {max_dist}, ratio {ratio}")).alias("t"))
+    out = line(head, [F.lit("0"), z, z, z], F.col("t"))
+    one = names.sparkSession.range(1)
+    for o, t in (("1", ""), ("2", "## checks"), ("4", "")):
+        out = out.unionByName(line(one, [F.lit(o), z, z, z], F.lit(t)))
+    found = checks(seen, "name").join(seen, "name")
+    out = out.unionByName(line(found, [F.lit("3"), F.col("name"), F.col("k"), z], F.concat(F.lit("  "), shown, F.lit("  "), F.col("why"), F.lit("  "), placed)))
+    noted = stage(notations(seen, "name").join(seen, "name"), "noted")
+    kinds = noted.groupBy("why", "group").agg(F.array_join(F.array_sort(F.collect_set("printed")), "\x00").alias("g"))
+    part = F.when(F.startswith("group", F.lit("part")), F.concat(F.lit("0"), F.col("group"))).otherwise(F.concat(F.lit("1"), F.col("why")))
+    key = [F.lit("6"), part, F.col("g")]
+    out = out.unionByName(line(kinds.agg(F.concat(F.lit("## notations: "), F.count("*").cast("string")).alias("t")), [F.lit("5"), z, z, z], F.col("t")))
+    out = out.unionByName(line(kinds, [*key, z], F.concat(F.lit("  "), F.col("why"))))
+    forms = noted.groupBy("why", "group", "printed").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("name", F.concat(shown, F.lit(" "), placed).alias("t")))), lambda x: x["t"]), ", ").alias("t"), F.min("name").alias("first"))
+    # parts come in the order of their first names, shapes in their own
+    place = F.when(F.startswith("group", F.lit("part")), F.col("first")).otherwise(F.col("printed"))
+    out = out.unionByName(line(forms.join(kinds, ["why", "group"]), [*key, F.concat(F.lit("1"), place)], F.concat(F.lit("    "), F.col("printed"), F.lit(": "), F.col("t"))))
+    pairs = stage(pair_levels(seen, "name", max_dist, ratio), "pairs")
+    counted = names.sparkSession.range(1, max_dist + 1).select(F.col("id").cast("int").alias("d")).join(pairs.groupBy("d").agg(F.count("*").alias("m")), "d", "left").fillna(0)
+    out = out.unionByName(line(counted, [F.lit("7"), pad(F.col("d")), z, z], F.lit("")))
+    out = out.unionByName(line(counted, [F.lit("7"), pad(F.col("d")), F.lit("!"), z], F.concat(F.lit("## distance "), F.col("d").cast("string"), F.lit(": "), F.col("m").cast("string"), F.lit(" new pairs"))))
+    side = lambda c: seen.select(F.col("name").alias(c), F.col("n").alias(f"n{c}"), F.concat(shown, F.lit(" "), placed).alias(f"t{c}"))
+    both = pairs.join(side("x"), "x").join(side("y"), "y")
+    swap = F.col("nx") < F.col("ny")
+    text = F.concat(F.lit("  "), F.when(swap, F.col("ty")).otherwise(F.col("tx")), F.lit("  ~  "), F.when(swap, F.col("tx")).otherwise(F.col("ty")))
+    return out.unionByName(line(both, [F.lit("7"), pad(F.col("d")), F.concat(F.lit("~"), F.col("x")), F.col("y")], text))
+
+
+def dump(names: DataFrame) -> DataFrame:
+    """(name, line): every name with its count."""
+    return names.groupBy("name").agg(F.count("*").alias("n")).select("name", F.concat(F.col("n").cast("string"), F.lit("\t"), F.col("name")).alias("line"))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions import scalar
 from tidegauge.operators import consistency, findings, fuzzy, names, realign, sequence, stats, tables, vote
-from tidegauge.sources import sinks
+from tidegauge.plans import extract, merge, pages, timetable
+from tidegauge.sources import ocr, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -117,10 +118,10 @@ def clock_wrap(spark, sf):
         SELECT l_orderkey, l_quantity, lag(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) AS p FROM lineitem)
     WHERE l_quantity < p GROUP BY l_orderkey""")
 def backward_steps(spark, sf):
-    """Steps back of a quantity along an order's lines."""
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
-    w = sequence.along(["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"])
-    return li.withColumn("p", F.lag("l_quantity").over(w)).where("l_quantity < p").groupBy("l_orderkey").agg(F.count("*").alias("n_back"))
+    """Steps back of a quantity along an order's lines, on a clock that never reaches midnight."""
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
+    li = table(spark, sf, "lineitem").where("l_quantity is not null").select("l_orderkey", *order)
+    return sequence.clock(li, ["l_orderkey"], order, "l_quantity").where("back").groupBy("l_orderkey").agg(F.count("*").alias("n_back"))
 
 
 @query("""WITH f AS (
@@ -213,16 +214,16 @@ def time_classify(spark, sf):
     return _cells(spark, sf).select("event_id", scalar.time_seconds(c).cast("bigint").alias("sec"), scalar.cell_kind(c).alias("kind"))
 
 
-@query(f"""WITH c AS (SELECT event_id, CASE event_id % 3 WHEN 0 THEN '**' || cell || '**' WHEN 1 THEN ' ' || cell || ' ' ELSE cell || '\\*' END AS cell FROM (SELECT event_id, {SQL_CELL} AS cell FROM events)),
+@query(rf"""WITH c AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN '**' || cell || '**' WHEN 1 THEN ' ' || cell || ' ' WHEN 2 THEN cell || ' ' || cell ELSE cell || '\*' END AS cell FROM (SELECT event_id, {SQL_CELL} AS cell FROM events)),
       s AS (SELECT event_id, trim(cell) AS t FROM c),
       e AS (SELECT event_id, CASE WHEN length(t) > 4 AND starts_with(t, '**') AND ends_with(t, '**') THEN t[3:-3] WHEN t = '****' THEN '**' ELSE t END AS t FROM s),
-      u AS (SELECT event_id, replace(t, '\\*', '*') AS t FROM e)
-    SELECT event_id, CASE WHEN regexp_matches(t, '^[0-9][.,][0-9]{{2}}(,5)?$') THEN '0' || t ELSE t END AS cell FROM u""")
+      u AS (SELECT event_id, replace(t, '\*', '*') AS t FROM e)
+    SELECT event_id, t AS kept, regexp_replace(t, '\b([0-9])\.([0-9]{{2}})\b', '0\1.\2', 'g') AS cell FROM u""")
 def clean_cell(spark, sf):
-    """Cells without emphasis, escapes and outer space, with lone hours padded."""
-    k, c = F.col("event_id") % 3, F.col("cell")
-    dirty = F.when(k == 0, F.concat(F.lit("**"), c, F.lit("**"))).when(k == 1, F.concat(F.lit(" "), c, F.lit(" "))).otherwise(F.concat(c, F.lit("\\*")))
-    return _cells(spark, sf).select("event_id", scalar.clean_cell(dirty).alias("cell"))
+    """Cells without emphasis, escapes and outer space, with lone hours padded, and as columns of names keep them."""
+    k, c = F.col("event_id") % 4, F.col("cell")
+    dirty = F.when(k == 0, F.concat(F.lit("**"), c, F.lit("**"))).when(k == 1, F.concat(F.lit(" "), c, F.lit(" "))).when(k == 2, F.concat(c, F.lit(" "), c)).otherwise(F.concat(c, F.lit("\\*")))
+    return _cells(spark, sf).select("event_id", scalar.clean_cell(dirty, pad_time=False).alias("kept"), scalar.clean_cell(dirty).alias("cell"))
 
 
 @query("""WITH k AS (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN printf('%d,%d', abs(CAST(floor(c_acctbal) AS BIGINT)), c_custkey % 10) WHEN 1 THEN printf('%d.%d', c_custkey, c_custkey % 10) ELSE 'km' END AS km FROM customer)
@@ -346,16 +347,14 @@ def fuzzy_pairs(spark, sf):
     return fuzzy.fuzzy_pairs(n, 3, 0.5).withColumn("d", F.col("d").cast("bigint"))
 
 
-@query("""WITH w AS (SELECT DISTINCT replace(lower(p_name), ' ', '') AS joined FROM part WHERE p_partkey % 2 = 0),
-      v AS (SELECT DISTINCT replace(lower(p_name), ' ', '') AS word FROM part WHERE p_partkey % 2 = 1)
+@query("""WITH w AS (SELECT DISTINCT replace(lower(p_name), ' ', '') AS joined FROM part), v AS (SELECT DISTINCT left(joined, length(joined) - 1) AS word FROM w UNION SELECT 'x' || joined FROM w)
     SELECT joined, min(word) AS match FROM w JOIN v ON abs(length(joined) - length(word)) <= 1 AND levenshtein(joined, word) <= 1 GROUP BY joined""")
 def hyphen_joins(spark, sf):
-    """Words joined at a hyphen, looked up in a vocabulary within one edit: the least match."""
-    joined = F.replace(F.lower("p_name"), F.lit(" "), F.lit("")).alias("key")
-    part = table(spark, sf, "part").where("p_name is not null")
-    a, b = part.where("p_partkey % 2 = 0").select(joined).distinct(), part.where("p_partkey % 2 = 1").select(joined).distinct()
-    near = fuzzy.within_distance(a, b, 1).select(F.col("x").alias("joined"), F.col("y").alias("match"))
-    return near.unionByName(a.join(b, "key").select(F.col("key").alias("joined"), F.col("key").alias("match"))).groupBy("joined").agg(F.min("match").alias("match"))
+    """Words joined at a break, looked up in a vocabulary within one edit: the least match."""
+    w = table(spark, sf, "part").where("p_name is not null").select(F.replace(F.lower("p_name"), F.lit(" "), F.lit("")).alias("key")).distinct()
+    v = w.select(F.expr("left(key, length(key) - 1)").alias("key")).union(w.select(F.concat(F.lit("x"), "key"))).distinct()
+    near = fuzzy.within_distance(w, v, 1).select(F.col("x").alias("joined"), F.col("y").alias("match"))
+    return near.unionByName(w.join(v, "key").select(F.col("key").alias("joined"), F.col("key").alias("match"))).groupBy("joined").agg(F.min("match").alias("match"))
 
 
 @query("""SELECT regexp_replace(s_name, '[0-9]+(,[0-9]+)?', '#', 'g') AS shape, count(*) AS n, min(s_name) AS first_name FROM supplier GROUP BY shape
@@ -369,16 +368,27 @@ def number_shape(spark, sf):
     return out
 
 
-@query("""WITH p AS (SELECT DISTINCT string_split(o_orderpriority, '-')[2] AS place, o_orderpriority AS printed FROM orders),
-      u AS (SELECT lower(trim(place)) AS key, printed FROM p UNION ALL SELECT lower(trim(place)), upper(printed) FROM p)
-    SELECT key, count(DISTINCT printed) AS n_printed, string_agg(DISTINCT printed, ';' ORDER BY printed) AS printed FROM u GROUP BY key HAVING count(DISTINCT printed) > 1""")
+SQL_NAMES = """SELECT p_name, string_split(p_name, ' ')[1] AS a, string_split(p_name, ' ')[2] AS b, p_size % 5 + 1 AS v, p_size // 5 % 5 + 1 AS r FROM part WHERE p_name IS NOT NULL"""
+ROMAN_SQL = "['I', 'II', 'III', 'IV', 'V']"
+
+
+def _part_names(spark, sf):
+    """Part names as printed in several notations: with an Arabic or a Roman number, and with the first word cut short."""
+    p = table(spark, sf, "part").where("p_name is not null").select("p_name", F.split("p_name", " ").alias("w"), (F.col("p_size") % 5 + 1).cast("string").alias("v"), (F.floor(F.col("p_size") / 5) % 5 + 1).cast("int").alias("r"))
+    roman = F.element_at(F.array(*map(F.lit, names.ROMAN)), F.col("r"))
+    cut = F.concat(F.substring(F.get("w", F.lit(0)), 1, 2), F.lit(". "), F.get("w", F.lit(1)), F.lit(" "), F.col("v"))
+    slash = F.concat(F.substring(F.get("w", F.lit(0)), 1, 1), F.lit("/"), F.get("w", F.lit(1)))
+    return p.select(F.explode(F.array(F.concat("p_name", F.lit(" "), "v"), F.concat("p_name", F.lit(" "), roman), cut, slash)).alias("name"))
+
+
+@query(f"""WITH s AS ({SQL_NAMES}),
+      p AS (SELECT DISTINCT 'end' AS place, 'Roman number' AS key, '… I…' AS printed, p_name || ' ' || {ROMAN_SQL}[r] AS name FROM s
+            UNION SELECT 'front', left(a, 2), left(a, 2) || '. …', left(a, 2) || '. ' || b || ' ' || v FROM s
+            UNION SELECT 'front', left(a, 1), left(a, 1) || '/…', left(a, 1) || '/' || b FROM s)
+    SELECT place, key, printed, count(*) AS n FROM p GROUP BY ALL""")
 def notation_parts(spark, sf):
-    """Parts of names that are printed in more than one way."""
-    p = table(spark, sf, "orders").select("o_orderpriority").distinct()
-    key = F.lower(F.trim(F.element_at(F.split("o_orderpriority", "-"), 2)))
-    u = p.select(key.alias("key"), F.col("o_orderpriority").alias("printed")).unionByName(p.select(key.alias("key"), F.upper("o_orderpriority").alias("printed")))
-    out = u.groupBy("key").agg(F.countDistinct("printed").alias("n_printed"), F.array_join(F.array_sort(F.collect_set("printed")), ";").alias("printed"))
-    return out.where("n_printed > 1")
+    """The notation parts of names, and how many distinct names print each."""
+    return names.notation_parts(_part_names(spark, sf), "name").groupBy("place", "key", "printed").agg(F.count("*").alias("n"))
 
 
 @query("""WITH RECURSIVE n AS (SELECT DISTINCT lower(p_name) AS k FROM part WHERE p_name IS NOT NULL),
@@ -433,8 +443,7 @@ def zip_streams(spark, sf):
 def keep_first(spark, sf):
     """Whether a document's text is seen for the first time."""
     d = table(spark, sf, "documents").select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("h"))
-    firsts = d.groupBy("h").agg(F.min("doc_id").alias("f"))
-    return d.join(firsts, "h").select("doc_id", (F.col("doc_id") == F.col("f")).alias("first"))
+    return consistency.first_seen(d, ["h"], ["doc_id"]).select("doc_id", "first")
 
 
 @query("""WITH n AS (SELECT event_id, user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
@@ -455,13 +464,14 @@ def rank_findings(spark, sf):
     return r.select("event_id", F.round("weighted", 3).cast("double").alias("weighted"), F.col("rank").cast("bigint").alias("rank"))
 
 
-@query("""SELECT CASE WHEN contains(h, '|') THEN 'distance' WHEN h = upper(h) THEN 'two-way' WHEN length(h) > 200 THEN 'prose' WHEN ends_with(h, '.') THEN 'suburban' ELSE 'UNKNOWN' END AS shape, count(*) AS n
-    FROM (SELECT string_split(coalesce(text, ''), chr(10))[1] AS h FROM documents) GROUP BY shape""")
+@query("""SELECT CASE c_nationkey % 4 WHEN 0 THEN 'suburban' WHEN 1 THEN 'two-way' WHEN 2 THEN 'distance' END AS shape, CASE WHEN c_nationkey % 4 = 1 THEN 3 ELSE 2 END AS width, count(*) AS n FROM customer GROUP BY ALL""")
 def shape_tally(spark, sf):
-    """Documents by the shape that their first line shows, predicates in order."""
-    h = F.element_at(F.split(F.coalesce("text", F.lit("")), "\n"), 1)
-    shape = F.when(F.contains(h, F.lit("|")), "distance").when(h == F.upper(h), "two-way").when(F.length(h) > 200, "prose").when(F.endswith(h, F.lit(".")), "suburban").otherwise("UNKNOWN")
-    return table(spark, sf, "documents").groupBy(shape.alias("shape")).agg(F.count("*").alias("n"))
+    """Tables by the shape that their first row shows, and their width; unknown ones have none."""
+    k = F.col("c_nationkey") % 4
+    head = F.when(k == 0, "| № поездов | 61 |").when(k == 1, "| приб. | отпр. | Раздельные пункты |").when(k == 2, "| Раздельные пункты | Расстояние км |").otherwise("| what | is |")
+    text = F.concat(head, F.lit("\n|---|---|\n| "), F.col("c_name"), F.lit(" | 7.10 |"))
+    blocks = tables.read_gfm(table(spark, sf, "customer").select(F.col("c_custkey").alias("scan"), F.lit(0).alias("half"), F.lit(0).alias("y0"), F.lit(1).alias("pos"), F.lit("table").alias("type"), text.alias("t")), "t")
+    return extract.page_shapes(blocks).groupBy("shape", "width").agg(F.count("*").alias("n"))
 
 
 @query(r"""SELECT doc_id, count(*) AS n_lines, count(*) FILTER (regexp_matches(t, '^[ \t\r\f]*$') OR regexp_matches(t, '^[0-9]{1,3}$') OR regexp_matches(t, '^[0-9]+\s*(—\s*[0-9]+|\\?\*)$')) AS n_noise
@@ -474,19 +484,21 @@ def noise_filter(spark, sf):
 
 @query("""SELECT vec_id, CASE WHEN embedding[1] + embedding[2] < 0 THEN 0 ELSE 1 END AS half FROM embeddings WHERE embedding IS NOT NULL""")
 def half_split(spark, sf):
-    """Which half a box's centre falls in."""
+    """Which half a box's centre falls in, on a page whose middle is 0."""
     v = F.col("embedding")
-    return table(spark, sf, "embeddings").where("embedding is not null").select("vec_id", F.when(v[0] + v[1] < 0, 0).otherwise(1).alias("half"))
+    boxes = table(spark, sf, "embeddings").where("embedding is not null").select("vec_id", v[0].alias("x0"), v[1].alias("x1"), F.lit(0).alias("page_w"), F.lit(-1).alias("page_h"))
+    return ocr.split_halves(boxes).select("vec_id", "half")
 
 
-@query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t FROM documents),
-      r AS (SELECT doc_id, sum(CASE WHEN contains(t, '|') THEN 10 ELSE 9 * greatest(60, length(t)) / 60 + 4 END) / 10 AS n FROM l GROUP BY doc_id)
-    SELECT doc_id, round(least(1.0, 47 / n), 6) AS scale FROM r""")
+@query(r"""WITH l AS (SELECT doc_id, regexp_replace(unnest(string_split(text, chr(10))), '^[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g') AS t FROM documents WHERE text IS NOT NULL),
+      r AS (SELECT doc_id, sum(CASE WHEN starts_with(t, '#') THEN 2.0::DOUBLE ELSE 0.9::DOUBLE * greatest(1.0::DOUBLE, length(t) / 60.0::DOUBLE) + 0.4::DOUBLE END) AS rows FROM l WHERE t <> '' GROUP BY doc_id)
+    SELECT doc_id, round(rows, 4) AS rows, round(CASE WHEN rows > 47 THEN 47 / rows ELSE 1 END, 6) AS scale FROM r""")
 def fit_scale(spark, sf):
-    """The scale at which a document's estimated rows fit a page of 47."""
-    lines = tables.text_lines(table(spark, sf, "documents").where("text is not null"), "doc_id", "text")
-    rows = F.when(F.contains("text", F.lit("|")), 10.0).otherwise(9 * F.greatest(F.lit(60), F.length("text")) / 60 + 4)
-    return lines.groupBy("doc_id").agg((F.sum(rows) / 10).alias("n")).select("doc_id", F.round(F.least(F.lit(1.0), 47 / F.col("n")), 6).alias("scale"))
+    """What each document's lines are shrunk by, as paragraphs and headings of one page."""
+    lines = tables.text_lines(table(spark, sf, "documents").where("text is not null"), "doc_id", "text").withColumn("text", scalar.strip(F.col("text"))).where("text <> ''")
+    kind = F.when(F.startswith("text", F.lit("#")), "heading").otherwise("para")
+    parts = lines.select("doc_id", "text", kind.alias("kind"), F.lit(None).cast("array<struct<kind:string,cells:array<string>>>").alias("t_items"))
+    return pages.fit_scale(parts, ["doc_id"]).select("doc_id", F.round("rows", 4).alias("rows"), F.round("scale", 6).alias("scale"))
 
 
 @query()
@@ -508,19 +520,19 @@ def collapse(spark, sf):
     return findings.collapse(f, ["user_id"], "seq", "cells", "user_id bigint, first_seq bigint, n_findings bigint, cells string", merge)
 
 
-@query("""SELECT conv_id, turn, replace(regexp_replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '[\\^{}\\[\\]]', '', 'g'), chr(10), '<br>') AS html FROM conversations""".replace("\\\\", "\\"))
+@query(r"""SELECT conv_id, turn, replace(regexp_replace(replace(replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;'), '^{}[]', ''), '\\([*_])', '\1', 'g'), chr(10), '<br>') AS html FROM conversations""")
 def escape_html(spark, sf):
     """Texts escaped for HTML."""
     return table(spark, sf, "conversations").select("conv_id", "turn", scalar.escape_html(F.col("text")).alias("html"))
 
 
-@query("""WITH c AS (SELECT DISTINCT user_id % 50 AS k, event_id % 40 AS r, length(event_type) AS c FROM events),
+@query("""WITH c AS (SELECT DISTINCT user_id AS k, event_id AS r, length(event_type) AS c FROM events WHERE event_type IS NOT NULL),
       g AS (SELECT *, r - row_number() OVER (PARTITION BY k, c ORDER BY r) AS g FROM c),
       n AS (SELECT k, c, min(r) AS a, max(r) AS b FROM g GROUP BY k, c, g)
     SELECT k, string_agg('r' || a || CASE WHEN b > a THEN '–' || b ELSE '' END || 'c' || c, ' ' ORDER BY a, c, b) AS ranges FROM n GROUP BY k""")
 def cell_ranges(spark, sf):
-    """Cells as ranges of rows in a column."""
-    ev = table(spark, sf, "events").select((F.col("user_id") % 50).alias("k"), (F.col("event_id") % 40).alias("r"), F.length("event_type").alias("c"))
+    """A user's events as ranges of rows in a column of their type."""
+    ev = table(spark, sf, "events").where("event_type is not null").select(F.col("user_id").alias("k"), F.col("event_id").alias("r"), F.length("event_type").alias("c"))
     return sinks.cell_ranges(ev, ["k"], "r", "c")
 
 
@@ -552,11 +564,14 @@ def misaligned_runs(spark, sf):
     return findings.merge_runs(ev, ["user_id"], "a", "b", ties=["event_id"])
 
 
-@query()
+@query(f"""WITH s AS ({SQL_NAMES}),
+      n AS (SELECT DISTINCT 'number' AS why, f.p_name || ' #' AS x, f.p_name || ' ' || {ROMAN_SQL}[g.r] AS y FROM s f JOIN s g ON f.p_name = g.p_name AND f.v = g.r
+            UNION SELECT 'abbreviation', left(f.a, 2) || '. ' || f.b || ' #', g.p_name || ' #' FROM s f JOIN s g ON f.b = g.b AND left(f.a, 2) = left(g.a, 2)
+            UNION SELECT 'abbreviation', left(f.a, 1) || '/' || f.b, g.p_name FROM s f JOIN s g ON f.b = g.b AND left(f.a, 1) = left(g.a, 1) WHERE false)
+    SELECT why, least(x, y) AS x, greatest(x, y) AS y FROM n""")
 def notation_pairs(spark, sf):
-    """Names that differ in notation only; the classes are beyond SQL."""
-    n = table(spark, sf, "supplier").select(F.concat(F.lit("Парк "), (F.col("s_suppkey") % 40).cast("string"), F.when(F.col("s_suppkey") % 3 == 0, " км").otherwise(" пасс.")).alias("name"))
-    return names.notation_pairs(n, "name")
+    """Shapes of names that differ in notation only."""
+    return names.notation_links(_part_names(spark, sf), "name")
 
 
 @query()
@@ -568,3 +583,52 @@ def realigned_pages(spark, sf):
     pages = table(spark, sf, "part").select("p_brand", k.alias("pos"), (k % 50 == 0).alias("band"), cells.alias("cells"))
     out = realign.realign(pages, ["p_brand"], 0, 1)
     return out.select("p_brand", "pos", "kind", F.array_join("cells", "|").alias("cells"), "what", "detail")
+
+
+def _region_tables(spark, sf):
+    """(r, head, body): a region's nations as rows of a table, in the order of their keys."""
+    n = table(spark, sf, "nation").select(F.col("n_regionkey").alias("r"), F.struct(F.col("n_nationkey").alias("k"), F.col("n_name").alias("n")).alias("x"))
+    return n.groupBy("r").agg(F.array_sort(F.collect_list("x")).alias("x"))
+
+
+@query("""SELECT n_regionkey AS r, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS i, n_name AS name, CAST(n_nationkey AS VARCHAR) AS key FROM nation""")
+def table_round_trip(spark, sf):
+    """Tables written as text, with a head and a band, and read again."""
+    row = lambda kind, *cells: F.struct(F.lit(kind).alias("kind"), F.array(*cells).alias("cells"))
+    made = _region_tables(spark, sf).withColumn("rows", F.concat(F.array(row("head", F.lit("name"), F.lit("key")), row("band", F.lit("a band over the whole table"), F.lit(""))), F.transform("x", lambda x: row("row", x["n"], x["k"].cast("string")))))
+    text = tables.table_text(made.withColumns({"w": F.lit(2), "h": F.lit(1)}), "rows", "w", "h", "t").select("r", "t")
+    read = tables.read_book_table(text, "t").select("r", F.filter("t_items", lambda i: i["kind"] == "row").alias("items"))
+    return read.select("r", F.posexplode("items").alias("i", "x")).select("r", (F.col("i") + 1).cast("bigint").alias("i"), F.col("x.cells")[0].alias("name"), F.col("x.cells")[1].alias("key"))
+
+
+@query("""WITH v AS (SELECT n_regionkey + 1 AS scan, n_nationkey AS k, n_name AS name, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) + 1 AS i, n_nationkey % 3 AS odd, n_nationkey % 2 = 0 AS differ FROM nation)
+    SELECT scan, '7' AS page, 'table 1, row ' || i || ' col 1 · ' || CASE WHEN odd = 0 THEN lower(name) ELSE name END AS place,
+           name || ' (' || CASE odd WHEN 0 THEN 'b, c' WHEN 1 THEN 'a, c' ELSE 'a, b' END || '); ' || lower(name) || ' (' || ['a', 'b', 'c'][odd + 1] || ')' AS readings FROM v WHERE differ AND name <> lower(name)""")
+def merged_runs(spark, sf):
+    """Three runs of scan files, one table a region, in which each second name is read differently by one run: the disputes of their merge."""
+    row = lambda kind, *cells: F.struct(F.lit(kind).alias("kind"), F.array(*cells).alias("cells"))
+    runs_ = _region_tables(spark, sf).withColumn("ord", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    name = lambda x: F.when((x["k"] % 2 == 0) & (x["k"] % 3 == F.col("ord")), F.lower(x["n"])).otherwise(x["n"])
+    made = runs_.withColumn("rows", F.concat(F.array(row("head", F.lit("name"), F.lit("key"))), F.transform("x", lambda x: row("row", name(x), x["k"].cast("string"))))).withColumns({"w": F.lit(2), "h": F.lit(1)})
+    text = tables.table_text(made, "rows", "w", "h", "t")
+    whole = F.concat(F.lit("---\nscan: "), (F.col("r") + 1).cast("string"), F.lit("\nkind: cover\nfolios: [7]\nshapes: [suburban]\n---\n\n## page 7\n\n"), F.col("t"), F.lit("\n"))
+    files = text.select(F.concat(F.lit("scan-"), F.col("r").cast("string"), F.lit(".md")).alias("file"), whole.alias("text"), F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), F.col("ord") + 1).alias("run"), "ord", F.lit(False).alias("extra"))
+    return merge.merge_runs(files)[1].select("scan", "page", F.col("where").alias("place"), "readings")
+
+
+@query("""WITH f AS (SELECT event_id, user_id, event_type, floor(value) AS v FROM events WHERE value IS NOT NULL AND event_type IS NOT NULL),
+      k AS (SELECT *, row_number() OVER (ORDER BY CASE WHEN event_type = 'error' THEN 0 ELSE 1 END, v DESC, user_id, event_type, event_id) AS n FROM f),
+      c AS (SELECT n, CAST(n AS VARCHAR) AS c0, CASE WHEN event_type = 'error' THEN 'IMPOSSIBLE' ELSE 'deviation' END AS c1, CAST(user_id AS VARCHAR) AS c2, event_type AS c5, 'r' || event_id || 'c1' AS c7, 'value ' || CAST(v AS BIGINT) AS c9, 'n=' || CAST(v AS BIGINT) AS c10 FROM k),
+      w AS (SELECT max(length(c0)) AS w0, greatest(5, max(length(c1))) AS w1, greatest(4, max(length(c2))) AS w2, greatest(5, max(length(c5))) AS w5, greatest(5, max(length(c7))) AS w7, greatest(7, max(length(c9))) AS w9, greatest(8, max(length(c10))) AS w10 FROM c)
+    SELECT n, '| ' || rpad(c0, CAST(w0 AS INT), ' ') || ' | ' || rpad(c1, CAST(w1 AS INT), ' ') || ' | ' || rpad(c2, CAST(w2 AS INT), ' ') || ' |       | x     | ' || rpad(c5, CAST(w5 AS INT), ' ') || ' | at    | '
+           || rpad(c7, CAST(w7 AS INT), ' ') || ' | structure | ' || rpad(c9, CAST(w9 AS INT), ' ') || ' | ' || rpad(c10, CAST(w10 AS INT), ' ') || ' |' AS line FROM c, w""")
+def findings_text(spark, sf):
+    """Findings in rank order as the lines of a report."""
+    v = F.floor("value")
+    ev = table(spark, sf, "events").where("value is not null and event_type is not null")
+    found = ev.select(
+        F.col("user_id").cast("int").alias("scan"), F.lit(None).cast("int").alias("folio"), F.lit("x").alias("shape"), F.col("event_type").alias("train"), F.array(F.lit(0)).alias("rules"), F.when(F.col("event_type") == "error", 0).otherwise(1).alias("severity"),
+        v.cast("double").alias("weighted"), F.lit("at").alias("station"), F.array(F.struct(F.col("event_id").cast("int").alias("r"), F.lit(1).alias("c"))).alias("cells"), F.col("event_id").alias("first"),
+        F.concat(F.lit("value "), v.cast("string")).alias("message"), F.array(F.struct(F.lit("n").alias("k"), v.cast("string").alias("v"))).alias("evidence"),
+    )
+    return timetable.findings_lines(found).where("n > 0")

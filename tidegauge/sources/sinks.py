@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidegauge.functions.scalar import escape_html
 from tidegauge.operators import consistency
 
 
@@ -27,13 +27,6 @@ def findings_json(found: DataFrame, path: str, mode: str = "errorifexists") -> N
     ranked.withColumn("score", score).drop("weighted", "first").orderBy("rank").write.mode(mode).json(path)
 
 
-def html_rows(rows: DataFrame, key: list[str], order: str, cells: Column, tag: str = "td") -> DataFrame:
-    """(key, html): a table's rows as <tr> lines, each cell escaped."""
-    line = F.concat(F.lit("<tr>"), F.array_join(F.transform(cells, lambda c: F.concat(F.lit(f"<{tag}>"), escape_html(c), F.lit(f"</{tag}>"))), ""), F.lit("</tr>"))
-    lines = rows.select(*key, F.col(order).alias("_o"), line.alias("_l"))
-    return lines.groupBy(*key).agg(F.concat(F.lit("<table>"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_o", "_l"))), lambda s: s["_l"]), "\n"), F.lit("</table>")).alias("html"))
-
-
 def head_spans(cells: DataFrame, key: list[str], col: str, text: str) -> DataFrame:
     """(key, first, colspan, text): head cells with the empty ones that continue them."""
     w = Window.partitionBy(*key).orderBy(col)
@@ -42,6 +35,46 @@ def head_spans(cells: DataFrame, key: list[str], col: str, text: str) -> DataFra
     return spans.groupBy(*key, "_g").agg(F.min(col).alias("first"), F.count("*").alias("colspan"), F.max(text).alias("text")).drop("_g")
 
 
+def write_texts(texts: DataFrame, folder: str, mode: str = "errorifexists", name: str = "file", text: str = "text") -> tuple[int, int]:
+    """(written, skipped): each text as a file of its own name, by Hadoop's file system, one text on the driver at a time.
+
+    mode: `errorifexists` refuses a folder that holds anything, `ignore` leaves files that are there, `overwrite` replaces them.
+    """
+    spark = texts.sparkSession
+    if mode not in ("errorifexists", "ignore", "overwrite"):
+        raise ValueError(f"unknown mode {mode}")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if mode == "errorifexists" and fs.exists(path(folder)) and len(fs.listStatus(path(folder))):
+        raise FileExistsError(f"{folder}: not empty")
+    written = skipped = 0
+    for r in texts.select(name, text).orderBy(name).toLocalIterator():
+        at = path(f"{folder}/{r[0]}")
+        if mode == "ignore" and fs.exists(at):
+            skipped += 1
+            continue
+        out = fs.create(at, True)
+        out.write(bytearray(r[1].encode()))
+        out.close()
+        written += 1
+    return written, skipped
+
+
+def next_dir(spark: SparkSession, root: str, kind: str) -> tuple[str, int]:
+    """(the folder after the last `kind-NN` under root, how many of those are not finished)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(path(root))] if fs.exists(path(root)) else []
+    own = [n for n in names if re.fullmatch(rf"{re.escape(kind)}-\d+", n)]
+    last = max((int(n.rsplit("-", 1)[1]) for n in own), default=-1)
+    return f"{root}/{kind}-{last + 1:02d}", sum(not finished(spark, f"{root}/{n}") for n in own)
+
+
+def require_finished(spark: SparkSession, folder: str) -> None:
+    if not finished(spark, folder):
+        raise FileNotFoundError(f"{folder}: not finished")
+
+
 def finish(spark: SparkSession, folder: str, **facts) -> None:
     """The manifest of a finished output folder, written last: a folder without one is not finished."""
     row = {"made": datetime.now().isoformat(timespec="seconds"), **{k: str(v) for k, v in facts.items()}}

@@ -1,0 +1,85 @@
+"""Rendering and recognition with stand-ins for the programs and the service."""
+
+from __future__ import annotations
+
+import hashlib
+import io
+import json
+import os
+import struct
+import urllib.error
+import zlib
+
+import pytest
+
+from tidegauge.sources import service
+
+
+def test_load_env():
+    assert service.load_env("# c\nA=1\n B = 'two' \nbad\nC=\"x=y\"\nA_KEY=file\n", {"A_KEY": "set"}) == {"A": "1", "B": "two", "C": "x=y", "A_KEY": "set"}
+
+
+@pytest.mark.parametrize("codes,waited,fails", [([], [], False), ([429, 503], [5, 20], False), ([500] * 3, [5, 20, 60], False), ([500] * 4, [5, 20, 60], True), ([404], [], True)])
+def test_request_is_tried_again(codes, waited, fails):
+    left, slept, asked = list(codes), [], []
+
+    def opener(req, timeout):
+        asked.append(json.loads(req.data))
+        if left:
+            raise urllib.error.HTTPError("u", left.pop(0), "no", {}, io.BytesIO(b"why"))
+        return io.BytesIO(b'{"ok": 1}')
+
+    call = lambda: service.request("http://x", "k", {"a": 1}, opener, slept.append)
+    if fails:
+        with pytest.raises(RuntimeError, match=f"HTTP {codes[-1]}: why"):
+            call()
+    else:
+        assert call() == {"ok": 1}
+    assert slept == waited and all(a == {"a": 1} for a in asked)
+
+
+def test_recognise_and_go_on(spark, tmp_path):
+    for n in (1, 2, 3):
+        (tmp_path / f"scan-0{n}.png").write_bytes(bytes([n]))
+
+    def call(body):
+        if body["document"]["image_url"].endswith("Ag=="):
+            raise RuntimeError("no answer")
+        return {"model": body["model"], "url": body["document"]["image_url"]}
+
+    images = service.read_images(spark, str(tmp_path))
+    first = {r.name: r for r in service.recognise(images, call, {"model": "m"}).collect()}
+    assert {n: r.error for n, r in first.items()} == {"scan-01": None, "scan-02": "no answer", "scan-03": None}
+    assert json.loads(first["scan-01"].response) == {"model": "m", "url": "data:image/png;base64,AQ=="}
+    done = spark.createDataFrame([(n,) for n, r in first.items() if r.response], "name string")
+    assert [r.name for r in service.recognise(images, call, {"model": "m"}, done).collect()] == ["scan-02"]
+
+
+def unpng(png):
+    at, data = 8, b""
+    while at < len(png):
+        size, kind = struct.unpack(">I4s", png[at : at + 8])
+        body = png[at + 8 : at + 8 + size]
+        assert struct.unpack(">I", png[at + 8 + size : at + 12 + size])[0] == zlib.crc32(kind + body)
+        head = body if kind == b"IHDR" else head  # noqa: F821
+        data += body if kind == b"IDAT" else b""
+        at += size + 12
+    width, height, bits, colour = struct.unpack(">IIBB", head[:10])
+    raw, row = zlib.decompress(data), (width * bits * (3 if colour == 2 else 1) + 7) // 8
+    return width, height, b"".join(raw[i * (row + 1) + 1 : (i + 1) * (row + 1)] for i in range(height))
+
+
+def test_render(tmp_path, monkeypatch):
+    images = {"pbm": b"P4\n9 2\n\x80\x80\x00\x00", "pgm": b"P5 2 2 255\n\x00\x01\x02\x03", "ppm": b"P6\n1 2\n255\nabcdef"}
+    for fmt, raw in images.items():
+        (tmp_path / f"page.{fmt}").write_bytes(raw)
+    (tmp_path / "djvused").write_text("#!/bin/sh\necho 2\n")
+    (tmp_path / "ddjvu").write_text(f'#!/bin/sh\ncat {tmp_path}/page.$(echo "$2" | cut -d= -f2)\n')
+    for name in ("djvused", "ddjvu"):
+        os.chmod(tmp_path / name, 0o755)
+    monkeypatch.setenv("PATH", f"{tmp_path}:{os.environ['PATH']}")
+    want = {"bw": (9, 2, b"\x7f\x7f\xff\xff"), "gray": (2, 2, b"\x00\x01\x02\x03"), "color": (1, 2, b"abcdef")}
+    for mode, image in want.items():
+        made = list(service.render("x.djvu", mode))
+        assert [m[0] for m in made] == ["scan-01.png", "scan-02.png"] and all(unpng(m[1]) == image and m[2] == image[:2] for m in made)
+    assert service.digest(str(tmp_path / "page.pgm")) == hashlib.md5(images["pgm"]).hexdigest()

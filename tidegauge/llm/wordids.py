@@ -9,17 +9,22 @@ tokenizers library.
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 
-import numpy as np
-
 #: Words that a worker remembers in its young table; a full one becomes the old table, from which words return when met again.
 REMEMBERED = 150_000
 #: Python splits at these, the tokenizer does not.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+#: A run of letters and a run of signs, which the tokenizer parts there; an apostrophe may begin an ending of its own, and special tokens hold `<`.
+_LETTERS_SIGNS = re.compile("([A-Za-z]+)([!-&(-/:;=?-@[-`{-~]+)")
 _LOADED: dict[str, WordEncoder] = {}
 
 
+def pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def _byte_letters() -> dict[int, str]:
     """The printable stand-ins of bytes in byte-level vocabularies: printable Latin-1 stands for itself, the rest follows from 256 on."""
     keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -61,21 +66,21 @@ class WordEncoder(dict):
         if (known := self.old.get(word)) is not None:
             return self.keep(word, known)
         if word.isalpha():
-            low = word.lower()
-            if low == word and unicodedata.is_normalized("NFC", word):
+            if word.isascii():
+                return self.keep(word, self._letters(word) if word.islower() else self[word.lower()])
+            if word == word.lower() and unicodedata.is_normalized("NFC", word):
                 # one run of letters, already normal: the model alone splits it
-                ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(BYTE_LETTERS))]
-            elif word.isascii():
-                return self.keep(word, self[low])
-            else:
-                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+                return self.keep(word, self._letters(word.encode().decode("latin-1").translate(BYTE_LETTERS)))
         elif word[-1] in ",." and word[:-1].isalpha():
             return self.keep(word, self[word[:-1]] + self[word[-1]])
-        else:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return self.keep(word, np.array(ids, "<u4").tobytes())
+        elif m := _LETTERS_SIGNS.fullmatch(word):
+            return self.keep(word, self[m[1]] + self[m[2]])
+        return self.keep(word, pack(self.tokenizer.encode(word, add_special_tokens=False).ids))
+
+    def _letters(self, byte_letters: str) -> bytes:
+        return pack([t.id for t in self.model.tokenize(byte_letters)])
 
     def ids(self, text: str) -> bytes:
         if _SEPARATORS.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
         return b"".join(map(self.__getitem__, text.split()))

@@ -220,7 +220,7 @@ def test_cutting_stock_is_near_the_bound(seed):
 
 
 def test_url_rules(spark):
-    listed = spark.createDataFrame([("com", "/en/", "block"), ("Example.com", "/en/7", "allow"), ("host.org", "", "block")], "host string, path string, verdict string")
+    listed = spark.createDataFrame([("com", "/en/", "block"), ("Example.com", "/en/7", "allow"), ("host.org", "", "block"), ("host.or", "g", "allow"), ("e.com", "n/", "block")], "host string, path string, verdict string")
     urls = ["http://A.EXAMPLE.com/en/7x?q", "http://a.example.com/en/1", "x://com/en/", "http://notcom/en/", "http://xhost.org/a", "http://host.org", "http://h.host.org#f", None, "no scheme", "http://", "http://e.com/En/", "a://b://c.com/en/"]
     pages = spark.createDataFrame([(i, u, "h", "r") for i, u in enumerate([*urls, urls[0]])], "page_id long, url string, host string, row string")
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter(pages, listed).collect()}

@@ -10,6 +10,8 @@ from .common import ascii_lower
 
 #: A list of at most so many rows is broadcast (its rows are short strings); a longer one is shuffled.
 BROADCAST_ROWS = 100_000
+#: Between host and path in a key, so that a path without a slash is not taken for the end of a host.
+SEPARATOR = "\n"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
@@ -27,7 +29,7 @@ def url_filter(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url
     fitting host+path wins; of equal ones the smallest verdict ("allow" before
     "block"). A URL that nothing fits has rule null and verdict `default`.
 
-    A blocked Bloom filter of the listed host+path strings tests each
+    A blocked Bloom filter of the listed hosts with their paths tests each
     URL's candidate prefixes; only possible hits reach the exact hash join,
     which removes the false ones. Rows with no possible hit never move.
 
@@ -37,7 +39,7 @@ def url_filter(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url
     """
     keyed = listed.select(
         ascii_lower(F.coalesce("host", F.lit(""))).alias("lh"), F.coalesce("path", F.lit("")).alias("lp"), F.col("verdict").alias("lv")
-    ).select(F.concat("lh", "lp").alias("key"), "lh", "lp", "lv")
+    ).select(F.concat_ws(SEPARATOR, "lh", "lp").alias("key"), "lh", "lp", "lv")
     exact = keyed.groupBy("key").agg(F.min("lv").alias("verdict"))
     shape = keyed.agg(
         F.count("*").alias("n"),
@@ -55,7 +57,7 @@ def url_filter(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url
         lambda n: F.array_join(F.slice(parts, F.size(parts) - n + 1, n), "."),
     )
     lens = F.filter(F.array(*[F.lit(n) for n in shape.lens]).cast("array<int>"), lambda n: n <= F.length("path"))
-    cands = F.flatten(F.transform(hosts, lambda h: F.transform(lens, lambda n: F.concat(h, F.substring(F.col("path"), F.lit(1), n)))))
+    cands = F.flatten(F.transform(hosts, lambda h: F.transform(lens, lambda n: F.concat(h, F.lit(SEPARATOR), F.substring(F.col("path"), F.lit(1), n)))))
     hits = base.withColumn("words", words)  # a column of its own: a subquery may not stand inside filter()
     hits = hits.withColumn("hits", F.filter(cands, lambda k: bloom.may_contain(F.col("words"), k, n_blocks))).drop("words")
 
@@ -66,6 +68,6 @@ def url_filter(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url
     judged = (
         joined.groupBy("row")
         .agg(F.first(id_col).alias(id_col), F.first("host").alias("host"), F.first("path").alias("path"), found.alias("found"))
-        .select(id_col, "host", "path", F.col("found.key").alias("rule"), F.coalesce("found.verdict", F.lit(default)).alias("verdict"))
+        .select(id_col, "host", "path", F.regexp_replace("found.key", r"\A([^\n]*)\n", "$1").alias("rule"), F.coalesce("found.verdict", F.lit(default)).alias("verdict"))
     )
     return none.unionByName(judged)

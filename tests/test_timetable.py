@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import glob
+import json
 import os
 
 import pytest
@@ -140,6 +141,11 @@ def test_messages_and_report(spark, book):
     assert lines[-1].startswith(f"{columns.count()} train columns checked; {n} findings") and len(report_of(spark, found, columns, 2)) == 5
     levels = [x.split("|")[2].strip() for x in lines[2:-1]]
     assert levels == sorted(levels)
+    objects = [json.loads(r.json) for r in timetable.findings_json(found.withColumn("score", F.when(F.col("scan") == at["speed"], float("inf")).otherwise(F.col("score")))).orderBy("n").collect()]
+    assert len(objects) == n and [o["message"] for o in objects] == [" | ".join(x.split(" | ")[9:-1]).strip() for x in lines[2:-1]]
+    assert {o["score"] for o in objects if o["scan"] == at["speed"]} == {"Infinity"} and all(isinstance(o["score"], float) for o in objects if o["scan"] != at["speed"])
+    bad = next(o for o in objects if o["scan"] == at["bad cell"])
+    assert bad["values"] == ["1O.05"] and bad["rules"] == [0] and bad["cells"] == [[1, 1]] and bad["evidence"] == {} and bad["station"] == "Jb"
     hard = timetable.select_findings(found, impossible=True)
     assert hard.count() == levels.count("IMPOSSIBLE") and timetable.select_findings(found, rules=[5]).count() == sum(5 in r.rules for r in found.collect())
     assert timetable.findings_lines(found.where("false")).count() == 0

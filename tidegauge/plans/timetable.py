@@ -450,12 +450,29 @@ def select_findings(found: DataFrame, rules: list[int] | None = None, impossible
     return found.where("severity = 0") if impossible else found
 
 
+def _ranked(found: DataFrame) -> DataFrame:
+    return consistency.number_rows(found, [F.col("severity"), F.col("weighted").desc(), F.col("scan"), F.col("folio"), F.col("train"), F.col("first")], "rank")
+
+
+def findings_json(found: DataFrame) -> DataFrame:
+    """(n, json): the findings in rank order, one JSON object each; an infinite score is the text Infinity, as JSON has no number for it."""
+    score = F.when(F.col("score") == float("inf"), F.to_json(F.struct(F.lit("Infinity").alias("s")))).otherwise(F.to_json(F.struct(F.round("score", 3).alias("s"))))
+    fields = F.struct(
+        "severity", F.lit(0).alias("score"), F.array_sort("rules").alias("rules"), "message", F.map_from_entries("evidence").alias("evidence"), "scan", "folio", "shape", "train", "station",
+        F.transform("cells", lambda c: F.array(c["r"], c["c"])).alias("cells"), "values",
+    )
+    text = F.to_json(fields, {"ignoreNullFields": "false"})
+    # a score is a number or a text, which no column type is
+    own = F.replace(text, F.lit('"score":0,'), F.concat(F.lit('"score":'), F.regexp_extract(score, r"\A\{\"s\":(.*)\}\z", 1), F.lit(",")))
+    return values(_ranked(found)).select(F.col("rank").alias("n"), own.alias("json"))
+
+
 HEAD = ["#", "level", "scan", "folio", "shape", "train", "where", "cells", "rules", "message", "evidence"]
 
 
 def findings_lines(found: DataFrame, limit: int = 0) -> DataFrame:
     """(n, line): the findings in rank order as lines of an aligned table, the head at -1 and its rule at 0; no rows for no findings. limit shows the first so many."""
-    ranked = consistency.number_rows(found, [F.col("severity"), F.col("weighted").desc(), F.col("scan"), F.col("folio"), F.col("train"), F.col("first")], "rank")
+    ranked = _ranked(found)
     ranges = sinks.cell_ranges(ranked.select("rank", F.explode("cells").alias("x")).select("rank", "x.r", "x.c"), ["rank"], "r", "c")
     shown = ranked.join(ranges, "rank", "left")
     if limit:

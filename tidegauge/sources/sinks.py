@@ -8,7 +8,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidegauge.operators import consistency
 
 
 def cell_ranges(cells: DataFrame, key: list[str], row: str, col: str) -> DataFrame:
@@ -20,13 +19,6 @@ def cell_ranges(cells: DataFrame, key: list[str], row: str, col: str) -> DataFra
     return runs.groupBy(*key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("a", F.col(col).alias("c"), "b", "t"))), lambda s: s["t"]), " ").alias("ranges"))
 
 
-def findings_json(found: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Findings in rank order, one JSON object a line; an infinite score is written as the text Infinity."""
-    ranked = consistency.number_rows(found, [F.col("severity"), F.col("weighted").desc(), F.col("scan"), F.col("first")], "rank")
-    score = F.when(F.col("score") == float("inf"), "Infinity").otherwise(F.round("score", 3).cast("string"))
-    ranked.withColumn("score", score).drop("weighted", "first").orderBy("rank").write.mode(mode).json(path)
-
-
 def head_spans(cells: DataFrame, key: list[str], col: str, text: str) -> DataFrame:
     """(key, first, colspan, text): head cells with the empty ones that continue them."""
     w = Window.partitionBy(*key).orderBy(col)

@@ -35,6 +35,9 @@ REMEMBERED = 600_000
 COUNTED = 400_000
 LEXICON_WORDS = 65_536
 LONG = 64
+#: Ids take so many bits of a merge's number.
+ID_BITS = 24
+ID_MASK = (1 << ID_BITS) - 1
 NONE = 1 << 60
 _MAGIC = b"MATL"
 
@@ -47,7 +50,10 @@ class Vocabulary:
             spec = json.load(f)
         self.ids: dict[str, int] = spec["model"]["vocab"]
         merges = spec["model"]["merges"]
-        self.ranks = {tuple(m.split(" ")) if isinstance(m, str) else tuple(m): i for i, m in enumerate(merges)}
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in merges]
+        #: pair of ids, as one number -> rank and the id it becomes, as one number; the least has the lowest rank
+        self.merges = {self.ids[a] << ID_BITS | self.ids[b]: rank << ID_BITS | self.ids[a + b] for rank, (a, b) in reversed([*enumerate(pairs)])}
+        self.letter = [self.ids[BYTE_LETTERS[b]] for b in range(256)]
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         back = {c: b for b, c in BYTE_LETTERS.items()}
         size = max([*self.ids.values(), *self.special.values()]) + 1
@@ -61,44 +67,54 @@ class Vocabulary:
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one pre-split word: the leftmost pair of lowest rank is merged until none is left."""
-        parts = list(word.decode("latin-1").translate(BYTE_LETTERS))
+        parts = [*map(self.letter.__getitem__, word)]
         if len(parts) > LONG:
-            return [self.ids[p] for p in self._merge_long(parts)]
-        rank = self.ranks.get
-        ranks = [rank(p, NONE) for p in zip(parts, parts[1:])]
-        while ranks:
-            best = min(ranks)
+            return self._merge_long(parts)
+        get = self.merges.get
+        found = [get(a << ID_BITS | b, NONE) for a, b in zip(parts, parts[1:])]
+        while found:
+            best = min(found)
             if best == NONE:
                 break
-            i = ranks.index(best)
-            parts[i] += parts.pop(i + 1)
-            del ranks[i]
+            i = found.index(best)
+            new = parts[i] = best & ID_MASK
+            del parts[i + 1], found[i]
             if i:
-                ranks[i - 1] = rank((parts[i - 1], parts[i]), NONE)
-            if i < len(ranks):
-                ranks[i] = rank((parts[i], parts[i + 1]), NONE)
-        return [self.ids[p] for p in parts]
+                found[i - 1] = get(parts[i - 1] << ID_BITS | new, NONE)
+            if i < len(found):
+                found[i] = get(new << ID_BITS | parts[i + 1], NONE)
+        return parts
 
-    def _merge_long(self, parts: list[str]) -> list[str]:
+    def _merge_long(self, parts: list[int]) -> list[int]:
         """The same with a heap over linked parts, for words of any length."""
-        rank, n = self.ranks.get, len(parts)
+        get, n = self.merges.get, len(parts)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := rank((parts[i], parts[i + 1]))) is not None]
+        heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := get(parts[i] << ID_BITS | parts[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, left, right = heapq.heappop(heap)
+            best, i, left, right = heapq.heappop(heap)
             j = after[i]
             if parts[i] != left or j >= n or parts[j] != right:
                 continue
-            parts[i] = left + right
-            parts[j] = ""
+            parts[i] = best & ID_MASK
+            parts[j] = -1
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
             for k in (before[i], i):
-                if k >= 0 and after[k] < n and (r := rank((parts[k], parts[after[k]]))) is not None:
+                if k >= 0 and after[k] < n and (r := get(parts[k] << ID_BITS | parts[after[k]])) is not None:
                     heapq.heappush(heap, (r, k, parts[k], parts[after[k]]))
-        return [p for p in parts if p]
+        return [p for p in parts if p >= 0]
+
+
+_VOCABULARIES: dict[str, Vocabulary] = {}
+
+
+def vocabulary(path: str) -> Vocabulary:
+    """A worker reads a tokenizer file once."""
+    if path not in _VOCABULARIES:
+        _VOCABULARIES[path] = Vocabulary(path)
+    return _VOCABULARIES[path]
 
 
 def build_automaton(entries: list[tuple[bytes, list[int]]]) -> bytes:
@@ -277,7 +293,7 @@ _ENCODERS: dict[tuple[str, str], Encoder] = {}
 def _encoder(path: str, name: str) -> Encoder:
     if (path, name) not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[path, name] = Encoder(Vocabulary(path), Automaton(SparkFiles.get(name)))
+        _ENCODERS[path, name] = Encoder(vocabulary(path), Automaton(SparkFiles.get(name)))
     return _ENCODERS[path, name]
 
 
@@ -285,7 +301,7 @@ def frequent_words(docs: DataFrame, tokenizer_path: str, size: int = LEXICON_WOR
     """The `size` most frequent pre-split words of all documents (ties: by bytes). docs: (id, text)."""
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        v = Vocabulary(tokenizer_path)
+        v = vocabulary(tokenizer_path)
         pieces: Counter = Counter()
 
         def flush() -> pd.DataFrame:
@@ -338,7 +354,7 @@ def bpe_round_trip(docs: DataFrame, tokenizer_path: str, lexicon_words: int = LE
     """
     spark = docs.sparkSession
     own = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    v = Vocabulary(tokenizer_path)
+    v = vocabulary(tokenizer_path)
     lexicon = build_automaton([(w, v.merge(w)) for w in frequent_words(own, tokenizer_path, lexicon_words)])
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     spark.sparkContext.addFile(write_shared(spark, name, lexicon))  # each executor fetches one copy

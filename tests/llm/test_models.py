@@ -222,3 +222,14 @@ def test_held_out_labels_of_the_tables(spark):
     rows = quality.grade(docs, quality.fit(docs, labels)).join(labels, "doc_id").where("held_out and quality is not null").collect()
     good, bad = [r.tail_probability for r in rows if r.quality], [r.tail_probability for r in rows if not r.quality]
     assert sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad)) > 0.85
+
+
+def test_quality_and_toxicity_of_very_long_texts(spark):
+    docs, labels = graded(spark)
+    model = quality.fit(docs, labels)
+    long = spark.createDataFrame([(1, "good fine clear " * 200_000), (2, "BAD!! junk%%% " * 200_000), (None, "x" * 2_000_000)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in quality.grade(long, model).collect()}
+    assert rows[1].expected_grade > 1.5 > 0.5 > rows[2].expected_grade and rows[None].expected_grade is not None
+    lex = toxicity.Lexicon(weights={" vile ": 4.0}, exceptions=["not vile"], slope=1.0, offset=-1.0, empty=False)
+    score = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame([(1, "vile " * 300_000), (2, "not vile " * 300_000), (None, None)], "doc_id long, text string"), lex).collect()}
+    assert score[1] > 0.99 and score[2] == score[None] < 0.5

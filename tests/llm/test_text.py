@@ -256,3 +256,33 @@ def test_large_groups_of_contexts_equal_small_ones(monkeypatch):
         assert suffix_dedup.group_spans(*args) == want
         found += sum(x[0] >= 0 for x in want)
     assert found > 100
+
+
+def test_null_and_repeated_ids_and_long_texts(spark):
+    """op2, op6 and op9 on rows without an id, with one id twice, and with a text of a million words."""
+    rng = random.Random(13)
+    long = " ".join(rng.choices(["alpha", "beta", "gamma", "delta!"], k=200_000))
+    rows = [(None, "no id"), (None, None), (7, "one text"), (7, "another text"), (7, "one text"), (8, long)]
+    df = docs(spark, rows)
+    words = Tokenizer.from_file(WORD)
+    sizes = collections.Counter()
+    for r in packing.pack(df, WORD).collect():
+        sizes[r.doc_id] += r.length
+    want = collections.Counter()
+    for i, t in rows:
+        want[i] += len(words.encode(t or "", add_special_tokens=False).ids) + 1
+    assert sizes == want
+    tk = Tokenizer.from_file(BYTE)
+    got = collections.Counter((r.doc_id, r.n_tokens) for r in bpe.bpe_round_trip(df, BYTE, lexicon_words=20).collect())
+    assert got == collections.Counter((i, len(tk.encode(t or "", add_special_tokens=False).ids)) for i, t in rows)
+    short = [(None, "x" * 250), (None, None), (7, "y" * 250), (7, "z" * 100), (7, "y" * 250), (8, "".join(rng.choice("abcdefgh ") for _ in range(300_000)) + "x" * 220)]
+    cut = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans) for r in suffix_dedup.suffix_dedup(docs(spark, short)).collect())
+    assert cut == sorted([("None", 250, 250, 1), ("None", 0, 0, 0), ("7", 250, 250, 1), ("7", 100, 0, 0), ("7", 250, 250, 1), ("8", 300_220, 220, 1)])
+
+
+def test_long_urls_and_null_rows(spark):
+    listed = spark.createDataFrame([("com", "/en/", "block")], "host string, path string, verdict string")
+    urls = ["http://" + "a." * 100_000 + "com/en/x", "http://x.com/" + "p/" * 200_000, None]
+    pages = spark.createDataFrame([(None if i == 1 else i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    got = {r.page_id: (len(r.host), r.rule, r.verdict) for r in url_filter(pages, listed).collect()}
+    assert got == {0: (200_003, "com/en/", "block"), None: (5, None, "allow"), 2: (0, None, "allow")}

@@ -20,7 +20,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import frugal, materialise, write_shared
+from .common import frugal, materialise, map_ids, write_shared
 from .wordids import BYTE_LETTERS
 
 # Unicode white space, and the public pattern that splits text before merges (white space spelt out).
@@ -372,5 +372,5 @@ def bpe_round_trip(docs: DataFrame, tokenizer_path: str, lexicon_words: int = LE
                     kept.append(ids)
             yield pd.DataFrame({"id": pdf["id"], "n_tokens": n, "ids_sha256": ids_sha, "decoded_sha256": text_sha} | ({"ids": kept} if with_ids else {}))
 
-    out = own.mapInPandas(frugal(run), "id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids)
+    out = map_ids(own, run, "id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids)
     return out.withColumnRenamed("id", id_col)

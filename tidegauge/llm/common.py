@@ -56,6 +56,25 @@ def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator
     return wrapped
 
 
+#: Stands for a null id on its way through Python.
+NO_ID = -(1 << 63)
+
+
+def veiled(column: str = "id"):
+    """An id that pandas keeps exact: of a column with nulls it would make floats."""
+    return F.coalesce(F.col(column), F.lit(NO_ID)).alias(column)
+
+
+def unveiled(column: str = "id"):
+    return F.when(F.col(column) != NO_ID, F.col(column)).alias(column)
+
+
+def map_ids(df: DataFrame, run: Callable[[Iterator], Iterator], schema: str, column: str = "id") -> DataFrame:
+    """df.mapInPandas(frugal(run), schema), null ids kept and all others exact."""
+    out = df.withColumn(column, veiled(column)).mapInPandas(frugal(run), schema)
+    return out.withColumn(column, unveiled(column))
+
+
 def give_back() -> None:
     """Hand memory that Python, Arrow and the C library hold but do not use to the system."""
     import pyarrow as pa

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import frugal, materialise
+from .common import materialise, map_ids
 
 # Two primes below 2**26 and a base for each. With bytes below 2**8 and chunks of 2**13 bytes
 # every partial sum stays below 2**47, so float64 dot products are exact.
@@ -87,12 +87,12 @@ def fingerprints(src: DataFrame) -> DataFrame:
     Texts of up to PART characters are hashed where they are read. Longer ones are written as rows of PART characters,
     which are hashed by as many tasks, and their hashes combined in order, each shifted by the length of what follows.
     """
-    whole = src.where(F.length("text") <= PART).select("id", "sha", "text").mapInPandas(frugal(_hash_parts), f"id bigint, sha string, {HASHES}")
+    whole = map_ids(src.where(F.length("text") <= PART).select("id", "sha", "text"), _hash_parts, f"id bigint, sha string, {HASHES}")
     marks = whole.select("id", "sha", "n", (F.shiftleft("h0", 26).bitwiseOR(F.col("h1"))).alias("fp"))
     long = src.where(F.length("text") > PART).withColumn("row", F.monotonically_increasing_id())  # fixed by writing it
     long = long.select("row", "id", "sha", F.posexplode(_cut("text", PART)).alias("part", "text"))
     parts = materialise(long, "long-texts")
-    hashed = parts.mapInPandas(frugal(_hash_parts), f"row bigint, id bigint, sha string, part int, {HASHES}")
+    hashed = map_ids(parts, _hash_parts, f"row bigint, id bigint, sha string, part int, {HASHES}")
     listed = F.array_sort(F.collect_list(F.struct("part", "n", "h0", "h1", "s0", "s1")))
     joined = hashed.groupBy("row").agg(F.first("id").alias("id"), F.first("sha").alias("sha"), F.sum("n").alias("n"), listed.alias("x"))
 

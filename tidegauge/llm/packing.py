@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import frugal, materialise
+from .common import materialise, map_ids
 from .wordids import WordEncoder
 
 #: Length classes of a sequence: the linear program has so many rows at most, whatever the corpus.
@@ -146,7 +146,7 @@ def cut(docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = 204
         encoder.forget()  # the worker lives on; its memory is for the next stage
 
     schema = "id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint" + ", ids binary" * with_ids
-    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInPandas(frugal(run), schema)
+    return map_ids(docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")), run, schema)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = 2048, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

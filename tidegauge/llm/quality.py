@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import frugal, materialise
+from .common import frugal, materialise, map_ids
 from .labelled import fold_of, labelled_sample
 
 BUCKETS = 1 << 16
@@ -169,5 +169,5 @@ def grade(docs: DataFrame, grader: Grader, select_grade: int | None = None, sele
             yield out
 
     own = docs.select(F.col(id_col).cast("bigint").alias("id"), fold_of(F.col(id_col).cast("bigint"), folds).alias("fold"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    out = own.mapInPandas(frugal(run), "id bigint, fold int, expected_grade double, tail_probability double")
+    out = map_ids(own, run, "id bigint, fold int, expected_grade double, tail_probability double")
     return out.select(F.col("id").alias(id_col), (F.col("fold") == held).alias("held_out"), "expected_grade", "tail_probability", F.coalesce(F.col("tail_probability") >= select_tail, F.lit(True)).alias("kept"))

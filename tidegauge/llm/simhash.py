@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .buckets import bucket_links
-from .common import frugal, materialise
+from .common import materialise, map_ids
 from .components import components
 
 SEED = 42
@@ -80,7 +80,7 @@ def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             yield pd.DataFrame({"id": pdf["id"], "fp": np.array([_signed(fingerprint(t, size)) for t in pdf["text"]], np.int64)})
 
     src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    marks = materialise(src.mapInPandas(frugal(prints), "id bigint, fp bigint"), "simhash")
+    marks = materialise(map_ids(src, prints, "id bigint, fp bigint"), "simhash")
     classes = materialise(marks.groupBy("fp").agg(F.min("id").alias("least")), "simhash-classes")
 
     masks = F.array(*[F.lit(_signed(m)) for m in covering_masks(radius)])

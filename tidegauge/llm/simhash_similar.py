@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from . import bloom
 from .buckets import bucket_links
-from .common import frugal, materialise
+from .common import frugal, materialise, map_ids
 from .components import components
 from .simhash import covering_masks
 
@@ -130,7 +130,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # numbers are fixed by writing them
     src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("sha", F.sha2("text", 256))
     marks = src.select(F.monotonically_increasing_id().alias("node"), "id", "sha", "text")
-    marks = materialise(marks.mapInPandas(frugal(read), "node bigint, id bigint, sha string, keys array<bigint>"), "near-marks")
+    marks = materialise(map_ids(marks, read, "node bigint, id bigint, sha string, keys array<bigint>"), "near-marks")
     keyed = marks.select("node", F.explode("keys").alias("key"))
     least = materialise(keyed.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"), "near-buckets")
     edges = keyed.join(least, "key").where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import frugal, give_back, materialise
+from .common import frugal, give_back, materialise, map_ids
 
 WIDTH = 200
 GRAM = 64
@@ -264,7 +264,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col
                 size.append(len(data))
             yield pd.DataFrame({"id": pdf["id"], "sha": pdf["sha"], "n": size, "pos": pos, "h": h, "ctx": ctx})
 
-    read = src.mapInPandas(frugal(sample), "id bigint, sha string, n bigint, pos array<int>, h array<bigint>, ctx array<bigint>")
+    read = map_ids(src, sample, "id bigint, sha string, n bigint, pos array<int>, h array<bigint>, ctx array<bigint>")
     read = materialise(read.withColumn("row", F.monotonically_increasing_id()), "anchors")
     texts = materialise(read.groupBy("sha").agg(F.min("row").alias("rep"), F.count("*").alias("copies")), "texts")
     marks = read.select("row", "id", "sha", "n").join(texts, "sha")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import PandasUDFType
 
-from .common import frugal, materialise
+from .common import frugal, materialise, map_ids
 from .labelled import fold_of, labelled_sample
 
 # Letters of other scripts that look like Latin ones, and common digit and sign substitutions.
@@ -264,5 +264,5 @@ def score(docs: DataFrame, lexicon: Lexicon, folds: int = 5, held: int = 0, id_c
             yield pd.DataFrame({"id": pdf["id"], "fold": pdf["fold"], "score": [lexicon.score(lexicon.density(a, t)) for t in pdf["text"]]})
 
     own = docs.select(F.col(id_col).cast("bigint").alias("id"), fold_of(F.col(id_col).cast("bigint"), folds).alias("fold"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    out = own.mapInPandas(frugal(run), "id bigint, fold int, score double")
+    out = map_ids(own, run, "id bigint, fold int, score double")
     return out.select(F.col("id").alias(id_col), (F.col("fold") == held).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

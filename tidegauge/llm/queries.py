@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import quality, toxicity
 from .bpe import bpe_round_trip
 from .common import table
 from .exact_dedup import exact_dedup
 from .hmm import lm_score
+from .line_dedup import line_dedup
 from .packing import pack
 from .simhash import simhash_near_dedup
 from .suffix_dedup import suffix_dedup
@@ -65,6 +67,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.grade(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_packing": op2_packing,
@@ -76,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_line_dedup": op11_line_dedup,
 }
 
 _FITS = " ".join(
@@ -99,4 +107,14 @@ ORACLE_SQL: dict[str, str] = {
              g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS text_sha256
         FROM t JOIN g USING (text)""",
+    "op11_line_dedup": r"""
+        WITH d AS (SELECT row_number() OVER () AS row_id, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+             l AS (SELECT row_id, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM d),
+             k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+             f AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT row_id) >= 10),
+             m AS (SELECT k.*, f.key IS NOT NULL AS gone FROM k LEFT JOIN f USING (key))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+        FROM m GROUP BY row_id, doc_id""",
 }

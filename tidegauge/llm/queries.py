@@ -15,6 +15,7 @@ from .exact_dedup import exact_dedup
 from .hmm import lm_score
 from .line_dedup import line_dedup
 from .packing import pack
+from .periodic import periodic_runs
 from .simhash import simhash_near_dedup
 from .suffix_dedup import suffix_dedup
 from .url_filter import url_filter
@@ -72,6 +73,37 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def _planted(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in a tenth of the documents the words from some place on repeat with some period, as the contract of op12 says."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    src = docs.select("doc_id", "text", h.alias("h"), F.expr("crc32(CAST(doc_id AS STRING)) div 10").alias("g"))
+    picked = F.when(F.col("h") % 10 == 0, words)
+    src = src.select("doc_id", "text", "g", picked.alias("words")).select("*", F.size("words").alias("n"))
+    src = src.select("*", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int").alias("a"))
+    src = src.select("*", F.expr("CAST(1 + (n - a) div (3 + g % 8) AS INT)").alias("p"))
+    cycles = F.expr("flatten(array_repeat(slice(words, a + 1, p), CAST((n - a) div p AS INT) + 1))")
+    text = F.concat_ws(" ", F.concat(F.slice("words", 1, F.col("a")), F.slice(cycles, 1, F.col("n") - F.col("a"))))
+    return src.select("doc_id", F.when(F.col("a").isNotNull(), text).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(_planted(table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    spans = F.concat_ws("", F.transform("runs", lambda r: F.concat_ws("", F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))))
+    out = found.select("*", best.alias("best"))
+    return out.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(spans, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_packing": op2_packing,
@@ -84,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_line_dedup": op11_line_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 _FITS = " ".join(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import quality, toxicity
 from .bpe import bpe_round_trip
 from .common import table
+from .divergence import source_divergence
 from .exact_dedup import exact_dedup
 from .hmm import lm_score
 from .line_dedup import line_dedup
@@ -104,6 +105,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_packing": op2_packing,
@@ -117,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_classifier": op10_quality_classifier,
     "op11_line_dedup": op11_line_dedup,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 _FITS = " ".join(
@@ -150,4 +156,28 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
         FROM m GROUP BY row_id, doc_id""",
+    "op13_source_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+             t AS (SELECT row_id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+             k AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT row_id) >= 30),
+             c AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+             g AS (SELECT DISTINCT lang, source FROM d),
+             f AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n
+                   FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+             p AS (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER w + 5 * count(*) OVER w) AS p
+                   FROM f WINDOW w AS (PARTITION BY lang, source)),
+             l AS (SELECT lang, term, sum(n) AS n FROM f GROUP BY lang, term),
+             q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER w + 5 * count(*) OVER w) AS q
+                   FROM l WINDOW w AS (PARTITION BY lang)),
+             s AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+                   FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+             pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+                       FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+                       LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+             terms AS (SELECT lang, source, term AS item, (p - q)::BIGINT AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+             ranked AS (SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+                        UNION ALL
+                        SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM terms)
+        SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50""",
 }

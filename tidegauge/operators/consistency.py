@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegauge.operators.scan import number, sequences
 from tidegauge.sources.shared import stage
 
 
@@ -61,9 +62,13 @@ def first_seen(df: DataFrame, keys: list[str], order: list[str], flag: str = "fi
 
 
 def zip_streams(a: DataFrame, b: DataFrame, keys: list[str], order_a: list[str], order_b: list[str]) -> DataFrame:
-    """Rows of two streams joined by position inside a key; what either has over stays, with nulls."""
-    x = a.withColumn("pos", F.row_number().over(Window.partitionBy(*keys).orderBy(*order_a)))
-    y = b.withColumn("pos", F.row_number().over(Window.partitionBy(*keys).orderBy(*order_b)))
+    """Rows of two streams joined by position inside a key; what either has over stays, with nulls.
+
+    Positions of a key with very many rows are counted by ranges and offsets (`scan`), and the join's key holds the position, so
+    few keys spread over many tasks.
+    """
+    x = sequences(a, keys, order_a).add(pos=number()).rows()
+    y = sequences(b, keys, order_b).add(pos=number()).rows()
     return x.join(y, [*keys, "pos"], "full_outer")
 
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.functions import scalar
 from tidegauge.operators import fuzzy
+from tidegauge.operators.scan import running_last, sequences
 from tidegauge.sources.shared import stage
 
 # Roman numbers in names, the word of a head of names, and what stands in a column of names without being one.
@@ -91,8 +92,8 @@ def collect_names(lines: DataFrame) -> DataFrame:
     at = F.array_position(F.transform("cells", lambda c: F.contains(F.lower(c), F.lit(NAME_HEAD))), True)
     rows = rows.withColumn("head", F.when(at > 0, at - 1))
     other = ~piped & (scalar.strip(F.col("text")) != "")
-    w = Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("col", F.coalesce(F.last(F.coalesce("head", F.when(other, 0)), ignorenulls=True).over(w), F.lit(0)))
+    rows = sequences(rows, ["file"], ["line"]).add(_col=running_last(F.coalesce("head", F.when(other, 0)))).rows()
+    rows = rows.withColumn("col", F.coalesce("_col", F.lit(0))).drop("_col")
     one = F.transform("cells", lambda c, i: F.when(i == F.col("col"), spellings(c)).when(c.rlike("\\AНа [А-ЯЁ]"), F.array(c)).when(F.contains(c, F.lit("—")) & c.rlike("[А-яЁё]"), route_parts(c)).otherwise(F.array().cast("array<string>")))
     found = rows.where("cells is not null and head is null").select("file", "line", F.explode(F.flatten(one)).alias("name"))
     routes = rows.where(~piped & F.contains("text", F.lit("—")) & ~F.col("text").rlike(r"\A(#|Не |Поезд)")).select("file", "line", F.explode(route_parts(F.col("text"))).alias("name"))

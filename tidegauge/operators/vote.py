@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegauge.operators.scan import number, sequences
+
 
 def vote(readings: DataFrame, cell: list[str], run: str, value: str, extra: str | None = None, name: str | None = None) -> DataFrame:
     """(cell..., value, votes, n_readings, agreed, readings[, detail]), one row per cell.
@@ -58,6 +60,9 @@ def text_groups(texts: DataFrame, unit: list[str], run: str, text: str) -> DataF
 
 
 def prune(claims: DataFrame, occurrences: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Claims that an occurrence of their mark still backs: the first k of a mark's claims, k its occurrences (a multiset semi join)."""
+    """Claims that an occurrence of their mark still backs: the first k of a mark's claims, k its occurrences (a multiset semi join).
+
+    Occurrences are counted before they shuffle; the claims of a mark with very many are numbered by ranges (`scan`).
+    """
     have = occurrences.groupBy(*keys).agg(F.count("*").alias("_have"))
-    return claims.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).join(have, keys).where("_k <= _have").drop("_k", "_have")
+    return sequences(claims, keys, order).add(_k=number()).rows().join(have, keys).where("_k <= _have").drop("_k", "_have")

@@ -512,12 +512,9 @@ def similar_names(spark, sf):
 def collapse(spark, sf):
     """Findings of a user's events that own the same cells, as clusters in order of emission; SQL cannot express it."""
     f = _legs(spark, sf).select("user_id", F.col("event_id").alias("seq"), F.array(F.col("event_id") % 50, (F.col("event_id") + F.col("dt")) % 50).alias("cells"))
-
-    def merge(rows):
-        cells = sorted({int(c) for r in rows for c in r["cells"]})
-        return {"user_id": rows[0]["user_id"], "first_seq": rows[0]["seq"], "n_findings": len(rows), "cells": ",".join(map(str, cells))}
-
-    return findings.collapse(f, ["user_id"], "seq", "cells", "user_id bigint, first_seq bigint, n_findings bigint, cells string", merge)
+    every = F.array_sort(F.array_distinct(F.flatten(F.collect_set("cells"))))
+    out = findings.collapse(f, ["user_id"], "seq", "cells", first_seq=F.min("seq"), n_findings=F.count("*"), every=every)
+    return out.select("user_id", "first_seq", "n_findings", F.array_join(F.col("every").cast("array<string>"), ",").alias("cells"))
 
 
 @query(r"""SELECT conv_id, turn, replace(regexp_replace(replace(replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;'), '^{}[]', ''), '\\([*_])', '\1', 'g'), chr(10), '<br>') AS html FROM conversations""")

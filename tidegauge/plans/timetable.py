@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions import scalar
@@ -375,7 +375,7 @@ def score_samples(s: dict[str, DataFrame], config: Config) -> DataFrame:
     return out.unionByName(_finding(speeds, 3, 1, F.col("dev"), F.col("station"), F.col("cells"), 4, order, message, evidence))
 
 
-CLUSTER = "scan int, folio int, shape string, train string, rules array<int>, severity int, score double, station string, cells array<struct<r:int,c:int>>, first bigint, message string, evidence array<struct<k:string,v:string>>, texts array<struct<r:int,c:int,t:string>>"
+CLUSTER = ["scan", "folio", "shape", "train", "rules", "severity", "score", "station", "cells", "first", "message", "evidence", "texts"]
 
 
 def collapse(found: DataFrame, config: Config) -> DataFrame:
@@ -384,18 +384,21 @@ def collapse(found: DataFrame, config: Config) -> DataFrame:
     w = Window.partitionBy("scan", "folio", "train").orderBy("order", "rule")
     numbered = numbered.withColumn("first", F.row_number().over(w).cast("bigint")).drop("order", "phase", "seq")
 
-    def merge(rows: list[dict]) -> dict:
-        cells = list(dict.fromkeys((int(c["r"]), int(c["c"])) for r in rows for c in r["cells"]))
-        top = rows[0]
-        return {
-            "scan": top["scan"], "folio": top["folio"], "shape": top["shape"], "train": top["train"], "rules": sorted({int(r["rule"]) for r in rows}), "severity": min(r["severity"] for r in rows),
-            "score": max(r["score"] for r in rows), "station": top["station"], "cells": [{"r": r, "c": c} for r, c in cells], "first": int(top["first"]), "message": "; ".join(r["message"] for r in rows),
-            "evidence": [{"k": k, "v": v} for k, v in {e["k"]: e["v"] for r in rows for e in r["evidence"]}.items()],
-            "texts": [{"r": r, "c": c, "t": t} for (r, c), t in {(int(x["r"]), int(x["c"])): x["t"] for r in rows for x in r["texts"]}.items()],
-        }
-
-    keyed = numbered.withColumn("own", F.transform("cells", lambda c: c["r"].cast("bigint") * 4096 + c["c"]))
-    clusters = stage(findings.collapse(keyed, ["scan", "folio", "train"], "first", "own", CLUSTER, merge), "clusters")
+    rows = F.array_sort(F.collect_list(F.struct("first", "shape", "rule", "severity", "score", "station", "cells", "message", "evidence", "texts")))
+    each = lambda field: F.transform("rows", lambda r: r[field])
+    of = lambda x, *names: F.struct(*[x[n].alias(n) for n in names])
+
+    def last_of(items: Column, names: tuple[str, ...], value: str) -> Column:
+        """Of items with equal names the value of the last, where the first stood."""
+        return F.transform(F.array_distinct(F.transform(items, lambda x: of(x, *names))), lambda k: F.struct(*[k[n].alias(n) for n in names], F.element_at(F.filter(items, lambda x: of(x, *names) == k), -1)[value].alias(value)))
+
+    clusters = findings.collapse(numbered, ["scan", "folio", "train"], "first", "cells", rows=rows)
+    clusters = clusters.withColumns({"evidence": F.flatten(each("evidence")), "texts": F.flatten(each("texts")), "top": F.get("rows", F.lit(0))})
+    clusters = clusters.select(
+        "scan", "folio", "top.shape", "train", F.array_sort(F.array_distinct(each("rule"))).cast("array<int>").alias("rules"), F.array_min(each("severity")).alias("severity"), F.array_max(each("score")).alias("score"), "top.station",
+        F.array_distinct(F.flatten(each("cells"))).alias("cells"), "top.first", F.array_join(each("message"), "; ").alias("message"), last_of(F.col("evidence"), ("k",), "v").alias("evidence"), last_of(F.col("texts"), ("r", "c"), "t").alias("texts"),
+    )
+    clusters = stage(clusters, "clusters")
     some = clusters.where(F.size("cells") > 0).withColumn("cols", F.array_sort(F.array_distinct(F.transform("cells", lambda c: c["c"]))))
     some = some.withColumn("r0", F.array_min(F.transform("cells", lambda c: c["r"]))).withColumn("r1", F.array_max(F.transform("cells", lambda c: c["r"])))
     key = ["scan", "folio", "train", "cols"]
@@ -408,8 +411,7 @@ def collapse(found: DataFrame, config: Config) -> DataFrame:
         F.array(F.struct(F.lit("first").alias("k"), F.min(F.struct("r0", "first", "message"))["message"].alias("v"))).alias("evidence"), F.array_distinct(F.flatten(F.collect_list("texts"))).alias("texts"),
     )
     long = long.withColumn("cells", F.flatten(F.transform("rows", lambda r: F.transform("cols", lambda c: F.struct(r.alias("r"), c.alias("c"))))))
-    keep = [c.split()[0] for c in CLUSTER.split(", ")]
-    return clusters.where(F.size("cells") == 0).select(*keep).unionByName(some.where(F.col("n") < config.run).select(*keep)).unionByName(long.select(*keep))
+    return clusters.where(F.size("cells") == 0).select(*CLUSTER).unionByName(some.where(F.col("n") < config.run).select(*CLUSTER)).unionByName(long.select(*CLUSTER))
 
 
 def validate(spark: SparkSession, path: str, config: Config = Config()) -> tuple[DataFrame, DataFrame]:

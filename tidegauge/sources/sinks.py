@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidegauge.operators.scan import lag, running_sum, sequences
 
 
 def cell_ranges(cells: DataFrame, key: list[str], row: str, col: str) -> DataFrame:
@@ -21,9 +22,9 @@ def cell_ranges(cells: DataFrame, key: list[str], row: str, col: str) -> DataFra
 
 def head_spans(cells: DataFrame, key: list[str], col: str, text: str) -> DataFrame:
     """(key, first, colspan, text): head cells with the empty ones that continue them."""
-    w = Window.partitionBy(*key).orderBy(col)
-    starts = cells.withColumn("_s", F.when((F.col(text) != "") | F.lag(col).over(w).isNull(), 1).otherwise(0))
-    spans = starts.withColumn("_g", F.sum("_s").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    rows = sequences(cells, key, [col]).add(_b=lag(col))
+    rows = rows.each(lambda d: d.withColumn("_s", F.when((F.col(text) != "") | F.col("_b").isNull(), 1).otherwise(0))).add(_g=running_sum("_s"))
+    spans = rows.rows()
     return spans.groupBy(*key, "_g").agg(F.min(col).alias("first"), F.count("*").alias("colspan"), F.max(text).alias("text")).drop("_g")
 
 

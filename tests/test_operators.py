@@ -16,7 +16,7 @@ def test_deviation_without_mad(spark):
 def test_exact_median_narrows(spark):
     df = spark.range(10001).select((F.col("id") * 7 % 10007).cast("double").alias("x"))
     values = sorted(i * 7 % 10007 for i in range(10001))
-    assert stats.group_medians(df.withColumn("k", F.lit(None).cast("string")).unionByName(df.withColumn("k", F.lit("a"))).where("k = 'a'"), ["k"], "x", at_once=100).first().med == values[5000]
+    assert stats.group_medians(df.withColumn("k", F.lit(None).cast("string")).unionByName(df.withColumn("k", F.lit("a"))).where("k = 'a'"), ["k"], "x").first().med == values[5000]
     assert stats.exact_median(df, "x") == values[5000]
     assert stats.exact_median(df.where("false"), "x") is None
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.operators.scan import running_sum, same_keys, sequences
 from tidegauge.sources.shared import stage
 
 
@@ -14,60 +15,46 @@ def deviation(x: Column, med: Column, mad: Column) -> Column:
     return F.when(mad != 0, F.abs(F.try_divide(F.lit(0.6745) * (x - med), mad))).otherwise(ratio)
 
 
-def group_medians(samples: DataFrame, keys: list[str], value: str, out: str = "med", at_once: int = 1_000_000) -> DataFrame:
-    """(keys, n, out): exact medians of the non-null values, one row a key.
+def value_counts(samples: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(keys, x, c): how often a key has each of its known values. Combined before the shuffle; written, as medians and deviations both read it."""
+    own = samples.select(*keys, F.col(value).cast("double").alias("x")).where("x is not null and not isnan(x)")
+    return stage(own.groupBy(*keys, "x").agg(F.count("*").alias("c")), "counts")
 
-    Approximate quantiles bracket each group's middle, and again inside the bracket until
-    about `at_once` distinct values are left in it. Values below or above the
-    bracket are counted as two lumps, so of a group only the bracket's distinct
-    values are ordered in one place; everything is combined before it
-    shuffles. The brackets are written, so a hot key's rows join them without meeting in one task.
+
+def weighted_medians(counts: DataFrame, keys: list[str], out: str = "med") -> DataFrame:
+    """(keys, n, out): exact medians of values x that occur c times each, one row a key.
+
+    Occurrences are summed along each key's distinct values, by ranges where a key has very many (`scan`).
     """
-    own = samples.select(*keys, F.col(value).cast("double").alias("_x")).where("_x is not null and not isnan(_x)")
-    near = own.groupBy(*keys).agg(F.count("*").alias("n"), F.percentile_approx("_x", QUANTILES, 10000).alias("_q"), F.approx_count_distinct("_x").alias("_d"))
-    near = stage(_bracket(near.withColumns({"_below": F.lit(0), "_in": F.col("n"), "_lo": F.lit(float("-inf")), "_hi": F.lit(float("inf"))}), at_once), "brackets")
-    for _ in range(ROUNDS):
-        inside = (F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))
-        wide = near.where(F.col("_d") > at_once)  # those whose bracket was too wide, and has been narrowed
-        if not wide.head(1):
-            break
-        x = F.when(inside, F.col("_x"))
-        again = own.join(wide.drop("_d", "_q"), keys).groupBy(*keys, "n", "_lo", "_hi").agg(
-            F.count_if(F.col("_x") < F.col("_lo")).alias("_below"), F.count_if(inside).alias("_in"), F.percentile_approx(x, QUANTILES, 10000).alias("_q"), F.approx_count_distinct(x).alias("_d")
-        )
-        near = stage(near.where(F.col("_d") <= at_once).unionByName(_bracket(again, at_once)), "brackets")
-    lump = F.when(F.col("_x") < F.col("_lo"), float("-inf")).when(F.col("_x") > F.col("_hi"), float("inf")).otherwise(F.col("_x"))
-    counts = own.join(near, keys).groupBy(*keys, "n", lump.alias("_x")).agg(F.count("*").alias("_c"))
-    counts = counts.withColumn("_upto", F.sum("_c").over(Window.partitionBy(*keys).orderBy("_x")))
-    at = lambda rank: F.min(F.when(F.col("_upto") > rank, F.col("_x")))
+    total = counts.groupBy(*[F.col(k).alias(f"_t_{k}") for k in keys]).agg(F.sum("c").alias("n"))
+    upto = sequences(counts, keys, ["x"]).add(_upto=running_sum("c")).rows()
+    found = upto.join(total, same_keys(keys, lambda k: F.col(f"_t_{k}")))
+    at = lambda rank: F.min(F.when(F.col("_upto") > rank, F.col("x")))
     middle = (at(F.floor((F.col("n") - 1) / 2)) + at(F.floor(F.col("n") / 2))) / 2
-    return stage(counts.groupBy(*keys, "n").agg(middle.alias(out)), "medians")
-
+    return found.groupBy(*keys, "n").agg(middle.alias(out))
 
-QUANTILES = [i / 64 for i in range(65)]
-ROUNDS = 6
 
+def group_medians(samples: DataFrame, keys: list[str], value: str, out: str = "med") -> DataFrame:
+    """(keys, n, out): exact medians of the non-null values, one row a key."""
+    return weighted_medians(value_counts(samples, keys, value), keys, out)
 
-def _bracket(groups: DataFrame, at_once: int) -> DataFrame:
-    """Groups whose bracket (_lo, _hi) is narrowed to the quantiles _q two steps round the middle, where more than at_once distinct values (_d) are in it.
 
-    _below and _in count the values below and in it. Quantiles are approximate to a hundredth of a step, so two steps hold the middle.
-    """
-    place = lambda rank: (rank - F.col("_below")) / F.col("_in") * 64
-    low = F.greatest(F.floor(place((F.col("n") - 1) / 2)) - 2, F.lit(0)).cast("int")
-    high = F.least(F.ceil(place(F.col("n") / 2)) + 2, F.lit(64)).cast("int")
-    wide = F.col("_d") > at_once
-    return groups.withColumns({"_lo": F.when(wide & (low > 0), F.get("_q", low)).otherwise(F.col("_lo")), "_hi": F.when(wide & (high < 64), F.get("_q", high)).otherwise(F.col("_hi"))}).select(
-        *[c for c in groups.columns if c not in ("_lo", "_hi", "_below", "_in")], "_lo", "_hi"
-    )
+def group_stats(samples: DataFrame, keys: list[str], value: str, min_n: int = 1) -> DataFrame:
+    """(keys, n, med, mad), one row a key with at least min_n values. Samples are read once; medians and deviations come from the counts of their values."""
+    counts = value_counts(samples, keys, value)
+    med = stage(weighted_medians(counts, keys).where(F.col("n") >= min_n), "medians")
+    named = med.select(*[F.col(k).alias(f"_m_{k}") for k in keys], "med")
+    off = counts.join(named, same_keys(keys, lambda k: F.col(f"_m_{k}"))).groupBy(*keys, F.abs(F.col("x") - F.col("med")).alias("x")).agg(F.sum("c").alias("c"))
+    mad = weighted_medians(stage(off, "deviations"), keys, "mad").select(*[F.col(k).alias(f"_d_{k}") for k in keys], "mad")
+    return stage(med.join(mad, same_keys(keys, lambda k: F.col(f"_d_{k}"))).select(*keys, "n", "med", "mad"), "statistics")
 
 
 def with_group_stats(samples: DataFrame, keys: list[str], value: str, min_n: int = 1) -> DataFrame:
-    """samples with n, med and mad of their group; groups under min_n drop out."""
-    med = group_medians(samples, keys, value).where(F.col("n") >= min_n)
-    joined = samples.join(med, keys)
-    off = joined.select(*keys, F.abs(F.col(value) - F.col("med")).alias("_off"))
-    return joined.join(group_medians(off, keys, "_off", "mad").drop("n"), keys)
+    """samples with n, med and mad of their group; groups under min_n drop out, and so do rows with a null key.
+
+    The statistics are written, one row a key, so the rows of a hot key join them without meeting in one task.
+    """
+    return samples.join(group_stats(samples, keys, value, min_n), keys)
 
 
 def group_outliers(samples: DataFrame, keys: list[str], value: str, min_n: int = 5, z: float = 3.5, ratio: float = 1.5, min_diff: float = 0) -> DataFrame:
@@ -86,14 +73,8 @@ def exact_median(df: DataFrame, value: str) -> float | None:
 
 def global_outliers(samples: DataFrame, value: str, min_n: int = 5, z: float = 3.5) -> DataFrame:
     """Samples over `z` against all others as one group; none where there are under min_n or MAD is 0."""
-    none = samples.withColumns({"med": F.lit(0.0), "mad": F.lit(0.0), "dev": F.lit(0.0)}).where("false")
-    own = stage(samples.select(F.lit(0).alias("_g"), F.col(value).cast("double").alias("_v")), "values")
-    found = group_medians(own, ["_g"], "_v").first()
-    if found is None or found.n < min_n:
-        return none
-    med = found.med
-    mad = group_medians(own.select("_g", F.abs(F.col("_v") - med).alias("_v")), ["_g"], "_v").first().med
-    if not mad:
-        return none
-    dev = F.abs(F.lit(0.6745) * (F.col(value) - med) / F.lit(mad))
-    return samples.withColumns({"med": F.lit(med), "mad": F.lit(mad), "dev": dev}).where(F.col("dev") > z)
+    found = group_stats(samples.select(F.lit(0).alias("_g"), F.col(value).alias("_v")), ["_g"], "_v", min_n).first()
+    if found is None or not found.mad:
+        return samples.withColumns({"med": F.lit(0.0), "mad": F.lit(0.0), "dev": F.lit(0.0)}).where("false")
+    dev = F.abs(F.lit(0.6745) * (F.col(value) - found.med) / F.lit(found.mad))
+    return samples.withColumns({"med": F.lit(found.med), "mad": F.lit(found.mad), "dev": dev}).where(F.col("dev") > z)

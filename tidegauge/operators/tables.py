@@ -65,7 +65,7 @@ def read_gfm(df: DataFrame, text: str, prefix: str = "g_") -> DataFrame:
     df = df.withColumn(w, F.array_max(F.transform(body, lambda x: F.size(x["c"])))).withColumn(h, above)
     df = df.withColumn(n, F.transform(body, lambda x: _padded(x["c"], F.col(w))))
     more = F.slice(n, F.col(h) + 1, F.greatest(F.size(n) - F.col(h), F.lit(0)))
-    words = F.transform(more, lambda c: F.filter(F.slice(c, 2, 4096), lambda x: x != ""))
+    words = F.transform(more, lambda c: F.filter(F.slice(c, F.lit(2), F.size(c)), lambda x: x != ""))
     is_head = F.transform(words, lambda c: (F.size(c) > 0) & F.forall(c, lambda x: x.rlike(PAIR_WORDS)))
     stop = F.array_position(is_head, False)
     df = df.withColumn(h, F.when(F.col(w).isNotNull(), F.col(h) + F.when(stop > 0, stop - 1).otherwise(F.size(more)).cast("int")))

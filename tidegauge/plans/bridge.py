@@ -64,7 +64,7 @@ SQL_LEGS = """SELECT event_id, user_id, event_type AS from_, next_type AS to_, C
 def _legs(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts").withColumn("us", micros())
     out = sequence.legs(ev, ["user_id"], ["ts", "event_id"], "event_type", F.col("us"), F.col("us"))
-    return out.select("event_id", "user_id", "from_", "to_", F.floor(F.col("dt") / 1000000).alias("dt"))
+    return out.select("event_id", "user_id", "from_", "to_", "us", F.floor(F.col("dt") / 1000000).alias("dt"))
 
 
 @query(f"""WITH {_scored(SQL_LEGS, "from_, to_", 1.5, 60)}
@@ -508,10 +508,18 @@ def similar_names(spark, sf):
     return fuzzy.fuzzy_pairs(n, 3, 0.5).select("x", "y", F.round(fuzzy.similarity("x", "y"), 6).alias("similarity")).where("similarity >= 0.7")
 
 
-@query()
+@query(f"""WITH RECURSIVE l AS ({SQL_LEGS}),
+      c AS (SELECT l.user_id, l.event_id AS seq, list_distinct([epoch_us(e.ts) // 86400000000, (epoch_us(e.ts) + x * 1000000) // 86400000000]) AS cells, row_number() OVER (PARTITION BY l.user_id ORDER BY l.event_id) AS i FROM l JOIN events e USING (event_id)),
+      w AS (SELECT user_id, i, seq, cells, seq AS cluster, map(cells, list_transform(cells, lambda c: seq)) AS owner FROM c WHERE i = 1
+            UNION ALL
+            SELECT user_id, i, seq, cells, cluster, map_concat(owner, map(cells, list_transform(cells, lambda c: cluster))) FROM (
+                SELECT c.user_id, c.i, c.seq, c.cells, w.owner, coalesce(list_filter(list_transform(c.cells, lambda x: w.owner[x]), lambda x: x IS NOT NULL)[1], c.seq) AS cluster
+                FROM w JOIN c ON c.user_id = w.user_id AND c.i = w.i + 1))
+    SELECT user_id, min(seq) AS first_seq, count(*) AS n_findings, array_to_string(list_sort(list_distinct(flatten(list(cells)))), ',') AS cells FROM w GROUP BY user_id, cluster""")
 def collapse(spark, sf):
-    """Findings of a user's events that own the same cells, as clusters in order of emission; SQL cannot express it."""
-    f = _legs(spark, sf).select("user_id", F.col("event_id").alias("seq"), F.array(F.col("event_id") % 50, (F.col("event_id") + F.col("dt")) % 50).alias("cells"))
+    """Findings on a user's legs that own the days of their ends, as clusters in order of emission."""
+    day = lambda t: F.expr(f"({t}) div 86400000000")
+    f = _legs(spark, sf).select("user_id", F.col("event_id").alias("seq"), F.array_distinct(F.array(day("us"), day("us + dt * 1000000"))).alias("cells"))
     every = F.array_sort(F.array_distinct(F.flatten(F.collect_set("cells"))))
     out = findings.collapse(f, ["user_id"], "seq", "cells", first_seq=F.min("seq"), n_findings=F.count("*"), every=every)
     return out.select("user_id", "first_seq", "n_findings", F.array_join(F.col("every").cast("array<string>"), ",").alias("cells"))
@@ -571,15 +579,50 @@ def notation_pairs(spark, sf):
     return names.notation_links(_part_names(spark, sf), "name")
 
 
-@query()
+SQL_PAGES = """SELECT p_partkey // 100 AS page, p_partkey AS pos, p_partkey % 50 = 0 AS band,
+           CASE WHEN p_partkey % 7 = 0 THEN '' WHEN p_partkey % 11 < 2 THEN p_partkey % 90 || ' км' ELSE p_name END AS name,
+           CASE WHEN p_partkey % 5 < 2 THEN '' ELSE CAST(p_size AS VARCHAR) END AS d, CASE WHEN p_partkey % 13 = 0 THEN '—' ELSE CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) END AS p FROM part"""
+
+
+@query(f"""WITH RECURSIVE a AS ({SQL_PAGES}),
+      b AS (SELECT *, 2 * sum(CAST(band AS BIGINT)) OVER (PARTITION BY page ORDER BY pos) - CAST(band AS BIGINT) AS seg, NOT band AND regexp_matches(name, '^[0-9]+\\s*км$') AS post, d NOT IN ('', '—', '-') AS has_d, p NOT IN ('', '—', '-') AS has_p FROM a),
+      c AS (SELECT *, post AND coalesce(last_value(CASE WHEN NOT band AND name <> '' AND NOT post THEN seg END IGNORE NULLS) OVER (PARTITION BY page ORDER BY pos ROWS UNBOUNDED PRECEDING) = seg, false) AS cont FROM b),
+      l AS (SELECT *, NOT band AND name <> '' AND NOT cont AS starts, cont AND NOT (has_d AND has_p) AS loose FROM c),
+      m AS (SELECT *, sum(CAST(starts AS BIGINT)) OVER w AS nth, sum(CAST(NOT band AND NOT loose AS BIGINT)) OVER w AS at_ FROM l WINDOW w AS (PARTITION BY page ORDER BY pos)),
+      names AS (SELECT page, seg, nth, string_agg(name, ' ' ORDER BY pos) AS name FROM m WHERE starts OR cont GROUP BY ALL),
+      seen AS (SELECT *, row_number() OVER (PARTITION BY page, name ORDER BY nth) = 1 AS first FROM names),
+      r AS (SELECT *, row_number() OVER (PARTITION BY page, at_ ORDER BY pos) - 1 AS r FROM m WHERE NOT band),
+      f AS (SELECT page, seg, at_, r, pos, d, p, '' AS what, '' AS detail FROM r WHERE r = 0
+            UNION ALL
+            SELECT page, seg, at_, r, pos, CASE WHEN NOT clash AND new_d THEN y ELSE d END, CASE WHEN NOT clash AND new_p THEN z ELSE p END,
+                   CASE WHEN clash THEN 'DROPPED cells' WHEN new_d OR new_p THEN 'recovered cells' ELSE '' END,
+                   CASE WHEN clash THEN 'no distance, they contradict the row above: ' || concat_ws(', ', CASE WHEN bad_d THEN 'col 1: ⟨' || d || '⟩ vs ⟨' || y || '⟩' END, CASE WHEN bad_p THEN 'col 2: ⟨' || p || '⟩ vs ⟨' || z || '⟩' END)
+                        ELSE concat_ws(', ', CASE WHEN new_d THEN 'col 1' END, CASE WHEN new_p THEN 'col 2' END) || ' from cells with no distance of their own' END
+            FROM (SELECT *, bad_d OR bad_p AS clash FROM (
+                SELECT f.page, f.seg, f.at_, r.r, r.pos, f.d, f.p, r.d AS y, r.p AS z, r.has_d AND f.d IN ('', '—', '-') AS new_d, r.has_p AND f.p IN ('', '—', '-') AS new_p,
+                       r.has_d AND f.d NOT IN ('', '—', '-', r.d) AS bad_d, r.has_p AND f.p NOT IN ('', '—', '-', r.p) AS bad_p
+                FROM f JOIN r ON r.page = f.page AND r.at_ = f.at_ AND r.r = f.r + 1))),
+      filled AS (SELECT page, seg, at_, max_by(d, r) AS d, max_by(p, r) AS p FROM f GROUP BY ALL),
+      v AS (SELECT * FROM (SELECT *, max(CASE WHEN d NOT IN ('', '—', '-') OR p NOT IN ('', '—', '-') THEN at_ END) OVER (PARTITION BY page, seg) AS last FROM filled) WHERE at_ <= last),
+      x AS (SELECT page, seg, name, row_number() OVER (PARTITION BY page, seg ORDER BY nth) AS i FROM seen WHERE first),
+      y AS (SELECT page, seg, d, p, row_number() OVER (PARTITION BY page, seg ORDER BY at_) AS i FROM v),
+      t AS (SELECT page, seg, i, 'row' AS kind, coalesce(name, '') || '|' || coalesce(d, '') || '|' || coalesce(p, '') AS cells FROM x FULL JOIN y USING (page, seg, i)
+            UNION ALL SELECT page, seg, 0, 'band', name || '|' || d || '|' || p FROM m WHERE band),
+      n AS (SELECT page, seg, (SELECT count(*) FROM x WHERE x.page = s.page AND x.seg = s.seg) AS n, (SELECT count(*) FROM y WHERE y.page = s.page AND y.seg = s.seg) AS m FROM (SELECT DISTINCT page, seg FROM m WHERE NOT band) s),
+      told AS (SELECT q.page, 0 AS o, q.pos AS a, 0 AS b, 'joined wrapped name' AS what, '⟨' || (SELECT string_agg(z.name, ' ' ORDER BY z.pos) FROM m z WHERE z.page = q.page AND z.nth = q.nth AND z.pos <= q.pos AND (z.starts OR z.cont)) || '⟩' AS detail FROM m q WHERE cont
+               UNION ALL SELECT page, 0, pos, 1, what, detail FROM f WHERE what <> ''
+               UNION ALL SELECT page, 1, seg, nth, 'dropped a re-read name', '⟨' || name || '⟩ -- the OCR read part of the station column twice' FROM seen WHERE NOT first
+               UNION ALL SELECT page, 1, seg, 1000000000, 'names and rows differ', n || ' station name(s) against ' || m || ' row(s) of times; the tail of the shorter column is missing from the scan' FROM n WHERE n <> m)
+    SELECT page, row_number() OVER (PARTITION BY page ORDER BY seg, i) - 1 AS pos, kind, cells, NULL AS what, NULL AS detail FROM t
+    UNION ALL SELECT page, row_number() OVER (PARTITION BY page ORDER BY o, a, b) - 1, 'problem', '', what, detail FROM told""")
 def realigned_pages(spark, sf):
-    """Names and values of a brand's parts, zipped again after some names are lost or read twice; a fold that SQL cannot express."""
+    """Names and values of the parts, a hundred a page, zipped again after some names are lost, broken over lines or read twice."""
     k = F.col("p_partkey")
-    name = F.when(k % 7 == 0, "").when(k % 11 == 0, F.concat((k % 90).cast("string"), F.lit(" км"))).otherwise(F.col("p_name"))
-    cells = F.array(name, F.when(k % 5 == 0, "").otherwise(F.col("p_size").cast("string")), F.when(k % 13 == 0, "—").otherwise(F.col("p_retailprice").cast("string")))
-    pages = table(spark, sf, "part").select("p_brand", k.alias("pos"), (k % 50 == 0).alias("band"), cells.alias("cells"))
-    out = realign.realign(pages, ["p_brand"], 0, 1)
-    return out.select("p_brand", "pos", "kind", F.array_join("cells", "|").alias("cells"), "what", "detail")
+    name = F.when(k % 7 == 0, "").when(k % 11 < 2, F.concat((k % 90).cast("string"), F.lit(" км"))).otherwise(F.col("p_name"))
+    cells = F.array(name, F.when(k % 5 < 2, "").otherwise(F.col("p_size").cast("string")), F.when(k % 13 == 0, "—").otherwise(F.floor("p_retailprice").cast("string")))
+    pages = table(spark, sf, "part").select(F.expr("p_partkey div 100").alias("page"), k.alias("pos"), (k % 50 == 0).alias("band"), cells.alias("cells"))
+    out = realign.realign(pages, ["page"], 0, 1)
+    return out.select("page", "pos", "kind", F.array_join("cells", "|").alias("cells"), "what", "detail")
 
 
 def _region_tables(spark, sf):

@@ -90,8 +90,8 @@ def extract(blocks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     top = F.greatest("head", F.lit(1))
     fixed = stage(realign.realign(far.where(F.col("n") >= top).select(*HALF, F.col("n").alias("pos"), (F.col("kind") == "band").alias("band"), "cells"), HALF, 0, 1), "realigned")
     about = far.select(*HALF, "shape", "width", "head").distinct()
-    body = fixed.where("kind <> 'problem'").join(about, HALF).select(*HALF, "width", "head", (F.col("pos") + 4096).alias("n"), "kind", "cells")
-    kept = rows.where((F.col("shape") != "distance") | (F.col("n") < top)).select(*HALF, "width", "head", "n", "kind", "cells")
+    body = fixed.where("kind <> 'problem'").join(about, HALF).select(*HALF, "width", "head", F.struct(F.lit(1).alias("part"), F.col("pos").cast("int").alias("n")).alias("n"), "kind", "cells")
+    kept = rows.where((F.col("shape") != "distance") | (F.col("n") < top)).select(*HALF, "width", "head", F.struct(F.lit(0).alias("part"), F.col("n").cast("int").alias("n")).alias("n"), "kind", "cells")
     built = stage(kept.unionByName(body), "built")
     listed = built.groupBy(*HALF, "width", "head").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "kind", "cells"))), lambda r: F.struct(r["kind"].alias("kind"), r["cells"].alias("cells"))).alias("rows"))
     made = tables.table_text(listed, "rows", "width", "head", "table").select(*HALF, "table")
@@ -117,9 +117,9 @@ def extract(blocks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     check = lambda df, k, t, *o: df.where(stray_markup(F.col(t))).select(*HALF, F.lit(k).alias("k"), F.array(*o).alias("o"), F.lit("markup left").alias("what"), F.concat(cite(F.col(t)), F.lit(" -- check the scan")).alias("detail"))
     cells = built.select(*HALF, "n", F.posexplode("cells").alias("c", "t"))
     strange = page.where(F.col("shape") == UNKNOWN).select(*HALF, F.lit(4).alias("k"), F.array(F.lit(0)).alias("o"), F.lit("unrecognized table shape").alias("what"), F.lit("").alias("detail"))
-    repairs = fixed.where("kind = 'problem'").select(*HALF, F.lit(2).alias("k"), F.array("pos").alias("o"), "what", "detail")
+    repairs = fixed.where("kind = 'problem'").select(*HALF, F.lit(2).alias("k"), F.array(F.col("pos").cast("int")).alias("o"), "what", "detail")
     found = check(captions, 0, "text", F.col("line").cast("int")).unionByName(problems.select(*HALF, F.lit(1).alias("k"), "o", "what", "detail")).unionByName(repairs)
-    found = found.unionByName(check(cells, 3, "t", "n", "c")).unionByName(strange)
+    found = found.unionByName(check(cells, 3, "t", "n.part", "n.n", "c")).unionByName(strange)
     return texts, found.select("scan", F.struct("half", "k", "o").alias("seq"), "what", "detail"), page.select(*HALF, "shape")
 
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.operators.stats import deviation, with_group_stats
+from tidegauge.operators.stats import deviation, group_stats
 
 
 def group_statistics(samples: DataFrame, keys: list[str], value: str, min_n: int = 5) -> DataFrame:
     """(keys, n, med, mad) of a batch, one row a key."""
-    return with_group_stats(samples, keys, value, min_n).select(*keys, "n", "med", "mad").distinct()
+    return group_stats(samples, keys, value, min_n)
 
 
 def score_stream(stream: DataFrame, statistics: DataFrame, keys: list[str], value: str, z: float = 3.5, ratio: float = 1.5, min_diff: float = 0) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The clock and kilometre formats, a lone hour, a footnote mark after a train number, and the marks of readings.
-TIME = r"\A(\d{1,2})[.](\d{2})(,5)?\z"
+# The clock (to 24.00) and kilometre formats, a lone hour, emphasis round a cell, a footnote mark after a train number, and the marks of readings.
+TIME = r"\A(?:(?:[01]?\d|2[0-3])\.[0-5]\d|24\.00)(?:,5)?\z"
+EMPHASIS = r"(?s)\A(\*\*|__|\*|_)(\S(?:.*\S)?)\1\z"
 LONE_HOUR = r"(?U)\b(\d)\.(\d{2})\b"
 FOOTNOTE = r"(?<=\d)\*{1,2}|(?<=\d Д)\*{1,2}|(?<=\d ДР)\*{1,2}"
 KM = r"\A\d{1,4}[.,]\d\z"
@@ -21,29 +22,21 @@ def strip(c: Column) -> Column:
 
 def clean_cell(c: Column, pad_time: bool | Column = True) -> Column:
     """Strip; drop emphasis round the whole cell; unescape; pad lone hours anywhere in it (columns of names and distances: pad_time false); strip."""
-    c = F.regexp_replace(strip(c), r"(?s)\A(\*\*|__|\*|_)(\S(?:.*\S)?)\1\z", "$2")
+    c = F.regexp_replace(strip(c), EMPHASIS, "$2")
     c = F.regexp_replace(c, r"\\([*_])", "$1")
     padded = F.regexp_replace(c, LONE_HOUR, "0$1.$2")
     return strip(F.when(pad_time, padded).otherwise(c) if isinstance(pad_time, Column) else padded if pad_time else c)
 
 
 def time_seconds(c: Column) -> Column:
-    """Seconds of `HH.MM` or `HH.MM,5` (half a minute); null for anything else, minutes over 59 or hours over 24."""
-    hour, minute = F.regexp_extract(c, TIME, 1), F.regexp_extract(c, TIME, 2)
-    h, m = hour.try_cast("int"), minute.try_cast("int")
-    legal = c.rlike(TIME) & (m <= 59) & ((h < 24) | ((h == 24) & (m == 0)))
-    return F.when(legal, h * 3600 + m * 60 + F.when(F.regexp_extract(c, TIME, 3) != "", 30).otherwise(0))
+    """Seconds of `HH.MM` or `HH.MM,5` (half a minute); null for anything else, minutes over 59 or hours over 24. One match decides, places do the rest."""
+    hour, rest = F.substring_index(c, ".", 1).try_cast("int"), F.substring_index(c, ".", -1)
+    return F.when(c.rlike(TIME), hour * 3600 + F.substring(rest, 1, 2).try_cast("int") * 60 + F.when(F.length(rest) > 2, 30).otherwise(0))
 
 
 def cell_kind(c: Column) -> Column:
     """blank, pass (a dash), time, bad (other text with a digit) or note."""
-    return (
-        F.when(c == "", "blank")
-        .when(c.rlike(r"\A[—\-–]\z"), "pass")
-        .when(time_seconds(c).isNotNull(), "time")
-        .when(c.rlike(r"\d"), "bad")
-        .otherwise("note")
-    )
+    return F.when(c == "", "blank").when(c.isin("—", "-", "–"), "pass").when(c.rlike(TIME), "time").when(c.rlike(r"\d"), "bad").otherwise("note")
 
 
 def km_tenths(c: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.scalar import cite, clean_cell, one_cell, stray_markup, strip
 from tidegauge.operators import realign, tables
+from tidegauge.operators.report import report_lines
 from tidegauge.sources import ocr
 from tidegauge.sources.shared import stage
 
@@ -124,12 +125,8 @@ def extract(blocks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def problem_table(problems: DataFrame) -> DataFrame:
-    """(text) one row: the problems as an aligned table in order; none for no problems."""
-    cells = F.array(F.col("scan").cast("string"), "what", "detail")
-    listed = problems.agg(F.transform(F.array_sort(F.collect_list(F.struct("scan", "seq", cells.alias("c")))), lambda x: F.struct(F.lit("row").alias("kind"), x["c"].alias("cells"))).alias("body"))
-    head = F.array(F.struct(F.lit("head").alias("kind"), F.array(*map(F.lit, ("scan", "what", "detail"))).alias("cells")))
-    rows = listed.where(F.size("body") > 0).withColumn("rows", F.concat(head, F.col("body"))).withColumn("w", F.lit(3)).withColumn("h", F.lit(1))
-    return tables.table_text(rows, "rows", "w", "h", "text").select(F.concat("text", F.lit("\n")).alias("text"))
+    """(n, line): the problems in order as the lines of an aligned table; none for no problems."""
+    return report_lines(problems, ["scan", "seq"], ["scan", "what", "detail"], ["scan", "what", "detail"])
 
 
 def shape_tally(shapes: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.scalar import cite
 from tidegauge.operators import tables, vote
+from tidegauge.operators.report import report_lines
 from tidegauge.sources import runs
 from tidegauge.sources.shared import stage
 
@@ -110,7 +111,7 @@ def _disputes(groups: DataFrame, base: DataFrame, voted: DataFrame, split: DataF
     )
     page = groups.where("rank = 1").select(*PAGE, "page")
     names = names.drop("page").join(page, PAGE)
-    left = F.concat(F.lit("outvoted, not merged: "), F.array_join(F.slice("who", 2, 1 << 20), ", "))
+    left = F.concat(F.lit("outvoted, not merged: "), F.array_join(F.slice("who", F.lit(2), F.size("who")), ", "))
     several = F.concat(F.size("who").cast("string"), F.lit(" alternatives: "), F.array_join("who", " / "))
     order = lambda *x: F.array(*[F.col(c).cast("int") if isinstance(c, str) else F.lit(c) for c in x])
     layout = names.where("not merged or size(who) > 1").select("scan", "page", F.lit("layout").alias("where"), F.when(F.col("merged"), left).otherwise(several).alias("readings"), order("k", 0, 0, 0, 0).alias("seq"))
@@ -170,9 +171,6 @@ def prune(disputes: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def dispute_table(disputes: DataFrame, order: str = "seq") -> DataFrame:
-    """(text) one row: the disputes as an aligned table; none for no disputes."""
-    cells = F.array(F.col("scan").cast("string"), "page", "where", "readings")
-    listed = disputes.agg(F.transform(F.array_sort(F.collect_list(F.struct("scan", F.col(order).alias("o"), cells.alias("c")))), lambda x: F.struct(F.lit("row").alias("kind"), x["c"].alias("cells"))).alias("body"))
-    head = F.array(F.struct(F.lit("head").alias("kind"), F.array(*map(F.lit, ("scan", "page", "where", "readings"))).alias("cells")))
-    rows = listed.where(F.size("body") > 0).withColumn("rows", F.concat(head, F.col("body"))).withColumn("w", F.lit(4)).withColumn("h", F.lit(1))
-    return tables.table_text(rows, "rows", "w", "h", "text").select(F.concat("text", F.lit("\n")).alias("text"))
+    """(n, line): the disputes in order as the lines of an aligned table; none for no disputes."""
+    head = ["scan", "page", "where", "readings"]
+    return report_lines(disputes, ["scan", order], head, head)

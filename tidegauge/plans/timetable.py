@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions import scalar
 from tidegauge.operators import consistency, findings, fuzzy, sequence, stats
+from tidegauge.operators.report import numbered_lines
 from tidegauge.sources import scanfiles, sinks
 from tidegauge.sources.shared import stage
 
@@ -483,16 +484,7 @@ def findings_lines(found: DataFrame, limit: int = 0) -> DataFrame:
         F.col("rank"), F.when(F.col("severity") == 0, "IMPOSSIBLE").otherwise("deviation"), F.col("scan"), F.col("folio"), F.col("shape"), F.col("train"), F.col("station"), F.col("ranges"), rules, F.col("message"),
         F.array_join(F.transform("evidence", lambda e: F.concat(e["k"], F.lit("="), e["v"])), "  "),
     ]
-    shown = stage(shown.select(F.col("rank").alias("n"), *[F.coalesce(c.cast("string"), F.lit("")).alias(f"c{i}") for i, c in enumerate(cells)]), "report")
-    wide = shown.agg(*[F.greatest(F.max(F.length(f"c{i}")), F.lit(len(h))).alias(f"w{i}") for i, h in enumerate(HEAD)], F.count("*").alias("rows"))  # one row
-    head = wide.where("rows > 0").select("*", F.explode(F.array(F.lit(-1), F.lit(0))).alias("n"))
-    pad = lambda c, i: F.rpad(c, F.col(f"w{i}"), " ")
-    ends = lambda parts: F.concat(F.lit("| "), F.concat_ws(" | ", *parts), F.lit(" |"))
-    title = ends([pad(F.lit(h), i) for i, h in enumerate(HEAD)])
-    rule = F.concat(F.lit("|"), F.concat_ws("|", *[F.repeat(F.lit("="), F.col(f"w{i}") + 2) for i in range(len(HEAD))]), F.lit("|"))
-    first = head.select(F.col("n").cast("bigint").alias("n"), F.when(F.col("n") == -1, title).otherwise(rule).alias("line"))
-    body = shown.join(F.broadcast(wide), F.lit(True)).select(F.col("n").cast("bigint").alias("n"), ends([pad(F.col(f"c{i}"), i) for i in range(len(HEAD))]).alias("line"))
-    return first.unionByName(body)
+    return numbered_lines(shown, "rank", HEAD, cells)
 
 
 def summary(columns: DataFrame, found: DataFrame, limit: int = 0, ignored: int = 0, name: str = "ignore.txt") -> str:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.scalar import strip
 from tidegauge.operators import tables
+from tidegauge.operators.scan import number, sequences
 
 # Columns of an ignore list and of a list of disputes, and the tags of golden lines.
 IGNORE_HEAD = ["scan", "folio", "train", "where", "rules", "values", "note"]
@@ -30,7 +31,7 @@ def page_sections(files: DataFrame) -> DataFrame:
     page = lambda p: F.struct(strip(F.regexp_extract(p, r"\A[^\n]*", 0)).alias("page"), ended(F.regexp_replace(p, r"\A[^\n]*\n?\n?", "")).alias("body"))
     return files.select(
         *files.columns, head.alias("head"), F.regexp_extract(head, r"(?m)^scan: (\d+)", 1).try_cast("int").alias("scan"), F.transform(shapes, lambda s: strip(s)).alias("shapes"),
-        F.transform(F.slice(parts, 2, 1 << 20), page).alias("pages"),
+        F.transform(F.slice(parts, F.lit(2), F.size(parts)), page).alias("pages"),
     )
 
 
@@ -54,10 +55,16 @@ def page_texts(sections: DataFrame, keys: list[str]) -> DataFrame:
     return sections.select(*keys, F.explode("pages").alias("p")).select(*keys, "p.page", F.col("p.body").alias("text"))
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, t) of text files of any size: line numbers from 1, counted by splits and offsets, so many tasks read a long file."""
+    split, at = F.col("_metadata.file_block_start").alias("__s"), F.monotonically_increasing_id().alias("__i")  # ids grow along a split
+    rows = spark.read.text(path, lineSep="\n").select(F.col("_metadata.file_path").alias("file"), split, at, F.col("value").alias("t"))
+    return sequences(rows, ["file"], ["__s", "__i"]).add(line=number()).rows().select("file", F.col("line").cast("int").alias("line"), "t")
+
+
 def _table_file(spark: SparkSession, path: str) -> DataFrame:
-    """(line, cells, n) of the table rows of a text file, rules left out; line numbers from 1."""
-    whole = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("n", "t"))
-    lines = whole.select((F.col("n") + 1).alias("line"), strip(F.col("t")).alias("t"))
+    """(line, t, cells) of the rows of a table in a text file, blank lines left out."""
+    lines = read_lines(spark, path).select("line", strip(F.col("t")).alias("t"))
     cells = F.transform(F.split(F.regexp_replace("t", r"\A\|+|\|+\z", ""), r"\|"), strip)
     return lines.where("t <> ''").select("line", "t", cells.alias("cells"))
 
@@ -90,6 +97,5 @@ def read_disputes(spark: SparkSession, path: str) -> DataFrame:
 
 def read_golden(spark: SparkSession, path: str) -> DataFrame:
     """(line, tag, form, target, count): lines of a golden sample whose first field is a tag."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("line", "t"))
     cells = F.transform(F.split("t", r"\|"), strip)
-    return lines.select("line", cells.alias("c")).where(F.get("c", F.lit(0)).isin(TAGS)).select("line", *[F.get("c", F.lit(i)).alias(n) for i, n in enumerate(("tag", "form", "target", "count"))])
+    return read_lines(spark, path).select((F.col("line") - 1).alias("line"), cells.alias("c")).where(F.get("c", F.lit(0)).isin(TAGS)).select("line", *[F.get("c", F.lit(i)).alias(n) for i, n in enumerate(("tag", "form", "target", "count"))])

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegauge.operators.scan import lag, running_sum, sequences
+from tidegauge.sources.named_files import NamedFiles
+from tidegauge.sources.shared import stage
 
 
 def cell_ranges(cells: DataFrame, key: list[str], row: str, col: str) -> DataFrame:
@@ -29,28 +31,31 @@ def head_spans(cells: DataFrame, key: list[str], col: str, text: str) -> DataFra
 
 
 def write_texts(texts: DataFrame, folder: str, mode: str = "errorifexists", name: str = "file", text: str = "text") -> tuple[int, int]:
-    """(written, skipped): each text as a file of its own name, by Hadoop's file system, one text on the driver at a time.
+    """(written, skipped): each text as a file of its own name, written by the executors; see named_files for what a failure leaves.
 
     mode: `errorifexists` refuses a folder that holds anything, `ignore` leaves files that are there, `overwrite` replaces them.
+    Names must be known and differ. A null text is an empty file; an empty table writes nothing.
     """
     spark = texts.sparkSession
     if mode not in ("errorifexists", "ignore", "overwrite"):
         raise ValueError(f"unknown mode {mode}")
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if mode == "errorifexists" and fs.exists(path(folder)) and len(fs.listStatus(path(folder))):
+    there = fs.exists(path(folder)) and len(fs.listStatus(path(folder)))
+    if mode == "errorifexists" and there:
         raise FileExistsError(f"{folder}: not empty")
-    written = skipped = 0
-    for r in texts.select(name, text).orderBy(name).toLocalIterator():
-        at = path(f"{folder}/{r[0]}")
-        if mode == "ignore" and fs.exists(at):
-            skipped += 1
-            continue
-        out = fs.create(at, True)
-        out.write(bytearray(r[1].encode()))
-        out.close()
-        written += 1
-    return written, skipped
+    own = stage(texts.select(F.col(name).alias("name"), F.col(text).alias("text")), "texts")
+    if own.groupBy("name").count().where("count > 1 or name is null").head(1):
+        raise ValueError("two texts of one name, or one without a name")
+    wanted = own
+    if mode == "ignore" and there:
+        known = spark.read.format("binaryFile").load(folder).select(F.url_decode(F.regexp_extract("path", r"([^/]+)\z", 1)).alias("name"))
+        wanted = own.join(known, "name", "left_anti")
+    n, todo = own.count(), wanted.count()
+    if todo:
+        spark.dataSource.register(NamedFiles)
+        wanted.write.format("named_files").mode("append").option("path", folder).save()
+    return todo, n - todo
 
 
 def next_dir(spark: SparkSession, root: str, kind: str) -> tuple[str, int]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import json
 
 from tidegauge.operators import names
@@ -61,8 +63,28 @@ def test_notations(spark):
     assert why("О. п. Сигасте") == {"front part printed 2 ways"} and why("Вентспилс-2") == {"number"} and why("79 км") == {"word before a milepost"} and why("Огре") == set()
     groups = {tuple(sorted({r.printed for r in found if r.group == g})) for g in {r.group for r in found if r.why == "abbreviation"}}
     assert ("Б/п. # км", "Блок пост # км", "Блок- пост # км") in groups
-    pairs = {(r.x, r.y) for r in names.set_against(spark.createDataFrame(found)).collect()}
+    rows = names.set_against(spark.createDataFrame(found)).collect()
+    pairs = {(a.name, b.name) for a in rows for b in rows if a.group == b.group and a.printed != b.printed}
     assert ("78 км", "Пост 78 км") in pairs and ("79 км", "Пост 78 км") in pairs and ("78 км", "79 км") not in pairs
+    assert {r.name: r.n_against for r in rows if r.printed in ("# км", "Пост # км")} == {"78 км": 1, "79 км": 1, "Пост 78 км": 2}
+
+
+def test_many_shapes_of_the_same_initials_form_no_pairs(spark):
+    """Two thousand names that share their initials, of which one is abbreviated."""
+    words = [f"Река{chr(1072 + i // 32 % 32)}{chr(1072 + i % 32)} Север" for i in range(1000)]
+    df = spark.createDataFrame([(w,) for w in [*words, "Рекааб. Север", "Р. Юг", "Река Юг"]], "name string")
+    links = names.notation_links(df, "name")
+    assert {(r.x, r.y) for r in links.collect()} == {("Р. Юг", "Река Юг")}
+
+
+def test_patterns_meet_names_by_their_text(spark):
+    words = ["Рига", "Рига пасс.", "Б. п. Огре", "78 км", "Пост 78 км", "а.б", "", "Рр"]
+    asked = ["Рига…", "… пасс.", "# км", "…", "#", "Рр", "а.б", "Пост # км", "…иг…", "нет…"]
+    got = {(r.id, r.name) for r in names.match_patterns(spark.createDataFrame([(w,) for w in words], "name string"), list(enumerate(asked))).collect()}
+    want = {(i, w) for i, p in enumerate(asked) for w in words if re.match("".join({"…": ".*", "#": r"[\d,]+"}.get(c, re.escape(c)) for c in p) + r"\Z", w)}
+    assert got == want and len(want) > 10
+    plan = names.match_patterns(spark.createDataFrame([(w,) for w in words], "name string"), list(enumerate(asked)))._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_names(spark):
@@ -96,6 +118,7 @@ def test_golden_score(spark):
         (1, "found at d1"), (1, "found at d1; flagged by checks"), (0, "MISS form not in dir"), (1, "MISS target not printed"), (1, "found by notations (1 names ~ 1 names)"),
         (1, "found by notations (1 names ~ 1 names)"), (0, "MISS form not in dir"), (1, "found by notations"), (1, "MISS d4, ratio 1.00"), (1, "MISS notation, 1 of 1 names not set against the target: Огре"),
     ]
+    assert {r.outcome: r.n for r in names.golden_tally(names.golden_score(df, golden, 2, 0.5)).collect()} == {"found": 5, "MISS": 5}
     pairs = names.pair_levels(df, "name", 2, 0.5)
     assert {(r.x, r.y, r.d) for r in pairs.collect()} == {("Рига", "Ригя", 1), ("Мая-кова", "Маякова", 1), ("Б. п. Огре", "Б/п. Огре", 2)}
     assert [(r.x, r.y) for r in names.unexplained(pairs, golden[1:2]).orderBy("x").collect()] == [("Б. п. Огре", "Б/п. Огре"), ("Рига", "Ригя")]

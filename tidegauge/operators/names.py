@@ -134,8 +134,27 @@ def notation_parts(names: DataFrame, name: str) -> DataFrame:
     return df.select("name", F.explode(parts).alias("p")).select("name", "p.place", "p.key", "p.printed")
 
 
-def _initials(word):
-    return F.when(word == "#", "#").otherwise(F.substring(_bare(word), 1, 1))
+def _abbreviated(shapes: DataFrame) -> DataFrame:
+    """(x, y) of shapes as many words long, each word of which is the other's or abbreviates it, one at least, while the first or the last word agrees.
+
+    A pair has an abbreviation at some place and agrees at one end. Short words give (length, end, word there, place, abbreviation), whole words the same
+    with each of their beginnings, so all that meets shares an agreeing end and one abbreviation; the other words are compared then.
+    """
+    own = _worded(shapes, "shape").where(F.size("words") > 1).withColumn("n", F.size("words"))
+    ends = own.select("*", F.explode(F.array(F.lit(0), F.col("n") - 1)).alias("end")).withColumn("agreed", F.get("words", F.col("end")))
+    placed = ends.select("shape", "n", "end", "agreed", "short", F.posexplode("words").alias("i", "w")).where("i <> end")
+    key = ["n", "end", "agreed", "i", "part"]
+    cut = placed.where(F.get("short", F.col("i"))).select(F.col("shape").alias("x"), "n", "end", "agreed", "i", _bare(F.col("w")).alias("part")).where("part <> ''")
+    whole = placed.where(F.col("w").rlike(r"\A\p{L}{2,}\z"))
+    begins = F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda k: F.substring(F.lower("w"), F.lit(1), k))
+    whole = whole.select(F.col("shape").alias("y"), "n", "end", "agreed", "i", F.explode(F.array_distinct(begins)).alias("part"))
+    met = cut.join(whole, key).where("x <> y").select("x", "y").distinct()
+    of = lambda c, words, short: own.select(F.col("shape").alias(c), F.col("words").alias(words), F.col("short").alias(short))
+    pairs = met.join(of("x", "words", "short"), "x").join(of("y", "v", "full_short"), "y")
+    abbreviates = lambda x, y: ~F.endswith(y, F.lit(".")) & y.rlike(r"\A\p{L}+\z") & (F.length(_bare(x)) < F.length(y)) & (_bare(x) != "") & F.startswith(F.lower(y), _bare(x))
+    both = F.transform("words", lambda w, i: F.when(w == F.get("v", i), 0).when(F.get("short", i) & abbreviates(w, F.get("v", i)), 1).when(F.get("full_short", i) & abbreviates(F.get("v", i), w), 1).otherwise(2))
+    pairs = pairs.withColumn("d", both)
+    return pairs.where(F.exists("d", lambda d: d == 1) & ~F.exists("d", lambda d: d == 2) & ((F.element_at("d", 1) == 0) | (F.element_at("d", -1) == 0))).select("x", "y")
 
 
 def notation_links(names: DataFrame, name: str) -> DataFrame:
@@ -146,8 +165,8 @@ def notation_links(names: DataFrame, name: str) -> DataFrame:
       or the last word agrees; numbers agree whatever they are;
     * word before a milepost: `78 км` and `Пост 78 км`.
 
-    Each kind meets on a key of its own (the words with the number taken out and its value; the words' initials, over
-    distinct shapes; the milepost), so no other pairs are formed.
+    Each kind meets on a key of its own (the words with the number taken out and its value; an abbreviation, its place and the
+    word that agrees, over distinct shapes; the milepost), so shapes that merely share their initials form no pair.
     """
     own = names.select(F.col(name).alias("name")).where("name is not null").distinct().withColumn("shape", scalar.number_shape(F.col("name")))
     worded = _worded(own, "name")
@@ -160,13 +179,7 @@ def notation_links(names: DataFrame, name: str) -> DataFrame:
     r, a = at.where("roman").drop("roman"), at.where("not roman").drop("roman")
     numbers = r.withColumnRenamed("shape", "x").join(a.withColumnRenamed("shape", "y"), ["i", "key", "value"]).select(F.lit("number").alias("why"), "x", "y")
 
-    forms = _worded(own.select("shape").distinct(), "shape").withColumn("key", F.array_join(F.transform("words", _initials), "\x00"))
-    forms = forms.where(F.array_contains("short", True)).select("shape", "words", "short", "key")
-    full = _worded(own.select("shape").distinct(), "shape").withColumn("key", F.array_join(F.transform("words", _initials), "\x00")).select(F.col("shape").alias("y"), F.col("words").alias("v"), F.col("short").alias("full_short"), "key")
-    pairs = forms.withColumnRenamed("shape", "x").join(full, "key").where("x <> y")
-    abbreviates = lambda x, y: ~F.endswith(y, F.lit(".")) & y.rlike(r"\A\p{L}+\z") & (F.length(_bare(x)) < F.length(y)) & (_bare(x) != "") & F.startswith(F.lower(y), _bare(x))
-    both = F.transform("words", lambda w, i: F.when(w == F.get("v", i), 0).when(F.get("short", i) & abbreviates(w, F.get("v", i)), 1).when(F.get("full_short", i) & abbreviates(F.get("v", i), w), 1).otherwise(2))
-    pairs = pairs.withColumn("d", both).where(F.exists("d", lambda d: d == 1) & ~F.exists("d", lambda d: d == 2) & ((F.element_at("d", 1) == 0) | (F.element_at("d", -1) == 0)))
+    pairs = _abbreviated(own.select("shape").distinct())
     short = pairs.select(F.lit("abbreviation").alias("why"), "x", "y")
 
     post = own.where(F.col("name").rlike(r"(?U)\A[\d,]+ км\z")).select(F.col("name").alias("post"), F.col("shape").alias("x"))
@@ -190,10 +203,14 @@ def notations(names: DataFrame, name: str) -> DataFrame:
 
 
 def set_against(found: DataFrame) -> DataFrame:
-    """(x, y), x < y: names that a notation finding prints in two ways."""
-    a = found.select("group", F.col("printed").alias("p"), F.col("name").alias("x"))
-    b = found.select("group", F.col("printed").alias("q"), F.col("name").alias("y"))
-    return a.join(b, "group").where("p <> q and x < y").select("x", "y").distinct()
+    """(group, printed, name, n_against): the names of each notation finding, and how many names of the group are printed in another way than theirs.
+
+    Two names are set against each other exactly where they share a group and differ in `printed`, so these rows tell all pairs, and none is spelt out.
+    """
+    own = stage(found.select("group", "printed", "name").distinct(), "noted")
+    ways = stage(own.groupBy("group", "printed").agg(F.count("*").alias("m")), "ways")
+    every = ways.groupBy("group").agg(F.sum("m").alias("n"))
+    return own.join(ways.join(every, "group"), ["group", "printed"]).select("group", "printed", "name", (F.col("n") - F.col("m")).alias("n_against"))
 
 
 def pair_levels(names: DataFrame, name: str, max_dist: int, ratio: float) -> DataFrame:
@@ -211,6 +228,34 @@ def pattern(p: str) -> str:
     return "(?U)\\A" + "".join({"…": ".*", "#": r"[\d,]+"}.get(c, re.escape(c)) for c in p) + "\\z"
 
 
+def _literals(p: str) -> list[str]:
+    """Stretches of a golden notation's text, any of which a name must hold to match: of three letters, or as long as its longest text; an empty one where it has none."""
+    import re
+
+    pieces = [x for x in re.split("[…#]", p) if x]
+    size = min(3, max(map(len, pieces), default=0))
+    return sorted({x[i : i + size] for x in pieces for i in range(len(x) - size + 1)}) if size else [""]
+
+
+def match_patterns(names: DataFrame, patterns: list[tuple[int, str]]) -> DataFrame:
+    """(id, name) of names (distinct) and the patterns (id, golden notation) that they match.
+
+    Each pattern is looked up by one stretch of its own text, the one that the fewest names hold: names give all their stretches of the lengths asked for,
+    and only names that hold the stretch are matched with the regular expression. A pattern without text meets all names.
+    """
+    spark = names.sparkSession
+    asked = [(i, pattern(p), g) for i, p in patterns for g in _literals(p)]
+    if not asked:
+        return names.select(F.lit(0).alias("id"), "name").where("false")
+    asked_ = spark.createDataFrame(asked, "id int, regex string, gram string")
+    cut = lambda k: F.transform(F.sequence(F.lit(1), F.length("name") - k + 1), lambda i: F.substring("name", i, F.lit(k))) if k else F.array(F.lit(""))
+    lists = [F.when(F.length("name") >= k, cut(k)).otherwise(F.array().cast("array<string>")) for k in sorted({len(g) for *_, g in asked})]
+    grams = stage(names.select("name", F.explode(F.array_distinct(F.concat(*lists))).alias("gram")).join(asked_.select("gram").distinct(), "gram"), "grams")
+    held = asked_.join(grams.groupBy("gram").agg(F.count("*").alias("n")), "gram", "left")
+    best = held.groupBy("id", "regex").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
+    return grams.join(best, "gram").where(F.regexp_like("name", F.col("regex"))).select("id", "name")
+
+
 def golden_score(names: DataFrame, golden: list[tuple[str, str, str, str]], max_dist: int, ratio: float) -> DataFrame:
     """(line, tag, form, target, count, got, result) of golden lines (tag, form, target, count) against printed names (one row an occurrence).
 
@@ -220,15 +265,18 @@ def golden_score(names: DataFrame, golden: list[tuple[str, str, str, str]], max_
     spark = names.sparkSession
     counts = stage(names.groupBy("name").agg(F.count("*").alias("n")), "counts")
     noted = stage(notations(counts, "name").select("group", "printed", "name").distinct(), "noted")
-    lines = spark.createDataFrame([(i, *g, any(c in g[1] for c in "…#"), pattern(g[1]), pattern(g[2])) for i, g in enumerate(golden)], "line int, tag string, form string, target string, count string, wild boolean, fp string, tp string")
-    lines = F.broadcast(lines)  # a golden sample is a short list made by hand
-    # patterns
+    is_wild = [any(c in g[1] for c in "…#") for g in golden]
+    lines = spark.createDataFrame([(i, *g, w) for i, (g, w) in enumerate(zip(golden, is_wild))], "line int, tag string, form string, target string, count string, wild boolean")
+    # patterns: a line's form is 2 i, its target 2 i + 1
     wild = lines.where("wild")
-    fs = counts.join(wild.select("line", "fp"), F.regexp_like("name", F.col("fp"))).select("line", "name", "n")
-    ts = counts.join(wild.select("line", "tp"), F.regexp_like("name", F.col("tp"))).select("line", F.col("name").alias("t"))
-    a = fs.join(noted, "name")
-    b = ts.join(noted.select("group", F.col("printed").alias("q"), F.col("name").alias("t")), "t")
-    met = a.join(b, ["line", "group"]).where("printed <> q and name <> t").select("line", "name").distinct()
+    known = counts.where("name is not null")
+    matched = stage(match_patterns(known.select("name"), [(2 * i + j, g[1 + j]) for i, (g, w) in enumerate(zip(golden, is_wild)) if w for j in (0, 1)]), "matched")
+    line = F.floor(F.col("id") / 2).cast("int").alias("line")
+    fs = stage(matched.where("id % 2 = 0").select(line, "name").join(known, "name"), "forms")
+    ts = matched.where("id % 2 = 1").select(line, "name")
+    # a form is met where its group prints a target in another way, which the least and the greatest way tell
+    ways = ts.join(noted, "name").groupBy("line", "group").agg(F.min("printed").alias("low"), F.max("printed").alias("high"))
+    met = fs.join(noted, "name").join(ways, ["line", "group"]).where("printed <> low or printed <> high").select("line", "name").distinct()
     forms = fs.join(met.withColumn("met", F.lit(True)), ["line", "name"], "left").groupBy("line").agg(
         F.sum("n").alias("got"), F.count("*").alias("nf"), F.array_sort(F.collect_list(F.when(F.col("met").isNull(), F.col("name")))).alias("left")
     )
@@ -257,10 +305,14 @@ def golden_score(names: DataFrame, golden: list[tuple[str, str, str, str]], max_
     return wide.select(*keep).unionByName(plain.select(*keep))
 
 
+def golden_tally(scored: DataFrame) -> DataFrame:
+    """(outcome, n): how many golden lines are found and how many MISS."""
+    return scored.groupBy(F.substring_index("result", " ", 1).alias("outcome")).agg(F.count("*").alias("n"))
+
+
 def unexplained(pairs: DataFrame, golden: list[tuple[str, str, str, str]]) -> DataFrame:
     """Pairs neither name of which a golden line has."""
     told = pairs.sparkSession.createDataFrame([(g[i],) for g in golden for i in (1, 2)], "told string").distinct()
-    told = F.broadcast(told)  # a short list made by hand
     return pairs.join(told, F.col("x") == F.col("told"), "left_anti").join(told, F.col("y") == F.col("told"), "left_anti")
 
 

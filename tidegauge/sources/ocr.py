@@ -85,6 +85,11 @@ def station_blocks(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn("station", F.coalesce(F.col("type").isin("list", "text") & ~F.col("content").rlike(r"(?U)\d[.,]\d") & near, F.lit(False)))
 
 
+def extents(blocks: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, x0, y0, x1, y1): the box round all blocks of each key; unknown edges are left out."""
+    return blocks.groupBy(*keys).agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
+
+
 def fuse_stations(blocks: DataFrame, keys: list[str]) -> DataFrame:
     """Blocks (with `station`) in which each run of station blocks in reading order is one table of names and blanks, and narrow tables have the page's width; pages without a width stay as they are."""
     rows = reading_order(blocks, keys)

@@ -68,6 +68,23 @@ def test_repeated_and_null_ids(spark):
     assert simhash_similar.similar_groups(docs.where("false")).count() == 0
 
 
+def test_a_chain_of_bucket_mates_is_no_group(spark, monkeypatch):
+    """Rows that share keys with the next one but are less alike than 0.8: no component is taken of them, and only the two true copies link."""
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(5000)}" for _ in range(1200)]
+    rows = [(i, " ".join(words[25 * i : 25 * i + 200])) for i in range(40)] + [(100, " ".join([*words[:199], "end"]))]
+    seen, real = [], simhash_similar.components
+    monkeypatch.setattr(simhash_similar, "components", lambda edges: seen.append(edges.count()) or real(edges))
+    held = []
+    linked = simhash_similar.bucket_links
+    monkeypatch.setattr(simhash_similar, "bucket_links", lambda keyed, keys, *a, **k: held.append((keys, keyed.groupBy(*keys).count().agg({"count": "max"}).first()[0], keyed.select("id").distinct().count())) or linked(keyed, keys, *a, **k))
+    got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted(r.doc_id for r in got) == list(range(40)) and survivors(rows)[1] == 1
+    assert seen == [2]  # the row that points to its copy and the copy itself
+    ((keys, largest, members),) = held
+    assert keys == ["key"] and members > 20 and largest < members / 2
+
+
 def test_bands_miss_rarely():
     assert (1 - 0.8**simhash_similar.ROWS) ** simhash_similar.bands_for(0.8) <= simhash_similar.MISS
 

@@ -59,13 +59,12 @@ def covering_keys(own: np.ndarray, masks: np.ndarray) -> np.ndarray:
 
 
 class _Members:
-    """What tells which members of a group are linked; pairs that are connected already are not compared again."""
+    """What tells which members of a bucket are linked; pairs that are connected already are not compared again."""
 
     def __init__(self, pdf: pd.DataFrame):
         _, self.at = np.unique(pdf["id"].to_numpy(), return_inverse=True)
         self.sets = [np.frombuffer(x, "<u8") for x in pdf["shingles"]]
         self.n = np.array([len(x) for x in self.sets])
-        self.keys = np.stack(pdf["keys"].to_numpy()) if len(pdf) else np.zeros((0, 1), np.int64)
         self.up = np.arange(self.at.max() + 1 if len(pdf) else 0)
 
     def root(self, x: int) -> int:
@@ -78,21 +77,25 @@ class _Members:
             self.up = above
         ok = np.zeros(len(i), bool)
         small, large = np.minimum(self.n[i], self.n[j]), np.maximum(self.n[i], self.n[j])
-        left = np.flatnonzero((self.up[self.at[i]] != self.up[self.at[j]]) & (small >= threshold * large - 1e-9))
-        for k in range(0, len(left), 4096):
-            part = left[k : k + 4096]
-            for p in part[(self.keys[i[part]] == self.keys[j[part]]).any(axis=1)]:
-                a, b = self.root(self.at[i[p]]), self.root(self.at[j[p]])
-                if a == b:
-                    continue
-                x, y = self.sets[i[p]], self.sets[j[p]]
-                both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                if both >= threshold * (len(x) + len(y) - both) - 1e-9:
-                    self.up[max(a, b)] = min(a, b)
-                    ok[p] = True
+        for p in np.flatnonzero((self.up[self.at[i]] != self.up[self.at[j]]) & (small >= threshold * large - 1e-9)):
+            a, b = self.root(self.at[i[p]]), self.root(self.at[j[p]])
+            if a == b:
+                continue
+            x, y = self.sets[i[p]], self.sets[j[p]]
+            both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+            if both >= threshold * (len(x) + len(y) - both) - 1e-9:
+                self.up[max(a, b)] = min(a, b)
+                ok[p] = True
         return ok
 
 
+def distinct_buckets(keyed: DataFrame) -> DataFrame:
+    """(key) of the buckets of (node, key) with two members or more; of buckets with the same members one. Members are compared by count and 128 bits of summed hashes."""
+    sums = [F.sum(h.cast("decimal(38,0)")).alias(f"h{i}") for i, h in enumerate((F.xxhash64("node"), F.xxhash64(F.lit(1), F.col("node"))))]
+    buckets = keyed.groupBy("key").agg(F.count("*").alias("c"), *sums).where("c > 1")
+    return materialise(buckets.groupBy("c", "h0", "h1").agg(F.min("key").alias("key")).select("key"), "near-buckets")
+
+
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8, radius: int = 3) -> DataFrame:
     """(id_col, text_sha256, keep_id, keep_sha256) of the rows in groups of near copies, one a row.
 
@@ -103,10 +106,10 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Covering LSH proposes all pairs whose 64-bit SimHash over those shingles differs in at most
     `radius` bits. A pair at a similarity of 0.8 differs in about ten, out of reach of any
     covering of a size that could be afforded, so bands of shingle minima propose beside the
-    masks (one at the threshold is missed with probability MISS). Rows of equal keys are
-    joined to the least of them, so no pair is made; inside what hangs together the pairs
-    that share a key are compared exactly, by 64-bit hashes of shingles. Only texts
-    of such groups are read a second time and moved.
+    masks (one at the threshold is missed with probability MISS). Pairs are compared only inside the bucket of a
+    key, exactly, by 64-bit hashes of shingles, and what leaves a bucket are star edges of verified links; components are taken of those alone.
+    So chains of rows that merely share keys never run together, and no work is larger than the largest bucket, which is dealt out in blocks. Buckets
+    with the same members are searched once. Only texts of rows that share a key are read a second time and moved.
 
     Null and empty texts and those without words are in no group. Null ids take part; repeated rows give
     repeated results; an empty table gives none; other columns are ignored.
@@ -132,18 +135,16 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marks = src.select(F.monotonically_increasing_id().alias("node"), "id", "sha", "text")
     marks = materialise(map_ids(marks, read, "node bigint, id bigint, sha string, keys array<bigint>"), "near-marks")
     keyed = marks.select("node", F.explode("keys").alias("key"))
-    least = materialise(keyed.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"), "near-buckets")
-    edges = keyed.join(least, "key").where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
-    coarse = materialise(components(edges).distinct(), "near-coarse")
-    some = materialise(marks.join(coarse, "node").select("root", "node", "id", "sha", "keys"), "near-some")
+    shared = materialise(keyed.join(distinct_buckets(keyed), "key"), "near-shared")
+    some = materialise(marks.select("node", "id", "sha").join(shared.select("node").distinct(), "node"), "near-some")
     wanted = materialise(some.select("sha").distinct(), "near-wanted")
     n_blocks = bloom.blocks_for(wanted.count())
     words = bloom.build(wanted, "sha", n_blocks).scalar()
     # a filter of the members' digests picks their rows, so that the other texts do not move
     texts = src.select("sha", "text").where(bloom.may_contain(words, F.col("sha"), n_blocks))
     found = texts.mapInPandas(frugal(sets), "sha string, shingles binary").join(wanted, "sha", "left_semi").groupBy("sha").agg(F.first("shingles").alias("shingles"))
-    payload = some.select("sha", F.col("node").alias("id"), F.lit(1).cast("bigint").alias("weight"), "keys").join(materialise(found, "near-sets"), "sha").drop("sha")
-    links = bucket_links(some.select(F.col("root").alias("of"), F.col("node").alias("id")), ["of"], payload, _Members, lambda data, i, j: data.linked(i, j, threshold), "near")
+    payload = some.select("sha", F.col("node").alias("id"), F.lit(1).cast("bigint").alias("weight")).join(materialise(found, "near-sets"), "sha").drop("sha")
+    links = bucket_links(shared.select("key", F.col("node").alias("id")), ["key"], payload, _Members, lambda data, i, j: data.linked(i, j, threshold), "near")
     roots = materialise(components(links.select(F.col("id").alias("u"), F.col("root").alias("v"))).distinct(), "near-found")
     members = materialise(some.select("node", "id", "sha").join(roots, "node").select("root", "id", "sha"), "near-members")
     first = members.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "sha")).alias("keep"))

@@ -49,8 +49,8 @@ def write_texts(texts: DataFrame, folder: str, mode: str = "errorifexists", name
         raise ValueError("two texts of one name, or one without a name")
     wanted = own
     if mode == "ignore" and there:
-        known = spark.read.format("binaryFile").load(folder).select(F.url_decode(F.regexp_extract("path", r"([^/]+)\z", 1)).alias("name"))
-        wanted = own.join(known, "name", "left_anti")
+        names = [(f.getPath().getName(),) for f in fs.listStatus(path(folder))]  # of one folder, as Spark's own file index holds them
+        wanted = own.join(spark.createDataFrame(names, "name string"), "name", "left_anti")
     n, todo = own.count(), wanted.count()
     if todo:
         spark.dataSource.register(NamedFiles)

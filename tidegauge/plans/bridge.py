@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.functions import scalar
-from tidegauge.operators import consistency, findings, fuzzy, names, realign, sequence, stats, tables, vote
+from tidegauge.operators import consistency, findings, fuzzy, names, realign, report, sequence, stats, tables, vote
 from tidegauge.plans import extract, merge, pages, timetable
-from tidegauge.sources import ocr, sinks
+from tidegauge.sources import ocr, runs, sinks
+from tidegauge.sources.shared import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -417,15 +419,14 @@ def pipe_parse(spark, sf):
     return chars.select("doc_id", F.col("line").cast("bigint").alias("line"), "n_cells", F.max("n_cells").over(Window.partitionBy("doc_id")).alias("width"), "chars")
 
 
-@query("""WITH c AS (SELECT n_regionkey AS tab, n_nationkey AS r, 0 AS c, n_name AS t FROM nation UNION ALL SELECT n_regionkey, n_nationkey, 1, CAST(n_nationkey AS VARCHAR) FROM nation),
+@query("""WITH l AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem),
+      c AS (SELECT l_orderkey AS tab, l_partkey AS r, 0 AS c, 'part ' || l_partkey AS t FROM l UNION ALL SELECT l_orderkey, l_partkey, 1, CAST(l_partkey * 7 AS VARCHAR) FROM l),
       w AS (SELECT *, max(length(t)) OVER (PARTITION BY tab, c) AS w FROM c)
     SELECT tab, r, '| ' || string_agg(rpad(t, CAST(w AS INTEGER), ' '), ' | ' ORDER BY c) || ' |' AS line FROM w GROUP BY tab, r""")
 def table_render(spark, sf):
-    """Nations as an aligned table for each region."""
-    n = table(spark, sf, "nation")
-    cells = n.select(F.col("n_regionkey").alias("tab"), F.col("n_nationkey").alias("r"), F.lit(0).alias("c"), F.col("n_name").alias("t")).unionByName(
-        n.select(F.col("n_regionkey").alias("tab"), F.col("n_nationkey").alias("r"), F.lit(1).alias("c"), F.col("n_nationkey").cast("string").alias("t"))
-    )
+    """An order's parts as aligned rows."""
+    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("tab"), F.col("l_partkey").alias("r")).distinct()
+    cells = li.select("tab", "r", F.posexplode(F.array(F.concat(F.lit("part "), F.col("r").cast("string")), (F.col("r") * 7).cast("string"))).alias("c", "t"))
     return tables.render_table(cells, ["tab"], "r", "c", "t")
 
 
@@ -559,13 +560,14 @@ def name_occurrences(spark, sf):
     return o.select("name", "n", F.array_join("places", ",").alias("places"))
 
 
-@query("""WITH f AS (SELECT user_id, event_id % 60 AS a, event_id % 60 + event_id % 2 AS b, event_id FROM events WHERE event_type = 'error'),
+@query("""WITH f AS (SELECT user_id, epoch_us(ts) // 86400000000 AS a, epoch_us(ts) // 86400000000 + event_id % 2 AS b, event_id FROM events WHERE event_type = 'error'),
       n AS (SELECT *, CASE WHEN a <= lag(b) OVER w + 1 THEN 0 ELSE 1 END AS n FROM f WINDOW w AS (PARTITION BY user_id ORDER BY a, b, event_id)),
       g AS (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY a, b, event_id ROWS UNBOUNDED PRECEDING) AS g FROM n)
     SELECT user_id, min(a) AS first, max(b) AS last, count(*) AS size FROM g GROUP BY user_id, g HAVING count(*) >= 3""")
 def misaligned_runs(spark, sf):
-    """Three findings or more on adjoining rows of one column."""
-    ev = table(spark, sf, "events").where("event_type = 'error'").select("user_id", "event_id", (F.col("event_id") % 60).alias("a"), (F.col("event_id") % 60 + F.col("event_id") % 2).alias("b"))
+    """Three errors of a user or more on adjoining days."""
+    day = F.floor(micros() / 86_400_000_000)
+    ev = table(spark, sf, "events").where("event_type = 'error'").select("user_id", "event_id", day.alias("a"), (day + F.col("event_id") % 2).alias("b"))
     return findings.merge_runs(ev, ["user_id"], "a", "b", ties=["event_id"])
 
 
@@ -625,29 +627,32 @@ def realigned_pages(spark, sf):
     return out.select("page", "pos", "kind", F.array_join("cells", "|").alias("cells"), "what", "detail")
 
 
-def _region_tables(spark, sf):
-    """(r, head, body): a region's nations as rows of a table, in the order of their keys."""
-    n = table(spark, sf, "nation").select(F.col("n_regionkey").alias("r"), F.struct(F.col("n_nationkey").alias("k"), F.col("n_name").alias("n")).alias("x"))
-    return n.groupBy("r").agg(F.array_sort(F.collect_list("x")).alias("x"))
-
-
-@query("""SELECT n_regionkey AS r, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS i, n_name AS name, CAST(n_nationkey AS VARCHAR) AS key FROM nation""")
+@query("""SELECT l_orderkey AS r, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS i, 'part ' || l_partkey AS name, CAST(l_suppkey AS VARCHAR) AS key FROM lineitem""")
 def table_round_trip(spark, sf):
-    """Tables written as text, with a head and a band, and read again."""
+    """Each order's lines as a table in text, with a head and a band, and read again."""
     row = lambda kind, *cells: F.struct(F.lit(kind).alias("kind"), F.array(*cells).alias("cells"))
-    made = _region_tables(spark, sf).withColumn("rows", F.concat(F.array(row("head", F.lit("name"), F.lit("key")), row("band", F.lit("a band over the whole table"), F.lit(""))), F.transform("x", lambda x: row("row", x["n"], x["k"].cast("string")))))
+    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("r"), F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("x"))
+    made = li.groupBy("r").agg(F.array_sort(F.collect_list("x")).alias("x"))
+    body = F.transform("x", lambda x: row("row", F.concat(F.lit("part "), x["l_partkey"].cast("string")), x["l_suppkey"].cast("string")))
+    made = made.withColumn("rows", F.concat(F.array(row("head", F.lit("name"), F.lit("key")), row("band", F.lit("a band over the whole table"), F.lit(""))), body))
     text = tables.table_text(made.withColumns({"w": F.lit(2), "h": F.lit(1)}), "rows", "w", "h", "t").select("r", "t")
     read = tables.read_book_table(text, "t").select("r", F.filter("t_items", lambda i: i["kind"] == "row").alias("items"))
     return read.select("r", F.posexplode("items").alias("i", "x")).select("r", (F.col("i") + 1).cast("bigint").alias("i"), F.col("x.cells")[0].alias("name"), F.col("x.cells")[1].alias("key"))
 
 
-@query("""WITH v AS (SELECT n_regionkey + 1 AS scan, n_nationkey AS k, n_name AS name, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) + 1 AS i, n_nationkey % 3 AS odd, n_nationkey % 2 = 0 AS differ FROM nation)
+def _nation_tables(spark, sf):
+    """(r, x): a nation's suppliers as rows of a table, in the order of their keys."""
+    n = table(spark, sf, "supplier").select(F.col("s_nationkey").alias("r"), F.struct(F.col("s_suppkey").alias("k"), F.col("s_name").alias("n")).alias("x"))
+    return n.groupBy("r").agg(F.array_sort(F.collect_list("x")).alias("x"))
+
+
+@query("""WITH v AS (SELECT s_nationkey + 1 AS scan, s_suppkey AS k, s_name AS name, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) + 1 AS i, s_suppkey % 3 AS odd, s_suppkey % 2 = 0 AS differ FROM supplier)
     SELECT scan, '7' AS page, 'table 1, row ' || i || ' col 1 · ' || CASE WHEN odd = 0 THEN lower(name) ELSE name END AS place,
            name || ' (' || CASE odd WHEN 0 THEN 'b, c' WHEN 1 THEN 'a, c' ELSE 'a, b' END || '); ' || lower(name) || ' (' || ['a', 'b', 'c'][odd + 1] || ')' AS readings FROM v WHERE differ AND name <> lower(name)""")
 def merged_runs(spark, sf):
-    """Three runs of scan files, one table a region, in which each second name is read differently by one run: the disputes of their merge."""
+    """Three runs of scan files, one table a nation, in which each second supplier is read differently by one run: the disputes of their merge."""
     row = lambda kind, *cells: F.struct(F.lit(kind).alias("kind"), F.array(*cells).alias("cells"))
-    runs_ = _region_tables(spark, sf).withColumn("ord", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    runs_ = _nation_tables(spark, sf).withColumn("ord", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
     name = lambda x: F.when((x["k"] % 2 == 0) & (x["k"] % 3 == F.col("ord")), F.lower(x["n"])).otherwise(x["n"])
     made = runs_.withColumn("rows", F.concat(F.array(row("head", F.lit("name"), F.lit("key"))), F.transform("x", lambda x: row("row", name(x), x["k"].cast("string"))))).withColumns({"w": F.lit(2), "h": F.lit(1)})
     text = tables.table_text(made, "rows", "w", "h", "t")
@@ -672,3 +677,54 @@ def findings_text(spark, sf):
         F.concat(F.lit("value "), v.cast("string")).alias("message"), F.array(F.struct(F.lit("n").alias("k"), v.cast("string").alias("v"))).alias("evidence"),
     )
     return timetable.findings_lines(found).where("n > 0")
+
+
+#: Golden notations, as a list made by hand: any text and a number at different places, and one without any text of its own.
+GOLDEN = ["small …", "… gear", "…ol…", "red widget", "# …", "…", "nothing …", "… b…"]
+
+
+@query("""WITH n AS (SELECT DISTINCT p_name AS name FROM part WHERE p_name IS NOT NULL),
+      p AS (SELECT unnest([0, 1, 2, 3, 4, 5, 6, 7]) AS id, unnest(['^small .*$', '^.* gear$', '^.*ol.*$', '^red widget$', '^[0-9,]+ .*$', '^.*$', '^nothing .*$', '^.* b.*$']) AS regex)
+    SELECT id, count(*) AS n, min(name) AS first, max(name) AS last FROM p JOIN n ON regexp_matches(name, regex) GROUP BY id""")
+def matched_patterns(spark, sf):
+    """How many names each golden notation matches, by the rarest stretch of its own text."""
+    own = table(spark, sf, "part").where("p_name is not null").select(F.col("p_name").alias("name")).distinct()
+    return names.match_patterns(own, list(enumerate(GOLDEN))).groupBy("id").agg(F.count("*").alias("n"), F.min("name").alias("first"), F.max("name").alias("last"))
+
+
+@query(f"""WITH s AS ({SQL_NAMES}),
+      p AS (SELECT DISTINCT 'end Roman number' AS grp, '… I…' AS printed, p_name || ' ' || {ROMAN_SQL}[r] AS name FROM s
+            UNION SELECT 'front ' || left(a, 2), left(a, 2) || '. …', left(a, 2) || '. ' || b || ' ' || v FROM s
+            UNION SELECT 'front ' || left(a, 1), left(a, 1) || '/…', left(a, 1) || '/' || b FROM s)
+    SELECT grp, printed, name, CAST(count(*) OVER (PARTITION BY grp) - count(*) OVER (PARTITION BY grp, printed) AS BIGINT) AS n_against FROM p""")
+def set_against(spark, sf):
+    """How many names are set against each name that a notation part groups."""
+    parts = names.notation_parts(_part_names(spark, sf), "name").select(F.concat_ws(" ", "place", "key").alias("group"), "printed", "name")
+    return names.set_against(parts).withColumnRenamed("group", "grp")
+
+
+@query("""SELECT l_orderkey, min(l_quantity) AS x0, min(l_extendedprice) AS y0, max(l_quantity) AS x1, max(l_extendedprice) AS y1 FROM lineitem GROUP BY l_orderkey""")
+def extents(spark, sf):
+    """The box round an order's lines by quantity and price."""
+    q, p = F.col("l_quantity"), F.col("l_extendedprice")
+    return ocr.extents(table(spark, sf, "lineitem").select("l_orderkey", q.alias("x0"), q.alias("x1"), p.alias("y0"), p.alias("y1")), ["l_orderkey"])
+
+
+@query("""WITH f AS (SELECT row_number() OVER (ORDER BY conv_id, turn, text) AS n, CAST(conv_id AS VARCHAR) AS a, coalesce(role, '') AS b, coalesce(text, '') AS c FROM conversations),
+      w AS (SELECT greatest(4, max(length(a))) AS wa, greatest(4, max(length(b))) AS wb, greatest(4, max(length(c))) AS wc FROM f)
+    SELECT n, '| ' || a || repeat(' ', wa - length(a)) || ' | ' || b || repeat(' ', wb - length(b)) || ' | ' || c || repeat(' ', wc - length(c)) || ' |' AS line FROM f, w
+    UNION ALL SELECT -1, '| conv' || repeat(' ', wa - 4) || ' | role' || repeat(' ', wb - 4) || ' | text' || repeat(' ', wc - 4) || ' |' FROM w
+    UNION ALL SELECT 0, '|' || repeat('=', wa + 2) || '|' || repeat('=', wb + 2) || '|' || repeat('=', wc + 2) || '|' FROM w""")
+def report_text(spark, sf):
+    """The turns of all conversations as the lines of one aligned report."""
+    return report.report_lines(table(spark, sf, "conversations"), ["conv_id", "turn", "text"], ["conv", "role", "text"], ["conv_id", "role", "text"])
+
+
+@query("""SELECT doc_id, CAST(unnest(range(1, len(t) + 1)) AS BIGINT) AS line, md5(unnest(t)) AS md5 FROM (SELECT doc_id, CASE WHEN ends_with(text, chr(10)) THEN string_split(text[:-2], chr(10)) ELSE string_split(text, chr(10)) END AS t FROM documents WHERE text <> '')""")
+def files_round_trip(spark, sf):
+    """Every document written as a file of its own by the executors and read again as numbered lines."""
+    docs = table(spark, sf, "documents").where("text <> ''").select("doc_id", F.concat(F.lit("doc-"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("file"), "text")
+    folder = f"{shared_dir(spark)}/texts-{uuid.uuid4().hex}"
+    sinks.write_texts(docs, folder)
+    lines = runs.read_lines(spark, f"{folder}/doc-*.txt")
+    return lines.select(F.regexp_extract("file", r"doc-(-?\d+)\.txt\z", 1).cast("bigint").alias("doc_id"), F.col("line").cast("bigint").alias("line"), F.md5(F.col("t").cast("binary")).alias("md5"))

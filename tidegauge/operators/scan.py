@@ -141,8 +141,14 @@ class Sequences:
 
 
 def split_long(df: DataFrame, keys: list[str], most: int | None = None) -> tuple[DataFrame, DataFrame | None, int]:
-    """(rows of short keys, rows of keys with more than `most` rows or None, how many rows those are). Counts are combined before they shuffle."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > (most or RANGE_ROWS))
+    """(rows of short keys, rows of keys with more than `most` rows or None, how many rows those are).
+
+    A table of no more rows has no such key, and to count one needs no columns and no shuffle; counts by key are combined before theirs.
+    """
+    most = most or RANGE_ROWS
+    if df.count() <= most:
+        return df, None, 0
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > most)
     n = counts.agg(F.sum("_n")).first()[0]
     if not n:
         return df, None, 0

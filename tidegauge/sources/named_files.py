@@ -24,14 +24,18 @@ class Staged(WriterCommitMessage):
 
 
 class NamedFilesWriter(DataSourceWriter):
-    """Tasks write to a staging folder; what committed tasks wrote is moved to its names at the end, and a failed job leaves none of it."""
+    """Tasks write to a staging folder; what committed tasks wrote is moved to its names at the end, and a failed job leaves none of it.
+
+    The driver makes the staging folder and takes it away, so a task that outlives a failed job finds no place to write.
+    """
 
     def __init__(self, path: str):
         self.path, self.staging = path, f"_staged-{uuid.uuid4().hex}"
+        store, folder = _folder(path)
+        store.create_dir(f"{folder}/{self.staging}", recursive=True)
 
     def write(self, iterator: Iterator) -> Staged:
         store, folder = _folder(self.path)
-        store.create_dir(f"{folder}/{self.staging}", recursive=True)
         done = []
         for name, text in iterator:
             at = f"{self.staging}/{uuid.uuid4().hex}"
@@ -53,8 +57,14 @@ class NamedFilesWriter(DataSourceWriter):
         from pyarrow import fs
 
         store, folder = _folder(self.path)
-        if store.get_file_info(f"{folder}/{self.staging}").type == fs.FileType.Directory:
-            store.delete_dir(f"{folder}/{self.staging}")
+        for last in (False, True):  # a task that is being stopped may put a file there meanwhile
+            try:
+                if store.get_file_info(f"{folder}/{self.staging}").type == fs.FileType.Directory:
+                    store.delete_dir(f"{folder}/{self.staging}")
+                return
+            except OSError:
+                if last:
+                    raise
 
 
 class NamedFiles(DataSource):

@@ -37,10 +37,10 @@ from .labelled import fold_of
 
 STATES = 8
 ROUNDS = 3
-#: The starting point: hash buckets of words, rounds, and about how many documents.
-BUCKETS = 1 << 15
-START_ROUNDS = 20
-START_DOCS = 1000
+#: The starting point: hash buckets of words, rounds, and words on end that are taken to share a state.
+BUCKETS = 1 << 12
+START_ROUNDS = 8
+STRETCH = 16
 SMOOTH = 5.0
 FLOOR = 0.02
 END = b" "
@@ -58,8 +58,9 @@ def _e_step(seqs: list[np.ndarray], model: dict, counts: dict | None, batch: int
     the end: a sequence longer than `batch` keeps the forward values at the blocks'
     beginnings only and computes those inside a block again.
     """
-    a, start, ratio = model["a"], model["start"], model["ratio"]
-    k = len(start)
+    a, start, ratio = (np.ascontiguousarray(model[x], np.float32) for x in ("a", "start", "ratio"))
+    k, back = len(start), np.ascontiguousarray(a.T)
+    one = np.ones(k, np.float32)
     order = np.argsort([-len(s) for s in seqs], kind="stable")
     out = np.zeros(len(seqs))
     at = 0
@@ -76,44 +77,48 @@ def _e_step(seqs: list[np.ndarray], model: dict, counts: dict | None, batch: int
         total = np.zeros(n)
 
         def forward(t0: int, t1: int, now: np.ndarray, keep: bool, add: bool):
+            """The values at the end of the block, and if kept all of them, their sums and the words' ratios."""
             alpha = np.empty((t1 - t0, n, k), np.float32) if keep else None
-            scale = np.ones((t1 - t0, n)) if keep else None
+            scale, seen = np.ones((t1 - t0, n), np.float32), ratio.take(b[t0:t1], axis=0)
             for t in range(t0, t1):
                 m = live[t]
-                now = (now[:m] @ a if t else now[:m]) * ratio[b[t, :m]]
-                c = now.sum(axis=1)
+                now = (now[:m] @ a if t else now[:m]) * seen[t - t0, :m]
+                c = np.matmul(now, one, out=scale[t - t0, :m])
                 now /= c[:, None]
-                if add:
-                    total[:m] += np.log(c)
                 if keep:
-                    alpha[t - t0, :m], scale[t - t0, :m] = now, c
-            return now, alpha, scale
+                    alpha[t - t0, :m] = now
+            if add:
+                total[:] += np.log(scale).sum(axis=0, dtype=np.float64)
+            return now, alpha, scale, seen
 
         step = max(1, batch // n)
         blocks = [(t, min(longest, t + step)) for t in range(0, longest, step)]
-        heads = [np.broadcast_to(start, (n, k)).astype(np.float64)]
-        kept = None
+        heads = [np.broadcast_to(start, (n, k))]
+        kept, moves = None, np.zeros((k, k))
         for t0, t1 in blocks:
             now, *kept = forward(t0, t1, heads[-1], counts is not None and len(blocks) == 1, True)
             heads.append(now)
         out[own] = total
         if counts is None:
             continue
-        beta, after = np.ones((n, k)), None
+        beta, after, then = np.ones((n, k), np.float32), None, None
         for (t0, t1), head in zip(reversed(blocks), reversed(heads[:-1])):
-            alpha, scale = kept if len(blocks) == 1 else forward(t0, t1, head, True, False)[1:]
+            alpha, scale, seen = kept if len(blocks) == 1 else forward(t0, t1, head, True, False)[1:]
             for t in range(t1 - 1, t0 - 1, -1):
                 m = live[t]
                 if t + 1 < longest:
                     m2 = live[t + 1]
-                    ahead = ratio[b[t + 1, :m2]] * beta[:m2] / after[:m2, None]
-                    counts["a"] += a * (alpha[t - t0, :m2].T.astype(np.float64) @ ahead)
-                    beta[:m2] = ahead @ a.T
-                after = scale[t - t0]
-                g = alpha[t - t0, :m] * beta[:m]
-                alpha[t - t0, :m] = g / g.sum(axis=1, keepdims=True)
+                    ahead = then[:m2] * beta[:m2]
+                    ahead /= after[:m2, None]
+                    moves += alpha[t - t0, :m2].T @ ahead
+                    np.matmul(ahead, back, out=beta[:m2])
+                after, then = scale[t - t0], seen[t - t0]
+                g = alpha[t - t0, :m]
+                g *= beta[:m]
+                g /= (g @ one)[:, None]
             if not t0:
-                counts["start"] += alpha[0, : live[0]].sum(axis=0)
+                counts["start"] += alpha[0, : live[0]].sum(axis=0, dtype=np.float64)
+                counts["a"] += a * moves
             flat = np.concatenate([b[t, : live[t]] for t in range(t0, t1)])
             post = np.concatenate([alpha[t - t0, : live[t]] for t in range(t0, t1)])
             for s in range(k):
@@ -121,6 +126,27 @@ def _e_step(seqs: list[np.ndarray], model: dict, counts: dict | None, batch: int
     return out
 
 
+def _stretch_step(tokens: np.ndarray, lens: np.ndarray, model: dict, counts: dict, batch: int = BATCH_TOKENS) -> None:
+    """Adds to `counts` what is expected of texts (laid end to end, all of length >= 1) that may change their state at every STRETCH words only."""
+    each = -(-lens // STRETCH)
+    nth = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+    at = np.append(np.repeat(np.cumsum(lens) - lens, each) + STRETCH * nth, len(tokens))
+    log, prior, last = np.log(model["ratio"]).astype(np.float32), np.log(model["share"]), None
+    step = max(1, batch // STRETCH)
+    for i in range(0, len(nth), step):
+        own = at[i : i + step + 1]
+        x, size, goes_on = tokens[own[0] : own[-1]], np.diff(own), nth[i : i + step] > 0
+        post = np.add.reduceat(log[x], own[:-1] - own[0], axis=0) + prior
+        post = np.exp(post - post.max(axis=1, keepdims=True))
+        post /= post.sum(axis=1, keepdims=True)
+        for s in range(len(prior)):
+            counts["emit"][:, s] += np.bincount(x, np.repeat(post[:, s], size), minlength=len(log))
+        counts["start"] += post[~goes_on].sum(axis=0)
+        before = np.concatenate([post[:1] if last is None else last, post[:-1]])
+        counts["a"] += before[goes_on].T @ post[goes_on] + np.diag((size - 1) @ post)
+        last = post[-1:]
+
+
 def _model(start: np.ndarray, a: np.ndarray, emit: np.ndarray, base: np.ndarray) -> dict:
     """The start model's probabilities from expected counts of buckets; base: the buckets' own shares."""
     k = len(start)
@@ -300,22 +326,32 @@ def train(docs: DataFrame, folds: int, held: int, states: int, rounds: int, id_c
     even = np.full(states, 1 / states)
     model = {"start": even, "a": np.tile(even, (states, 1)), "share": even}
 
-    def begin(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seqs = [np.array([*map(_bucket, _words(t))]) for pdf in parts for t in pdf["text"]]
-        base = np.bincount(np.concatenate(seqs), minlength=BUCKETS + 1) + 1.0 if seqs else np.ones(BUCKETS + 1)
-        base /= base.sum()
-        now = _first(base, states)
-        for _ in range(START_ROUNDS if seqs else 0):
+    def begin(model: dict):
+        def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             c = _zero(states)
-            _e_step(seqs, now, c)
-            now = _model(c["start"], c["a"], c["emit"], base)
-        yield pd.DataFrame({"start": [now["start"].tobytes()], "a": [now["a"].tobytes()], "share": [now["share"].tobytes()], "ratio": [now["ratio"].astype(np.float32).tobytes()]})
+            for pdf in parts:
+                for a, b, buckets in zip(pdf["a"], pdf["b"], pdf["c"]):
+                    about = _unsqueeze(b, "<i8").reshape(-1, 3)
+                    learnt = about[:, 1] != held
+                    tokens = _unsqueeze(buckets, "<u2")[_unsqueeze(a, "<i4")][np.repeat(learnt, about[:, 2])]
+                    _stretch_step(tokens, about[learnt, 2], model, c)
+            yield pd.DataFrame({"part": [TaskContext.get().partitionId() % GROUPS], "sums": [np.concatenate([c["start"], c["a"].ravel(), c["emit"].ravel()]).tobytes()]})
+
+        return frugal(run)
+
+    def add_up(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"part": pdf["part"].iloc[:1], "sums": [sum(map(np.frombuffer, pdf["sums"])).tobytes()]})
 
     if n_train and rounds:
-        # about START_DOCS documents by a threshold on their hash; the limit holds where very many rows share an id
-        few = own.where((F.col("fold") != held) & (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 20)) < F.lit(max(1, (START_DOCS << 20) // size.n))))
-        r = few.select("text").limit(2 * START_DOCS).coalesce(1).mapInPandas(frugal(begin), "start binary, a binary, share binary, ratio binary").first()
-        model = {"start": np.frombuffer(r.start), "a": np.frombuffer(r.a).reshape(states, states), "share": np.frombuffer(r.share), "buckets": np.frombuffer(r.ratio, np.float32).reshape(-1, states)}
+        now = _first(np.full(BUCKETS + 1, 1 / (BUCKETS + 1)), states)
+        for _ in range(START_ROUNDS):
+            sums = chunks.select("a", "b", "c").mapInPandas(begin(now), "part int, sums binary").groupBy("part").applyInPandas(add_up, "part int, sums binary")
+            # GROUPS rows of a fixed size at most
+            start, a, emit = np.split(sum(np.frombuffer(r.sums) for r in sums.collect()), [states, states + states * states])
+            emit = emit.reshape(-1, states)
+            base = emit.sum(axis=1) + 1.0
+            now = _model(start, a.reshape(states, states), emit, base / base.sum())
+        model = {"start": now["start"], "a": now["a"], "share": now["share"], "buckets": now["ratio"].astype(np.float32)}
 
     def expected(model: dict, a: bytes, b: bytes, chunk: int, ratio: np.ndarray, sizes: list[tuple[int, int]]) -> list[tuple]:
         """(slice, chunk, blob) rows: for each slice its words' shares of the states in 16 bits, and the chunk's sums of moves under a negative slice."""
@@ -417,8 +453,9 @@ def lm_score(docs: DataFrame, folds: int = 7, held: int = 2, states: int = STATE
     Tokens are lower-cased (A-Z) words and an end. The model learns from all
     documents whose crc32(id) modulo folds is not `held`: exact counts for the
     add-one unigram (base_score), and `rounds` Baum-Welch rounds in which each
-    word's expected counts are added up over all chunks. Only the starting point of those
-    rounds comes from about START_DOCS documents, chosen by hash. score is the exact
+    word's expected counts are added up over all chunks. The starting point of those
+    rounds is learnt from the same documents, all of them, in START_ROUNDS plainer rounds
+    (words by bucket, one state for STRETCH words). score is the exact
     scaled forward sum over each whole text, log10.
 
     Null and empty texts have the end alone. A null id learns and is not held

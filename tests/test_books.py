@@ -296,3 +296,17 @@ def test_more_bands_and_scans_than_one_block(spark):
     assert {r.k: r.band for r in consistency.classify_bands(values, ["k"], "v", bands).collect()} == {"x": "b10045", "y": "b0", "z": None, None: "b2"}
     scans = spark.range(1, 1_000_010).union(spark.range(1_000_012, 1_000_020)).selectExpr("cast(id as int) as scan", "'x' as text")
     assert scanfiles.contiguous(scans).count() == 1_000_009 and scanfiles.contiguous(scans.where("scan > 1")).count() == 0
+
+
+def test_short_files_are_numbered_in_their_rows(spark, tmp_path, monkeypatch):
+    """A pattern is looked up in one listing, short files need no shuffle, and the two ways of reading agree."""
+    texts = {"a-1.txt": "x\n\ny", "a-2.txt": "\n", "a-3.txt": "", "a-4.txt": "one\n\n", "a 5.txt": "два\r\nend\n", "b-6.txt": "not asked for"}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    want = {(n.replace(" ", "%20"), i + 1, t) for n, text in texts.items() if n[0] == "a" and text for i, t in enumerate(text.removesuffix("\n").split("\n"))}
+    read = runs.read_lines(spark, f"{tmp_path}/a*.txt")
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    got = [(r.file.rsplit("/", 1)[1], r.line, r.t) for r in read.collect()]
+    assert set(got) == want and len(got) == len(want) and "Exchange" not in plan
+    monkeypatch.setattr(runs, "WHOLE_BYTES", 4)
+    assert {(r.file.rsplit("/", 1)[1], r.line, r.t) for r in runs.read_lines(spark, f"{tmp_path}/a*.txt").collect()} == want

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
@@ -18,9 +19,15 @@ def _folder(path: str):
     return fs.FileSystem.from_uri(path)
 
 
+#: Tasks whose files are moved to their names at once.
+MOVERS = 16
+
+
 @dataclass
 class Staged(WriterCommitMessage):
-    files: list[tuple[str, str]]
+    """The folder of a task's files, which are in it under their own names."""
+
+    folder: str
 
 
 class NamedFilesWriter(DataSourceWriter):
@@ -36,18 +43,24 @@ class NamedFilesWriter(DataSourceWriter):
 
     def write(self, iterator: Iterator) -> Staged:
         store, folder = _folder(self.path)
-        done = []
+        own = f"{self.staging}/{uuid.uuid4().hex}"
+        store.create_dir(f"{folder}/{own}", recursive=False)
         for name, text in iterator:
-            at = f"{self.staging}/{uuid.uuid4().hex}"
-            with store.open_output_stream(f"{folder}/{at}") as out:
+            with store.open_output_stream(f"{folder}/{own}/{name}") as out:
                 out.write((text or "").encode())
-            done.append((at, name))
-        return Staged(done)
+        return Staged(own)
 
     def commit(self, messages: list[Staged | None]) -> None:
+        from pyarrow import fs
+
         store, folder = _folder(self.path)
-        for at, name in (f for m in messages if m for f in m.files):
-            store.move(f"{folder}/{at}", f"{folder}/{name}")
+
+        def move(own: str) -> None:
+            for f in store.get_file_info(fs.FileSelector(f"{folder}/{own}")):
+                store.move(f.path, f"{folder}/{f.base_name}")
+
+        with ThreadPoolExecutor(MOVERS) as pool:
+            list(pool.map(move, [m.folder for m in messages if m]))
         self._clear()
 
     def abort(self, messages: list[Staged | None]) -> None:

@@ -12,6 +12,9 @@ from tidegauge.operators.scan import number, sequences
 # Columns of an ignore list and of a list of disputes, and the tags of golden lines.
 IGNORE_HEAD = ["scan", "folio", "train", "where", "rules", "values", "note"]
 TAGS = ["mistake", "artifact", "scatter", "form"]
+#: Bytes of a file that is read as one row; longer ones, and packed ones, are read by splits.
+WHOLE_BYTES = 1 << 20
+PACKED = r"(?i)\.(gz|bz2|zst|snappy|lz4|deflate)\z"
 
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
@@ -56,10 +59,25 @@ def page_texts(sections: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line, t) of text files of any size: line numbers from 1, counted by splits and offsets, so many tasks read a long file."""
+    """(file, line, t) of text files of any size: line numbers from 1, within a row for short files, which are opened once and not shuffled.
+
+    Lines of long files are counted by splits and offsets, so many tasks read one. A pattern in the last part of path
+    chooses among the names of one listed folder; as a path, Spark would look at every file by itself first.
+    """
+    folder, _, name = path.rpartition("/")
+    chosen = bool(folder) and bool(set(name) & set("*?[{"))
+    opened, root = (spark.read.option("pathGlobFilter", name), folder) if chosen else (spark.read, path)
+    files = opened.format("binaryFile").load(root)
+    short = (F.col("_metadata.file_size") <= WHOLE_BYTES) & ~F.col("_metadata.file_path").rlike(PACKED)
+    text = F.regexp_replace(F.col("content").cast("string"), r"\n\z", "")
+    whole = files.where(short & (F.col("length") > 0)).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split(text, "\n")).alias("n", "t"))
+    whole = whole.select("file", (F.col("n") + 1).cast("int").alias("line"), "t")
+    # sizes and names are known from the listing: no file is opened for this
+    if not files.where(~short).select("_metadata.file_path").head(1):
+        return whole
     split, at = F.col("_metadata.file_block_start").alias("__s"), F.monotonically_increasing_id().alias("__i")  # ids grow along a split
-    rows = spark.read.text(path, lineSep="\n").select(F.col("_metadata.file_path").alias("file"), split, at, F.col("value").alias("t"))
-    return sequences(rows, ["file"], ["__s", "__i"]).add(line=number()).rows().select("file", F.col("line").cast("int").alias("line"), "t")
+    rows = opened.text(root, lineSep="\n").where(~short).select(F.col("_metadata.file_path").alias("file"), split, at, F.col("value").alias("t"))
+    return whole.unionByName(sequences(rows, ["file"], ["__s", "__i"]).add(line=number()).rows().select("file", F.col("line").cast("int").alias("line"), "t"))
 
 
 def _table_file(spark: SparkSession, path: str) -> DataFrame:

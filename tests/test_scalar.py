@@ -61,3 +61,17 @@ def test_clean_cell_and_tokens(spark):
     assert odd == {"a*", "_b", "6305***"}
     n = spark.createDataFrame([(0.25, 1234.5), (0.35, 2.5)], "x double, y double")
     assert [tuple(r) for r in n.select(scalar.fixed_decimals(F.col("x"), 1), scalar.fixed_decimals(F.col("y"), 0)).collect()] == [("0.2", "1234"), ("0.3", "2")]
+
+
+def test_strip_is_linear_and_takes_all_white_space(spark):
+    """A stretch of blanks inside a text costs no more than its length."""
+    import time
+
+    white = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000 and chr(c).isspace() and not 0x1C <= c < 0x20]
+    given = [f"{c}a{c}b{c}{c}" for c in white] + ["\x1ca\x1f", "᠎a​", "".join(white), "", None]
+    assert run(spark, scalar.strip, given) == [f"a{c}b" for c in white] + ["\x1ca\x1f", "᠎a​", "", "", None]
+    assert sorted(white) == sorted(scalar.WHITE)
+    df = spark.range(1).select(F.concat(F.lit("a"), F.repeat(F.lit(" "), F.lit(300_000)), F.lit("b")).alias("v"))
+    begun = time.monotonic()
+    assert df.select(F.length(scalar.strip(F.concat("v", F.col("v")))).alias("n")).first().n == 600_004
+    assert time.monotonic() - begun < 10

@@ -15,9 +15,13 @@ OPEN, BAR, CLOSE, EMPTY = "⟨", "¦", "⟩", "∅"
 DAY = 86400
 
 
+#: Characters of Unicode's White_Space property.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
-    """Without Unicode white space at the ends (trim() takes spaces only)."""
-    return F.regexp_replace(c, r"(?U)\A\s+|\s+\z", "")
+    """Without Unicode white space at the ends (trim() takes spaces only, and a pattern looks at every stretch of them inside)."""
+    return F.trim(c, F.lit(WHITE))
 
 
 def clean_cell(c: Column, pad_time: bool | Column = True) -> Column:

@@ -45,7 +45,7 @@ def render_table(cells: DataFrame, table: list[str], row: str, col: str, text: s
 def _lines(text):
     """Cells of the lines that begin with a pipe, outer pipes dropped."""
     found = F.filter(F.transform(F.split(text, "\n"), strip), lambda t: F.startswith(t, F.lit("|")))
-    return F.transform(found, lambda t: F.transform(F.split(F.regexp_replace(t, r"\A\|+|\|+\z", ""), r"\|"), strip))
+    return F.transform(found, lambda t: F.transform(F.split(F.trim(t, F.lit("|")), r"\|"), strip))
 
 
 def _ruled(cells, marks: str):

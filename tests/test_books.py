@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidegauge.operators import consistency, names, tables
 from tidegauge.operators import scan as scans
 from tidegauge.plans import extract, merge, pages
-from tidegauge.sources import ocr, runs, scanfiles, sinks
+from tidegauge.sources import named_files, ocr, runs, scanfiles, sinks
 from tidegauge.sources.named_files import NamedFiles
 
 #: Where a whole book lies beside the repository, its outputs are what the plans are held against.
@@ -310,3 +310,43 @@ def test_short_files_are_numbered_in_their_rows(spark, tmp_path, monkeypatch):
     assert set(got) == want and len(got) == len(want) and "Exchange" not in plan
     monkeypatch.setattr(runs, "WHOLE_BYTES", 4)
     assert {(r.file.rsplit("/", 1)[1], r.line, r.t) for r in runs.read_lines(spark, f"{tmp_path}/a*.txt").collect()} == want
+
+
+def test_spread_files_are_listed_by_tasks(spark, tmp_path, monkeypatch):
+    """Files spread over folders of bounded size: neither the driver nor the plan holds a file, and lines come back as they were."""
+    texts = {"a-1.txt": "x\n\ny", "a-2.txt": "\n", "a-3.txt": "", "a-4.txt": "one\n\n", "a 5.txt": "два\r\nend\n", "a-6.txt": None, "b.txt": "no pattern", "long.txt": "длинная строка\n" * 3000 + "ж" * 50_000}
+    want = {(n, i + 1, t) for n, text in texts.items() if text for i, t in enumerate(text.removesuffix("\n").split("\n"))}
+    df = spark.createDataFrame(list(texts.items()), "file string, text string")
+    folder = str(tmp_path / "spread")
+    assert sinks.write_texts(df, folder, spread=True) == (8, 0)
+    read = runs.read_spread_lines(spark, folder)
+    assert all(p.name.startswith("files-") and p.is_dir() for p in (tmp_path / "spread").iterdir()) and "File" not in read._jdf.queryExecution().executedPlan().toString()
+    got = [tuple(r) for r in read.collect()]
+    assert set(got) == want and len(got) == len(want)
+    many = spark.range(2500).coalesce(1).selectExpr("concat('f', id) as file", "concat(id, '\n', -id) as text")
+    sinks.write_texts(many, str(tmp_path / "many"), spread=True)
+    read = runs.read_spread_lines(spark, str(tmp_path / "many"))
+    folders = list((tmp_path / "many").iterdir())
+    assert len(folders) >= 3 and max(len(list(p.iterdir())) for p in folders) <= named_files.FOLDER_FILES and read.rdd.getNumPartitions() == len(folders)
+    assert {tuple(r) for r in read.collect()} == {(f"f{i}", n, str(t)) for i in range(2500) for n, t in ((1, i), (2, -i))} and read.count() == 5000
+    # no rows, a folder in use, a mode that looks for names, no folder
+    sinks.write_texts(df.limit(0), str(tmp_path / "none"), spread=True)
+    assert runs.read_spread_lines(spark, str(tmp_path / "none")).count() == 0
+    with pytest.raises(FileExistsError):
+        sinks.write_texts(df, folder, spread=True)
+    with pytest.raises(ValueError):
+        sinks.write_texts(df, folder, "ignore", spread=True)
+    with pytest.raises(Exception, match="not-there"):
+        runs.read_spread_lines(spark, str(tmp_path / "not-there")).count()
+    # small pieces and batches, folders by bytes, and a store that moves files only
+    monkeypatch.setattr(named_files, "PIECE", 7)
+    monkeypatch.setattr(named_files, "FOLDER_BYTES", 4)
+    for i, moves in enumerate((named_files.MOVES_FOLDERS, ())):
+        monkeypatch.setattr(named_files, "MOVES_FOLDERS", moves)
+        at = str(tmp_path / f"pieces-{i}")
+        writer = named_files.NamedFilesWriter(at, spread=True)
+        writer.commit([writer.write(iter(texts.items())), None])
+        reader = named_files.NamedLinesReader(at)
+        parts = reader.partitions()
+        rows = [tuple(r.values()) for p in parts for b in reader.read(p) for r in b.to_pylist()]
+        assert set(rows) == want and len(rows) == len(want) and len(parts) > 3 and {p.name for p in (tmp_path / f"pieces-{i}").iterdir()} == {p.folder for p in parts}

@@ -37,6 +37,11 @@ def test_similar_names(spark, con):
     assert got == {w for w in want if w[2] >= 0.7} and got
 
 
+def test_files_round_trip_has_no_listing_on_the_driver(spark):
+    read = bridge.QUERIES["files_round_trip"](spark, SF)
+    assert read.inputFiles() == [] and "FileScan" not in read._jdf.queryExecution().executedPlan().toString()
+
+
 def test_entry_has_rows(spark):
     import __spark_entry__ as entry
 

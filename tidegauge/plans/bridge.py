@@ -722,9 +722,9 @@ def report_text(spark, sf):
 
 @query("""SELECT doc_id, CAST(unnest(range(1, len(t) + 1)) AS BIGINT) AS line, md5(unnest(t)) AS md5 FROM (SELECT doc_id, CASE WHEN ends_with(text, chr(10)) THEN string_split(text[:-2], chr(10)) ELSE string_split(text, chr(10)) END AS t FROM documents WHERE text <> '')""")
 def files_round_trip(spark, sf):
-    """Every document written as a file of its own by the executors and read again as numbered lines."""
+    """Every document written as a file of its own by the executors and read again by them as numbered lines."""
     docs = table(spark, sf, "documents").where("text <> ''").select("doc_id", F.concat(F.lit("doc-"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("file"), "text")
     folder = f"{shared_dir(spark)}/texts-{uuid.uuid4().hex}"
-    sinks.write_texts(docs, folder)
-    lines = runs.read_lines(spark, f"{folder}/doc-*.txt")
-    return lines.select(F.regexp_extract("file", r"doc-(-?\d+)\.txt\z", 1).cast("bigint").alias("doc_id"), F.col("line").cast("bigint").alias("line"), F.md5(F.col("t").cast("binary")).alias("md5"))
+    sinks.write_texts(docs, folder, spread=True)
+    lines = runs.read_spread_lines(spark, folder)
+    return lines.select(F.regexp_extract("file", r"\Adoc-(-?\d+)\.txt\z", 1).cast("bigint").alias("doc_id"), F.col("line").cast("bigint").alias("line"), F.md5(F.col("t").cast("binary")).alias("md5"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidegauge.functions.scalar import strip
 from tidegauge.operators import tables
 from tidegauge.operators.scan import number, sequences
+from tidegauge.sources.named_files import NamedLines
 
 # Columns of an ignore list and of a list of disputes, and the tags of golden lines.
 IGNORE_HEAD = ["scan", "folio", "train", "where", "rules", "values", "note"]
@@ -62,7 +63,8 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line, t) of text files of any size: line numbers from 1, within a row for short files, which are opened once and not shuffled.
 
     Lines of long files are counted by splits and offsets, so many tasks read one. A pattern in the last part of path
-    chooses among the names of one listed folder; as a path, Spark would look at every file by itself first.
+    chooses among the names of one listed folder; as a path, Spark would look at every file by itself first. The driver holds that
+    listing, about 1 kB a file; millions of files are for read_spread_lines.
     """
     folder, _, name = path.rpartition("/")
     chosen = bool(folder) and bool(set(name) & set("*?[{"))
@@ -80,6 +82,16 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return whole.unionByName(sequences(rows, ["file"], ["__s", "__i"]).add(line=number()).rows().select("file", F.col("line").cast("int").alias("line"), "t"))
 
 
+def read_spread_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """(file, line, t) of the files that write_texts spread in a folder: file names without their folders, line numbers from 1.
+
+    Tasks list the folders and read the files, long ones piece by piece; the driver lists the folders alone. The folder must be one that
+    Arrow's file systems open.
+    """
+    spark.dataSource.register(NamedLines)
+    return spark.read.format("named_lines").option("path", folder).load()
+
+
 def _table_file(spark: SparkSession, path: str) -> DataFrame:
     """(line, t, cells) of the rows of a table in a text file, blank lines left out."""
     lines = read_lines(spark, path).select("line", strip(F.col("t")).alias("t"))

@@ -30,15 +30,18 @@ def head_spans(cells: DataFrame, key: list[str], col: str, text: str) -> DataFra
     return spans.groupBy(*key, "_g").agg(F.min(col).alias("first"), F.count("*").alias("colspan"), F.max(text).alias("text")).drop("_g")
 
 
-def write_texts(texts: DataFrame, folder: str, mode: str = "errorifexists", name: str = "file", text: str = "text") -> tuple[int, int]:
+def write_texts(texts: DataFrame, folder: str, mode: str = "errorifexists", name: str = "file", text: str = "text", spread: bool = False) -> tuple[int, int]:
     """(written, skipped): each text as a file of its own name, written by the executors; see named_files for what a failure leaves.
 
     mode: `errorifexists` refuses a folder that holds anything, `ignore` leaves files that are there, `overwrite` replaces them.
     Names must be known and differ. A null text is an empty file; an empty table writes nothing.
+    spread: the files go to folders of bounded size in a new folder, for as many as no single folder and no driver should hold; see runs.read_spread_lines.
     """
     spark = texts.sparkSession
     if mode not in ("errorifexists", "ignore", "overwrite"):
         raise ValueError(f"unknown mode {mode}")
+    if spread and mode != "errorifexists":
+        raise ValueError(f"mode {mode}: files are spread in a new folder only")
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     there = fs.exists(path(folder)) and len(fs.listStatus(path(folder)))
@@ -52,9 +55,11 @@ def write_texts(texts: DataFrame, folder: str, mode: str = "errorifexists", name
         names = [(f.getPath().getName(),) for f in fs.listStatus(path(folder))]  # of one folder, as Spark's own file index holds them
         wanted = own.join(spark.createDataFrame(names, "name string"), "name", "left_anti")
     n, todo = own.count(), wanted.count()
+    if spread:
+        fs.mkdirs(path(folder))
     if todo:
         spark.dataSource.register(NamedFiles)
-        wanted.write.format("named_files").mode("append").option("path", folder).save()
+        wanted.write.format("named_files").mode("append").options(path=folder, spread=spread).save()
     return todo, n - todo
 
 
